@@ -1,0 +1,26 @@
+"""Broadcast only behind a size bound.
+
+``checked_broadcast`` hints a broadcast for a side whose row count is known
+by construction (a constant lookup table built on the driver) and below the
+bound; otherwise it returns the side unchanged and the planner keeps a
+shuffle join (or AQE converts it at run time from measured sizes).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A constant side may be broadcast when it has at most this many rows.
+MAX_BROADCAST_ROWS = 100_000
+
+
+def checked_broadcast(df: DataFrame, known_rows: int, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    if known_rows < 0:
+        raise ValueError("known_rows must be a proven, non-negative bound")
+    return F.broadcast(df) if known_rows <= max_rows else df
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of ``df`` (an estimate, not a bound)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
