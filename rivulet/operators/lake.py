@@ -248,10 +248,9 @@ class LakeTable:
         else:
             commit_value = F.col(commit_col).cast("string")
         op_value = F.when(F.col(delete_col), F.lit("D")).otherwise(F.lit("U")) if delete_col else F.lit(op)
-        drop = [c for c in (commit_col, delete_col) if c]
-        data = df.drop(*drop) if drop else df
-        return data.select(
-            *data.columns,
+        control = {c for c in (commit_col, delete_col) if c}
+        return df.select(
+            *[c for c in df.columns if c not in control],
             F.col(self.key).cast("string").alias(KEY),
             F.col(self.partition).cast("string").alias(PART),
             commit_value.alias(COMMIT),
