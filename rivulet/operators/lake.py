@@ -272,8 +272,11 @@ class LakeTable:
         return rows.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields], PART, COMMIT)
 
     def _append(self, rows: DataFrame) -> None:
+        # Cluster rows by target directory so each (partition, commit) gets a
+        # few files, not one per shuffle task; AQE splits a hot directory.
         (
-            rows.write.mode("overwrite")
+            rows.hint("rebalance", PART, COMMIT)
+            .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(PART, COMMIT)
             .parquet(self._log_dir())
@@ -295,7 +298,8 @@ class LakeTable:
             merged = batch
         state = latest_per_key(merged, list(IDENTITY), self._order())
         (
-            state.write.mode("overwrite")
+            state.hint("rebalance", PART)
+            .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(PART)
             .parquet(cur_dir)
@@ -366,7 +370,8 @@ class LakeTable:
         a fully deleted partition is still rewritten)."""
         state = latest_per_key(self.log(), list(IDENTITY), self._order())
         (
-            state.write.mode("overwrite")
+            state.hint("rebalance", PART)
+            .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(PART)
             .parquet(self._current_dir())
