@@ -20,10 +20,11 @@ newer record).
 
 Spark mapping
 -------------
-* latest-per-identity = ``groupBy(identity).agg(max_by(struct(row), struct(order)))``.
-  The aggregate is partial: each task collapses its rows per identity before
-  the shuffle, so a key holding a third of all rows still ships one row per
-  task, never a whole group to one task.
+* latest-per-identity = ``row_number() over (partition by identity order by
+  ...) = 1``.  Spark plans it with a partial top-1 per task before the
+  shuffle, so a key holding a third of all rows still ships one row per task,
+  never a whole group to one task; and the scan is pruned to the columns the
+  caller selects.
 * As-of / incremental reads are filters on the ``_commit_time`` directory
   column -> partition pruning, only the needed commits are listed and read.
 * Writing a commit is a dynamic partition overwrite of exactly the
@@ -43,7 +44,7 @@ import json
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,14 +67,14 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column |
     """Keep, per ``keys``, the row with the greatest ``order`` tuple.
 
     ``order`` must be a total order on the rows of one key (add tie-break
-    columns); NULLs sort lowest.  Plans as partial + final aggregation.
+    columns); NULLs sort lowest.  Written as ``row_number() = 1`` so that
+    Catalyst (a) plans a partial top-1 per task before the shuffle
+    (``WindowGroupLimit Partial``: a hot key ships one row per map task) and
+    (b) prunes the scan to the columns used above it.
     """
-    others = [c for c in df.columns if c not in keys]
-    if not others:
-        return df.select(*keys).distinct()
-    order_struct = F.struct(*[F.col(c) if isinstance(c, str) else c for c in order])
-    red = df.groupBy(*keys).agg(F.max_by(F.struct(*others), order_struct).alias("_latest"))
-    return red.select(*keys, *[F.col(f"_latest.{c}").alias(c) for c in others])
+    spec = [(F.col(c) if isinstance(c, str) else c).desc_nulls_last() for c in order]
+    w = Window.partitionBy(*keys).orderBy(*spec)
+    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
 def now_instant() -> str:

@@ -35,4 +35,6 @@ def test_range_join_broadcasts_the_bounded_side(spark, sf_small):
 def test_snapshot_reduces_partially_before_shuffle(spark, sf_small):
     df = E.queries()["lake_snapshot"](spark, sf_small)
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "partial_max_by" in plan
+    assert "WindowGroupLimit" in plan and "Partial" in plan
+    # only the selected columns (plus identity/order/op) are read
+    assert "begin_lat" not in plan.split("ReadSchema:")[1].split("\n")[0]
