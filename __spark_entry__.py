@@ -25,7 +25,7 @@ from rivulet.operators import etl, reports  # noqa: E402
 from rivulet.operators.ip_tally import tally_ranges  # noqa: E402
 from rivulet.operators.lake import COMMIT, LakeTable  # noqa: E402
 from rivulet.plans import catalog  # noqa: E402
-from rivulet.session import work_path  # noqa: E402
+from rivulet.session import ensure_work_dir, work_path  # noqa: E402
 from rivulet.sources import fixtures  # noqa: E402
 from rivulet.sources.delimited import read_delimited, write_delimited  # noqa: E402
 from rivulet.sources.json_lines import read_json_lines, write_json_lines  # noqa: E402
@@ -223,7 +223,7 @@ def _ride_catalog_table(spark, sf, register: str):
     # REBALANCE clusters rows by partition value (few files per partition);
     # AQE splits a hot day across tasks instead of sending it to one.
     rows.hint("rebalance", "date_str").write.mode("overwrite").partitionBy("date_str").parquet(location)
-    catalog.create_database(spark, _DB)
+    catalog.create_database(spark, _DB, f"{ensure_work_dir(spark)}/warehouse/{_DB}.db")
     table = f"{_DB}.rides_{uuid.uuid4().hex[:10]}"
     catalog.create_external_table(spark, table, rows.schema, "date_str", location)
     if register == "repair":

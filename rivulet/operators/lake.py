@@ -232,6 +232,12 @@ class LakeTable:
         df = self.log().select(F.col(COMMIT).alias("commit_time")).distinct().orderBy(F.desc("commit_time"))
         return df.limit(limit) if limit else df
 
+    def begin_instant(self, newest: int = 50) -> str | None:
+        """The oldest of the newest ``newest`` commits (one value to the
+        driver): the begin instant of an incremental read over them."""
+        row = self.commits(newest).agg(F.min("commit_time")).first()
+        return row[0] if row else None
+
     def count(self) -> int:
         return self.snapshot().count()
 

@@ -19,8 +19,11 @@ def _quote(value: str) -> str:
     return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def create_database(spark: SparkSession, db: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
+def create_database(spark: SparkSession, db: str, location: str | None = None) -> None:
+    """``CREATE DATABASE IF NOT EXISTS``; ``location`` keeps managed files in a
+    shared folder rather than the driver's working directory."""
+    where = f" LOCATION {_quote(location)}" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`{where}")
 
 
 def use_database(spark: SparkSession, db: str) -> None:
@@ -35,8 +38,14 @@ def create_external_table(
     location: str,
     fmt: str = "parquet",
 ) -> None:
-    """``CREATE TABLE IF NOT EXISTS t (...) USING fmt PARTITIONED BY (p) LOCATION``."""
-    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    """``CREATE TABLE IF NOT EXISTS t (...) USING fmt PARTITIONED BY (p) LOCATION``.
+
+    The partition column is added as text when ``schema`` does not carry it
+    (files in partition folders do not hold the partition value)."""
+    fields = list(schema.fields)
+    if partition_col not in schema.fieldNames():
+        fields.append(T.StructField(partition_col, T.StringType()))
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING {fmt} "
         f"PARTITIONED BY (`{partition_col}`) LOCATION {_quote(location)}"

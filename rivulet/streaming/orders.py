@@ -79,3 +79,16 @@ def await_all(spark: SparkSession, queries: list[StreamingQuery], timeout_s: flo
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))
     spark.streams.resetTerminated()
+
+
+def active_queries(spark: SparkSession) -> list[str]:
+    """Names (or ids) of the streaming queries running in this session."""
+    return [q.name or q.id for q in spark.streams.active]
+
+
+def await_any(spark: SparkSession, timeout_s: float | None = None) -> bool:
+    """Block until any streaming query of the session stops (or timeout)."""
+    if timeout_s is None:
+        spark.streams.awaitAnyTermination()
+        return True
+    return bool(spark.streams.awaitAnyTermination(timeout_s))

@@ -138,3 +138,12 @@ def test_as_of_prunes_commit_directories(spark, sf_small):
     t.write(fixtures.trip_log(spark, sf_small), commit_col="commit_time", delete_col="is_delete")
     plan = t.as_of("20240115000000")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(_commit_time" in plan and "20240115000000" in plan
+
+
+def test_begin_instant_is_oldest_of_newest(spark):
+    t = _table(spark, "mor")
+    for day in range(1, 6):
+        t.write(spark.createDataFrame([("a", "p", day, 1.0, "x")], SCHEMA), commit=f"2024010{day}000000")
+    assert t.begin_instant(3) == "20240103000000"
+    # exclusive begin: the begin commit's own rows are left out
+    assert _rows(t.incremental(t.begin_instant(3)), ("uuid", "ts")) == [("a", 5)]
