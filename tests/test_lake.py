@@ -147,3 +147,24 @@ def test_begin_instant_is_oldest_of_newest(spark):
     assert t.begin_instant(3) == "20240103000000"
     # exclusive begin: the begin commit's own rows are left out
     assert _rows(t.incremental(t.begin_instant(3)), ("uuid", "ts")) == [("a", 5)]
+
+
+def test_hot_key_holding_a_third_of_rows(spark, sf_small):
+    """One key with a third of all rows: same answer as the fold, and the plan
+    reduces it per task before the shuffle (no whole group in one task)."""
+    log = fixtures.trip_log(spark, sf_small).withColumn(
+        "uuid", F.when(F.col("event_id") % 3 == 0, F.lit("hot")).otherwise(F.col("uuid"))
+    ).withColumn("partitionpath", F.when(F.col("uuid") == "hot", F.lit("h")).otherwise(F.col("partitionpath")))
+    t = LakeTable(spark, work_path(spark, "hot"), key="uuid", precombine="ts",
+                  partition="partitionpath", kind="mor", tiebreak=("event_id",))
+    t.write(log, commit_col="commit_time", delete_col="is_delete")
+    snap = t.snapshot()
+    plan = snap._jdf.queryExecution().executedPlan().toString()
+    assert "Partial" in plan and "WindowGroupLimit" in plan
+    state = {}
+    for r in sorted(log.collect(), key=lambda r: (r["commit_time"], r["ts"], r["event_id"])):
+        if r["is_delete"]:
+            state.pop((r["partitionpath"], r["uuid"]), None)
+        else:
+            state[(r["partitionpath"], r["uuid"])] = r["event_id"]
+    assert _rows(snap, ("uuid", "event_id")) == sorted((k[1], v) for k, v in state.items())
