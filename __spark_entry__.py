@@ -21,7 +21,7 @@ if _HERE not in sys.path:
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from rivulet.operators import etl, reports  # noqa: E402
+from rivulet.operators import etl, reports, rides  # noqa: E402
 from rivulet.operators.ip_tally import tally_ranges  # noqa: E402
 from rivulet.operators.lake import COMMIT, LakeTable  # noqa: E402
 from rivulet.plans import catalog  # noqa: E402
@@ -119,6 +119,15 @@ def q_scan_json_lines(spark, sf):
     return read_json_lines(spark, path).select("uuid", "partitionpath", "driver", "rider", "fare", "event_id")
 
 
+def q_ride_store(spark, sf):
+    """Delimited file -> ETL -> keyed table (one version per order per day)."""
+    src = write_delimited(_rides(spark, sf), work_path(spark, "rides-tsv"))
+    table = rides.store_rides(spark, src, work_path(spark, "rides-table"), commit="20240101000000")
+    return table.snapshot().groupBy("partitionpath").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("product_id").alias("product_sum")
+    )
+
+
 # ----------------------------------------------------------------- lake table
 def q_lake_insert(spark, sf):
     t = _trip_table(spark, sf)
@@ -349,6 +358,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ride_sample": q_ride_sample,
     "ride_etl": q_ride_etl,
     "scan_delimited": q_scan_delimited,
+    "ride_store": q_ride_store,
     "scan_json_lines": q_scan_json_lines,
     "lake_insert": q_lake_insert,
     "lake_precombine": q_lake_precombine,
@@ -455,6 +465,12 @@ def oracle_sql() -> dict[str, str]:
                                    "CAST(epoch(departure_ts) AS BIGINT) AS ts FROM rides"),
         "scan_delimited": _with("rides", "SELECT order_id, product_id, type, traffic_type, pre_total_fee, "
                                          "start_dest_distance, departure_time, y AS year, m AS month, d AS day FROM rides"),
+        "ride_store": _with("rides", "SELECT partitionpath, count(*) AS n, CAST(sum(product_id) AS BIGINT) AS "
+                                     "product_sum FROM (SELECT *, row_number() OVER (PARTITION BY partitionpath, order_id "
+                                     "ORDER BY ts DESC, pre_total_fee DESC, start_dest_distance DESC, product_id DESC, "
+                                     "type DESC, traffic_type DESC, departure_time DESC) AS r FROM (SELECT *, "
+                                     f"{date_str} AS partitionpath, CAST(epoch(departure_ts) AS BIGINT) AS ts FROM rides)) "
+                                     "WHERE r = 1 GROUP BY partitionpath"),
         "scan_json_lines": _with("log", "SELECT uuid, partitionpath, driver, rider, fare, event_id FROM log"),
         "lake_insert": _with("log", "SELECT commit_time, count(*) AS n FROM (SELECT DISTINCT commit_time, "
                                     "partitionpath, uuid FROM log) GROUP BY commit_time"),

@@ -23,6 +23,8 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.adaptive.enabled", "true")
+        # list many partition folders with a few tasks, not one task per folder
+        .config("spark.sql.sources.parallelPartitionDiscovery.parallelism", "16")
     )
     if not os.environ.get("SPARK_CHECKPOINT_KEEP"):
         # tests set their own shared folder (the session's own one is left alone)

@@ -75,6 +75,7 @@ def main():
     names = sys.argv[2:]
     spark = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
              .config("spark.sql.session.timeZone", "UTC").config("spark.ui.enabled", "false")
+             .config("spark.sql.sources.parallelPartitionDiscovery.parallelism", "16")
              .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="rivulet-oracle-"))
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")

@@ -168,3 +168,14 @@ def test_hot_key_holding_a_third_of_rows(spark, sf_small):
         else:
             state[(r["partitionpath"], r["uuid"])] = r["event_id"]
     assert _rows(snap, ("uuid", "event_id")) == sorted((k[1], v) for k, v in state.items())
+
+
+def test_ride_store_keeps_one_version_per_order_and_day(spark, sf_small):
+    from rivulet.operators import rides
+    from rivulet.sources.delimited import write_delimited
+
+    src = write_delimited(fixtures.rides(spark, sf_small), work_path(spark, "tsv"))
+    table = rides.store_rides(spark, src, work_path(spark, "rides"))
+    snap = table.snapshot()
+    assert snap.count() == snap.select("partitionpath", "order_id").distinct().count()
+    assert rides.report_input(table).columns == list(rides.REPORT_COLUMNS)
