@@ -61,6 +61,9 @@ IDENTITY = (PART, KEY)
 # Above this many touched partitions a copy-on-write refresh restricts
 # ``current/`` with a semi join instead of a literal IN-list filter.
 MAX_PRUNE_LIST = 10000
+# A copy-on-write batch with at most this many rows has its identities
+# broadcast (two short strings each: well under the broadcast size limit).
+MAX_BROADCAST_KEYS = 2_000_000
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
@@ -291,26 +294,49 @@ class LakeTable:
 
     def _refresh_current(self, batch: DataFrame) -> None:
         """Copy-on-write: rewrite the touched partitions of ``current/``."""
+        (
+            self._current_state(batch)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(PART)
+            .parquet(self._current_dir())
+        )
+
+    def _current_state(self, batch: DataFrame) -> DataFrame:
+        """New rows of the touched partitions of ``current/``.
+
+        ``batch`` is the staged, precombined commit(s).  When its identity
+        set is small enough to broadcast (bounded by the staged row count,
+        checked before the hint), untouched rows of ``current`` pass through
+        a broadcast anti join without any shuffle, and only the contested
+        identities (current row + batch rows) are reduced.  Beyond the bound,
+        ``current[touched] + batch`` is reduced with one shuffle.
+        """
         cur_dir = self._current_dir()
-        touched = batch.select(PART).distinct()
-        if path_exists(self.spark, cur_dir):
-            current = self.read_optimized()
+        if not path_exists(self.spark, cur_dir):
+            state = latest_per_key(batch, list(IDENTITY), self._order()).hint("rebalance", PART)
+        else:
+            touched = batch.select(PART).distinct()
             parts = [r[0] for r in touched.limit(MAX_PRUNE_LIST + 1).collect()]
+            current = self.read_optimized()
             if len(parts) <= MAX_PRUNE_LIST:
                 base = current.where(F.col(PART).isin(parts))  # directory pruning
             else:
                 base = current.join(touched, PART, "left_semi")
-            merged = base.unionByName(batch)
-        else:
-            merged = batch
-        state = latest_per_key(merged, list(IDENTITY), self._order())
-        (
-            state.hint("rebalance", PART)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(PART)
-            .parquet(cur_dir)
-        )
+            n_rows = batch.count()  # staged Parquet: answered from footers
+            if n_rows <= MAX_BROADCAST_KEYS:
+                ids = F.broadcast(batch.select(*IDENTITY).distinct())
+                kept = base.join(ids, list(IDENTITY), "left_anti")
+                contested = base.join(ids, list(IDENTITY), "left_semi").unionByName(batch)
+                # untouched rows keep their file layout (no shuffle); only the
+                # small reduced set is clustered by partition before writing
+                changed = latest_per_key(contested, list(IDENTITY), self._order()).hint("rebalance", PART)
+                state = kept.unionByName(changed)
+            else:
+                state = latest_per_key(base.unionByName(batch), list(IDENTITY), self._order()).hint(
+                    "rebalance", PART
+                )
+        return state
 
     def write(
         self,
