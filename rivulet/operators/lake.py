@@ -145,31 +145,43 @@ class LakeTable:
     def _current_dir(self, gen: int | None = None) -> str:
         return f"{self._root(gen)}/current"
 
+    def _read_text(self, path: str) -> str | None:
+        """One line of table metadata (schema, compaction instant), or None."""
+        if not path_exists(self.spark, path):
+            return None
+        fs, hp = hadoop_fs(self.spark, path)
+        jvm = self.spark.sparkContext._jvm
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(hp), "UTF-8"))
+        try:
+            return reader.readLine()
+        finally:
+            reader.close()
+
+    def _write_text(self, path: str, text: str) -> None:
+        fs, hp = hadoop_fs(self.spark, path)
+        out = fs.create(hp, True)
+        try:
+            out.write(bytearray(text.encode("utf-8")))
+        finally:
+            out.close()
+
     @property
     def data_schema(self) -> T.StructType | None:
         """Schema of the stored rows (data columns + ``_record_key``, ``_op``)."""
         if self._schema is None:
-            p = f"{self.path}/_schema.json"
-            if path_exists(self.spark, p):
-                fs, hp = hadoop_fs(self.spark, p)
-                jvm = self.spark.sparkContext._jvm
-                reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(hp), "UTF-8"))
-                try:
-                    text = reader.readLine()
-                finally:
-                    reader.close()
+            text = self._read_text(f"{self.path}/_schema.json")
+            if text is not None:
                 self._schema = T.StructType.fromJson(json.loads(text))
         return self._schema
 
     def _save_schema(self, schema: T.StructType) -> None:
-        fs, hp = hadoop_fs(self.spark, f"{self.path}/_schema.json")
-        out = fs.create(hp, True)
-        try:
-            out.write(bytearray(json.dumps(schema.jsonValue()).encode("utf-8")))
-        finally:
-            out.close()
+        self._write_text(f"{self.path}/_schema.json", json.dumps(schema.jsonValue()))
         self._schema = schema
 
+    def _compacted_at(self) -> str | None:
+        """Instant up to which ``current/`` holds the reduced log (MOR)."""
+        return self._read_text(f"{self._root()}/_compacted")
+
     def _read_schema(self, with_commit: bool) -> T.StructType:
         fields = list(self.data_schema.fields) + [T.StructField(PART, T.StringType())]
         if with_commit:
@@ -203,10 +215,26 @@ class LakeTable:
         return df.drop(OP)
 
     def snapshot(self) -> DataFrame:
-        """Current state of the table."""
+        """Current state of the table.
+
+        Copy-on-write: ``current/`` as is.  Merge-on-read: the log reduced at
+        read time -- after a ``compact()``, only the commits newer than the
+        compaction are merged into ``current/`` (untouched rows unshuffled).
+        """
         if self.kind == "cow":
             return self._public(self.read_optimized().where(F.col(OP) != "D"))
-        return self._public(self._state(self.log()))
+        return self._public(self._reduced(None).where(F.col(OP) != "D"))
+
+    def _reduced(self, upto: str | None) -> DataFrame:
+        """Latest row per identity (tombstones kept) among commits <= ``upto``."""
+        log = self.log()
+        if upto is not None:
+            log = log.where(F.col(COMMIT) <= F.lit(upto))
+        base_at = self._compacted_at() if self.kind == "mor" else None
+        if base_at is None or (upto is not None and upto < base_at):
+            return latest_per_key(log, list(IDENTITY), self._order())
+        delta = log.where(F.col(COMMIT) > F.lit(base_at))
+        return self._merge_state(self.read_optimized(), delta, rebalance=False)
 
     def read_optimized(self) -> DataFrame:
         """The materialised ``current/`` (copy-on-write state, or the last
@@ -221,7 +249,7 @@ class LakeTable:
     def as_of(self, instant: str) -> DataFrame:
         """State as of ``instant`` (inclusive); compact or dashed spelling."""
         t = normalize_instant(instant)
-        return self._public(self._state(self.log().where(F.col(COMMIT) <= F.lit(t))))
+        return self._public(self._reduced(t).where(F.col(OP) != "D"))
 
     def incremental(self, begin: str, end: str | None = None) -> DataFrame:
         """Latest row per identity among commits in ``(begin, end]``."""
@@ -303,40 +331,39 @@ class LakeTable:
         )
 
     def _current_state(self, batch: DataFrame) -> DataFrame:
-        """New rows of the touched partitions of ``current/``.
-
-        ``batch`` is the staged, precombined commit(s).  When its identity
-        set is small enough to broadcast (bounded by the staged row count,
-        checked before the hint), untouched rows of ``current`` pass through
-        a broadcast anti join without any shuffle, and only the contested
-        identities (current row + batch rows) are reduced.  Beyond the bound,
-        ``current[touched] + batch`` is reduced with one shuffle.
-        """
-        cur_dir = self._current_dir()
-        if not path_exists(self.spark, cur_dir):
-            state = latest_per_key(batch, list(IDENTITY), self._order()).hint("rebalance", PART)
+        """New rows of the touched partitions of ``current/`` after ``batch``."""
+        if not path_exists(self.spark, self._current_dir()):
+            return latest_per_key(batch, list(IDENTITY), self._order()).hint("rebalance", PART)
+        touched = batch.select(PART).distinct()
+        parts = [r[0] for r in touched.limit(MAX_PRUNE_LIST + 1).collect()]
+        current = self.read_optimized()
+        if len(parts) <= MAX_PRUNE_LIST:
+            base = current.where(F.col(PART).isin(parts))  # directory pruning
         else:
-            touched = batch.select(PART).distinct()
-            parts = [r[0] for r in touched.limit(MAX_PRUNE_LIST + 1).collect()]
-            current = self.read_optimized()
-            if len(parts) <= MAX_PRUNE_LIST:
-                base = current.where(F.col(PART).isin(parts))  # directory pruning
-            else:
-                base = current.join(touched, PART, "left_semi")
-            n_rows = batch.count()  # staged Parquet: answered from footers
-            if n_rows <= MAX_BROADCAST_KEYS:
-                ids = F.broadcast(batch.select(*IDENTITY).distinct())
-                kept = base.join(ids, list(IDENTITY), "left_anti")
-                contested = base.join(ids, list(IDENTITY), "left_semi").unionByName(batch)
-                # untouched rows keep their file layout (no shuffle); only the
-                # small reduced set is clustered by partition before writing
-                changed = latest_per_key(contested, list(IDENTITY), self._order()).hint("rebalance", PART)
-                state = kept.unionByName(changed)
-            else:
-                state = latest_per_key(base.unionByName(batch), list(IDENTITY), self._order()).hint(
-                    "rebalance", PART
-                )
-        return state
+            base = current.join(touched, PART, "left_semi")
+        return self._merge_state(base, batch, rebalance=True)
+
+    def _merge_state(self, base: DataFrame, delta: DataFrame, rebalance: bool) -> DataFrame:
+        """Reduced state ``base`` (one row per identity) updated by ``delta``.
+
+        When ``delta`` is small enough to broadcast its identities (its row
+        count, checked before the hint, bounds them), rows of ``base`` whose
+        identity is not in ``delta`` pass through a broadcast anti join
+        without any shuffle, and only the contested identities (their base
+        row plus the delta rows) are reduced.  Beyond the bound, ``base +
+        delta`` is reduced with one shuffle.
+        """
+        order = self._order()
+        if delta.count() <= MAX_BROADCAST_KEYS:  # Parquet row counts: footers only
+            ids = F.broadcast(delta.select(*IDENTITY).distinct())
+            kept = base.join(ids, list(IDENTITY), "left_anti")
+            contested = base.join(ids, list(IDENTITY), "left_semi").unionByName(delta)
+            changed = latest_per_key(contested, list(IDENTITY), order)
+            # untouched rows keep their file layout; only the small reduced
+            # set is clustered by partition before a write
+            return kept.unionByName(changed.hint("rebalance", PART) if rebalance else changed)
+        state = latest_per_key(base.unionByName(delta), list(IDENTITY), order)
+        return state.hint("rebalance", PART) if rebalance else state
 
     def write(
         self,
@@ -398,17 +425,31 @@ class LakeTable:
         self._schema = fresh._schema
         return c
 
-    def compact(self) -> None:
-        """Materialise the reduced state into ``current/`` (tombstones kept so
-        a fully deleted partition is still rewritten)."""
-        state = latest_per_key(self.log(), list(IDENTITY), self._order())
+    def compact(self) -> str | None:
+        """Materialise the reduced state into ``current/`` and record the
+        instant it covers.  A later compaction (and a merge-on-read snapshot)
+        merges only the commits after that instant.  Tombstones are kept so a
+        fully deleted partition is still rewritten.  Returns the instant."""
+        if self.data_schema is None:
+            raise FileNotFoundError(f"no table at {self.path}")
+        newest = self.commits(1).first()
+        if newest is None:
+            return None
+        upto = newest[0]
+        prev = self._compacted_at()
+        log = self.log().where(F.col(COMMIT) <= F.lit(upto))
+        if prev is None or not path_exists(self.spark, self._current_dir()):
+            state = latest_per_key(log, list(IDENTITY), self._order()).hint("rebalance", PART)
+        else:
+            state = self._current_state(log.where(F.col(COMMIT) > F.lit(prev)))
         (
-            state.hint("rebalance", PART)
-            .write.mode("overwrite")
+            state.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(PART)
             .parquet(self._current_dir())
         )
+        self._write_text(f"{self._root()}/_compacted", upto)
+        return upto
 
     # ------------------------------------------------------------ streaming
     def batch_writer(self):

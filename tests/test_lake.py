@@ -179,3 +179,25 @@ def test_ride_store_keeps_one_version_per_order_and_day(spark, sf_small):
     snap = table.snapshot()
     assert snap.count() == snap.select("partitionpath", "order_id").distinct().count()
     assert rides.report_input(table).columns == list(rides.REPORT_COLUMNS)
+
+
+def test_mor_reads_after_compaction_match_full_reduce(spark, sf_small):
+    log = fixtures.trip_log(spark, sf_small)
+    t = LakeTable(spark, work_path(spark, "mor"), key="uuid", precombine="ts",
+                  partition="partitionpath", kind="mor", tiebreak=("event_id",))
+    t.write(log.where(F.col("commit_time") <= "20240110000000"), commit_col="commit_time", delete_col="is_delete")
+    assert t.compact() == "20240110000000"
+    t.write(log.where((F.col("commit_time") > "20240110000000") & (F.col("commit_time") <= "20240120000000")),
+            commit_col="commit_time", delete_col="is_delete")
+    assert t.compact() == "20240120000000"
+    t.write(log.where(F.col("commit_time") > "20240120000000"), commit_col="commit_time", delete_col="is_delete")
+
+    full = LakeTable(spark, work_path(spark, "full"), key="uuid", precombine="ts",
+                     partition="partitionpath", kind="mor", tiebreak=("event_id",))
+    full.write(log, commit_col="commit_time", delete_col="is_delete")
+    cols = ("uuid", "event_id", "_commit_time")
+    assert _rows(t.snapshot(), cols) == _rows(full.snapshot(), cols)
+    for instant in ("20240105000000", "20240120000000", "20240125000000"):
+        assert _rows(t.as_of(instant), cols) == _rows(full.as_of(instant), cols)
+    plan = t.snapshot()._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" in plan  # compacted rows pass through the broadcast anti join
