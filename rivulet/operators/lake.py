@@ -6,12 +6,13 @@ A table is identified by ``(partition, record key)``.  Every write is a
 *commit* (an instant string such as ``20211225152016``) and appends rows to a
 change log::
 
-    <path>/v<gen>/log/_partition_path=<p>/_commit_time=<c>/part-*.parquet
-    <path>/v<gen>/current/_partition_path=<p>/part-*.parquet   (copy-on-write)
+    <path>/v<gen>/log/_commit_time=<c>/part-*.parquet          (change log)
+    <path>/v<gen>/current/_partition_path=<p>/part-*.parquet   (reduced state)
     <path>/_schema.json                                         (data schema)
 
-Log rows carry the data columns plus ``_record_key`` and ``_op`` (``U``
-upsert, ``D`` delete tombstone).  The state of the table at any instant is
+Log rows carry the data columns plus ``_partition_path``, ``_record_key`` and
+``_op`` (``U`` upsert, ``D`` delete tombstone), sorted by identity within a
+commit.  A commit instant identifies one write.  The state of the table at any instant is
 the *latest row per identity* among the commits up to that instant, with
 tombstones removed.  "Latest" is a total order: the commit instant, then the
 precombine field, then declared tie-break columns (``merge="commit"``); or the
@@ -27,9 +28,10 @@ Spark mapping
   caller selects.
 * As-of / incremental reads are filters on the ``_commit_time`` directory
   column -> partition pruning, only the needed commits are listed and read.
-* Writing a commit is a dynamic partition overwrite of exactly the
-  ``(partition, commit)`` directories it produces, so replaying the same
-  commit (a retried micro-batch) replaces instead of duplicating.
+* Writing a commit is a dynamic partition overwrite of exactly the commit
+  folders it produces, so replaying the same commit (a retried micro-batch)
+  replaces instead of duplicating; a commit gets a few large files however
+  many table partitions it touches.
 * Copy-on-write keeps ``current/`` = reduced state, rewriting only the
   partitions a commit touches (read ``current[p] + batch[p]``, reduce,
   dynamic-overwrite ``p``).  Merge-on-read reduces the log at read time;
@@ -310,13 +312,16 @@ class LakeTable:
         return rows.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields], PART, COMMIT)
 
     def _append(self, rows: DataFrame) -> None:
-        # Cluster rows by target directory so each (partition, commit) gets a
-        # few files, not one per shuffle task; AQE splits a hot directory.
+        # One folder per commit.  REBALANCE clusters rows by commit so a commit
+        # gets a few files, not one per shuffle task (AQE splits a large one);
+        # rows are sorted by identity inside each file, so Parquet row-group
+        # statistics skip files and row groups on partition/key filters.
         (
-            rows.hint("rebalance", PART, COMMIT)
+            rows.hint("rebalance", COMMIT)
+            .sortWithinPartitions(COMMIT, PART, KEY)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(PART, COMMIT)
+            .partitionBy(COMMIT)
             .parquet(self._log_dir())
         )
 
