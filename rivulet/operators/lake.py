@@ -203,10 +203,22 @@ class LakeTable:
             return self._empty()
         return self.spark.read.schema(self._read_schema(True)).option("basePath", d).parquet(d)
 
+    def _tiebreak(self) -> list[str]:
+        """Declared tie-break columns; by default every other sortable data
+        column, so that equal (commit, precombine) pairs still give one
+        deterministic winner."""
+        if self.tiebreak:
+            return list(self.tiebreak)
+        sortable = (T.NumericType, T.StringType, T.BooleanType, T.DateType, T.TimestampType,
+                    T.TimestampNTZType, T.BinaryType)
+        skip = {self.key, self.partition, self.precombine, KEY, OP}
+        return [f.name for f in (self.data_schema or T.StructType()).fields
+                if f.name not in skip and isinstance(f.dataType, sortable)]
+
     def _order(self) -> list[str]:
         if self.merge == "commit":
-            return [COMMIT, self.precombine, *self.tiebreak]
-        return [self.precombine, COMMIT, *self.tiebreak]
+            return [COMMIT, self.precombine, *self._tiebreak()]
+        return [self.precombine, COMMIT, *self._tiebreak()]
 
     def _state(self, rows: DataFrame) -> DataFrame:
         """Latest row per identity, tombstones removed, meta columns kept."""
@@ -289,9 +301,15 @@ class LakeTable:
             commit_value = F.col(commit_col).cast("string")
         op_value = F.when(F.col(delete_col), F.lit("D")).otherwise(F.lit("U")) if delete_col else F.lit(op)
         control = {c for c in (commit_col, delete_col) if c}
+        key = F.col(self.key).cast("string")
+        # a record without a key cannot be identified: fail the write instead
+        # of silently merging all such rows into one identity
+        key = F.when(key.isNotNull(), key).otherwise(
+            F.raise_error(F.lit(f"NULL record key in column {self.key}"))
+        )
         return df.select(
             *[c for c in df.columns if c not in control],
-            F.col(self.key).cast("string").alias(KEY),
+            key.alias(KEY),
             F.col(self.partition).cast("string").alias(PART),
             commit_value.alias(COMMIT),
             op_value.alias(OP),
@@ -384,7 +402,7 @@ class LakeTable:
         value.  Returns the commit instant (None for a change feed)."""
         instant = None if commit_col else (normalize_instant(commit) if commit else now_instant())
         rows = self._conform(self._stamp(df, instant, commit_col, delete_col, op))
-        combined = latest_per_key(rows, [PART, KEY, COMMIT], [self.precombine, *self.tiebreak])
+        combined = latest_per_key(rows, [PART, KEY, COMMIT], [self.precombine, *self._tiebreak()])
         combined = combined.select(*rows.columns)
         staged = None
         if self.kind == "cow":

@@ -52,17 +52,21 @@ def create_external_table(
     )
 
 
+# Partitions registered per ``ALTER TABLE ... ADD`` statement.
+ADD_PARTITIONS_CHUNK = 1000
+
+
 def add_partitions(spark: SparkSession, table: str, partition_col: str, locations: Mapping[str, str]) -> int:
     """Register partitions with explicit locations (any directory layout),
-    idempotently, in a single ``ALTER TABLE ... ADD IF NOT EXISTS`` statement."""
-    if not locations:
-        return 0
-    specs = " ".join(
-        f"PARTITION (`{partition_col}` = {_quote(v)}) LOCATION {_quote(loc)}"
-        for v, loc in sorted(locations.items())
-    )
-    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {specs}")
-    return len(locations)
+    idempotently (``ADD IF NOT EXISTS``), many partitions per statement."""
+    items = sorted(locations.items())
+    for i in range(0, len(items), ADD_PARTITIONS_CHUNK):
+        specs = " ".join(
+            f"PARTITION (`{partition_col}` = {_quote(v)}) LOCATION {_quote(loc)}"
+            for v, loc in items[i:i + ADD_PARTITIONS_CHUNK]
+        )
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {specs}")
+    return len(items)
 
 
 def discover_partition_dirs(spark: SparkSession, location: str, partition_col: str | None = None) -> dict[str, str]:

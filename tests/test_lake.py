@@ -201,3 +201,17 @@ def test_mor_reads_after_compaction_match_full_reduce(spark, sf_small):
         assert _rows(t.as_of(instant), cols) == _rows(full.as_of(instant), cols)
     plan = t.snapshot()._jdf.queryExecution().executedPlan().toString()
     assert "LeftAnti" in plan  # compacted rows pass through the broadcast anti join
+
+
+def test_null_key_fails_the_write(spark):
+    t = _table(spark, "mor")
+    with pytest.raises(Exception, match="NULL record key"):
+        t.write(spark.createDataFrame([(None, "p", 1, 1.0, "x")], SCHEMA), commit="20240101000000")
+
+
+def test_default_tiebreak_is_deterministic(spark):
+    t = LakeTable(spark, work_path(spark, "tb"), key="uuid", precombine="ts", partition="partitionpath", kind="mor")
+    rows = [("a", "p", 1, 1.0, "x"), ("a", "p", 1, 3.0, "a"), ("a", "p", 1, 2.0, "z")]
+    t.write(spark.createDataFrame(rows, SCHEMA), commit="20240101000000")
+    # equal commit and precombine: the greatest remaining columns (fare first) win
+    assert _rows(t.snapshot()) == [("a", "p", 1, 3.0, "a")]
