@@ -60,6 +60,9 @@ OP = "_op"
 META = (COMMIT, PART, KEY, OP)
 IDENTITY = (PART, KEY)
 
+# Partition path of rows whose partition field is NULL or empty.
+DEFAULT_PARTITION = "default"
+
 # Above this many touched partitions a copy-on-write refresh restricts
 # ``current/`` with a semi join instead of a literal IN-list filter.
 MAX_PRUNE_LIST = 10000
@@ -310,11 +313,17 @@ class LakeTable:
         return df.select(
             *[c for c in df.columns if c not in control],
             key.alias(KEY),
-            F.col(self.partition).cast("string").alias(PART),
+            self._partition_value().alias(PART),
             commit_value.alias(COMMIT),
             op_value.alias(OP),
         )
 
+    def _partition_value(self) -> Column:
+        """Partition path as text; NULL or empty becomes ``default`` so that an
+        identity never contains NULL (folder pruning and joins stay exact)."""
+        p = F.col(self.partition).cast("string")
+        return F.when(p.isNull() | (p == ""), F.lit(DEFAULT_PARTITION)).otherwise(p)
+
     def _conform(self, rows: DataFrame) -> DataFrame:
         """Check/record the stored schema and order columns to match it."""
         stored = [c for c in rows.columns if c not in (PART, COMMIT)]

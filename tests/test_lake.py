@@ -215,3 +215,12 @@ def test_default_tiebreak_is_deterministic(spark):
     t.write(spark.createDataFrame(rows, SCHEMA), commit="20240101000000")
     # equal commit and precombine: the greatest remaining columns (fare first) win
     assert _rows(t.snapshot()) == [("a", "p", 1, 3.0, "a")]
+
+
+def test_null_partition_goes_to_default_and_merges(spark):
+    t = _table(spark, "cow")
+    t.write(spark.createDataFrame([("a", None, 1, 1.0, "x"), ("b", None, 1, 2.0, "x"), ("c", "", 1, 3.0, "x")],
+                                  SCHEMA), commit="20240101000000")
+    t.write(spark.createDataFrame([("a", None, 2, 9.0, "y")], SCHEMA), commit="20240102000000")
+    got = sorted(map(tuple, t.snapshot().select("uuid", "_partition_path", "fare").collect()))
+    assert got == [("a", "default", 9.0), ("b", "default", 2.0), ("c", "default", 3.0)]
