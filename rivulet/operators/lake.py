@@ -67,8 +67,9 @@ DEFAULT_PARTITION = "default"
 # ``current/`` with a semi join instead of a literal IN-list filter.
 MAX_PRUNE_LIST = 10000
 # A copy-on-write batch with at most this many rows has its identities
-# broadcast (two short strings each: well under the broadcast size limit).
-MAX_BROADCAST_KEYS = 2_000_000
+# broadcast (two short strings each: tens of MB at the bound, since a
+# broadcast is gathered on the driver before it is shipped to executors).
+MAX_BROADCAST_KEYS = 500_000
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
