@@ -224,3 +224,23 @@ def test_null_partition_goes_to_default_and_merges(spark):
     t.write(spark.createDataFrame([("a", None, 2, 9.0, "y")], SCHEMA), commit="20240102000000")
     got = sorted(map(tuple, t.snapshot().select("uuid", "_partition_path", "fare").collect()))
     assert got == [("a", "default", 9.0), ("b", "default", 2.0), ("c", "default", 3.0)]
+
+
+def test_merge_paths_agree_beyond_broadcast_bound(spark, sf_small, monkeypatch):
+    """The shuffle merge used beyond the broadcast bound gives the same state."""
+    import rivulet.operators.lake as lake
+
+    log = fixtures.trip_log(spark, sf_small)
+    early, late = log.where(F.col("commit_time") <= "20240115000000"), log.where(F.col("commit_time") > "20240115000000")
+    results = []
+    for bound in (lake.MAX_BROADCAST_KEYS, 0):
+        monkeypatch.setattr(lake, "MAX_BROADCAST_KEYS", bound)
+        t = LakeTable(spark, work_path(spark, "b"), key="uuid", precombine="ts",
+                      partition="partitionpath", kind="cow", tiebreak=("event_id",))
+        t.write(early, commit_col="commit_time", delete_col="is_delete")
+        t.write(late, commit_col="commit_time", delete_col="is_delete")
+        results.append(_rows(t.snapshot(), ("uuid", "event_id", "_commit_time")))
+        delta = t.log().where(F.col("_commit_time") > "20240125000000")
+        plan = t._current_state(delta)._jdf.queryExecution().executedPlan().toString()
+        assert ("LeftAnti" in plan) == (bound > 0)
+    assert results[0] == results[1]
