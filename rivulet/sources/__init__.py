@@ -6,5 +6,6 @@ from rivulet.sources.messages import (  # noqa: F401
     encode_orders,
     read_message_stream,
     write_message_files,
+    write_messages,
 )
 from rivulet.sources.tables import TABLES, load  # noqa: F401

@@ -74,6 +74,23 @@ def write_message_files(messages: DataFrame, path: str, files: int = 8) -> str:
     return path
 
 
+def write_messages(
+    messages: DataFrame,
+    path: str | None = None,
+    kafka_options: dict[str, str] | None = None,
+    files: int = 8,
+) -> None:
+    """Message sink: ``format('kafka')`` with ``kafka_options``
+    (``kafka.bootstrap.servers``, ``topic``) when a broker is deployed,
+    otherwise message-shaped Parquet files under ``path``."""
+    if kafka_options is not None:
+        messages.select("key", "value").write.format("kafka").options(**kafka_options).save()
+        return
+    if path is None:
+        raise ValueError("path or kafka_options is required")
+    write_message_files(messages, path, files)
+
+
 def read_message_stream(
     spark: SparkSession,
     path: str | None = None,
