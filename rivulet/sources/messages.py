@@ -67,10 +67,12 @@ def encode_orders(
     )
 
 
-def write_message_files(messages: DataFrame, path: str, files: int = 8) -> str:
-    """Keep messages as ``files`` Parquet files, split by offset range, so a
-    file stream replays them in several micro-batches."""
-    messages.repartitionByRange(files, "offset").write.mode("overwrite").parquet(path)
+def write_message_files(messages: DataFrame, path: str, files: int | None = 8) -> str:
+    """Keep messages as Parquet files.  ``files=n`` splits them into ``n``
+    offset ranges (a file stream then replays them as ordered micro-batches);
+    ``files=None`` keeps the input's parallelism (one file per task)."""
+    out = messages.repartitionByRange(files, "offset") if files else messages
+    out.write.mode("overwrite").parquet(path)
     return path
 
 
@@ -78,7 +80,7 @@ def write_messages(
     messages: DataFrame,
     path: str | None = None,
     kafka_options: dict[str, str] | None = None,
-    files: int = 8,
+    files: int | None = None,
 ) -> None:
     """Message sink: ``format('kafka')`` with ``kafka_options``
     (``kafka.bootstrap.servers``, ``topic``) when a broker is deployed,
