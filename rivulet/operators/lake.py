@@ -485,12 +485,16 @@ class LakeTable:
         return upto
 
     # ------------------------------------------------------------ streaming
-    def batch_writer(self):
+    def batch_writer(self, compact_every: int | None = None):
         """``foreachBatch`` callback: each micro-batch is one commit whose
-        instant is derived from the batch id, so a replay is idempotent."""
+        instant is derived from the batch id, so a replay is idempotent.
+        ``compact_every=n`` compacts a merge-on-read table after every n-th
+        batch (inline compaction), which bounds what a snapshot must merge."""
 
         def _write(batch: DataFrame, batch_id: int) -> None:
             self.write(batch, commit=batch_instant(batch_id))
+            if compact_every and self.kind == "mor" and (batch_id + 1) % compact_every == 0:
+                self.compact()
 
         return _write
 

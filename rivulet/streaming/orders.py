@@ -37,6 +37,7 @@ def start_upsert(
     checkpoint: str,
     query_name: str = "order-upsert",
     trigger: str | None = None,
+    compact_every: int | None = None,
 ) -> StreamingQuery:
     """Append-mode stream whose every micro-batch is upserted into ``table``
     as one commit (instant = batch id, so a replayed batch is rewritten,
@@ -45,7 +46,7 @@ def start_upsert(
         rows.writeStream.outputMode("append")
         .queryName(query_name)
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(table.batch_writer())
+        .foreachBatch(table.batch_writer(compact_every))
     )
     return _trigger(writer, trigger).start()
 

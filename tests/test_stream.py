@@ -49,3 +49,17 @@ def test_table_tail_reads_every_commit(spark, sf_small):
     want = t.log().groupBy("_commit_time").count()
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
     assert spark.read.parquet(sink).where(F.col("_op") == "D").count() > 0
+
+
+def test_inline_compaction_keeps_the_answer(spark, sf_small):
+    msgs = encode_orders(fixtures.order_msgs(spark, sf_small))
+    src = write_message_files(msgs, work_path(spark, "msgs"), files=4)
+    plain, compacted = _orders_table(spark), _orders_table(spark)
+    await_all(spark, [start_upsert(order_stream(spark, src, 1), plain, work_path(spark, "ckpt"),
+                                   query_name="t_plain")])
+    await_all(spark, [start_upsert(order_stream(spark, src, 1), compacted, work_path(spark, "ckpt"),
+                                   query_name="t_compacted", compact_every=2)])
+    assert compacted._compacted_at() == "00000000000000003"
+    cols = ("user_id", "day", "order_id")
+    want = sorted(map(tuple, plain.snapshot().select(*cols).collect()))
+    assert sorted(map(tuple, compacted.snapshot().select(*cols).collect())) == want
