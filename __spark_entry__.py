@@ -171,7 +171,7 @@ def q_lake_partition_counts(spark, sf):
 
 def q_lake_delete(spark, sf):
     t = _trip_table(spark, sf, kind="cow")
-    before_commit = t.commits(1).first()[0]
+    before_commit = t.commit_instants()[-1]
     victims = reports.top_n(t.snapshot(), [F.col("uuid")], 2).select("uuid", "partitionpath")
     t.delete(victims, commit=DELETE_COMMIT)
     before = t.as_of(before_commit).select(F.lit(1).alias("b"), F.lit(0).alias("a"))
@@ -183,7 +183,7 @@ def q_lake_delete(spark, sf):
 
 def q_lake_overwrite(spark, sf):
     t = _trip_table(spark, sf)
-    last = t.commits(1).first()[0]
+    last = t.commit_instants()[-1]
     batch = fixtures.trip_log(spark, sf).where(F.col("commit_time") == last).drop("commit_time", "is_delete")
     t.overwrite(batch, commit=last)
     return _with_commit(t.snapshot()).select("uuid", "event_id", "commit_time")

@@ -276,16 +276,27 @@ class LakeTable:
             cond = cond & (F.col(COMMIT) <= F.lit(normalize_instant(end)))
         return self._public(self._state(self.log().where(cond)))
 
+    def commit_instants(self) -> list[str]:
+        """All commit instants, oldest first, from the log's folder names (a
+        one-level listing: its cost follows the number of commits, not the
+        number of files or rows)."""
+        prefix = f"{COMMIT}="
+        return sorted(
+            n[len(prefix):] for n in list_dirs(self.spark, self._log_dir()) if n.startswith(prefix)
+        )
+
     def commits(self, limit: int | None = 50) -> DataFrame:
-        """Commit instants, newest first (a distinct over a directory column)."""
-        df = self.log().select(F.col(COMMIT).alias("commit_time")).distinct().orderBy(F.desc("commit_time"))
-        return df.limit(limit) if limit else df
+        """Commit instants, newest first, as a one-column DataFrame."""
+        instants = self.commit_instants()[::-1]
+        if limit:
+            instants = instants[:limit]
+        return self.spark.createDataFrame([(c,) for c in instants], "commit_time string")
 
     def begin_instant(self, newest: int = 50) -> str | None:
-        """The oldest of the newest ``newest`` commits (one value to the
-        driver): the begin instant of an incremental read over them."""
-        row = self.commits(newest).agg(F.min("commit_time")).first()
-        return row[0] if row else None
+        """The oldest of the newest ``newest`` commits: the begin instant of an
+        incremental read over them."""
+        instants = self.commit_instants()[-newest:]
+        return instants[0] if instants else None
 
     def count(self) -> int:
         return self.snapshot().count()
@@ -465,10 +476,10 @@ class LakeTable:
         fully deleted partition is still rewritten.  Returns the instant."""
         if self.data_schema is None:
             raise FileNotFoundError(f"no table at {self.path}")
-        newest = self.commits(1).first()
-        if newest is None:
+        instants = self.commit_instants()
+        if not instants:
             return None
-        upto = newest[0]
+        upto = instants[-1]
         prev = self._compacted_at()
         log = self.log().where(F.col(COMMIT) <= F.lit(upto))
         if prev is None or not path_exists(self.spark, self._current_dir()):
