@@ -15,16 +15,27 @@ import uuid
 from pyspark.sql import SparkSession
 
 _CONF_KEY = "spark.checkpoint.dir"
+# Folders chosen for applications whose session names none (by application id).
+_OWN_ROOTS: dict[str, str] = {}
 
 
 def ensure_work_dir(spark: SparkSession) -> str:
-    """Return the shared work folder, setting one only when the session has none."""
+    """Return the shared work folder.
+
+    ``spark.checkpoint.dir`` when the session sets it; else the context's
+    checkpoint folder when one was set in code; else (tests, a laptop) a
+    folder of our own, chosen once per application and registered as the
+    checkpoint folder.  ``spark.checkpoint.dir`` itself cannot be changed on
+    a running session, so it is only ever read.
+    """
     root = spark.conf.get(_CONF_KEY, None)
+    sc = spark.sparkContext
     if not root:
-        root = tempfile.mkdtemp(prefix="rivulet-")
-        spark.conf.set(_CONF_KEY, root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root.rstrip("/") + "/rdd")
+        app = sc.applicationId
+        root = _OWN_ROOTS.get(app) or sc.getCheckpointDir() or tempfile.mkdtemp(prefix="rivulet-")
+        _OWN_ROOTS[app] = root
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(root.rstrip("/") + "/rdd")
     return root.rstrip("/")
 
 
