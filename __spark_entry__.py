@@ -315,10 +315,10 @@ def q_stream_json_tolerant(spark, sf):
 def q_stream_upsert_mor(spark, sf):
     src = _message_files(spark, sf)
     table = _order_table(spark, "orders-by-user", "user_id", "precombine", tiebreak=("order_id",))
-    # inline compaction every 3 micro-batches: the final snapshot merges the
+    # inline compaction after the 5th of 8 micro-batches: the final snapshot merges the
     # compacted state with the batches after the last compaction
     q = start_upsert(order_stream(spark, src, 1), table, work_path(spark, "ckpt"),
-                     query_name=f"orders_user_{uuid.uuid4().hex[:6]}", compact_every=3)
+                     query_name=f"orders_user_{uuid.uuid4().hex[:6]}", compact_every=5)
     await_all(spark, [q])
     return table.snapshot().select(
         "user_id", "day", "order_id", F.col("order_money").cast("double").alias("order_money")
