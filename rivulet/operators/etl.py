@@ -53,9 +53,14 @@ def order_etl(messages: DataFrame) -> DataFrame:
         "offset",
         "timestamp",
     )
-    base = base.withColumns(
-        {name: F.get_json_object("message", f"$.{field}") for name, field in _ORDER_TEXT_FIELDS}
-    ).drop("message")
+    # one JSON parse per message for all five fields (json_tuple), instead of
+    # one parse per field; values come back as text, as get_json_object gives
+    names = [name for name, _ in _ORDER_TEXT_FIELDS]
+    fields = [field for _, field in _ORDER_TEXT_FIELDS]
+    base = base.select(
+        *[c for c in base.columns if c != "message"],
+        F.json_tuple("message", *fields).alias(*names),
+    )
     return base.withColumns(
         {
             "ts": parse_time("order_time", ORDER_TIME_FORMAT),
