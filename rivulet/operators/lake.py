@@ -232,27 +232,36 @@ class LakeTable:
     def _public(self, df: DataFrame) -> DataFrame:
         return df.drop(OP)
 
-    def snapshot(self) -> DataFrame:
-        """Current state of the table.
+    def _restrict(self, df: DataFrame, partitions) -> DataFrame:
+        """Keep only the given table partitions (folder pruning on
+        ``current/``, row-group skipping on the identity-sorted log)."""
+        if partitions is None:
+            return df
+        return df.where(F.col(PART).isin([DEFAULT_PARTITION if p in (None, "") else str(p) for p in partitions]))
+
+    def snapshot(self, partitions=None) -> DataFrame:
+        """Current state of the table (of the given ``partitions`` only).
 
         Copy-on-write: ``current/`` as is.  Merge-on-read: the log reduced at
         read time -- after a ``compact()``, only the commits newer than the
         compaction are merged into ``current/`` (untouched rows unshuffled).
         """
         if self.kind == "cow":
-            return self._public(self.read_optimized().where(F.col(OP) != "D"))
-        return self._public(self._reduced(None).where(F.col(OP) != "D"))
+            cur = self._restrict(self.read_optimized(), partitions)
+            return self._public(cur.where(F.col(OP) != "D"))
+        return self._public(self._reduced(None, partitions).where(F.col(OP) != "D"))
 
-    def _reduced(self, upto: str | None) -> DataFrame:
+    def _reduced(self, upto: str | None, partitions=None) -> DataFrame:
         """Latest row per identity (tombstones kept) among commits <= ``upto``."""
-        log = self.log()
+        log = self._restrict(self.log(), partitions)
         if upto is not None:
             log = log.where(F.col(COMMIT) <= F.lit(upto))
         base_at = self._compacted_at() if self.kind == "mor" else None
         if base_at is None or (upto is not None and upto < base_at):
             return latest_per_key(log, list(IDENTITY), self._order())
         delta = log.where(F.col(COMMIT) > F.lit(base_at))
-        return self._merge_state(self.read_optimized(), delta, rebalance=False)
+        base = self._restrict(self.read_optimized(), partitions)
+        return self._merge_state(base, delta, rebalance=False)
 
     def read_optimized(self) -> DataFrame:
         """The materialised ``current/`` (copy-on-write state, or the last
@@ -264,17 +273,17 @@ class LakeTable:
             return self._empty()
         return self.spark.read.schema(self._read_schema(True)).option("basePath", d).parquet(d)
 
-    def as_of(self, instant: str) -> DataFrame:
+    def as_of(self, instant: str, partitions=None) -> DataFrame:
         """State as of ``instant`` (inclusive); compact or dashed spelling."""
         t = normalize_instant(instant)
-        return self._public(self._reduced(t).where(F.col(OP) != "D"))
+        return self._public(self._reduced(t, partitions).where(F.col(OP) != "D"))
 
-    def incremental(self, begin: str, end: str | None = None) -> DataFrame:
+    def incremental(self, begin: str, end: str | None = None, partitions=None) -> DataFrame:
         """Latest row per identity among commits in ``(begin, end]``."""
         cond = F.col(COMMIT) > F.lit(normalize_instant(begin))
         if end is not None:
             cond = cond & (F.col(COMMIT) <= F.lit(normalize_instant(end)))
-        return self._public(self._state(self.log().where(cond)))
+        return self._public(self._state(self._restrict(self.log(), partitions).where(cond)))
 
     def commit_instants(self) -> list[str]:
         """All commit instants, oldest first, from the log's folder names (a

@@ -244,3 +244,19 @@ def test_merge_paths_agree_beyond_broadcast_bound(spark, sf_small, monkeypatch):
         plan = t._current_state(delta)._jdf.queryExecution().executedPlan().toString()
         assert ("LeftAnti" in plan) == (bound > 0)
     assert results[0] == results[1]
+
+
+@pytest.mark.parametrize("kind", ["cow", "mor"])
+def test_partition_restricted_reads(spark, sf_small, kind):
+    t = LakeTable(spark, work_path(spark, "pr"), key="uuid", precombine="ts",
+                  partition="partitionpath", kind=kind, tiebreak=("event_id",))
+    t.write(fixtures.trip_log(spark, sf_small), commit_col="commit_time", delete_col="is_delete")
+    cols = ("uuid", "event_id", "_commit_time")
+    whole = t.snapshot().where(F.col("partitionpath") == "1")
+    part = t.snapshot(partitions=["1"])
+    assert _rows(part, cols) == _rows(whole, cols)
+    assert _rows(t.as_of("20240115000000", partitions=[1]), cols) == _rows(
+        t.as_of("20240115000000").where(F.col("partitionpath") == "1"), cols)
+    if kind == "cow":
+        plan = part._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(_partition_path" in plan
