@@ -63,3 +63,20 @@ def test_inline_compaction_keeps_the_answer(spark, sf_small):
     cols = ("user_id", "day", "order_id")
     want = sorted(map(tuple, plain.snapshot().select(*cols).collect()))
     assert sorted(map(tuple, compacted.snapshot().select(*cols).collect())) == want
+
+
+def test_processing_time_trigger_and_active_queries(spark, sf_small):
+    from rivulet.streaming.orders import active_queries
+
+    msgs = encode_orders(fixtures.order_msgs(spark, sf_small))
+    src = write_message_files(msgs, work_path(spark, "msgs"), files=2)
+    t = _orders_table(spark)
+    q = start_upsert(order_stream(spark, src, 1), t, work_path(spark, "ckpt"),
+                     query_name="t_continuous", trigger="1 second")
+    try:
+        assert "t_continuous" in active_queries(spark)
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert t.commits(None).count() == 2
+    assert t.snapshot().count() == t.snapshot().select("day", "user_id").distinct().count() > 0
