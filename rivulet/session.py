@@ -39,9 +39,23 @@ def ensure_work_dir(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+# Folders handed out by ``work_path`` in this process (newest last).
+_HANDED_OUT: list[str] = []
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared work folder."""
-    return f"{ensure_work_dir(spark)}/rivulet/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{ensure_work_dir(spark)}/rivulet/{name}-{uuid.uuid4().hex[:12]}"
+    _HANDED_OUT.append(path)
+    return path
+
+
+def take_handed_out() -> list[str]:
+    """The folders ``work_path`` handed out since the last call (then forgets
+    them); lets a caller remove exactly what its own jobs wrote."""
+    out = list(_HANDED_OUT)
+    _HANDED_OUT.clear()
+    return out
 
 
 def hadoop_fs(spark: SparkSession, path: str):
