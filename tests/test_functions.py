@@ -78,3 +78,22 @@ def test_order_etl_text_fields(spark):
     assert r["ip"] is None and r["day"] == "2021-11-22"
     assert r["ts"] is not None
     assert order_etl(msgs).select(F.col("ts").cast("string")).first()[0].startswith("2021-11-22 10:34:34.136")
+
+
+def test_message_sink_files_and_arguments(spark, sf_small):
+    import pytest
+
+    from rivulet.session import work_path
+    from rivulet.sources import fixtures
+    from rivulet.sources.messages import encode_orders, read_message_stream, write_messages
+
+    msgs = encode_orders(fixtures.order_msgs(spark, sf_small))
+    path = work_path(spark, "sink")
+    write_messages(msgs, path=path)
+    back = spark.read.schema(MESSAGE_SCHEMA).parquet(path)
+    assert back.count() == msgs.count()
+    assert back.where(F.col("key").isNull() | F.col("value").isNull()).count() == 0
+    with pytest.raises(ValueError):
+        write_messages(msgs)
+    with pytest.raises(ValueError):
+        read_message_stream(spark)
