@@ -41,6 +41,7 @@ AS_OF = "2024-01-15 00:00:00"  # dashed spelling; compact form is 20240115000000
 INCREMENTAL_BEGIN = "20240120000000"
 DELETE_COMMIT = "20240201000000"
 UPSERT_SPLIT = "20240115000000"
+STREAM_TIMEOUT_S = 3600  # an availableNow stream that has not finished by then is stopped
 
 
 # ----------------------------------------------------------------- helpers
@@ -291,7 +292,7 @@ def q_stream_order_etl(spark, sf):
     src = _message_files(spark, sf)
     table = _order_table(spark, "orders-mor", "order_id", "commit")
     q = start_upsert(order_stream(spark, src, 2), table, work_path(spark, "ckpt"), query_name=f"orders_{uuid.uuid4().hex[:6]}")
-    await_all(spark, [q])
+    await_all(spark, [q], STREAM_TIMEOUT_S)
     return table.snapshot().select(
         "order_id", "user_id", "order_time",
         F.col("order_money").cast("double").alias("order_money"),
@@ -306,7 +307,7 @@ def q_stream_json_tolerant(spark, sf):
     sink = work_path(spark, "orders-json-sink")
     q = start_json_print(spark, src, sink, work_path(spark, "ckpt"), max_per_trigger=2,
                          query_name=f"orders_json_{uuid.uuid4().hex[:6]}")
-    await_all(spark, [q])
+    await_all(spark, [q], STREAM_TIMEOUT_S)
     return spark.read.parquet(sink).select(
         "orderId", "userId", "orderTime", "orderMoney", "orderStatus", "ts", "partition_day"
     )
@@ -319,7 +320,7 @@ def q_stream_upsert_mor(spark, sf):
     # compacted state with the batches after the last compaction
     q = start_upsert(order_stream(spark, src, 1), table, work_path(spark, "ckpt"),
                      query_name=f"orders_user_{uuid.uuid4().hex[:6]}", compact_every=5)
-    await_all(spark, [q])
+    await_all(spark, [q], STREAM_TIMEOUT_S)
     return table.snapshot().select(
         "user_id", "day", "order_id", F.col("order_money").cast("double").alias("order_money")
     )
@@ -330,7 +331,7 @@ def q_stream_lake_read(spark, sf):
     sink = work_path(spark, "trips-tail")
     q = start_tail(t, sink, work_path(spark, "ckpt"), trigger="availableNow", max_files_per_trigger=16,
                    query_name=f"tail_{uuid.uuid4().hex[:6]}")
-    await_all(spark, [q])
+    await_all(spark, [q], STREAM_TIMEOUT_S)
     rows = spark.read.parquet(sink)
     return rows.groupBy(F.col(COMMIT).alias("commit_time")).agg(
         F.count_distinct("_partition_path", "_record_key").alias("n")

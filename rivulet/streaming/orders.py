@@ -74,9 +74,14 @@ def start_json_print(
 
 
 def await_all(spark: SparkSession, queries: list[StreamingQuery], timeout_s: float | None = None) -> None:
-    """Block until every query has stopped; re-raise the first failure."""
+    """Block until every query has stopped; re-raise the first failure.
+    A query still running after ``timeout_s`` seconds is stopped and a
+    ``TimeoutError`` raised."""
     for q in queries:
-        q.awaitTermination(timeout_s)
+        done = q.awaitTermination(timeout_s) if timeout_s is not None else q.awaitTermination()
+        if timeout_s is not None and not done:
+            q.stop()
+            raise TimeoutError(f"streaming query {q.name or q.id} still running after {timeout_s} s")
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))
     spark.streams.resetTerminated()
