@@ -34,6 +34,12 @@ from rivulet.sources.messages import encode_orders, write_message_files  # noqa:
 from rivulet.streaming.orders import await_all, order_stream, start_json_print, start_upsert  # noqa: E402
 from rivulet.streaming.table_tail import start_tail  # noqa: E402
 
+try:  # the training-data operators and their pipeline may be absent
+    import corpus_pipeline  # noqa: E402
+    from rivulet.llm import queries as llm_queries  # noqa: E402
+except ImportError:
+    corpus_pipeline = llm_queries = None
+
 SMOKE_SF = "/root/testdata/sf0.001"
 
 # Parameters of the table queries.
@@ -389,7 +395,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    if llm_queries is None:
+        return dict(_QUERIES)
+    return {**_QUERIES, **llm_queries.QUERIES, "pipeline": corpus_pipeline.run}
 
 
 # ----------------------------------------------------------------- oracle
@@ -437,6 +445,15 @@ def _case(col: str, mapping, default=None) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    found = _reference_sql()
+    if llm_queries is not None:
+        found |= llm_queries.SQL
+        if corpus_pipeline.ORACLE_SQL is not None:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
+
+
+def _reference_sql() -> dict[str, str]:
     from rivulet.functions import labels as L
     from rivulet.functions.ipv4 import IP_RANGES
 
