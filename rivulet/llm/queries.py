@@ -1,11 +1,15 @@
 """The queries of this subpackage and, where SQL can express them, their SQL."""
 
-from rivulet.llm import chat, lines, simhash
+from rivulet.llm import chat, fingerprints, language, lines, pii, scoring, simhash
 
 QUERIES = {
+    "op1_fingerprints": fingerprints.op1_fingerprints,
+    "op3_language": language.op3_language,
     "op4_line_dedup": lines.op4_line_dedup,
+    "op6_pii": pii.op6_pii,
     "op8_simhash": simhash.op8_simhash,
     "op9_chat_format": chat.op9_chat_format,
+    "op10_scoring": scoring.op10_scoring,
 }
 
 SQL = {
