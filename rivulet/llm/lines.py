@@ -72,26 +72,31 @@ def repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int =
     return again.groupBy("k1", "k2").agg(F.array_distinct(F.flatten(F.collect_list("pos"))).alias("drop"))
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
-    """``docs`` with ``text`` reduced to the lines that stay, and ``n_lines`` (before)
-    and ``n_dropped`` added (an own column of such a name is replaced).  A text is
+def dedup_lines(
+    docs: DataFrame,
+    min_chars: int = MIN_CHARS,
+    min_docs: int = MIN_DOCS,
+    counts: tuple[str, str] = ("n_lines", "n_dropped"),
+) -> DataFrame:
+    """``docs`` with ``text`` reduced to the lines that stay, and the columns ``counts``
+    added: lines before, and dropped (an own column of such a name is replaced).  A text is
     split at newlines; null and empty texts are one empty line and come back
     empty.  Keys under ``min_chars`` code points never count.  Several rows under
     one doc_id are one holder; a null id holds nothing and loses nothing."""
-    k1, k2, drop = fresh([*docs.columns, "n_lines", "n_dropped"], "k1", "k2", "drop")
+    n_lines, n_dropped = counts
+    names = fresh([*docs.columns, *counts], "k1", "k2", "drop", "lines", "keep")
+    k1, k2, drop, lines, keep = names
     cut = repeated_lines(docs, min_chars, min_docs).toDF(k1, k2, drop)
-    rows = docs.drop("n_lines", "n_dropped").withColumns(dict(zip((k1, k2), row_key()))).join(cut, [k1, k2], "left")
-    lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
-    keep = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.coalesce(drop, F.array().cast("array<int>")))
-    lines_c, keep_c = fresh([*rows.columns, "n_lines", "n_dropped"], "lines", "keep")
-    kept = F.array_join(F.expr(_at(lines_c, keep_c)), "\n")  # linear in the lines, like array_except
+    rows = docs.drop(*counts).withColumns(dict(zip((k1, k2), row_key()))).join(cut, [k1, k2], "left")
+    all_but = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.coalesce(drop, F.array().cast("array<int>")))
+    kept = F.array_join(F.expr(_at(lines, keep)), "\n")  # linear in the lines, like array_except
     return (
-        rows.withColumn(lines_c, lines)
-        .withColumn(keep_c, keep)
-        .withColumn("n_lines", F.size(lines_c).cast("long"))
-        .withColumn("n_dropped", (F.size(lines_c) - F.size(keep_c)).cast("long"))
-        .withColumn("text", F.when(F.col("n_dropped") == 0, F.coalesce("text", F.lit(""))).otherwise(kept))
-        .drop(k1, k2, drop, lines_c, keep_c)
+        rows.withColumn(lines, F.split(F.coalesce("text", F.lit("")), "\n", -1))
+        .withColumn(keep, all_but)
+        .withColumn(n_lines, F.size(lines).cast("long"))
+        .withColumn(n_dropped, (F.size(lines) - F.size(keep)).cast("long"))
+        .withColumn("text", F.when(F.col(n_dropped) == 0, F.coalesce("text", F.lit(""))).otherwise(kept))
+        .drop(*names)
     )
 
 
