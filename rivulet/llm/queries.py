@@ -1,9 +1,10 @@
 """The queries of this subpackage and, where SQL can express them, their SQL."""
 
-from rivulet.llm import chat, contamination, fingerprints, language, lines, mixing, pii, scoring, simhash
+from rivulet.llm import chat, contamination, fingerprints, language, lines, mixing, pii, scoring, simhash, substrings
 
 QUERIES = {
     "op1_fingerprints": fingerprints.op1_fingerprints,
+    "op2_substring_dedup": substrings.op2_substring_dedup,
     "op3_language": language.op3_language,
     "op4_line_dedup": lines.op4_line_dedup,
     "op5_mixing": mixing.op5_mixing,
@@ -15,6 +16,7 @@ QUERIES = {
 }
 
 SQL = {
+    "op2_substring_dedup": substrings.OP2_SQL,
     "op4_line_dedup": lines.OP4_SQL,
     "op7_decontamination": contamination.OP7_SQL,
     "op9_chat_format": chat.OP9_SQL,
