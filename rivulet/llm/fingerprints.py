@@ -109,9 +109,11 @@ def with_next(docs: DataFrame) -> DataFrame:
     shuffled once, in blocks of neighbouring ids; what follows a block is found
     on ids alone.  One doc_id should not repeat without bound: its rows are
     sorted in one task."""
-    at = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))
+    lowest = F.lit(-(2**63))
+    at = F.coalesce(F.col("doc_id").cast("long"), lowest)
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), at.alias("at"))
-    rows = rows.withColumn("b", F.shiftright("at", _BITS))
+    # the sign bit turned, ids of either sign are in order as unsigned numbers
+    rows = rows.withColumn("b", F.shiftrightunsigned(F.col("at").bitwiseXOR(lowest), _BITS))
     blocks = rows.groupBy("b").agg(F.max("at").alias("head"))
     low, high, first = blocks.agg(F.min("b"), F.max("b"), F.max("head")).first()
     if first is None:
