@@ -114,7 +114,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     if found is None:
         found = rows.join(known, F.lit(False)).select("k1", "k2", "item_id")
     candidates = saved(found.distinct(), "contamination-candidates")
-    pairs = rows.join(candidates, ["k1", "k2"]).join(known, "item_id")
+    pairs = rows.join(candidates.withColumnRenamed("item_id", "found"), ["k1", "k2"])
+    pairs = pairs.join(known, F.col("found").eqNullSafe(F.col("item_id")))  # an item may have no id
     in_doc = F.lit(None).cast("array<string>")
     for n in widths:
         in_doc = F.when(F.col("width") == n, shingles(words(F.col("text")), n)).otherwise(in_doc)
