@@ -105,8 +105,13 @@ _PLAIN: dict[str, str] = {}
 
 _OPEN, _SHUT = r"[\[({<]", r"[\])}>]"
 _BRACKETED = re.compile(rf"\s*{_OPEN}\s*(at|dot|@|\.)\s*{_SHUT}\s*", re.I)
-# bare words only where an address reads "name at place dot name" throughout
-_SPOKEN = re.compile(r"(?<![^\s<(\[\"'])[A-Za-z0-9._%+-]+(?: dot [A-Za-z0-9._%+-]+)* at [A-Za-z0-9-]+(?: dot [A-Za-z0-9-]+)+", re.I)
+# Bare words only where an address reads "name at place dot ending" throughout.
+# The endings.
+_ENDING = "(?:com|net|org|edu|gov|info|biz|io|co|eu|uk|de|fr|es|ch|nl)"
+_SPOKEN = re.compile(
+    r"(?<![^\s<(\[\"'])[A-Za-z0-9._%+-]+(?: dot [A-Za-z0-9._%+-]+)* at "
+    rf"[A-Za-z0-9-]+(?: dot [A-Za-z0-9-]+)*? dot {_ENDING}(?: dot {_ENDING})?\b", re.I
+)
 _SPOKEN_SIGN = re.compile(r" (at|dot) ", re.I)
 
 # The digits' names in the languages of the corpus.
