@@ -1,0 +1,49 @@
+import random
+
+import pytest
+
+WORDS = [a + b for a in "ka lo mi ne ru sa to vi".split() for b in "ra du fi go ne pu si ta".split()]
+
+
+def prose(seed: int, n: int) -> str:
+    r = random.Random(seed)
+    words = [r.choice(WORDS) + r.choice(("", "", ",", ".")) for _ in range(n)]
+    return " ".join(w + ("\n" if i % 9 == 8 else "") for i, w in enumerate(words))
+
+
+def rows() -> list[tuple]:
+    """Documents with nulls in every column, empty, blank and long texts, copies,
+    near copies, shared passages and lines, repeated rows and repeated ids."""
+    base, passage = prose(1, 120), prose(2, 40)
+    line = "A Line That Many Documents Share"
+    out = [
+        (1, base), (2, base), (3, base.replace(",", "", 1)), (4, prose(3, 60) + " " + passage),
+        (5, passage + "\n" + prose(4, 30)), (6, f"{line}\n{prose(5, 30)}\n  {line.lower()}\t"), (7, f"{line}\nshort\n{prose(6, 8)}"),
+        (8, ""), (9, None), (10, " \n\t "), (11, "one"), (12, "ONE"), (13, prose(7, 4000)), (13, prose(8, 50)),
+        (14, "Été 你好 \U0001f600 " + prose(9, 20)), (15, prose(10, 20)), (15, prose(10, 20)), (None, base),
+        (None, None), (16, "x" * 5000), (17, "12 34 !! ##"), (18, f"{line}\n"), (19, prose(2, 40)), (20, "\n\n\n"),
+        (-5, prose(11, 15)), (2**40, prose(12, 15)),
+    ]
+    return [(i, t, ("aa", "bb", None)[k % 3], None if k % 5 == 0 else f"s{k % 3}", None if k % 7 == 0 else 1) for k, (i, t) in enumerate(out)]
+
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="session")
+def docs(spark):
+    return spark.createDataFrame(rows(), SCHEMA).repartition(3).cache()
+
+
+@pytest.fixture(scope="session")
+def clashing(docs):
+    """The same with columns named like those the operators use inside."""
+    from pyspark.sql import functions as F
+
+    names = "k1 k2 fp n_lines n_dropped drop lines keep rate copies score h K1_ component_id".split()
+    return docs.select("*", *(F.lit(7).alias(n) for n in names))
+
+
+@pytest.fixture(scope="session")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
