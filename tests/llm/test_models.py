@@ -140,7 +140,7 @@ def test_mixing_edge_rows(spark, docs, clashing, empty):
     )
     assert mixing.mix(docs, labels).count() == len(rows())
     none = mixing.mix(docs, labels.limit(0))
-    assert none.count() == len(rows()) and none.where("abs(p_high - 1/3.0) > 1e-9").count() == 0
+    assert none.count() == len(rows()) and none.where("abs(p_high - 1D/3D) > 1e-9").count() == 0
     assert mixing.mix(empty, labels).count() == 0
     out = mixing.mix_documents(clashing, labels)
     assert set(out.columns) == set(clashing.columns) and out.where("copies < 1").count() == 0
