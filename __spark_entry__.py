@@ -21,6 +21,7 @@ if _HERE not in sys.path:
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
+from rivulet.functions.ipv4 import int_to_ipv4  # noqa: E402
 from rivulet.operators import etl, reports, rides  # noqa: E402
 from rivulet.operators.ip_tally import tally_ranges  # noqa: E402
 from rivulet.operators.lake import COMMIT, LakeTable  # noqa: E402
@@ -31,7 +32,7 @@ from rivulet.sources.delimited import read_delimited, write_delimited  # noqa: E
 from rivulet.sources.json_lines import read_json_lines, write_json_lines  # noqa: E402
 from rivulet.sources.tables import load  # noqa: E402
 from rivulet.sources.messages import encode_orders, write_message_files  # noqa: E402
-from rivulet.streaming.orders import await_all, order_stream, start_json_print, start_upsert  # noqa: E402
+from rivulet.streaming.orders import await_all, order_stream, start_json_print, start_upsert, typed_order_stream  # noqa: E402
 from rivulet.streaming.table_tail import start_tail  # noqa: E402
 
 try:  # the training-data operators and their pipeline may be absent
@@ -43,11 +44,10 @@ except ImportError:
 SMOKE_SF = "/root/testdata/sf0.001"
 
 # Parameters of the table queries.
-AS_OF = "2024-01-15 00:00:00"  # dashed spelling; compact form is 20240115000000
+AS_OF = "2024-01-15 00:00:00"  # dashed spelling; stored form is 20240115000000000
 INCREMENTAL_BEGIN = "20240120000000"
 DELETE_COMMIT = "20240201000000"
 UPSERT_SPLIT = "20240115000000"
-STREAM_TIMEOUT_S = 3600  # an availableNow stream that has not finished by then is stopped
 
 
 # ----------------------------------------------------------------- helpers
@@ -114,9 +114,15 @@ def q_ride_etl(spark, sf):
 
 def q_scan_delimited(spark, sf):
     path = write_delimited(_rides(spark, sf), work_path(spark, "rides-tsv"))
-    return read_delimited(spark, path).select(
-        "order_id", "product_id", "type", "traffic_type", "pre_total_fee",
-        "start_dest_distance", "departure_time", "year", "month", "day",
+    return read_delimited(spark, path)
+
+
+def q_scan_delimited_inferred(spark, sf):
+    path = write_delimited(_rides(spark, sf), work_path(spark, "rides-tsv"))
+    found = read_delimited(spark, path, schema=None)
+    return found.select(
+        F.col("order_id").cast("long").alias("order_id"), F.col("traffic_type").cast("long").alias("traffic_type"),
+        "pre_total_fee", "bubble_trace_id", F.date_format("departure_time", "yyyy-MM-dd HH:mm:ss").alias("departure_time"),
     )
 
 
@@ -135,6 +141,31 @@ def q_ride_store(spark, sf):
     )
 
 
+def q_ride_reports_stored(spark, sf):
+    """All eight reports over the stored table: ``(report, label, total)``."""
+    src = write_delimited(_rides(spark, sf), work_path(spark, "rides-tsv"))
+    rows = rides.report_input(rides.store_rides(spark, src, work_path(spark, "rides-table"), commit="20240101000000"))
+
+    def listed(name, report):
+        label, total = report.columns
+        return report.select(F.lit(name).alias("report"), F.col(label).cast("string").alias("label"), F.col(total).alias("total"))
+
+    def bands(name, report):
+        pairs = F.array(*(F.struct(F.lit(c).alias("label"), F.col(f"`{c}`").alias("total")) for c in report.columns))
+        return report.select(F.lit(name).alias("report"), F.explode(pairs).alias("b")).select("report", "b.label", "b.total")
+
+    found = [
+        listed("product", reports.by_product(rows)), listed("type", reports.by_type(rows)),
+        listed("traffic", reports.by_traffic(rows)), listed("traffic_raw", reports.by_traffic_raw(rows)),
+        listed("weekday", reports.by_weekday(rows)), bands("price", reports.price_bands(rows)),
+        bands("price_sql", reports.price_bands_sql(rows)), bands("distance", reports.distance_bands(rows)),
+    ]
+    out = found[0]
+    for report in found[1:]:
+        out = out.unionByName(report)
+    return out
+
+
 # ----------------------------------------------------------------- lake table
 def q_lake_insert(spark, sf):
     t = _trip_table(spark, sf)
@@ -162,13 +193,19 @@ def q_lake_upsert(spark, sf):
     return _with_commit(t.snapshot()).select("uuid", "partitionpath", "fare", "event_id", "commit_time")
 
 
-def q_lake_compact(spark, sf):
-    t = _trip_table(spark, sf, kind="mor")
-    t.compact()
-    live = t.read_optimized().where(F.col("_op") != "D")
-    return live.groupBy("partitionpath").agg(
-        F.count(F.lit(1)).alias("n"), F.max(COMMIT).alias("last_commit")
-    )
+def q_lake_append_same_commit(spark, sf):
+    """The change feed written in two parts that share every commit; copy-on-write
+    and merge-on-read."""
+    log = fixtures.trip_log(spark, sf)
+    out = None
+    for kind in ("cow", "mor"):
+        t = LakeTable(spark, work_path(spark, f"trips-{kind}"), key="uuid", precombine="ts",
+                      partition="partitionpath", kind=kind, tiebreak=("event_id",))
+        for part in (1, 0):
+            t.write(log.where(F.col("event_id") % 2 == part), commit_col="commit_time", delete_col="is_delete")
+        rows = _with_commit(t.snapshot()).select(F.lit(kind).alias("kind"), "uuid", "event_id", "commit_time")
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 def q_lake_partition_counts(spark, sf):
@@ -178,7 +215,7 @@ def q_lake_partition_counts(spark, sf):
 
 def q_lake_delete(spark, sf):
     t = _trip_table(spark, sf, kind="cow")
-    before_commit = t.commit_instants()[-1]
+    before_commit = t.last_instant()
     victims = reports.top_n(t.snapshot(), [F.col("uuid")], 2).select("uuid", "partitionpath")
     t.delete(victims, commit=DELETE_COMMIT)
     before = t.as_of(before_commit).select(F.lit(1).alias("b"), F.lit(0).alias("a"))
@@ -188,11 +225,26 @@ def q_lake_delete(spark, sf):
     )
 
 
+def q_lake_delete_precombine(spark, sf):
+    """Deletes where the greatest precombine value wins: every third key by a
+    tombstone without one (it beats all commits up to its own), every next by one
+    dated 2024-01-10 (it beats older rows only)."""
+    t = LakeTable(spark, work_path(spark, "trips-precombine"), key="uuid", precombine="ts",
+                  partition="partitionpath", kind="mor", merge="precombine", tiebreak=("event_id",))
+    log = fixtures.trip_log(spark, sf).where(~F.col("is_delete")).drop("is_delete")
+    t.write(log, commit_col="commit_time")
+    keys = log.select("uuid", "partitionpath").distinct()
+    number = F.col("uuid").cast("long") % 3
+    t.delete(keys.where(number == 0), commit="20240112000000")
+    t.delete(keys.where(number == 1).withColumn("ts", F.lit("2024-01-10 00:00:00").cast("timestamp")), commit=DELETE_COMMIT)
+    return _with_commit(t.snapshot()).select("uuid", "event_id", "commit_time")
+
+
 def q_lake_overwrite(spark, sf):
+    """The table replaced by its whole log, as one commit."""
     t = _trip_table(spark, sf)
-    last = t.commit_instants()[-1]
-    batch = fixtures.trip_log(spark, sf).where(F.col("commit_time") == last).drop("commit_time", "is_delete")
-    t.overwrite(batch, commit=last)
+    last = t.last_instant()
+    t.overwrite(fixtures.trip_log(spark, sf).drop("commit_time", "is_delete"), commit=last)
     return _with_commit(t.snapshot()).select("uuid", "event_id", "commit_time")
 
 
@@ -217,6 +269,14 @@ def q_lake_incremental(spark, sf):
     )
 
 
+def q_lake_incremental_from_commits(spark, sf):
+    """Incremental read that begins at the oldest of the newest commits which rows
+    of the snapshot come from."""
+    t = _trip_table(spark, sf)
+    rows = t.incremental(t.begin_instant(50))
+    return _with_commit(rows).select("uuid", "fare", "commit_time").where("fare > 20.0")
+
+
 def q_lake_commits(spark, sf):
     return _trip_table(spark, sf).commits(50)
 
@@ -240,7 +300,8 @@ def _ride_catalog_table(spark, sf, register: str):
     # AQE splits a hot day across tasks instead of sending it to one.
     rows.hint("rebalance", "date_str").write.mode("overwrite").partitionBy("date_str").parquet(location)
     catalog.create_database(spark, _DB, f"{ensure_work_dir(spark)}/warehouse/{_DB}.db")
-    table = f"{_DB}.rides_{uuid.uuid4().hex[:10]}"
+    table = f"{_DB}.rides_{register}"
+    spark.sql(f"DROP TABLE IF EXISTS {table}")  # of an earlier run; its files are not the table's
     catalog.create_external_table(spark, table, rows.schema, "date_str", location)
     if register == "repair":
         catalog.repair(spark, table)
@@ -269,20 +330,23 @@ def q_catalog_partitions(spark, sf):
 # ----------------------------------------------------------------- messages / streams
 def _message_files(spark, sf, broken_every=None):
     msgs = encode_orders(fixtures.order_msgs(spark, sf), broken_every=broken_every)
-    return write_message_files(msgs, work_path(spark, "order-msgs"), files=8)
+    return write_message_files(msgs, work_path(spark, "order-msgs"))
 
 
 def q_encode_messages(spark, sf):
     msgs = encode_orders(fixtures.order_msgs(spark, sf))
     dec = msgs.select(
         F.col("key").cast("string").alias("key"),
+        "topic", "partition", "offset", F.unix_millis("timestamp").alias("timestamp_ms"),
         F.from_json(F.col("value").cast("string"), etl.ORDER_JSON_SCHEMA).alias("j"),
     )
     return dec.select(
-        "key",
+        "key", "topic", "partition", "offset", "timestamp_ms",
         F.col("j.orderId").alias("j_order_id"),
         F.col("j.userId").alias("j_user_id"),
         F.col("j.orderTime").alias("j_order_time"),
+        F.col("j.ip").alias("j_ip"),
+        F.col("j.orderMoney").alias("j_order_money"),
         F.col("j.orderStatus").alias("j_order_status"),
     )
 
@@ -297,10 +361,11 @@ def _order_table(spark, name, key, merge, tiebreak=()):
 def q_stream_order_etl(spark, sf):
     src = _message_files(spark, sf)
     table = _order_table(spark, "orders-mor", "order_id", "commit")
-    q = start_upsert(order_stream(spark, src, 2), table, work_path(spark, "ckpt"), query_name=f"orders_{uuid.uuid4().hex[:6]}")
-    await_all(spark, [q], STREAM_TIMEOUT_S)
+    q = start_upsert(order_stream(spark, src), table, work_path(spark, "ckpt"), query_name=f"orders_{uuid.uuid4().hex[:6]}")
+    await_all(spark, [q])
     return table.snapshot().select(
-        "order_id", "user_id", "order_time",
+        "order_id", "user_id", "order_time", "ip", "topic", "partition", "offset",
+        F.unix_millis("timestamp").alias("timestamp_ms"),
         F.col("order_money").cast("double").alias("order_money"),
         "order_status",
         F.unix_millis("ts").alias("ts_ms"),
@@ -311,22 +376,33 @@ def q_stream_order_etl(spark, sf):
 def q_stream_json_tolerant(spark, sf):
     src = _message_files(spark, sf, broken_every=10)
     sink = work_path(spark, "orders-json-sink")
-    q = start_json_print(spark, src, sink, work_path(spark, "ckpt"), max_per_trigger=2,
+    q = start_json_print(spark, src, sink, work_path(spark, "ckpt"),
                          query_name=f"orders_json_{uuid.uuid4().hex[:6]}")
-    await_all(spark, [q], STREAM_TIMEOUT_S)
+    await_all(spark, [q])
     return spark.read.parquet(sink).select(
-        "orderId", "userId", "orderTime", "orderMoney", "orderStatus", "ts", "partition_day"
+        "orderId", "userId", "orderTime", "ip", "orderMoney", "orderStatus", "ts", "partition_day"
+    )
+
+
+def q_stream_upsert_typed(spark, sf):
+    """Typed rows of the tolerant decode upserted by order id."""
+    src = _message_files(spark, sf, broken_every=10)
+    table = LakeTable(spark, work_path(spark, "orders-typed"), key="orderId", precombine="ts",
+                      partition="partition_day", kind="mor")
+    q = start_upsert(typed_order_stream(spark, src), table, work_path(spark, "ckpt"),
+                     query_name=f"orders_typed_{uuid.uuid4().hex[:6]}")
+    await_all(spark, [q])
+    return table.snapshot().select(
+        "orderId", "userId", "orderTime", "ip", "orderMoney", "orderStatus", "ts", "partition_day"
     )
 
 
 def q_stream_upsert_mor(spark, sf):
     src = _message_files(spark, sf)
     table = _order_table(spark, "orders-by-user", "user_id", "precombine", tiebreak=("order_id",))
-    # inline compaction after the 5th of 8 micro-batches: the final snapshot merges the
-    # compacted state with the batches after the last compaction
-    q = start_upsert(order_stream(spark, src, 1), table, work_path(spark, "ckpt"),
-                     query_name=f"orders_user_{uuid.uuid4().hex[:6]}", compact_every=5)
-    await_all(spark, [q], STREAM_TIMEOUT_S)
+    q = start_upsert(order_stream(spark, src), table, work_path(spark, "ckpt"),
+                     query_name=f"orders_user_{uuid.uuid4().hex[:6]}")
+    await_all(spark, [q])
     return table.snapshot().select(
         "user_id", "day", "order_id", F.col("order_money").cast("double").alias("order_money")
     )
@@ -335,15 +411,20 @@ def q_stream_upsert_mor(spark, sf):
 def q_stream_lake_read(spark, sf):
     t = _trip_table(spark, sf)
     sink = work_path(spark, "trips-tail")
-    q = start_tail(t, sink, work_path(spark, "ckpt"), trigger="availableNow", max_files_per_trigger=16,
+    q = start_tail(t, sink, work_path(spark, "ckpt"), trigger="availableNow",
                    query_name=f"tail_{uuid.uuid4().hex[:6]}")
-    await_all(spark, [q], STREAM_TIMEOUT_S)
+    await_all(spark, [q])
     rows = spark.read.parquet(sink)
     return rows.groupBy(F.col(COMMIT).alias("commit_time")).agg(
         F.count_distinct("_partition_path", "_record_key").alias("n")
     )
 
 
+def q_ipv4_decode(spark, sf):
+    """Every address of the orders as dotted text."""
+    return load(spark, sf, "events").select("event_id", int_to_ipv4(fixtures.order_ip("event_id")).alias("ip"))
+
+
 def q_ipv4_range_tally(spark, sf):
     ips = load(spark, sf, "events").select(fixtures.order_ip("event_id").alias("ip"))
     return tally_ranges(ips, "ip")
@@ -367,19 +448,23 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ride_sample": q_ride_sample,
     "ride_etl": q_ride_etl,
     "scan_delimited": q_scan_delimited,
+    "scan_delimited_inferred": q_scan_delimited_inferred,
     "ride_store": q_ride_store,
+    "ride_reports_stored": q_ride_reports_stored,
     "scan_json_lines": q_scan_json_lines,
     "lake_insert": q_lake_insert,
     "lake_precombine": q_lake_precombine,
     "lake_snapshot": q_lake_snapshot,
     "lake_upsert": q_lake_upsert,
-    "lake_compact": q_lake_compact,
+    "lake_append_same_commit": q_lake_append_same_commit,
     "lake_partition_counts": q_lake_partition_counts,
     "lake_delete": q_lake_delete,
+    "lake_delete_precombine": q_lake_delete_precombine,
     "lake_overwrite": q_lake_overwrite,
     "lake_as_of": q_lake_as_of,
     "lake_as_of_recent": q_lake_as_of_recent,
     "lake_incremental": q_lake_incremental,
+    "lake_incremental_from_commits": q_lake_incremental_from_commits,
     "lake_commits": q_lake_commits,
     "trips_fare_range": q_trips_fare_range,
     "catalog_table": q_catalog_table,
@@ -388,8 +473,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "encode_messages": q_encode_messages,
     "stream_order_etl": q_stream_order_etl,
     "stream_json_tolerant": q_stream_json_tolerant,
+    "stream_upsert_typed": q_stream_upsert_typed,
     "stream_upsert_mor": q_stream_upsert_mor,
     "stream_lake_read": q_stream_lake_read,
+    "ipv4_decode": q_ipv4_decode,
     "ipv4_range_tally": q_ipv4_range_tally,
 }
 
@@ -400,149 +487,3 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {**_QUERIES, **llm_queries.QUERIES, "pipeline": corpus_pipeline.run}
 
 
-# ----------------------------------------------------------------- oracle
-_CTE = {
-    "rides": """rides AS (SELECT l_orderkey*10 + l_linenumber AS order_id, CAST(l_linenumber AS INTEGER) AS product_id,
-  CASE l_linestatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 END AS type,
-  CAST(CASE WHEN l_partkey % 100 = 0 THEN 302 ELSE l_partkey % 9 END AS INTEGER) AS traffic_type,
-  l_extendedprice / 500.0 AS pre_total_fee, CAST(floor(l_extendedprice) AS INTEGER) AS start_dest_distance,
-  strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS departure_time, l_shipdate AS departure_ts,
-  CAST(year(l_shipdate) AS INTEGER) AS y, CAST(month(l_shipdate) AS INTEGER) AS m,
-  CAST(day(l_shipdate) AS INTEGER) AS d FROM lineitem)""",
-    "log": """log AS (SELECT CAST(user_id AS VARCHAR) AS uuid, CAST(user_id % 4 AS VARCHAR) AS partitionpath, event_id, ts,
-  value AS fare, 'driver-' || CAST(event_id % 7 AS VARCHAR) AS driver, 'rider-' || CAST(user_id AS VARCHAR) AS rider,
-  (event_id % 90) / 90.0 AS begin_lat, (event_id % 180) / 180.0 AS begin_lon,
-  strftime(ts, '%Y%m%d') || '000000' AS commit_time, event_type = 'error' AS is_delete FROM events)""",
-    "latest": """latest AS (SELECT *, row_number() OVER (PARTITION BY partitionpath, uuid
-  ORDER BY commit_time DESC, ts DESC, event_id DESC) AS rn FROM log)""",
-    "snap": "snap AS (SELECT * FROM latest WHERE rn = 1 AND NOT is_delete)",
-    "msgs": """msgs AS (SELECT strftime(ts, '%Y%m%d%H%M%S%g') || lpad(CAST(event_id % 1000000 AS VARCHAR), 6, '0') AS order_id,
-  CAST(user_id AS VARCHAR) AS user_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%g') AS order_time, value AS order_money,
-  CASE event_type WHEN 'click' THEN 0 WHEN 'error' THEN 1 WHEN 'view' THEN 2 ELSE 3 END AS order_status,
-  event_id, ts FROM events)""",
-}
-
-
-def _with(ctes: str, body: str) -> str:
-    return "WITH " + ",\n".join(_CTE[c] for c in ctes.split()) + "\n" + body
-
-
-_BAND = "CAST(sum(CASE WHEN {cond} THEN 1 ELSE 0 END) AS BIGINT) AS \"{name}\""
-
-
-def _bands(col: str, bands) -> str:
-    parts = []
-    for name, lo, hi in bands:
-        cond = f"{col} > {lo}" if hi is None else f"{col} BETWEEN {lo} AND {hi}"
-        parts.append(_BAND.format(cond=cond, name=name))
-    return "SELECT " + ", ".join(parts) + " FROM rides"
-
-
-def _case(col: str, mapping, default=None) -> str:
-    whens = " ".join(f"WHEN {k} THEN '{v}'" for k, v in mapping.items())
-    tail = f" ELSE '{default}'" if default is not None else ""
-    return f"CASE {col} {whens}{tail} END"
-
-
-def oracle_sql() -> dict[str, str]:
-    found = _reference_sql()
-    if llm_queries is not None:
-        found |= llm_queries.SQL
-        if corpus_pipeline.ORACLE_SQL is not None:
-            found["pipeline"] = corpus_pipeline.ORACLE_SQL
-    return found
-
-
-def _reference_sql() -> dict[str, str]:
-    from rivulet.functions import labels as L
-    from rivulet.functions.ipv4 import IP_RANGES
-
-    ranges = ", ".join(
-        f"({lo}, {hi}, '{(lo & 0xFFFFFFFF) >> 24}.{(lo >> 16) & 255}.{(lo >> 8) & 255}.{lo & 255}')"
-        for lo, hi in IP_RANGES
-    )
-    snap_row = (
-        "(SELECT *, row_number() OVER (PARTITION BY partitionpath, uuid ORDER BY commit_time DESC, ts DESC, "
-        "event_id DESC) AS r FROM log WHERE {where})"
-    )
-    date_str = "y || '-' || m || '-' || d"
-    return {
-        "ride_by_product": _with("rides", f"SELECT {_case('product_id', L.PRODUCT_LABELS)} AS order_type, "
-                                          "count(*) AS total FROM rides GROUP BY product_id"),
-        "ride_by_type": _with("rides", f"SELECT {_case('type', L.REALTIME_LABELS)} AS order_realtime, "
-                                       "count(*) AS total FROM rides GROUP BY type"),
-        "ride_by_traffic": _with("rides", f"SELECT {_case('r.traffic_type', L.TRAFFIC_LABELS, L.TRAFFIC_DEFAULT)} "
-                                          "AS traffic_type, count(*) AS total FROM rides r GROUP BY r.traffic_type"),
-        "ride_by_traffic_raw": _with("rides", "SELECT traffic_type, count(*) AS total FROM rides GROUP BY traffic_type"),
-        "ride_price_bands": _with("rides", _bands("pre_total_fee", reports.PRICE_BANDS)),
-        "ride_price_bands_sql": _with("rides", _bands("pre_total_fee", reports.PRICE_BANDS_SQL)),
-        "ride_distance_bands": _with("rides", _bands("start_dest_distance", reports.DISTANCE_BANDS)),
-        "ride_by_weekday": _with("rides", f"SELECT {_case('dayofweek(departure_ts) + 1', L.WEEKDAY_LABELS)} AS week, "
-                                          "count(*) AS total FROM rides GROUP BY dayofweek(departure_ts)"),
-        "ride_sample": _with("rides", "SELECT order_id, product_id, type, pre_total_fee, traffic_type, "
-                                      "start_dest_distance FROM rides ORDER BY ALL LIMIT 20"),
-        "ride_etl": _with("rides", f"SELECT order_id, departure_time, {date_str} AS partitionpath, "
-                                   "CAST(epoch(departure_ts) AS BIGINT) AS ts FROM rides"),
-        "scan_delimited": _with("rides", "SELECT order_id, product_id, type, traffic_type, pre_total_fee, "
-                                         "start_dest_distance, departure_time, y AS year, m AS month, d AS day FROM rides"),
-        "ride_store": _with("rides", "SELECT partitionpath, count(*) AS n, CAST(sum(product_id) AS BIGINT) AS "
-                                     "product_sum FROM (SELECT *, row_number() OVER (PARTITION BY partitionpath, order_id "
-                                     "ORDER BY ts DESC, pre_total_fee DESC, start_dest_distance DESC, product_id DESC, "
-                                     "type DESC, traffic_type DESC, departure_time DESC) AS r FROM (SELECT *, "
-                                     f"{date_str} AS partitionpath, CAST(epoch(departure_ts) AS BIGINT) AS ts FROM rides)) "
-                                     "WHERE r = 1 GROUP BY partitionpath"),
-        "scan_json_lines": _with("log", "SELECT uuid, partitionpath, driver, rider, fare, event_id FROM log"),
-        "lake_insert": _with("log", "SELECT commit_time, count(*) AS n FROM (SELECT DISTINCT commit_time, "
-                                    "partitionpath, uuid FROM log) GROUP BY commit_time"),
-        "lake_precombine": _with("log", "SELECT commit_time, uuid, max(event_id) AS event_id FROM (SELECT *, "
-                                        "row_number() OVER (PARTITION BY commit_time, partitionpath, uuid ORDER BY "
-                                        "ts DESC, event_id DESC) AS r FROM log) WHERE r = 1 GROUP BY commit_time, uuid"),
-        "lake_snapshot": _with("log latest snap", "SELECT uuid, partitionpath, driver, rider, fare, commit_time FROM snap"),
-        "lake_upsert": _with("log latest snap", "SELECT uuid, partitionpath, fare, event_id, commit_time FROM snap"),
-        "lake_compact": _with("log latest snap", "SELECT partitionpath, count(*) AS n, max(commit_time) AS last_commit "
-                                                 "FROM snap GROUP BY partitionpath"),
-        "lake_partition_counts": _with("log latest snap", "SELECT partitionpath, count(*) AS n FROM snap "
-                                                          "GROUP BY partitionpath"),
-        "lake_delete": _with("log latest snap", "SELECT (SELECT count(*) FROM snap) AS raw_count, (SELECT count(*) "
-                                                "FROM snap) - (SELECT count(*) FROM (SELECT uuid FROM snap ORDER BY "
-                                                "uuid LIMIT 2)) AS after_count"),
-        "lake_overwrite": _with("log", "SELECT uuid, event_id, commit_time FROM (SELECT *, row_number() OVER "
-                                       "(PARTITION BY partitionpath, uuid ORDER BY ts DESC, event_id DESC) AS r FROM "
-                                       "log WHERE commit_time = (SELECT max(commit_time) FROM log)) WHERE r = 1"),
-        "lake_as_of": _with("log", "SELECT uuid, partitionpath, fare, commit_time FROM "
-                                   + snap_row.format(where="commit_time <= '20240115000000'")
-                                   + " WHERE r = 1 AND NOT is_delete"),
-        "lake_as_of_recent": _with("log", "SELECT uuid, commit_time FROM "
-                                          + snap_row.format(where="commit_time <= '20240115000000'")
-                                          + " WHERE r = 1 AND NOT is_delete ORDER BY commit_time DESC, uuid LIMIT 5"),
-        "lake_incremental": _with("log", "SELECT commit_time, fare, begin_lon, begin_lat, strftime(ts, "
-                                         "'%Y-%m-%d %H:%M:%S') AS ts FROM "
-                                         + snap_row.format(where="commit_time > '20240120000000'")
-                                         + " WHERE r = 1 AND NOT is_delete AND fare > 20.0"),
-        "lake_commits": _with("log", "SELECT DISTINCT commit_time FROM log ORDER BY commit_time DESC LIMIT 50"),
-        "trips_fare_range": _with("log latest snap", "SELECT driver, rider, fare, begin_lat, begin_lon, partitionpath, "
-                                                     "commit_time FROM snap WHERE fare >= 20 AND fare <= 50 ORDER BY "
-                                                     "fare DESC, commit_time DESC, uuid LIMIT 20"),
-        "catalog_table": _with("rides", f"SELECT {date_str} AS date_str, count(*) AS n FROM rides GROUP BY y, m, d"),
-        "catalog_add_partitions": _with("rides", f"SELECT order_id, product_id, {date_str} AS date_str FROM rides"),
-        "catalog_partitions": _with("rides", f"SELECT DISTINCT 'date_str=' || {date_str} AS \"partition\" FROM rides"),
-        "encode_messages": _with("msgs", "SELECT order_id AS key, order_id AS j_order_id, user_id AS j_user_id, "
-                                         "order_time AS j_order_time, order_status AS j_order_status FROM msgs"),
-        "stream_order_etl": _with("msgs", "SELECT order_id, user_id, order_time, order_money, CAST(order_status AS "
-                                          "VARCHAR) AS order_status, CAST(epoch_ms(CAST(order_time AS TIMESTAMP)) AS "
-                                          "BIGINT) AS ts_ms, substring(order_time, 1, 10) AS day FROM msgs"),
-        "stream_json_tolerant": _with("msgs", "SELECT order_id AS \"orderId\", user_id AS \"userId\", order_time AS "
-                                              "\"orderTime\", order_money AS \"orderMoney\", order_status AS "
-                                              "\"orderStatus\", substring(order_id, 1, 17) AS ts, substring(order_time, "
-                                              "1, 10) AS partition_day FROM msgs WHERE event_id % 10 <> 0"),
-        "stream_upsert_mor": _with("msgs", "SELECT user_id, day, order_id, order_money FROM (SELECT *, "
-                                           "substring(order_time, 1, 10) AS day, row_number() OVER (PARTITION BY "
-                                           "substring(order_time, 1, 10), user_id ORDER BY ts DESC, event_id DESC) AS r "
-                                           "FROM msgs) WHERE r = 1"),
-        "stream_lake_read": _with("log", "SELECT commit_time, count(*) AS n FROM (SELECT DISTINCT commit_time, "
-                                         "partitionpath, uuid FROM log) GROUP BY commit_time"),
-        "ipv4_range_tally": "SELECT g.lo_ip AS range_start, count(*) AS total FROM (SELECT CAST(CASE WHEN "
-                            "event_id % 2 = 0 THEN 607649792 + (event_id * 7919) % 524287 ELSE -1950089216 + "
-                            "(event_id * 7919) % 1310719 END AS BIGINT) AS ip FROM events) e JOIN (VALUES "
-                            f"{ranges}) g(lo, hi, lo_ip) ON e.ip BETWEEN g.lo AND g.hi GROUP BY g.lo_ip",
-    }

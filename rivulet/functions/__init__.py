@@ -9,8 +9,8 @@ from rivulet.functions.labels import (  # noqa: F401
 )
 from rivulet.functions.timefmt import (  # noqa: F401
     dash_path,
-    epoch_millis,
     epoch_seconds,
+    instant_column,
     normalize_instant,
     parse_time,
     prefix,

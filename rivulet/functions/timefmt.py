@@ -6,6 +6,8 @@ All parsing goes through ``try_to_timestamp`` so that text such as
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,6 +23,8 @@ def _c(col: Column | str) -> Column:
 
 def parse_time(col: Column | str, fmt: str) -> Column:
     """Text -> timestamp, NULL when the text does not match ``fmt``."""
+    if fmt == DEPARTURE_FORMAT:  # the form that a cast reads, several times as fast as a pattern
+        return F.when(_c(col).like("____-__-__ __:__:__"), _c(col).try_cast("timestamp"))
     return F.try_to_timestamp(_c(col), F.lit(fmt))
 
 
@@ -29,11 +33,6 @@ def epoch_seconds(col: Column | str, fmt: str = DEPARTURE_FORMAT) -> Column:
     return F.unix_timestamp(parse_time(col, fmt))
 
 
-def epoch_millis(col: Column | str) -> Column:
-    """Timestamp -> milliseconds since the epoch (bigint)."""
-    return F.unix_millis(_c(col))
-
-
 def dash_path(*parts: Column | str) -> Column:
     """``y-m-d`` without zero padding (``2017-5-22``); NULL if any part is NULL.
 
@@ -56,9 +55,26 @@ def weekday(col: Column | str, fmt: str = DEPARTURE_FORMAT) -> Column:
     return F.dayofweek(parse_time(col, fmt))
 
 
+_DASHED = re.compile(r"(\d{4})-(\d\d)-(\d\d)(?:[ T](\d\d):(\d\d):(\d\d)(?:\.(\d{1,3}))?)?")
+
+
 def normalize_instant(instant: str) -> str:
-    """``2021-12-25 15:20:16[.123]`` or ``20211225152016[123]`` -> digits only."""
-    digits = "".join(ch for ch in str(instant) if ch.isdigit())
-    if len(digits) < 8:
+    """An instant as 17 digits ``yyyyMMddHHmmssSSS``, from ``2021-12-25``,
+    ``2021-12-25 15:20:16[.5]``, or 14 or 17 digits.  Instants of one length
+    compare as texts."""
+    text = str(instant).strip()
+    if re.fullmatch(r"\d{14}|\d{17}", text):
+        return text.ljust(17, "0")
+    m = _DASHED.fullmatch(text)
+    if not m:
         raise ValueError(f"not an instant: {instant!r}")
-    return digits
+    parts = [g or "00" for g in m.groups()[:6]]
+    return "".join(parts) + (m[7] or "").ljust(3, "0")
+
+
+def instant_column(col: Column | str) -> Column:
+    """Texts of 14 or 17 digits as 17 digits; others (and NULL) fail the job."""
+    c = _c(col).cast("string")
+    return F.when(c.rlike(r"^(\d{14}|\d{17})$"), F.rpad(c, 17, "0")).otherwise(
+        F.raise_error(F.concat(F.lit("not an instant: "), F.coalesce(c, F.lit("NULL"))))
+    )

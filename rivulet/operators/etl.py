@@ -45,14 +45,9 @@ def order_etl(messages: DataFrame) -> DataFrame:
     ``order_id`` is the message key.  ``ts`` is the parsed ``order_time``
     (precombine field), ``day`` its first ten characters (partition).
     """
-    base = messages.selectExpr(
-        "CAST(key AS STRING) AS order_id",
-        "CAST(value AS STRING) AS message",
-        "topic",
-        "partition",
-        "offset",
-        "timestamp",
-    )
+    carried = [F.col(c) for c in ("topic", "partition", "offset", "timestamp")]
+    as_text = {"order_id": "key", "message": "value"}
+    base = messages.select(*(F.col(c).cast("string").alias(name) for name, c in as_text.items()), *carried)
     # one JSON parse per message for all five fields (json_tuple), instead of
     # one parse per field; values come back as text, as get_json_object gives
     names = [name for name, _ in _ORDER_TEXT_FIELDS]

@@ -2,10 +2,9 @@
 
 Each range is cut into its /16 blocks, which turns ``ip BETWEEN lo AND hi``
 into an equi-join on the block number plus the range test.  The block table
-is built from the fixed range list on the driver, so its size is known before
-the job runs (a few hundred rows) and it is broadcast behind that bound; the
-address side is never shuffled for the join, and the count is a partial
-aggregate over at most ten groups.
+comes from the fixed range list (a few hundred rows), so Spark sees its size and
+broadcasts it; the address side is never shuffled for the join, and the count
+is a partial aggregate over at most ten groups.
 """
 
 from __future__ import annotations
@@ -16,28 +15,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rivulet.functions.ipv4 import IP_RANGES, int_to_ipv4
-from rivulet.plans.guards import checked_broadcast
 
 
-def range_blocks(spark: SparkSession, ranges: Sequence[tuple[int, int]] = IP_RANGES) -> tuple[DataFrame, int]:
-    """(block table, its exact row count): one row per /16 block per range."""
-    n_rows = sum((hi >> 16) - (lo >> 16) + 1 for lo, hi in ranges)
+def range_blocks(spark: SparkSession, ranges: Sequence[tuple[int, int]] = IP_RANGES) -> DataFrame:
+    """One row per /16 block per range."""
     base = spark.createDataFrame([(int(lo), int(hi)) for lo, hi in ranges], "lo int, hi int")
-    blocks = base.select(
+    return base.select(
         F.explode(F.sequence(F.shiftright("lo", 16), F.shiftright("hi", 16))).alias("block"),
         "lo",
         "hi",
         int_to_ipv4("lo").alias("range_start"),
     )
-    return blocks, n_rows
 
 
 def tally_ranges(df: DataFrame, ip_col: str, ranges: Sequence[tuple[int, int]] = IP_RANGES) -> DataFrame:
     """``(range_start, total)`` for every range that holds at least one address."""
-    blocks, n_rows = range_blocks(df.sparkSession, ranges)
+    blocks = range_blocks(df.sparkSession, ranges)
     ips = df.select(F.col(ip_col).cast("int").alias("ip")).withColumn("block", F.shiftright("ip", 16))
     joined = ips.join(
-        checked_broadcast(blocks, n_rows),
+        blocks,
         (ips["block"] == blocks["block"]) & ips["ip"].between(blocks["lo"], blocks["hi"]),
         "inner",
     )

@@ -2,22 +2,35 @@
 
 Data model
 ----------
-A table is identified by ``(partition, record key)``.  Every write is a
-*commit* (an instant string such as ``20211225152016``) and appends rows to a
-change log::
+A table is identified by ``(partition, record key)``.  Every write appends rows
+to a change log under a *commit*, an instant of 17 digits such as
+``20211225152016000``::
 
-    <path>/v<gen>/log/_commit_time=<c>/part-*.parquet          (change log)
-    <path>/v<gen>/current/_partition_path=<p>/part-*.parquet   (reduced state)
-    <path>/_schema.json                                         (data schema)
+    <path>/_table.json                                          (generation, schema)
+    <path>/log/_gen=<gen>/_commit_time=<c>/_write_id=<w>/part-*.parquet
+    <path>/v<gen>/current/_partition_path=<p>/part-*.parquet    (copy-on-write state)
+    <path>/v<gen>/pending/<w>                                   (writes under way)
 
 Log rows carry the data columns plus ``_partition_path``, ``_record_key`` and
-``_op`` (``U`` upsert, ``D`` delete tombstone), sorted by identity within a
-commit.  A commit instant identifies one write.  The state of the table at any instant is
-the *latest row per identity* among the commits up to that instant, with
-tombstones removed.  "Latest" is a total order: the commit instant, then the
-precombine field, then declared tie-break columns (``merge="commit"``); or the
-precombine field first (``merge="precombine"``: late data never overwrites a
-newer record).
+``_op`` (``U`` upsert, ``D`` delete tombstone).  Each write has an id of its own
+below the commit, so two writes of one commit add up; a stream's write id is
+made of its stream and batch, so a replayed batch replaces itself and nothing
+else.  The state of the table at any instant is the *latest row per identity*
+among the commits up to that instant, with tombstones removed.  "Latest" is a
+total order: the commit instant, then the precombine field, then tie-break
+columns (``merge="commit"``); or the precombine field first
+(``merge="precombine"``: late data never overwrites a newer record).  In that
+mode a tombstone with a precombine value competes by it, and one without beats
+every row of its own and earlier commits.
+
+Interrupted writes
+------------------
+The log is the truth.  A write leaves a file in ``pending/`` until it is done.
+While its rows are being appended readers leave its write id out; from then on
+its rows count, and until ``current/`` is refreshed snapshots reduce the log
+instead.  The next write refreshes what an interrupted one touched.
+``_table.json`` is replaced last, by a rename: an overwrite that fails leaves
+readers on the old generation with the old schema.
 
 Spark mapping
 -------------
@@ -25,24 +38,18 @@ Spark mapping
   ...) = 1``.  Spark plans it with a partial top-1 per task before the
   shuffle, so a key holding a third of all rows still ships one row per task,
   never a whole group to one task; and the scan is pruned to the columns the
-  caller selects.
+  caller selects.  Filters on ``partitions`` and ``keys`` reach the scan.
 * As-of / incremental reads are filters on the ``_commit_time`` directory
   column -> partition pruning, only the needed commits are listed and read.
-* Writing a commit is a dynamic partition overwrite of exactly the commit
-  folders it produces, so replaying the same commit (a retried micro-batch)
-  replaces instead of duplicating; a commit gets a few large files however
-  many table partitions it touches.
-* Copy-on-write keeps ``current/`` = reduced state, rewriting only the
-  partitions a commit touches (read ``current[p] + batch[p]``, reduce,
-  dynamic-overwrite ``p``).  Merge-on-read reduces the log at read time;
-  ``compact()`` materialises ``current/`` for read-optimised scans.
-* Overwrite starts a new generation directory; readers use the newest one,
-  so a job never overwrites the files it is reading.
+* Copy-on-write: the first write's log is the state as it stands; from the second
+  on ``current/`` holds the reduced state, and a write rewrites only the
+  partitions it touches.  Merge-on-read reduces the log at read time.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
@@ -50,10 +57,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rivulet.functions.timefmt import normalize_instant
-from rivulet.session import hadoop_fs, list_dirs, path_exists
+from rivulet.functions.timefmt import instant_column, normalize_instant
+from rivulet.session import delete_path, list_names, path_exists, read_text, replace_text
 
 COMMIT = "_commit_time"
+WRITE = "_write_id"
+GENERATION = "_gen"
 PART = "_partition_path"
 KEY = "_record_key"
 OP = "_op"
@@ -62,14 +71,8 @@ IDENTITY = (PART, KEY)
 
 # Partition path of rows whose partition field is NULL or empty.
 DEFAULT_PARTITION = "default"
-
-# Above this many touched partitions a copy-on-write refresh restricts
-# ``current/`` with a semi join instead of a literal IN-list filter.
-MAX_PRUNE_LIST = 10000
-# A copy-on-write batch with at most this many rows has its identities
-# broadcast (two short strings each: tens of MB at the bound, since a
-# broadcast is gathered on the driver before it is shipped to executors).
-MAX_BROADCAST_KEYS = 500_000
+# "Last commit in current/" where commits came from a column: above any instant.
+_UNKNOWN_COMMIT = "~"
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
@@ -92,11 +95,6 @@ def now_instant() -> str:
     return t.strftime("%Y%m%d%H%M%S") + f"{t.microsecond // 1000:03d}"
 
 
-def batch_instant(batch_id: int) -> str:
-    """Commit instant of a stream micro-batch: its id, zero-padded to 17 digits."""
-    return f"{int(batch_id):017d}"
-
-
 class LakeTable:
     """A keyed table: ``key`` record key, ``partition`` partition field,
     ``precombine`` field that picks the winner among rows of one key.
@@ -117,7 +115,6 @@ class LakeTable:
         kind: str = "cow",
         merge: str = "commit",
         tiebreak: Sequence[str] = (),
-        generation: int | None = None,
     ):
         if kind not in ("cow", "mor"):
             raise ValueError("kind must be 'cow' or 'mor'")
@@ -131,81 +128,75 @@ class LakeTable:
         self.kind = kind
         self.merge = merge
         self.tiebreak = tuple(tiebreak)
-        self._schema: T.StructType | None = None
-        self._gen = generation
-        self._replace_schema = False
+        # what an overwrite is building; readers see it once it is published
+        self._building: dict | None = None
 
     # ------------------------------------------------------------------ layout
+    def _table(self) -> dict | None:
+        """Generation and schema, both from the one table file."""
+        if self._building is not None:
+            return self._building
+        text = read_text(self.spark, f"{self.path}/_table.json")
+        return json.loads(text) if text else None
+
+    def _publish(self, table: dict) -> None:
+        if self._building is not None:
+            self._building = table
+        else:
+            replace_text(self.spark, f"{self.path}/_table.json", json.dumps(table))
+
     def _generation(self) -> int:
-        if self._gen is not None:
-            return self._gen
-        gens = [int(n[1:]) for n in list_dirs(self.spark, self.path) if n[:1] == "v" and n[1:].isdigit()]
-        return max(gens) if gens else 0
-
-    def _root(self, gen: int | None = None) -> str:
-        return f"{self.path}/v{self._generation() if gen is None else gen}"
-
-    def _log_dir(self, gen: int | None = None) -> str:
-        return f"{self._root(gen)}/log"
-
-    def _current_dir(self, gen: int | None = None) -> str:
-        return f"{self._root(gen)}/current"
-
-    def _read_text(self, path: str) -> str | None:
-        """One line of table metadata (schema, compaction instant), or None."""
-        if not path_exists(self.spark, path):
-            return None
-        fs, hp = hadoop_fs(self.spark, path)
-        jvm = self.spark.sparkContext._jvm
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(hp), "UTF-8"))
-        try:
-            return reader.readLine()
-        finally:
-            reader.close()
-
-    def _write_text(self, path: str, text: str) -> None:
-        fs, hp = hadoop_fs(self.spark, path)
-        out = fs.create(hp, True)
-        try:
-            out.write(bytearray(text.encode("utf-8")))
-        finally:
-            out.close()
+        table = self._table()
+        return table["generation"] if table else 0
+
+    def _root(self) -> str:
+        return f"{self.path}/v{self._generation()}"
+
+    def _log_dir(self) -> str:
+        return f"{self.path}/log/{GENERATION}={self._generation()}"
+
+    def _current_dir(self) -> str:
+        return f"{self._root()}/current"
+
+    def _pending(self) -> dict[str, str]:
+        """Writes under way or interrupted: write id -> ``log`` or ``refresh``."""
+        d = f"{self._root()}/pending"
+        return {w: read_text(self.spark, f"{d}/{w}") or "log" for w in list_names(self.spark, d)}
+
+    def _mark(self, write_id: str, state: str) -> None:
+        replace_text(self.spark, f"{self._root()}/pending/{write_id}", state)
+
+    def _done(self, write_id: str) -> None:
+        delete_path(self.spark, f"{self._root()}/pending/{write_id}")
 
     @property
     def data_schema(self) -> T.StructType | None:
         """Schema of the stored rows (data columns + ``_record_key``, ``_op``)."""
-        if self._schema is None:
-            text = self._read_text(f"{self.path}/_schema.json")
-            if text is not None:
-                self._schema = T.StructType.fromJson(json.loads(text))
-        return self._schema
-
-    def _save_schema(self, schema: T.StructType) -> None:
-        self._write_text(f"{self.path}/_schema.json", json.dumps(schema.jsonValue()))
-        self._schema = schema
-
-    def _compacted_at(self) -> str | None:
-        """Instant up to which ``current/`` holds the reduced log (MOR)."""
-        return self._read_text(f"{self._root()}/_compacted")
+        table = self._table()
+        return T.StructType.fromJson(table["schema"]) if table and table.get("schema") else None
 
-    def _read_schema(self, with_commit: bool) -> T.StructType:
-        fields = list(self.data_schema.fields) + [T.StructField(PART, T.StringType())]
-        if with_commit:
-            fields.append(T.StructField(COMMIT, T.StringType()))
-        return T.StructType(fields)
+    def _read_schema(self, *extra: str) -> T.StructType:
+        schema = self.data_schema
+        if schema is None:
+            raise FileNotFoundError(f"no table at {self.path}")
+        return T.StructType([*schema.fields, *(T.StructField(c, T.StringType()) for c in extra)])
 
-    def _empty(self, with_commit: bool = True) -> DataFrame:
-        return self.spark.createDataFrame([], self._read_schema(with_commit))
+    def _scan(self, folder: str, *extra: str) -> DataFrame:
+        schema = self._read_schema(*extra)
+        if not path_exists(self.spark, folder):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("basePath", folder).parquet(folder)
 
     # ------------------------------------------------------------------ reads
+    def _log_rows(self) -> DataFrame:
+        """The log with its write ids, without writes that were not completed."""
+        rows = self._scan(self._log_dir(), PART, COMMIT, WRITE)
+        partial = [w for w, state in self._pending().items() if state == "log"]
+        return rows.where(~F.col(WRITE).isin(partial)) if partial else rows
+
     def log(self) -> DataFrame:
         """The raw change log (every row of every commit, tombstones included)."""
-        if self.data_schema is None:
-            raise FileNotFoundError(f"no table at {self.path}")
-        d = self._log_dir()
-        if not path_exists(self.spark, d):
-            return self._empty()
-        return self.spark.read.schema(self._read_schema(True)).option("basePath", d).parquet(d)
+        return self._log_rows().drop(WRITE)
 
     def _tiebreak(self) -> list[str]:
         """Declared tie-break columns; by default every other sortable data
@@ -224,88 +215,79 @@ class LakeTable:
             return [COMMIT, self.precombine, *self._tiebreak()]
         return [self.precombine, COMMIT, *self._tiebreak()]
 
-    def _state(self, rows: DataFrame) -> DataFrame:
-        """Latest row per identity, tombstones removed, meta columns kept."""
-        red = latest_per_key(rows, list(IDENTITY), self._order())
-        return red.where(F.col(OP) != "D")
+    def _latest(self, rows: DataFrame) -> DataFrame:
+        """Latest row per identity, tombstones kept."""
+        if self.merge == "precombine":
+            rows = self._without_cut(rows)
+        return latest_per_key(rows, list(IDENTITY), self._order())
+
+    def _without_cut(self, rows: DataFrame) -> DataFrame:
+        """Rows but those that a tombstone without a precombine value deletes: the
+        ones of its commit and of commits before it."""
+        undated = (F.col(OP) == "D") & F.col(self.precombine).isNull()
+        cuts = rows.where(undated).groupBy(*IDENTITY).agg(F.max(COMMIT).alias("_cut"))
+        cut = F.col("_cut")
+        kept = cut.isNull() | (F.col(COMMIT) > cut) | (undated & (F.col(COMMIT) == cut))
+        return rows.join(cuts, list(IDENTITY), "left").where(kept).select(*rows.columns)
 
     def _public(self, df: DataFrame) -> DataFrame:
-        return df.drop(OP)
-
-    def _restrict(self, df: DataFrame, partitions) -> DataFrame:
-        """Keep only the given table partitions (folder pruning on
-        ``current/``, row-group skipping on the identity-sorted log)."""
-        if partitions is None:
-            return df
-        return df.where(F.col(PART).isin([DEFAULT_PARTITION if p in (None, "") else str(p) for p in partitions]))
-
-    def snapshot(self, partitions=None) -> DataFrame:
-        """Current state of the table (of the given ``partitions`` only).
-
-        Copy-on-write: ``current/`` as is.  Merge-on-read: the log reduced at
-        read time -- after a ``compact()``, only the commits newer than the
-        compaction are merged into ``current/`` (untouched rows unshuffled).
-        """
+        return df.where(F.col(OP) != "D").drop(OP)
+
+    def _restrict(self, df: DataFrame, partitions, keys) -> DataFrame:
+        """Keep only the given table partitions and record keys; both filters
+        reach the scan (folder pruning, row-group skipping)."""
+        if partitions is not None:
+            df = df.where(F.col(PART).isin([DEFAULT_PARTITION if p in (None, "") else str(p) for p in partitions]))
+        if keys is not None:
+            df = df.where(F.col(KEY).isin([str(k) for k in keys]))
+        return df
+
+    def snapshot(self, partitions=None, keys=None) -> DataFrame:
+        """Current state of the table (of the given ``partitions`` and ``keys`` only).
+
+        Copy-on-write: ``current/`` as it is; the log of the only write, or the log
+        reduced while a refresh is outstanding.  Merge-on-read: the log reduced."""
+        table = self._table() or {}
         if self.kind == "cow":
-            cur = self._restrict(self.read_optimized(), partitions)
-            return self._public(cur.where(F.col(OP) != "D"))
-        return self._public(self._reduced(None, partitions).where(F.col(OP) != "D"))
-
-    def _reduced(self, upto: str | None, partitions=None) -> DataFrame:
-        """Latest row per identity (tombstones kept) among commits <= ``upto``."""
-        log = self._restrict(self.log(), partitions)
-        if upto is not None:
-            log = log.where(F.col(COMMIT) <= F.lit(upto))
-        base_at = self._compacted_at() if self.kind == "mor" else None
-        if base_at is None or (upto is not None and upto < base_at):
-            return latest_per_key(log, list(IDENTITY), self._order())
-        delta = log.where(F.col(COMMIT) > F.lit(base_at))
-        base = self._restrict(self.read_optimized(), partitions)
-        return self._merge_state(base, delta, rebalance=False)
-
-    def read_optimized(self) -> DataFrame:
-        """The materialised ``current/`` (copy-on-write state, or the last
-        compaction of a merge-on-read table), tombstones included."""
-        d = self._current_dir()
-        if self.data_schema is None:
-            raise FileNotFoundError(f"no table at {self.path}")
-        if not path_exists(self.spark, d):
-            return self._empty()
-        return self.spark.read.schema(self._read_schema(True)).option("basePath", d).parquet(d)
-
-    def as_of(self, instant: str, partitions=None) -> DataFrame:
-        """State as of ``instant`` (inclusive); compact or dashed spelling."""
-        t = normalize_instant(instant)
-        return self._public(self._reduced(t, partitions).where(F.col(OP) != "D"))
-
-    def incremental(self, begin: str, end: str | None = None, partitions=None) -> DataFrame:
+            pending = self._pending()
+            if table.get("sole") and not pending:
+                return self._public(self._restrict(self.log(), partitions, keys))
+            if "refresh" not in pending.values() and path_exists(self.spark, self._current_dir()):
+                return self._public(self._restrict(self._current(), partitions, keys))
+        return self._public(self._latest(self._restrict(self.log(), partitions, keys)))
+
+    def _current(self) -> DataFrame:
+        """``current/``: one row per identity, tombstones included."""
+        return self._scan(self._current_dir(), COMMIT, PART).select(*self._read_schema(PART, COMMIT).fieldNames())
+
+    def as_of(self, instant: str, partitions=None, keys=None) -> DataFrame:
+        """State as of ``instant`` (inclusive); any spelling of an instant."""
+        log = self._restrict(self.log(), partitions, keys)
+        return self._public(self._latest(log.where(F.col(COMMIT) <= F.lit(normalize_instant(instant)))))
+
+    def incremental(self, begin: str, end: str | None = None, partitions=None, keys=None) -> DataFrame:
         """Latest row per identity among commits in ``(begin, end]``."""
         cond = F.col(COMMIT) > F.lit(normalize_instant(begin))
         if end is not None:
             cond = cond & (F.col(COMMIT) <= F.lit(normalize_instant(end)))
-        return self._public(self._state(self._restrict(self.log(), partitions).where(cond)))
-
-    def commit_instants(self) -> list[str]:
-        """All commit instants, oldest first, from the log's folder names (a
-        one-level listing: its cost follows the number of commits, not the
-        number of files or rows)."""
-        prefix = f"{COMMIT}="
-        return sorted(
-            n[len(prefix):] for n in list_dirs(self.spark, self._log_dir()) if n.startswith(prefix)
+        return self._public(self._latest(self._restrict(self.log(), partitions, keys).where(cond)))
+
+    def commits(self, limit: int = 50) -> DataFrame:
+        """The newest ``limit`` commits that rows of the snapshot come from, newest
+        first."""
+        return (
+            self.snapshot().select(F.col(COMMIT).alias("commit_time")).distinct()
+            .orderBy(F.desc("commit_time")).limit(limit)
         )
 
-    def commits(self, limit: int | None = 50) -> DataFrame:
-        """Commit instants, newest first, as a one-column DataFrame."""
-        instants = self.commit_instants()[::-1]
-        if limit:
-            instants = instants[:limit]
-        return self.spark.createDataFrame([(c,) for c in instants], "commit_time string")
-
     def begin_instant(self, newest: int = 50) -> str | None:
-        """The oldest of the newest ``newest`` commits: the begin instant of an
-        incremental read over them."""
-        instants = self.commit_instants()[-newest:]
-        return instants[0] if instants else None
+        """The oldest of the newest ``newest`` commits of the snapshot: the begin
+        instant of an incremental read over them.  None for an empty table."""
+        return self.commits(newest).agg(F.min("commit_time")).first()[0]
+
+    def last_instant(self) -> str | None:
+        """The newest commit of the log."""
+        return self.log().agg(F.max(COMMIT)).first()[0]
 
     def count(self) -> int:
         return self.snapshot().count()
@@ -319,10 +301,7 @@ class LakeTable:
         delete_col: str | None,
         op: str = "U",
     ) -> DataFrame:
-        if commit_col is None:
-            commit_value: Column = F.lit(instant)
-        else:
-            commit_value = F.col(commit_col).cast("string")
+        commit_value: Column = F.lit(instant) if commit_col is None else instant_column(F.col(commit_col))
         op_value = F.when(F.col(delete_col), F.lit("D")).otherwise(F.lit("U")) if delete_col else F.lit(op)
         control = {c for c in (commit_col, delete_col) if c}
         key = F.col(self.key).cast("string")
@@ -345,78 +324,69 @@ class LakeTable:
         p = F.col(self.partition).cast("string")
         return F.when(p.isNull() | (p == ""), F.lit(DEFAULT_PARTITION)).otherwise(p)
 
-    def _conform(self, rows: DataFrame) -> DataFrame:
-        """Check/record the stored schema and order columns to match it."""
+    def _conform(self, rows: DataFrame, schema: dict | None) -> tuple[DataFrame, dict]:
+        """The rows in the stored schema; of a new table theirs becomes it."""
         stored = [c for c in rows.columns if c not in (PART, COMMIT)]
-        schema = None if self._replace_schema else self.data_schema
-        if schema is None:
-            self._save_schema(rows.select(*stored).schema)
-            schema = self.data_schema
-        names = schema.fieldNames()
-        missing = set(names) - set(rows.columns)
-        extra = set(stored) - set(names)
+        schema = schema or rows.select(*stored).schema.jsonValue()
+        fields = T.StructType.fromJson(schema).fields
+        missing = {f.name for f in fields} - set(rows.columns)
+        extra = set(stored) - {f.name for f in fields}
         if missing or extra:
             raise ValueError(f"schema mismatch: missing {sorted(missing)}, unexpected {sorted(extra)}")
-        return rows.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields], PART, COMMIT)
-
-    def _append(self, rows: DataFrame) -> None:
-        # One folder per commit.  REBALANCE clusters rows by commit so a commit
-        # gets a few files, not one per shuffle task (AQE splits a large one);
-        # rows are sorted by identity inside each file, so Parquet row-group
-        # statistics skip files and row groups on partition/key filters.
+        return rows.select(*[F.col(f.name).cast(f.dataType) for f in fields], PART, COMMIT), schema
+
+    def _append(self, rows: DataFrame, write_id: str, one_commit: bool) -> None:
+        """Add a write to the log, sorted by identity inside each file so that
+        Parquet statistics skip row groups on partition and key filters.  Rows of
+        one commit stay where the reduction left them; rows of many are gathered
+        by commit (a commit gets a few files; AQE splits a large one)."""
+        rows = rows if one_commit else rows.hint("rebalance", COMMIT)
         (
-            rows.hint("rebalance", COMMIT)
+            rows.withColumn(WRITE, F.lit(write_id))
             .sortWithinPartitions(COMMIT, PART, KEY)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(COMMIT)
+            .partitionBy(COMMIT, WRITE)
             .parquet(self._log_dir())
         )
 
-    def _refresh_current(self, batch: DataFrame) -> None:
-        """Copy-on-write: rewrite the touched partitions of ``current/``."""
+    def _applied(self) -> str | None:
+        return read_text(self.spark, f"{self._root()}/applied")
+
+    def _refresh_current(self, write_id: str, instant: str | None, interrupted: list[str]) -> None:
+        """Copy-on-write: rewrite the partitions of ``current/`` that the write
+        touches, and those of interrupted writes before it."""
+        log, applied = self._log_rows(), self._applied()
+        batch = log.where(F.col(WRITE) == write_id).drop(WRITE)
+        if applied is None or not path_exists(self.spark, self._current_dir()):
+            state = self._latest(log.drop(WRITE))
+        elif interrupted or (self.merge == "precombine" and (instant is None or instant <= applied)):
+            # what an interrupted write left is unknown, and current/ doesn't hold the
+            # tombstones a late commit meets: reduce the log of the partitions
+            touched = log.where(F.col(WRITE).isin([write_id, *interrupted])).select(PART).distinct()
+            state = self._latest(log.drop(WRITE).join(touched, PART, "left_semi"))
+        else:
+            state = self._merged(batch, instant, applied)
         (
-            self._current_state(batch)
+            state.hint("rebalance", PART)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(PART)
             .parquet(self._current_dir())
         )
-
-    def _current_state(self, batch: DataFrame) -> DataFrame:
-        """New rows of the touched partitions of ``current/`` after ``batch``."""
-        if not path_exists(self.spark, self._current_dir()):
-            return latest_per_key(batch, list(IDENTITY), self._order()).hint("rebalance", PART)
-        touched = batch.select(PART).distinct()
-        parts = [r[0] for r in touched.limit(MAX_PRUNE_LIST + 1).collect()]
-        current = self.read_optimized()
-        if len(parts) <= MAX_PRUNE_LIST:
-            base = current.where(F.col(PART).isin(parts))  # directory pruning
-        else:
-            base = current.join(touched, PART, "left_semi")
-        return self._merge_state(base, batch, rebalance=True)
-
-    def _merge_state(self, base: DataFrame, delta: DataFrame, rebalance: bool) -> DataFrame:
-        """Reduced state ``base`` (one row per identity) updated by ``delta``.
-
-        When ``delta`` is small enough to broadcast its identities (its row
-        count, checked before the hint, bounds them), rows of ``base`` whose
-        identity is not in ``delta`` pass through a broadcast anti join
-        without any shuffle, and only the contested identities (their base
-        row plus the delta rows) are reduced.  Beyond the bound, ``base +
-        delta`` is reduced with one shuffle.
-        """
-        order = self._order()
-        if delta.count() <= MAX_BROADCAST_KEYS:  # Parquet row counts: footers only
-            ids = F.broadcast(delta.select(*IDENTITY).distinct())
-            kept = base.join(ids, list(IDENTITY), "left_anti")
-            contested = base.join(ids, list(IDENTITY), "left_semi").unionByName(delta)
-            changed = latest_per_key(contested, list(IDENTITY), order)
-            # untouched rows keep their file layout; only the small reduced
-            # set is clustered by partition before a write
-            return kept.unionByName(changed.hint("rebalance", PART) if rebalance else changed)
-        state = latest_per_key(base.unionByName(delta), list(IDENTITY), order)
-        return state.hint("rebalance", PART) if rebalance else state
+        last = _UNKNOWN_COMMIT if instant is None else max(instant, applied or instant)
+        replace_text(self.spark, f"{self._root()}/applied", last)
+
+    def _merged(self, batch: DataFrame, instant: str | None, applied: str) -> DataFrame:
+        """The touched partitions of ``current/`` after ``batch``; one scan of them.
+        The comparison with '' is always true: it lets Spark prune the folders of
+        ``current/`` by the batch's partitions when it broadcasts those."""
+        touched = batch.where(F.col(PART) >= "").select(PART).distinct()
+        base = self._current().join(touched, PART, "left_semi").select(*batch.columns)
+        if self.merge == "commit" and instant is not None and instant > applied:
+            # newer than every row there: contested base rows lose, no reduction needed
+            return base.join(batch.select(*IDENTITY), list(IDENTITY), "left_anti").unionByName(batch)
+        return self._latest(base.unionByName(batch))
 
     def write(
         self,
@@ -425,27 +395,32 @@ class LakeTable:
         commit_col: str | None = None,
         delete_col: str | None = None,
         op: str = "U",
+        write_id: str | None = None,
     ) -> str | None:
         """Write one commit (``commit``, default now) or a change feed with a
         commit per row (``commit_col``; ``delete_col`` flags deletes).  Rows of
         one identity in one commit are first reduced to the greatest precombine
-        value.  Returns the commit instant (None for a change feed)."""
+        value.  A second write to a commit adds to the first; the same
+        ``write_id`` replaces its own rows there.  Returns the commit instant (None
+        for a change feed)."""
         instant = None if commit_col else (normalize_instant(commit) if commit else now_instant())
-        rows = self._conform(self._stamp(df, instant, commit_col, delete_col, op))
+        write_id = write_id or uuid.uuid4().hex
+        table = dict(self._table() or {"generation": 0})
+        rows, schema = self._conform(self._stamp(df, instant, commit_col, delete_col, op), table.get("schema"))
+        first = not table.get("schema")
+        # the state of a copy-on-write table whose only write is one commit is its log
+        sole = write_id if self.kind == "cow" and instant is not None and (first or table.get("sole") == write_id) else None
+        if first or table.get("sole") != sole:
+            self._publish({**table, "schema": schema, "sole": sole})
+        interrupted = [w for w, state in self._pending().items() if state == "refresh" and w != write_id]
+        self._mark(write_id, "log")
         combined = latest_per_key(rows, [PART, KEY, COMMIT], [self.precombine, *self._tiebreak()])
-        combined = combined.select(*rows.columns)
-        staged = None
-        if self.kind == "cow":
-            # The reduced batch feeds two writes (log append, current refresh):
-            # stage it once in the shared folder instead of recomputing it.
-            staged = f"{self.path}/_staging/{now_instant()}"
-            combined.write.mode("overwrite").parquet(staged)
-            combined = self.spark.read.schema(combined.schema).parquet(staged)
-        self._append(combined)
-        if self.kind == "cow":
-            self._refresh_current(combined)
-            fs, hp = hadoop_fs(self.spark, staged)
-            fs.delete(hp, True)
+        self._append(combined.select(*rows.columns), write_id, commit_col is None)
+        if self.kind == "cow" and not sole:
+            self._mark(write_id, "refresh")
+            self._refresh_current(write_id, instant, interrupted)
+        for w in [*interrupted, write_id]:
+            self._done(w)
         return instant
 
     insert = write
@@ -464,57 +439,35 @@ class LakeTable:
             cols.append(F.col(f.name) if f.name in keys.columns else F.lit(None).cast(f.dataType).alias(f.name))
         return self.write(keys.select(*cols), commit=commit, op="D")
 
-    def overwrite(self, df: DataFrame, commit: str | None = None) -> str | None:
-        """Replace the table and its history with ``df``: the rows go to a new
-        generation directory, so the old files stay readable until it exists."""
-        gen = self._generation() + 1 if path_exists(self.spark, self._log_dir()) else self._generation()
-        fresh = LakeTable(
-            self.spark, self.path, self.key, self.precombine, self.partition,
-            self.kind, self.merge, self.tiebreak, generation=gen,
+    def overwrite(self, df: DataFrame, commit: str | None = None, **options) -> str | None:
+        """Replace the table and its history with ``df`` (``options`` as of
+        ``write``): the rows go to a new generation, and the table file, replaced
+        last, makes it the table's.  Until then readers keep the old one."""
+        before = self._table()
+        building = LakeTable(
+            self.spark, self.path, self.key, self.precombine, self.partition, self.kind, self.merge, self.tiebreak
         )
-        fresh._schema = None  # the new generation defines its own schema
-        fresh._replace_schema = True
-        c = fresh.write(df, commit=commit)
-        self._schema = fresh._schema
+        names = list_names(self.spark, f"{self.path}/log")  # a failed overwrite leaves its generation
+        taken = [int(n.split("=")[1]) for n in names if n.startswith(f"{GENERATION}=")]
+        building._building = {"generation": max([*taken, before["generation"] if before else -1]) + 1}
+        c = building.write(df, commit=commit, **options)
+        self._publish(building._building)
         return c
 
-    def compact(self) -> str | None:
-        """Materialise the reduced state into ``current/`` and record the
-        instant it covers.  A later compaction (and a merge-on-read snapshot)
-        merges only the commits after that instant.  Tombstones are kept so a
-        fully deleted partition is still rewritten.  Returns the instant."""
-        if self.data_schema is None:
-            raise FileNotFoundError(f"no table at {self.path}")
-        instants = self.commit_instants()
-        if not instants:
-            return None
-        upto = instants[-1]
-        prev = self._compacted_at()
-        log = self.log().where(F.col(COMMIT) <= F.lit(upto))
-        if prev is None or not path_exists(self.spark, self._current_dir()):
-            state = latest_per_key(log, list(IDENTITY), self._order()).hint("rebalance", PART)
-        else:
-            state = self._current_state(log.where(F.col(COMMIT) > F.lit(prev)))
-        (
-            state.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(PART)
-            .parquet(self._current_dir())
-        )
-        self._write_text(f"{self._root()}/_compacted", upto)
-        return upto
-
     # ------------------------------------------------------------ streaming
-    def batch_writer(self, compact_every: int | None = None):
-        """``foreachBatch`` callback: each micro-batch is one commit whose
-        instant is derived from the batch id, so a replay is idempotent.
-        ``compact_every=n`` compacts a merge-on-read table after every n-th
-        batch (inline compaction), which bounds what a snapshot must merge."""
+    def batch_writer(self, stream: str):
+        """``foreachBatch`` callback: each micro-batch is one write.  ``stream``
+        names the stream for good (its checkpoint folder); stream and batch id make
+        the write id, and the batch's commit is recorded, so a replayed batch
+        goes to its old commit and replaces itself.  Streams do not meet."""
+        name = uuid.uuid5(uuid.NAMESPACE_URL, stream).hex
 
         def _write(batch: DataFrame, batch_id: int) -> None:
-            self.write(batch, commit=batch_instant(batch_id))
-            if compact_every and self.kind == "mor" and (batch_id + 1) % compact_every == 0:
-                self.compact()
+            note = f"{self.path}/_streams/{name}"
+            last = (read_text(self.spark, note) or "").split()
+            commit = last[1] if last[:1] == [str(batch_id)] else now_instant()
+            replace_text(self.spark, note, f"{batch_id} {commit}")
+            self.write(batch, commit=commit, write_id=f"{name}-{batch_id}")
 
         return _write
 

@@ -1,2 +1 @@
 from rivulet.plans import catalog  # noqa: F401
-from rivulet.plans.guards import checked_broadcast, estimated_bytes  # noqa: F401

@@ -9,12 +9,14 @@ do we choose a folder of our own and register it with the session.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 _CONF_KEY = "spark.checkpoint.dir"
+_LOCAL = re.compile(r"local(\[[^\]]*\])?$")  # one process; not local-cluster
 # Folders chosen for applications whose session names none (by application id).
 _OWN_ROOTS: dict[str, str] = {}
 
@@ -32,6 +34,8 @@ def ensure_work_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     if not root:
         app = sc.applicationId
+        if not (_LOCAL.match(sc.master) or app in _OWN_ROOTS or sc.getCheckpointDir()):
+            raise ValueError(f"{_CONF_KEY} must name a folder that driver and executors share")
         root = _OWN_ROOTS.get(app) or sc.getCheckpointDir() or tempfile.mkdtemp(prefix="rivulet-")
         _OWN_ROOTS[app] = root
     if sc.getCheckpointDir() is None:
@@ -70,11 +74,53 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in the folder ``path`` (metadata only); none if it doesn't exist."""
+    fs, p = hadoop_fs(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
 def list_dirs(spark: SparkSession, path: str) -> list[str]:
     """Names of the sub-folders of ``path`` (metadata only, no data read)."""
     fs, p = hadoop_fs(spark, path)
     if not fs.exists(p):
         return []
-    return sorted(
-        s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The one line of a small metadata file, or None."""
+    fs, p = hadoop_fs(spark, path)
+    if not fs.exists(p):
+        return None
+    jvm = spark.sparkContext._jvm
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(p), "UTF-8"))
+    try:
+        return reader.readLine()
+    finally:
+        reader.close()
+
+
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small metadata file under a temporary name and rename it over
+    ``path``: readers see the old line or the new one, never a part."""
+    fs, p = hadoop_fs(spark, path)
+    _, fresh = hadoop_fs(spark, f"{p.getParent()}/.{p.getName()}-{uuid.uuid4().hex}")
+    out = fs.create(fresh, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    sc = spark.sparkContext
+    hadoop = sc._jvm.org.apache.hadoop.fs
+    over = getattr(hadoop, "Options$Rename")
+    options = sc._gateway.new_array(over, 1)
+    options[0] = over.OVERWRITE
+    hadoop.FileContext.getFileContext(p.toUri(), sc._jsc.hadoopConfiguration()).rename(
+        fs.makeQualified(fresh), fs.makeQualified(p), options
     )
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, p = hadoop_fs(spark, path)
+    fs.delete(p, True)

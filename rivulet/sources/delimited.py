@@ -5,18 +5,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-# Columns of the ride file that the stand-in data carries, with declared types
+# The columns of the ride file in its order, with declared types
 # (text times stay text, as in the catalog DDL; CSV inference would turn
-# ``departure_time`` into a timestamp).
+# ``departure_time`` into a timestamp).  The last three are dropped by the ETL.
 RIDE_FILE_SCHEMA = T.StructType(
     [
         T.StructField("order_id", T.LongType()),
         T.StructField("product_id", T.IntegerType()),
+        T.StructField("city_id", T.IntegerType()),
+        T.StructField("district", T.IntegerType()),
+        T.StructField("county", T.IntegerType()),
         T.StructField("type", T.IntegerType()),
+        T.StructField("combo_type", T.IntegerType()),
         T.StructField("traffic_type", T.IntegerType()),
-        T.StructField("pre_total_fee", T.DoubleType()),
+        T.StructField("passenger_count", T.IntegerType()),
+        T.StructField("driver_product_id", T.IntegerType()),
         T.StructField("start_dest_distance", T.IntegerType()),
+        T.StructField("arrive_time", T.StringType()),
         T.StructField("departure_time", T.StringType()),
+        T.StructField("pre_total_fee", T.DoubleType()),
+        T.StructField("normal_time", T.StringType()),
+        T.StructField("bubble_trace_id", T.StringType()),
+        T.StructField("product_1level", T.IntegerType()),
+        T.StructField("dest_lng", T.DoubleType()),
+        T.StructField("dest_lat", T.DoubleType()),
+        T.StructField("starting_lng", T.DoubleType()),
+        T.StructField("starting_lat", T.DoubleType()),
         T.StructField("year", T.IntegerType()),
         T.StructField("month", T.IntegerType()),
         T.StructField("day", T.IntegerType()),
@@ -32,14 +46,23 @@ def read_delimited(
     header: bool = True,
     infer: bool = False,
 ) -> DataFrame:
-    """Scan delimited text.  A declared schema avoids the extra inference pass
-    over the whole input; ``infer=True`` (with ``schema=None``) runs it."""
+    """Scan delimited text.  With a header, the columns of the declared
+    ``schema`` are found by name, wherever they stand (one line is read for it);
+    a file that lacks one is an error, others are left out.  A declared schema
+    avoids the extra inference pass over the whole input; ``infer=True`` (or
+    ``schema=None``) runs it."""
     reader = spark.read.option("sep", sep).option("header", header).option("mode", "PERMISSIVE")
-    if schema is not None and not infer:
-        reader = reader.schema(schema)
-    else:
-        reader = reader.option("inferSchema", True)
-    return reader.csv(path)
+    if schema is None or infer:
+        return reader.option("inferSchema", True).csv(path)
+    if not header:
+        return reader.schema(schema).csv(path)
+    names = reader.csv(path).columns
+    missing = set(schema.fieldNames()) - set(names)
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(sorted(missing))}")
+    declared = {f.name: f.dataType for f in schema.fields}
+    as_stored = T.StructType([T.StructField(n, declared.get(n, T.StringType())) for n in names])
+    return reader.schema(as_stored).csv(path).select(*schema.fieldNames())
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = "\t", header: bool = True) -> str:

@@ -17,29 +17,40 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rivulet.functions.ipv4 import int_to_ipv4
+from rivulet.sources.delimited import RIDE_FILE_SCHEMA
 from rivulet.sources.tables import load
 
 
 def rides(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ride records as stored in the delimited file (year/month/day as ints)."""
     li = load(spark, sf_dir, "lineitem")
-    return li.select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("order_id"),
-        F.col("l_linenumber").cast("int").alias("product_id"),
-        F.when(F.col("l_linestatus") == "F", 0)
-        .when(F.col("l_linestatus") == "O", 1)
-        .alias("type"),
-        F.when(F.col("l_partkey") % 100 == 0, F.lit(302))
-        .otherwise(F.col("l_partkey") % 9)
-        .cast("int")
-        .alias("traffic_type"),
-        (F.col("l_extendedprice") / F.lit(500.0)).alias("pre_total_fee"),
-        F.floor("l_extendedprice").cast("int").alias("start_dest_distance"),
-        F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("departure_time"),
-        F.year("l_shipdate").alias("year"),
-        F.month("l_shipdate").alias("month"),
-        F.dayofmonth("l_shipdate").alias("day"),
-    )
+    by = {
+        "order_id": F.col("l_orderkey") * 10 + F.col("l_linenumber"),
+        "product_id": F.col("l_linenumber"),
+        "city_id": F.col("l_suppkey") % 300,
+        "district": F.col("l_partkey") % 50,
+        "county": F.col("l_partkey") % 7,
+        "type": F.when(F.col("l_linestatus") == "F", 0).when(F.col("l_linestatus") == "O", 1),
+        "combo_type": F.col("l_orderkey") % 3,
+        "traffic_type": F.when(F.col("l_partkey") % 100 == 0, F.lit(302)).otherwise(F.col("l_partkey") % 9),
+        "passenger_count": F.col("l_orderkey") % 5,
+        "driver_product_id": F.col("l_suppkey") % 4,
+        "start_dest_distance": F.floor("l_extendedprice"),
+        "arrive_time": F.date_format(F.col("l_shipdate") + F.expr("INTERVAL 5 MINUTES"), "yyyy-MM-dd HH:mm:ss"),
+        "departure_time": F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss"),
+        "pre_total_fee": F.col("l_extendedprice") / F.lit(500.0),
+        "normal_time": F.col("l_orderkey") % 60,
+        "bubble_trace_id": F.concat(F.lit("trace-"), F.col("l_orderkey").cast("string")),
+        "product_1level": F.col("l_suppkey") % 2,
+        "dest_lng": (F.col("l_partkey") % 180) / F.lit(2.0),
+        "dest_lat": (F.col("l_partkey") % 90) / F.lit(2.0),
+        "starting_lng": (F.col("l_suppkey") % 180) / F.lit(4.0),
+        "starting_lat": (F.col("l_suppkey") % 90) / F.lit(4.0),
+        "year": F.year("l_shipdate"),
+        "month": F.month("l_shipdate"),
+        "day": F.dayofmonth("l_shipdate"),
+    }
+    return li.select(*(by[f.name].cast(f.dataType).alias(f.name) for f in RIDE_FILE_SCHEMA.fields))
 
 
 def trip_log(spark: SparkSession, sf_dir: str) -> DataFrame:

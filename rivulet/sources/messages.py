@@ -3,7 +3,7 @@
 A message row has the broker's shape (``key``, ``value`` as bytes, ``topic``,
 ``partition``, ``offset``, ``timestamp``).  When a broker is deployed the
 stream reads ``format('kafka')``; without one, the same rows are kept as
-Parquet files and read by the file stream source, where ``maxFilesPerTrigger``
+Parquet files and read by the file stream source, where ``maxBytesPerTrigger``
 plays the part of ``maxOffsetsPerTrigger``.
 """
 
@@ -25,6 +25,9 @@ MESSAGE_SCHEMA = T.StructType(
     ]
 )
 
+# Input of one micro-batch; what is left waits for the next.
+MAX_BYTES_PER_TRIGGER = 4 << 30
+
 # Field names of the order JSON, in the producer's order.
 ORDER_JSON_FIELDS = ("orderId", "userId", "orderTime", "ip", "orderMoney", "orderStatus")
 
@@ -60,14 +63,14 @@ def encode_orders(
         F.col("order_id").cast("binary").alias("key"),
         payload.cast("binary").alias("value"),
         F.lit(topic).alias("topic"),
-        F.pmod(F.xxhash64("order_id"), F.lit(partitions)).cast("int").alias("partition"),
+        F.pmod(F.col("event_id"), F.lit(partitions)).cast("int").alias("partition"),
         F.col("event_id").alias("offset"),
         F.col("ts").cast("timestamp").alias("timestamp"),
         F.lit(0).alias("timestampType"),
     )
 
 
-def write_message_files(messages: DataFrame, path: str, files: int | None = 8) -> str:
+def write_message_files(messages: DataFrame, path: str, files: int | None = None) -> str:
     """Keep messages as Parquet files.  ``files=n`` splits them into ``n``
     offset ranges (a file stream then replays them as ordered micro-batches);
     ``files=None`` keeps the input's parallelism (one file per task)."""
@@ -96,7 +99,7 @@ def write_messages(
 def read_message_stream(
     spark: SparkSession,
     path: str | None = None,
-    max_per_trigger: int = 1,
+    max_files: int | None = None,
     kafka_options: dict[str, str] | None = None,
 ) -> DataFrame:
     """Streaming message source.
@@ -104,7 +107,8 @@ def read_message_stream(
     With ``kafka_options`` (``kafka.bootstrap.servers``, ``subscribe``, ...)
     this is the broker source with ``startingOffsets=latest``,
     ``maxOffsetsPerTrigger=100000`` and ``failOnDataLoss=false`` unless
-    overridden.  Otherwise message-shaped Parquet files under ``path``.
+    overridden.  Otherwise message-shaped Parquet files under ``path``, up to
+    ``MAX_BYTES_PER_TRIGGER`` a micro-batch, or ``max_files`` files where given.
     """
     if kafka_options is not None:
         opts = {
@@ -116,8 +120,9 @@ def read_message_stream(
         return spark.readStream.format("kafka").options(**opts).load()
     if path is None:
         raise ValueError("path or kafka_options is required")
-    return (
-        spark.readStream.schema(MESSAGE_SCHEMA)
-        .option("maxFilesPerTrigger", max_per_trigger)
-        .parquet(path)
-    )
+    reader = spark.readStream.schema(MESSAGE_SCHEMA)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    else:
+        reader = reader.option("maxBytesPerTrigger", MAX_BYTES_PER_TRIGGER)
+    return reader.parquet(path)

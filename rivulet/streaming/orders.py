@@ -4,7 +4,8 @@ Both jobs are ordinary Structured Streaming plans: a message source, a
 stateless projection (``order_etl`` / ``order_json_etl``), and a sink.  Late
 and duplicate orders are handled by the table's key + precombine merge, not
 by watermarks, so the streaming plan keeps no state of its own; progress
-lives in the checkpoint folder and the upsert sink is idempotent per batch id.
+lives in the checkpoint folder and the upsert sink is idempotent per stream and
+batch.
 """
 
 from __future__ import annotations
@@ -24,11 +25,20 @@ def _trigger(writer, trigger: str | None):
 
 
 def order_stream(
-    spark: SparkSession, source: str | None, max_per_trigger: int = 1,
+    spark: SparkSession, source: str | None, max_files: int | None = None,
     kafka_options: dict[str, str] | None = None,
 ) -> DataFrame:
     """Messages -> order rows with text fields, ``ts`` and ``day``."""
-    return order_etl(read_message_stream(spark, source, max_per_trigger, kafka_options))
+    return order_etl(read_message_stream(spark, source, max_files, kafka_options))
+
+
+def typed_order_stream(
+    spark: SparkSession, source: str | None, max_files: int | None = None,
+    kafka_options: dict[str, str] | None = None,
+) -> DataFrame:
+    """Messages -> typed order rows (declared JSON schema) with ``ts`` and
+    ``partition_day``; unreadable messages are skipped."""
+    return order_json_etl(read_message_stream(spark, source, max_files, kafka_options))
 
 
 def start_upsert(
@@ -37,16 +47,15 @@ def start_upsert(
     checkpoint: str,
     query_name: str = "order-upsert",
     trigger: str | None = None,
-    compact_every: int | None = None,
 ) -> StreamingQuery:
     """Append-mode stream whose every micro-batch is upserted into ``table``
-    as one commit (instant = batch id, so a replayed batch is rewritten,
-    not duplicated)."""
+    as one write, named by the checkpoint folder and the batch id (a replayed
+    batch is rewritten, not duplicated; other streams' writes stay)."""
     writer = (
         rows.writeStream.outputMode("append")
         .queryName(query_name)
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(table.batch_writer(compact_every))
+        .foreachBatch(table.batch_writer(checkpoint))
     )
     return _trigger(writer, trigger).start()
 
@@ -54,22 +63,27 @@ def start_upsert(
 def start_json_print(
     spark: SparkSession,
     source: str,
-    sink: str,
+    sink: str | None,
     checkpoint: str,
-    max_per_trigger: int = 1,
+    max_files: int | None = None,
     trigger: str | None = None,
     query_name: str = "order-json",
+    sink_format: str = "parquet",
 ) -> StreamingQuery:
-    """Tolerant declared-schema decode of the order stream; every row goes
-    to a Parquet sink (the printable result)."""
-    rows = order_json_etl(read_message_stream(spark, source, max_per_trigger))
+    """Tolerant declared-schema decode of the order stream; every row goes to
+    the sink: Parquet files under ``sink``, ``console`` (the driver's output),
+    or ``memory`` (a temporary view named ``query_name``; for tests)."""
+    if sink_format not in ("parquet", "console", "memory"):
+        raise ValueError("sink_format must be 'parquet', 'console' or 'memory'")
+    rows = typed_order_stream(spark, source, max_files)
     writer = (
         rows.writeStream.outputMode("append")
         .queryName(query_name)
-        .format("parquet")
-        .option("path", sink)
+        .format(sink_format)
         .option("checkpointLocation", checkpoint)
     )
+    if sink_format == "parquet":
+        writer = writer.option("path", sink)
     return _trigger(writer, trigger).start()
 
 

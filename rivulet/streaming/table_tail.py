@@ -1,10 +1,12 @@
 """Streaming read of a lake table's change log.
 
-The log is a folder of Parquet files partitioned by ``_partition_path`` and
-``_commit_time``; the file stream source lists new files per trigger (every
-4 seconds by default, ``availableNow`` in tests).  A rewritten commit is a
-new file to this reader, so consumers that need state must reduce to the
-latest row per identity rather than count raw rows.
+The log is a folder of Parquet files partitioned by generation, commit and
+write; the file stream source lists new files per trigger (every 4 seconds by
+default, ``availableNow`` in tests).  A tail follows the table over overwrites:
+the rows of a new generation arrive like any others (those of an overwrite that
+fails later, too).  A replayed write is a new file to this reader, so consumers
+that need state must reduce to the latest row per identity rather than count
+raw rows.
 """
 
 from __future__ import annotations
@@ -12,15 +14,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from rivulet.operators.lake import LakeTable
+from rivulet.operators.lake import COMMIT, GENERATION, PART, WRITE, LakeTable
 
 
 def tail_log(table: LakeTable, max_files_per_trigger: int | None = None) -> DataFrame:
-    log_dir = table._log_dir()
-    reader = table.spark.readStream.schema(table._read_schema(True)).option("basePath", log_dir)
+    reader = table.spark.readStream.schema(table._read_schema(PART, GENERATION, COMMIT, WRITE))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(log_dir)
+    return reader.parquet(f"{table.path}/log").drop(GENERATION, WRITE)
 
 
 def start_tail(

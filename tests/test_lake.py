@@ -76,12 +76,126 @@ def test_whole_partition_deleted_cow(spark):
     assert _rows(t.snapshot(), ("uuid",)) == [("b",)]
 
 
-def test_replayed_commit_is_idempotent(spark):
+def test_replayed_write_replaces_itself_only(spark):
     t = _table(spark, "mor")
     batch = spark.createDataFrame([("a", "p", 1, 1.0, "x"), ("b", "q", 1, 2.0, "x")], SCHEMA)
-    t.write(batch, commit="00000000000000007")
-    t.write(batch, commit="00000000000000007")
-    assert t.log().count() == 2
+    other = spark.createDataFrame([("c", "p", 1, 3.0, "x")], SCHEMA)
+    t.write(batch, commit="20240101000000", write_id="s-7")
+    t.write(other, commit="20240101000000", write_id="other-7")
+    t.write(batch, commit="20240101000000", write_id="s-7")
+    assert t.log().count() == 3
+
+
+@pytest.mark.parametrize("kind", ["cow", "mor"])
+def test_two_writes_to_one_commit_add_up(spark, kind):
+    t = _table(spark, kind)
+    for key in "ab":
+        t.write(spark.createDataFrame([(key, "p", 1, 1.0, "x")], SCHEMA), commit="20240101000000")
+    assert _rows(t.snapshot(), ("uuid",)) == _rows(t.as_of("20240101000000"), ("uuid",)) == [("a",), ("b",)]
+
+
+@pytest.mark.parametrize("kind", ["cow", "mor"])
+def test_an_older_commit_written_later_is_seen(spark, kind):
+    t = _table(spark, kind)
+    t.write(spark.createDataFrame([("a", "p", 1, 1.0, "new")], SCHEMA), commit="20240105000000")
+    t.write(spark.createDataFrame([("a", "p", 1, 1.0, "old"), ("b", "p", 1, 1.0, "old")], SCHEMA), commit="20240103000000")
+    t.write(spark.createDataFrame([("c", "p", 1, 1.0, "old")], SCHEMA), commit="20240104000000")
+    assert _rows(t.snapshot(), ("uuid", "note")) == [("a", "new"), ("b", "old"), ("c", "old")]
+
+
+@pytest.mark.parametrize("kind", ["cow", "mor"])
+def test_delete_under_precombine(spark, kind):
+    t = _table(spark, kind, merge="precombine")
+    rows = [(k, "p", 5, 1.0, "x") for k in "abcd"]
+    t.write(spark.createDataFrame(rows, SCHEMA), commit="20240101000000")
+    ids = "uuid string, partitionpath string"
+    t.delete(spark.createDataFrame([("a", "p"), ("d", "p")], ids), commit="20240102000000")
+    t.delete(spark.createDataFrame([("b", "p", 6), ("c", "p", 4)], f"{ids}, ts long"), commit="20240102000000")
+    # without a value: beats all commits before it; with one: only smaller values
+    assert _rows(t.snapshot(), ("uuid",)) == [("c",)]
+    t.write(spark.createDataFrame([("d", "p", 1, 1.0, "back")], SCHEMA), commit="20240103000000")
+    t.write(spark.createDataFrame([("a", "p", 99, 1.0, "late"), ("d", "p", 99, 1.0, "late")], SCHEMA), commit="20240101120000")
+    assert _rows(t.snapshot(), ("uuid", "note")) == [("c", "x"), ("d", "back")]
+    assert _rows(t.as_of("20240101120000"), ("uuid",)) == [("a",), ("b",), ("c",), ("d",)]
+
+
+def test_instants_of_any_spelling(spark):
+    t = _table(spark, "mor")
+    t.write(spark.createDataFrame([("a", "p", 1, 1.0, "x")], SCHEMA), commit="20240105000000000")
+    t.write(spark.createDataFrame([("b", "p", 1, 1.0, "x")], SCHEMA), commit="2024-01-05 00:00:00.5")
+    clock = t.write(spark.createDataFrame([("c", "p", 1, 1.0, "x")], SCHEMA))
+    assert len(clock) == 17
+    for same in ("20240105000000", "20240105000000000", "2024-01-05 00:00:00", "2024-01-05", "2024-01-05T00:00:00.000"):
+        assert _rows(t.as_of(same), ("uuid",)) == [("a",)]  # inclusive
+        assert _rows(t.incremental(same), ("uuid",)) == [("b",), ("c",)]  # exclusive
+    assert _rows(t.as_of("20240105000000500"), ("uuid",)) == [("a",), ("b",)]
+    assert _rows(t.incremental("2024-01-05 00:00:00.5", clock), ("uuid",)) == [("c",)]
+    for bad in ("202401050000005", "2024", "yesterday", ""):
+        with pytest.raises(ValueError):
+            t.as_of(bad)
+    feed = spark.createDataFrame([("d", "p", 1, 1.0, "x", "2024")], SCHEMA + ", c string")
+    with pytest.raises(Exception, match="not an instant"):
+        t.write(feed, commit_col="c")
+
+
+class _Stop(Exception):
+    pass
+
+
+def _stopping(table, monkeypatch, where):
+    """The table's next write stops before ``where``, or half through the refresh."""
+    def stop(*_, **__):
+        raise _Stop
+    monkeypatch.setattr(table, where, stop)
+
+
+@pytest.mark.parametrize("kind", ["cow", "mor"])
+def test_write_interrupted_before_its_log(spark, monkeypatch, kind):
+    t = _table(spark, kind)
+    t.write(spark.createDataFrame([("a", "p", 1, 1.0, "x")], SCHEMA), commit="20240101000000")
+    t.write(spark.createDataFrame([("a", "p", 1, 1.0, "y")], SCHEMA), commit="20240102000000")
+    real = t._append
+
+    def half(rows, write_id, one):
+        real(rows.where("uuid = 'b'"), write_id, one)
+        raise _Stop
+
+    monkeypatch.setattr(t, "_append", half)
+    with pytest.raises(_Stop):
+        t.write(spark.createDataFrame([("b", "p", 1, 1.0, "z"), ("c", "p", 1, 1.0, "z")], SCHEMA), commit="20240103000000")
+    monkeypatch.undo()
+    assert _rows(t.snapshot(), ("uuid", "note")) == _rows(t.as_of("20240201000000"), ("uuid", "note")) == [("a", "y")]
+    t.write(spark.createDataFrame([("d", "p", 1, 1.0, "w")], SCHEMA), commit="20240104000000")
+    assert _rows(t.snapshot(), ("uuid", "note")) == [("a", "y"), ("d", "w")]
+
+
+def test_refresh_interrupted_after_the_log(spark, monkeypatch):
+    t = _table(spark, "cow")
+    t.write(spark.createDataFrame([("a", "p", 1, 1.0, "x"), ("b", "q", 1, 1.0, "x")], SCHEMA), commit="20240101000000")
+    t.write(spark.createDataFrame([("a", "p", 1, 1.0, "y")], SCHEMA), commit="20240102000000")
+    _stopping(t, monkeypatch, "_refresh_current")
+    with pytest.raises(_Stop):
+        t.write(spark.createDataFrame([("c", "q", 1, 1.0, "z")], SCHEMA), commit="20240103000000")
+    monkeypatch.undo()
+    want = [("a", "y"), ("b", "x"), ("c", "z")]
+    assert _rows(t.snapshot(), ("uuid", "note")) == want
+    t.write(spark.createDataFrame([("d", "p", 1, 1.0, "w")], SCHEMA), commit="20240104000000")  # another partition
+    assert not t._pending()
+    assert _rows(t.snapshot(), ("uuid", "note")) == _rows(t.as_of("20240201000000"), ("uuid", "note")) == [*want, ("d", "w")]
+
+
+def test_failed_overwrite_leaves_the_old_table(spark, monkeypatch):
+    t = _table(spark, "cow")
+    t.write(spark.createDataFrame([("a", "p", 1, 1.0, "x")], SCHEMA), commit="20240101000000")
+    t.tiebreak = ()
+    other = spark.createDataFrame([("a", "p", 1, 7)], "uuid string, partitionpath string, ts long, seats int")
+    monkeypatch.setattr(LakeTable, "_append", lambda *_: (_ for _ in ()).throw(_Stop()))
+    with pytest.raises(_Stop):
+        t.overwrite(other, commit="20240102000000")
+    monkeypatch.undo()
+    assert _rows(t.snapshot()) == [("a", "p", 1, 1.0, "x")]
+    t.overwrite(other, commit="20240102000000")
+    assert _rows(t.snapshot(), ("uuid", "seats")) == [("a", 7)] and "note" not in t.snapshot().columns
 
 
 def test_overwrite_resets_history(spark):
@@ -89,7 +203,7 @@ def test_overwrite_resets_history(spark):
     t.write(spark.createDataFrame([("a", "p", 1, 1.0, "x")], SCHEMA), commit="20240101000000")
     t.overwrite(spark.createDataFrame([("b", "p", 1, 1.0, "x")], SCHEMA), commit="20240102000000")
     assert _rows(t.snapshot(), ("uuid",)) == [("b",)]
-    assert [r[0] for r in t.commits().collect()] == ["20240102000000"]
+    assert [r[0] for r in t.commits().collect()] == ["20240102000000000"]
 
 
 def test_empty_table_reads(spark):
@@ -142,11 +256,15 @@ def test_as_of_prunes_commit_directories(spark, sf_small):
 
 def test_begin_instant_is_oldest_of_newest(spark):
     t = _table(spark, "mor")
+    assert t.write(spark.createDataFrame([], SCHEMA), commit="20240101000000") and t.begin_instant(3) is None
     for day in range(1, 6):
-        t.write(spark.createDataFrame([("a", "p", day, 1.0, "x")], SCHEMA), commit=f"2024010{day}000000")
-    assert t.begin_instant(3) == "20240103000000"
+        rows = [("a", "p", day, 1.0, "x"), (f"k{day}", "p", day, 1.0, "x")]
+        t.write(spark.createDataFrame(rows[: 1 if day == 4 else 2], SCHEMA), commit=f"2024010{day}000000")
+    # no row of the snapshot is from the fourth: its only key was written again
+    assert [r[0][:8] for r in t.commits(3).collect()] == ["20240105", "20240103", "20240102"]
+    assert t.begin_instant(3) == "20240102000000000"
     # exclusive begin: the begin commit's own rows are left out
-    assert _rows(t.incremental(t.begin_instant(3)), ("uuid", "ts")) == [("a", 5)]
+    assert _rows(t.incremental(t.begin_instant(3)), ("uuid", "ts")) == [("a", 5), ("k3", 3), ("k5", 5)]
 
 
 def test_hot_key_holding_a_third_of_rows(spark, sf_small):
@@ -179,28 +297,22 @@ def test_ride_store_keeps_one_version_per_order_and_day(spark, sf_small):
     snap = table.snapshot()
     assert snap.count() == snap.select("partitionpath", "order_id").distinct().count()
     assert rides.report_input(table).columns == list(rides.REPORT_COLUMNS)
+    assert len([c for c in snap.columns if not c.startswith("_")]) == 23
 
 
-def test_mor_reads_after_compaction_match_full_reduce(spark, sf_small):
-    log = fixtures.trip_log(spark, sf_small)
-    t = LakeTable(spark, work_path(spark, "mor"), key="uuid", precombine="ts",
-                  partition="partitionpath", kind="mor", tiebreak=("event_id",))
-    t.write(log.where(F.col("commit_time") <= "20240110000000"), commit_col="commit_time", delete_col="is_delete")
-    assert t.compact() == "20240110000000"
-    t.write(log.where((F.col("commit_time") > "20240110000000") & (F.col("commit_time") <= "20240120000000")),
-            commit_col="commit_time", delete_col="is_delete")
-    assert t.compact() == "20240120000000"
-    t.write(log.where(F.col("commit_time") > "20240120000000"), commit_col="commit_time", delete_col="is_delete")
-
-    full = LakeTable(spark, work_path(spark, "full"), key="uuid", precombine="ts",
-                     partition="partitionpath", kind="mor", tiebreak=("event_id",))
-    full.write(log, commit_col="commit_time", delete_col="is_delete")
-    cols = ("uuid", "event_id", "_commit_time")
-    assert _rows(t.snapshot(), cols) == _rows(full.snapshot(), cols)
-    for instant in ("20240105000000", "20240120000000", "20240125000000"):
-        assert _rows(t.as_of(instant), cols) == _rows(full.as_of(instant), cols)
-    plan = t.snapshot()._jdf.queryExecution().executedPlan().toString()
-    assert "LeftAnti" in plan  # compacted rows pass through the broadcast anti join
+def test_ride_file_columns_are_found_by_name(spark, sf_small):
+    from rivulet.sources.delimited import RIDE_FILE_SCHEMA, read_delimited, write_delimited
+
+    rides = fixtures.rides(spark, sf_small)
+    turned = rides.select("day", *reversed(rides.columns[:-1]), F.lit("more").alias("unknown"))
+    got = read_delimited(spark, write_delimited(turned, work_path(spark, "tsv")))
+    assert got.schema == RIDE_FILE_SCHEMA
+    assert got.exceptAll(rides).count() == 0 and got.count() == rides.count()
+    lacking = write_delimited(rides.drop("city_id"), work_path(spark, "tsv"))
+    with pytest.raises(ValueError, match="city_id"):
+        read_delimited(spark, lacking)
+    inferred = read_delimited(spark, write_delimited(turned, work_path(spark, "tsv")), infer=True)
+    assert dict(inferred.dtypes)["pre_total_fee"] == "double" and dict(inferred.dtypes)["departure_time"] == "timestamp"
 
 
 def test_null_key_fails_the_write(spark):
@@ -226,24 +338,35 @@ def test_null_partition_goes_to_default_and_merges(spark):
     assert got == [("a", "default", 9.0), ("b", "default", 2.0), ("c", "default", 3.0)]
 
 
-def test_merge_paths_agree_beyond_broadcast_bound(spark, sf_small, monkeypatch):
-    """The shuffle merge used beyond the broadcast bound gives the same state."""
-    import rivulet.operators.lake as lake
+def _executed(df):
+    return df._jdf.queryExecution().executedPlan().toString()
 
-    log = fixtures.trip_log(spark, sf_small)
-    early, late = log.where(F.col("commit_time") <= "20240115000000"), log.where(F.col("commit_time") > "20240115000000")
-    results = []
-    for bound in (lake.MAX_BROADCAST_KEYS, 0):
-        monkeypatch.setattr(lake, "MAX_BROADCAST_KEYS", bound)
-        t = LakeTable(spark, work_path(spark, "b"), key="uuid", precombine="ts",
-                      partition="partitionpath", kind="cow", tiebreak=("event_id",))
-        t.write(early, commit_col="commit_time", delete_col="is_delete")
-        t.write(late, commit_col="commit_time", delete_col="is_delete")
-        results.append(_rows(t.snapshot(), ("uuid", "event_id", "_commit_time")))
-        delta = t.log().where(F.col("_commit_time") > "20240125000000")
-        plan = t._current_state(delta)._jdf.queryExecution().executedPlan().toString()
-        assert ("LeftAnti" in plan) == (bound > 0)
-    assert results[0] == results[1]
+
+def test_copy_on_write_plan(spark):
+    """One scan of current/ and no reduction for a commit newer than all before;
+    nothing is shuffled by the commit."""
+    t = _table(spark, "cow")
+    for day in (1, 2, 3):
+        t.write(spark.createDataFrame([(f"k{day}", "p", 1, 1.0, "x"), ("a", "q", day, 1.0, "x")], SCHEMA), commit=f"2024010{day}000000")
+    batch = t.log().where(F.col("_commit_time") == "20240103000000000")
+    newer, any_order = t._merged(batch, "20240104000000000", t._applied()), t._merged(batch, None, t._applied())
+    for df in (newer, any_order):
+        plan = _executed(df)
+        assert len({x for x in plan.split("FileScan")[1:] if "/current" in x.split("ReadSchema")[0]}) == 1
+    assert "Window" not in _executed(newer) and "Window" in _executed(any_order)
+
+
+def test_key_and_partition_filters_reach_the_scan(spark):
+    for kind in ("cow", "mor"):
+        t = _table(spark, kind)
+        for day in (1, 2):
+            t.write(spark.createDataFrame([("a", "p", 1, 1.0, "x"), ("b", "q", day, 1.0, "x")], SCHEMA), commit=f"2024010{day}000000")
+        found = t.snapshot(partitions=["q"], keys=["b"])
+        assert _rows(found, ("uuid", "ts")) == [("b", 2)]
+        plan = _executed(found)
+        pushed = plan.split("PushedFilters: [")[1].split("]")[0]
+        assert "_record_key" in pushed
+        assert "_partition_path" in pushed or "_partition_path" in plan.split("PartitionFilters: [")[1].split("]")[0]
 
 
 @pytest.mark.parametrize("kind", ["cow", "mor"])

@@ -5,11 +5,11 @@ import pytest
 import __spark_entry__ as E
 from tests.oracle_check import compare
 
-NAMES = sorted(E.queries())
+NAMES = sorted(E._QUERIES)  # those of tests/llm are tested there
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(NAMES) <= set(E.oracle_sql()) <= set(E.queries())
 
 
 @pytest.mark.parametrize("name", NAMES)

@@ -29,3 +29,21 @@ def test_work_dir_chosen_once_when_unset(spark):
     assert first and ensure_work_dir(view) == first
     # the session's own setting is untouched
     assert spark.conf.get("spark.checkpoint.dir") != first or spark.sparkContext.getCheckpointDir()
+
+
+def test_work_dir_must_be_named_on_a_cluster():
+    import pytest
+
+    class _Cluster:
+        conf = _NoCheckpointConf()
+
+        class sparkContext:
+            applicationId = "app-on-a-cluster"
+            master = "local-cluster[2,1,1024]"
+
+            @staticmethod
+            def getCheckpointDir():
+                return None
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_work_dir(_Cluster())
