@@ -18,6 +18,7 @@ _HERE = os.path.dirname(os.path.abspath(__file__))
 if _HERE not in sys.path:
     sys.path.insert(0, _HERE)
 
+import oracle_queries  # noqa: E402
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
@@ -319,7 +320,7 @@ def q_catalog_table(spark, sf):
 
 def q_catalog_add_partitions(spark, sf):
     table = _ride_catalog_table(spark, sf, "add")
-    return spark.table(table).select("order_id", "product_id", "date_str")
+    return spark.table(table).drop("partitionpath", "ts")
 
 
 def q_catalog_partitions(spark, sf):
@@ -487,3 +488,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {**_QUERIES, **llm_queries.QUERIES, "pipeline": corpus_pipeline.run}
 
 
+def oracle_sql() -> dict[str, str]:
+    found = oracle_queries.oracle_sql()
+    if llm_queries is not None:
+        found |= llm_queries.SQL
+        if corpus_pipeline.ORACLE_SQL is not None:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
