@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import fresh, row_key, table
+from rivulet.llm.common import fresh, row_key, saved, table
 
 MIN_CHARS = 10
 MIN_DOCS = 2
@@ -67,7 +67,8 @@ def repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int =
         shared = held.groupBy("h").agg(F.min("doc_id").alias("first"), F.count_distinct("doc_id").alias("n")).where(
             F.col("n") >= min_docs
         )
-    again = held.join(shared.select("h", "first"), "h").where("doc_id > first")
+    # written: of a plain scan Spark knows the size, and can split a hot line over tasks
+    again = held.join(saved(shared.select("h", "first"), "shared-lines"), "h").where("doc_id > first")
     # the lists of one document row: at most its own lines.  Equal rows give equal lists.
     return again.groupBy("k1", "k2").agg(F.array_distinct(F.flatten(F.collect_list("pos"))).alias("drop"))
 
