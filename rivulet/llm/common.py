@@ -41,6 +41,11 @@ def row_key(id_col: str = "doc_id", text_col: str = "text") -> list[Column]:
     ]
 
 
+def hash_share(hashed: Column) -> Column:
+    """A hash as a number from 0 to 1: below s for a share s of the values."""
+    return F.pmod(hashed, F.lit(1 << 40)) / float(1 << 40)
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once, also where ``body`` uses it
     inside other lambdas (Catalyst would inline a projected column there)."""

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import fresh, row_key, table
+from rivulet.llm.common import fresh, hash_share, row_key, table
 
 UNKNOWN = "und"
 # Bounds of the training sample (labelled rows only): languages, documents of
@@ -254,19 +254,17 @@ def _add(model: Model, held: list[tuple[int, list[str]]], mass: np.ndarray) -> N
 
 def learn(docs: DataFrame) -> Model:
     """A model from the rows with text and lang: of the ``MAX_LANGUAGES`` most frequent
-    languages the ``DOCS_PER_LANGUAGE`` rows with the smallest hash of id and text,
-    among texts of at most ``MAX_TRAIN_CHARS`` code points.  Without such rows the
-    model knows no language."""
+    languages about ``DOCS_PER_LANGUAGE`` rows each (all of fewer), those with a small
+    hash of id and text, among texts of at most ``MAX_TRAIN_CHARS`` code points; equal
+    rows count once.  Without such rows the model knows no language."""
     rows = docs.where("lang is not null and text is not null").select(
         F.col("lang").cast("string").alias("lang"), "text", row_key()[1].alias("k")
     )
     rows = rows.where(F.char_length("text") <= MAX_TRAIN_CHARS)
-    top = [r[0] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()]
-    picked = []
-    for lang in top:  # at most MAX_LANGUAGES small top-k jobs
-        some = rows.where(F.col("lang") == lang).orderBy("k", "text").limit(DOCS_PER_LANGUAGE)
-        picked += [(r["text"], lang) for r in some.select("text").collect()]
-    return train(picked)
+    top = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)
+    share = hash_share(F.col("k")) < DOCS_PER_LANGUAGE / F.col("count")
+    picked = rows.join(F.broadcast(top), "lang").where(share).groupBy("lang", "k").agg(F.first("text").alias("text"))
+    return train([(r["text"], r["lang"]) for r in picked.collect()])
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
