@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import fresh, row_key, saved, table
+from rivulet.llm.common import fresh, hash_share, row_key, saved, table
 
 DOMAINS = ("high", "low", "toxic")
 TARGET = {"high": 0.9, "low": 0.1, "toxic": 0.0}
@@ -52,14 +52,15 @@ def n_tokens(text: Column) -> Column:
 
 
 def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``(domain, feature list)`` of at most TRAIN_ROWS labelled documents, those whose
-    id has the smallest hash; copies count once.  Rows without both labels are left
+    """``(domain, feature list)`` of at most TRAIN_ROWS labelled documents (nine tenths of
+    that on average, so that none of its spread passes it), those whose id has a small hash; copies count once.  Rows without both labels are left
     out; of several labels of a document toxic goes before low before high."""
     domain = F.when(F.col("toxic") == 1, 2).when(F.col("quality") == 0, 1).when(F.col("quality") == 1, 0)
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), domain.alias("domain"))
     known = known.where("doc_id is not null and domain is not null")
     known = known.groupBy("doc_id").agg(F.max("domain").alias("domain"))
-    some = saved(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_ROWS), "mixing-labels")
+    known = saved(known, "mixing-labels")
+    some = known.where(hash_share(F.xxhash64("doc_id")) < 0.9 * TRAIN_ROWS / max(known.count(), 1))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = texts.join(F.broadcast(some), "doc_id").select("domain", F.sort_array(features(F.col("text"))).alias("fs"))
     return found.distinct()
@@ -171,7 +172,7 @@ def mix(docs: DataFrame, labels: DataFrame, target: dict[str, float] = TARGET) -
     model, priors = classifier(docs, labels)
     members = saved(posteriors(docs, model, priors), "mixing-members")
     rated = members.withColumn("rate", _rate(fit_rates(members, target)))
-    chance = F.pmod(F.xxhash64("k1", "k2", F.lit("mix")), F.lit(1 << 30)) / float(1 << 30)
+    chance = hash_share(F.xxhash64("k1", "k2", F.lit("mix")))
     return rated.select(
         "k1", "k2", "doc_id", "n_tokens",
         *(F.col(f"p{i}").alias(f"p_{d}") for i, d in enumerate(DOMAINS)),
