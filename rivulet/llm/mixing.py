@@ -25,11 +25,12 @@ TARGET = {"high": 0.9, "low": 0.1, "toxic": 0.0}
 # Bounds of the classifier: labelled rows it is fitted on, and features it keeps.
 # A feature must be LEAST_LIFT times as frequent in one domain as overall (words
 # that only tell long texts from short ones are not) with an effect (chi-square
-# over rows) of LEAST_EFFECT.
+# over rows) of LEAST_EFFECT, and stand in LEAST_ROWS labelled rows.
 TRAIN_ROWS = 20_000
 FEATURES = 256
 LEAST_LIFT = 3.0
 LEAST_EFFECT = 0.01
+LEAST_ROWS = 10
 _SMOOTH = 2.0  # documents at the common share that every domain is given
 _STEPS = 40
 _CLOSE = 1e-3  # share of all tokens by which a total may miss its target
@@ -83,7 +84,9 @@ def classifier(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, list[floa
     share = [(F.col(f"n{i}") + _SMOOTH * mean) / (size[i] + _SMOOTH) for i in k]
     stray = sum(size[i] * F.pow(share[i] - mean, 2) / (mean * (1 - mean) + 1e-9) for i in k)
     best = holders.withColumn("stray", stray).where(
-        (F.col("stray") >= LEAST_EFFECT * total) & (F.greatest(*share) >= LEAST_LIFT * mean)
+        (F.col("stray") >= LEAST_EFFECT * total)
+        & (F.greatest(*share) >= LEAST_LIFT * mean)
+        & (sum(F.col(f"n{i}") for i in k) >= LEAST_ROWS)
     )
     best = best.orderBy(F.desc("stray"), "feature").limit(FEATURES)
     held = [F.least(s, F.lit(0.999)) for s in share]
