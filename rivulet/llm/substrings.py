@@ -3,12 +3,12 @@
 The windows of ``WINDOW`` words are the edges of a de Bruijn graph over words.
 Only edges that several documents may share are built: each window is put under
 its minimizer (the smallest hash of the 5-word pieces inside it, equal in equal
-windows), and minimizers seen once are left out, which is exact.  A join gives
-each repeated edge the coordinate where it first stands (smallest doc_id, then
-position).  In every other document, consecutive edges whose first stands are
+windows), and minimizers seen once are left out, which is exact.  Each repeated
+edge gets the coordinate where it first stands (smallest doc_id, then position).
+In every other document, consecutive edges whose first stands are
 consecutive too, a path on which neither document branches off, are compacted
-into one span with one source coordinate.  A second join reads the words at
-the sources, and a span counts only if its words are the source's.
+into one span with one source coordinate.  Joins bring candidates and spans to
+the texts, and a span counts only if its words are those at its source.
 Documents whose whole word sequence stands in a smaller doc_id are settled
 before by their digest, so groups of copies never enter the graph.
 """
@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rivulet.llm.common import row_key, saved, table
@@ -123,34 +123,91 @@ def _is_copy(k2, copies) -> bool:
     return copies.is_valid and k2.as_py() in copies.as_py()
 
 
+_TOGETHER = 1_000_000  # rows that a task looks at together before it sends any
+
+
+def _salt(k1: np.ndarray) -> np.ndarray:
+    return ((k1.view(np.uint64) * np.uint64(_ODD)) >> np.uint64(33)).astype(np.int32) | 1
+
+
 def _minimizer_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents with their copies -> (m, k1), each minimizer of a text once."""
+    """Documents with their copies -> (m, salt, k1), each minimizer of a text once.
+    Of a minimizer that several documents of the task share, one row without
+    document goes to its group (salt 0); the documents' own rows, settled, go
+    elsewhere (salt not 0).  So no group gets more than a row for each
+    ``_TOGETHER`` rows, however common its minimizer."""
+
+    def settled(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        m, k1 = (np.concatenate(x) for x in zip(*parts))
+        order = np.argsort(m, kind="stable")
+        m, k1 = m[order], k1[order]
+        new = np.concatenate(([True], m[1:] != m[:-1]))
+        holders = np.diff(np.append(np.flatnonzero(new), len(m)))
+        many = np.repeat(holders > 1, holders)
+        common, alone = m[many & new], m[~many]
+        columns = (
+            (alone, np.zeros(len(alone), np.int32), pa.array(k1[~many])),
+            (common, np.zeros(len(common), np.int32), pa.nulls(len(common), pa.int64())),
+            (m[many], _salt(k1[many]), pa.array(k1[many])),
+        )
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.concatenate([c[0] for c in columns])),
+                pa.array(np.concatenate([c[1] for c in columns])),
+                pa.concat_arrays([c[2] for c in columns]),
+            ],
+            ["m", "salt", "k1"],
+        )
+
+    parts, n = [], 0
     for b in batches:
-        out = _Out(m=pa.int64(), k1=pa.int64())
         for doc_id, k1, k2, t, copies in zip(*b.columns[:3], b.column(3).cast(pa.binary()), b.column(4)):
             if doc_id.is_valid and not _is_copy(k2, copies):
-                m = np.unique(minimizers(word_hashes(t.as_py())))
-                out.add(m.view(np.int64), np.full(len(m), k1.as_py()))
-                if out.n > 200_000:
-                    yield out.batch()
-        yield out.batch()
+                m = np.unique(minimizers(word_hashes(t.as_py())).view(np.int64))
+                parts.append((m, np.full(len(m), k1.as_py())))
+                n += len(m)
+                if n > _TOGETHER:
+                    yield settled(parts)
+                    parts, n = [], 0
+    if parts:
+        yield settled(parts)
+
+
+_EDGE = "h long, salt int, k1 long, k2 long, pos int, s1 long, s2 long, s_pos int"
 
 
 def _edge_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents with their shared minimizers -> (h, k1, k2, pos) of the windows
-    under these."""
+    """Documents with their shared minimizers -> the windows under these.  Of the
+    stands of a window in the task only those of the smallest document go to the
+    window's group (salt 0, no source); the others have their source in it."""
+
+    def settled(parts: list[tuple]) -> pa.RecordBatch:
+        h, k1, k2, pos = (np.concatenate(x) for x in zip(*parts))
+        order = np.lexsort((pos, k2, k1, h))
+        h, k1, k2, pos = h[order], k1[order], k2[order], pos[order]
+        first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
+        source = np.repeat(first, np.diff(np.append(first, len(h))))
+        later = k1 > k1[source]
+        columns = [h, np.where(later, _salt(k1), np.int32(0)), k1, k2, pos]
+        columns = [pa.array(c) for c in columns]
+        columns += [pa.array(c[source], mask=~later) for c in (k1, k2, pos)]
+        return pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in _EDGE.split(", ")])
+
+    parts, n = [], 0
     for b in batches:
-        out = _Out(h=pa.int64(), k1=pa.int64(), k2=pa.int64(), pos=pa.int32())
         for doc_id, k1, k2, t, shared in zip(*b.columns[:3], b.column(3).cast(pa.binary()), b.column(4)):
             if doc_id.is_valid:
                 h = word_hashes(t.as_py())
                 under = minimizers(h).view(np.int64)
                 (pos,) = np.nonzero(np.isin(under, shared.values.to_numpy(zero_copy_only=False)))
                 at = (np.full(len(pos), k1.as_py()), np.full(len(pos), k2.as_py()), pos.astype(np.int32))
-                out.add(_runs(h, WINDOW)[pos].view(np.int64), *at)
-                if out.n > 200_000:
-                    yield out.batch()
-        yield out.batch()
+                parts.append((_runs(h, WINDOW)[pos].view(np.int64), *at))
+                n += len(pos)
+                if n > _TOGETHER:
+                    yield settled(parts)
+                    parts, n = [], 0
+    if parts:
+        yield settled(parts)
 
 
 _SPAN = "k1 long, k2 long, start int, n int, s1 long, s2 long, s_start int"
@@ -232,16 +289,21 @@ def drop_repeated(docs: DataFrame) -> DataFrame:
 
     # One plan from here on, so that one shuffle of the texts by k1 serves the
     # joins with edges, sources and results.
-    under = rows.join(copies, "k1", "left").select(*rows.columns, "copies").mapInArrow(_minimizer_rows, "m long, k1 long")
-    shared = _spread(under.groupBy("m").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "m").select("m_")
-    on_shared = _spread(under, "m").join(shared, "m_").groupBy("k1").agg(F.collect_set("m").alias("shared"))
-    edges = rows.join(on_shared, "k1").select(*rows.columns, "shared").mapInArrow(
-        _edge_rows, "h long, k1 long, k2 long, pos int"
+    under = rows.join(copies, "k1", "left").select(*rows.columns, "copies")
+    under = under.mapInArrow(_minimizer_rows, "m long, salt int, k1 long")
+    under = under.withColumn("holders", F.count(F.lit(1)).over(Window.partitionBy("m", "salt")))
+    on_shared = under.where("k1 is not null and (salt <> 0 or holders > 1)")
+    on_shared = on_shared.groupBy("k1").agg(F.collect_list("m").alias("shared"))  # of one document
+    edges = rows.join(on_shared, "k1").select(*rows.columns, "shared").mapInArrow(_edge_rows, _EDGE)
+    first = F.min(F.struct("k1", "pos", "k2")).over(Window.partitionBy("h", "salt"))
+    later = edges.withColumn("first", F.when(F.col("salt") == 0, first)).where("salt <> 0 or k1 > first.k1")
+    stands = F.struct(
+        "k2",
+        "pos",
+        F.coalesce("s1", "first.k1").alias("s1"),
+        F.coalesce("s2", "first.k2").alias("s2"),
+        F.coalesce("s_pos", "first.pos").alias("at"),
     )
-    first = edges.groupBy("h").agg(F.min(F.struct("k1", "pos", "k2")).alias("s"), F.max("k1").alias("last"))
-    first = _spread(first.where("s.k1 < last"), "h").select("h_", "s")
-    later = _spread(edges, "h").join(first, "h_").where("k1 > s.k1")
-    stands = F.struct("k2", "pos", F.col("s.k1").alias("s1"), F.col("s.k2").alias("s2"), F.col("s.pos").alias("at"))
     # of one document, so no longer than its words
     spans = later.groupBy("k1").agg(F.collect_list(stands).alias("edges")).mapInArrow(_path_rows, _SPAN)
     at = ["s1", "s2", "s_start", "n"]
@@ -256,12 +318,6 @@ def drop_repeated(docs: DataFrame) -> DataFrame:
     return result.mapInArrow(_kept_rows, "doc_id long, n_words long, n_removed long, text string")
 
 
-def _spread(df: DataFrame, key: str) -> DataFrame:
-    """A copy of the key to join on: both sides are dealt anew by it, so Spark can
-    split a hot key over tasks (it can't where a side comes from an aggregation)."""
-    return df.withColumn(f"{key}_", F.col(key).bitwiseXOR(F.lit(1).cast("long")))
-
-
 def op2_substring_dedup(spark, sf_dir: str) -> DataFrame:
     kept = drop_repeated(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
