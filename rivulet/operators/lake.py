@@ -161,7 +161,8 @@ class LakeTable:
     def _pending(self) -> dict[str, str]:
         """Writes under way or interrupted: write id -> ``log`` or ``refresh``."""
         d = f"{self._root()}/pending"
-        return {w: read_text(self.spark, f"{d}/{w}") or "log" for w in list_names(self.spark, d)}
+        names = [w for w in list_names(self.spark, d) if not w.startswith(".")]
+        return {w: read_text(self.spark, f"{d}/{w}") or "log" for w in names}
 
     def _mark(self, write_id: str, state: str) -> None:
         replace_text(self.spark, f"{self._root()}/pending/{write_id}", state)
