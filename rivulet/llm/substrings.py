@@ -140,13 +140,14 @@ def _minimizer_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     def settled(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
         m, k1 = (np.concatenate(x) for x in zip(*parts))
         order = np.argsort(m, kind="stable")
-        m, k1 = m[order], k1[order]
-        new = np.concatenate(([True], m[1:] != m[:-1]))
+        new = np.concatenate(([True], np.diff(m[order]) != 0))
         holders = np.diff(np.append(np.flatnonzero(new), len(m)))
-        many = np.repeat(holders > 1, holders)
-        common, alone = m[many & new], m[~many]
+        many = np.zeros(len(m), bool)
+        many[order] = np.repeat(holders > 1, holders)
+        common = m[order[new]][holders > 1]
+        # in the documents' order, in which rows compress
         columns = (
-            (alone, np.zeros(len(alone), np.int32), pa.array(k1[~many])),
+            (m[~many], np.zeros(int((~many).sum()), np.int32), pa.array(k1[~many])),
             (common, np.zeros(len(common), np.int32), pa.nulls(len(common), pa.int64())),
             (m[many], _salt(k1[many]), pa.array(k1[many])),
         )
@@ -173,7 +174,7 @@ def _minimizer_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield settled(parts)
 
 
-_EDGE = "h long, salt int, k1 long, k2 long, pos int, s1 long, s2 long, s_pos int"
+_EDGE = "h long, salt int, k1 long, k2 long, pos int, source struct<k1: long, pos: int, k2: long>"
 
 
 def _edge_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,14 +185,16 @@ def _edge_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def settled(parts: list[tuple]) -> pa.RecordBatch:
         h, k1, k2, pos = (np.concatenate(x) for x in zip(*parts))
         order = np.lexsort((pos, k2, k1, h))
-        h, k1, k2, pos = h[order], k1[order], k2[order], pos[order]
-        first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
-        source = np.repeat(first, np.diff(np.append(first, len(h))))
-        later = k1 > k1[source]
-        columns = [h, np.where(later, _salt(k1), np.int32(0)), k1, k2, pos]
-        columns = [pa.array(c) for c in columns]
-        columns += [pa.array(c[source], mask=~later) for c in (k1, k2, pos)]
-        return pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in _EDGE.split(", ")])
+        first = np.flatnonzero(np.concatenate(([True], np.diff(h[order]) != 0)))
+        at = np.empty(len(h), np.int64)
+        at[order] = np.repeat(order[first], np.diff(np.append(first, len(h))))
+        later = k1 > k1[at]
+        at = at[later]
+        sources = pa.StructArray.from_arrays([pa.array(k1[at]), pa.array(pos[at]), pa.array(k2[at])], ["k1", "pos", "k2"])
+        place = np.where(later, np.cumsum(later) - 1, 0)
+        sources = sources.take(pa.array(place, mask=~later))
+        columns = [pa.array(c) for c in (h, np.where(later, _salt(k1), np.int32(0)), k1, k2, pos)]
+        return pa.RecordBatch.from_arrays([*columns, sources], ["h", "salt", "k1", "k2", "pos", "source"])
 
     parts, n = [], 0
     for b in batches:
@@ -296,14 +299,8 @@ def drop_repeated(docs: DataFrame) -> DataFrame:
     on_shared = on_shared.groupBy("k1").agg(F.collect_list("m").alias("shared"))  # of one document
     edges = rows.join(on_shared, "k1").select(*rows.columns, "shared").mapInArrow(_edge_rows, _EDGE)
     first = F.min(F.struct("k1", "pos", "k2")).over(Window.partitionBy("h", "salt"))
-    later = edges.withColumn("first", F.when(F.col("salt") == 0, first)).where("salt <> 0 or k1 > first.k1")
-    stands = F.struct(
-        "k2",
-        "pos",
-        F.coalesce("s1", "first.k1").alias("s1"),
-        F.coalesce("s2", "first.k2").alias("s2"),
-        F.coalesce("s_pos", "first.pos").alias("at"),
-    )
+    later = edges.withColumn("s", F.coalesce("source", first)).where("k1 > s.k1")
+    stands = F.struct("k2", "pos", F.col("s.k1").alias("s1"), F.col("s.k2").alias("s2"), F.col("s.pos").alias("at"))
     # of one document, so no longer than its words
     spans = later.groupBy("k1").agg(F.collect_list(stands).alias("edges")).mapInArrow(_path_rows, _SPAN)
     at = ["s1", "s2", "s_start", "n"]
@@ -314,7 +311,7 @@ def drop_repeated(docs: DataFrame) -> DataFrame:
         _source_rows, "s1 long, s2 long, s_start int, n int, d binary"
     )
     checked = spans.join(sources, at).groupBy("k1").agg(F.collect_list(F.struct("k2", "start", "n", "d")).alias("spans"))
-    result = rows.join(copies, "k1", "left").join(checked, "k1", "left").select(*rows.columns, "copies", "spans")
+    result = rows.join(checked, "k1", "left").join(copies, "k1", "left").select(*rows.columns, "copies", "spans")
     return result.mapInArrow(_kept_rows, "doc_id long, n_words long, n_removed long, text string")
 
 
