@@ -170,7 +170,7 @@ def _minimizer_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 if n > _TOGETHER:
                     yield settled(parts)
                     parts, n = [], 0
-    if parts:
+    if n:
         yield settled(parts)
 
 
@@ -209,7 +209,7 @@ def _edge_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if n > _TOGETHER:
                     yield settled(parts)
                     parts, n = [], 0
-    if parts:
+    if n:
         yield settled(parts)
 
 

@@ -88,6 +88,12 @@ def test_substrings_within_repeating_text(spark):
     assert got == _substrings_brute(data)
 
 
+def test_substrings_of_short_texts(spark):
+    data = [(1, "a b"), (2, "a b"), (3, ""), (4, None)]
+    got = counted(substrings.drop_repeated(spark.createDataFrame(data, "doc_id long, text string")), "doc_id", "n_words", "n_removed", "text")
+    assert got == _substrings_brute(data)
+
+
 def test_window_hashes_follow_words():
     a, b = substrings.word_hashes(b"x  the same words here\n"), substrings.word_hashes(b"the\tsame words here y")
     assert a[1:].tolist() == b[:-1].tolist() and len(set(a.tolist())) == 5
