@@ -28,6 +28,10 @@ DOCS_PER_LANGUAGE = 300
 MAX_TRAIN_CHARS = 20_000
 TRAIN_WORDS = 120_000
 
+# Least share of the words for a language to be that of the document: a text half
+# in one language and half in another has one, a jumble of many has none.
+MIN_SCORE = 0.35
+
 CHAIN = 64  # words; a chain of a longer text starts anew
 MAX_WORD = 256  # code points; a longer word is labelled in pieces
 _TABLE = 1 << 16
@@ -284,7 +288,7 @@ def held_out(modulus: int, remainder: int):
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % modulus == remainder, F.lit(False))
 
 
-def keep_identified(docs: DataFrame, min_score: float = 0.5) -> DataFrame:
+def keep_identified(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """The rows whose language is known with at least ``min_score``; columns stay.
     The rejected ones are joined away by key (equal rows share their fate)."""
     found = identify(docs, learn(docs))
