@@ -25,12 +25,12 @@ TARGET = {"high": 0.9, "low": 0.1, "toxic": 0.0}
 # Bounds of the classifier: labelled rows it is fitted on, and features it keeps.
 # A feature must be LEAST_LIFT times as frequent in one domain as overall (words
 # that only tell long texts from short ones are not) with an effect (chi-square
-# over rows) of LEAST_EFFECT, and stand in LEAST_ROWS labelled rows.
+# over rows) of LEAST_EFFECT, and stand in LEAST_ROWS labelled rows at least.
 TRAIN_ROWS = 20_000
 FEATURES = 256
 LEAST_LIFT = 3.0
 LEAST_EFFECT = 0.01
-LEAST_ROWS = 10
+LEAST_ROWS = 2
 _SMOOTH = 2.0  # documents at the common share that every domain is given
 _STEPS = 40
 _CLOSE = 1e-3  # share of all tokens by which a total may miss its target
