@@ -23,12 +23,13 @@ from rivulet.llm.common import fresh, hash_share, row_key, saved, table
 DOMAINS = ("high", "low", "toxic")
 TARGET = {"high": 0.9, "low": 0.1, "toxic": 0.0}
 # Bounds of the classifier: labelled rows it is fitted on, and features it keeps.
-# A feature must be LEAST_LIFT times as frequent in one domain as overall (words
-# that only tell long texts from short ones are not) with an effect (chi-square
-# over rows) of LEAST_EFFECT, and stand in LEAST_ROWS labelled rows at least.
+# A feature must be LEAST_RATIO times as frequent in one domain as in the rows of
+# the others (words that only tell long texts from short ones are not), which any
+# size of the domains allows, with an effect (chi-square over rows) of
+# LEAST_EFFECT, and stand in LEAST_ROWS labelled rows at least.
 TRAIN_ROWS = 20_000
 FEATURES = 256
-LEAST_LIFT = 3.0
+LEAST_RATIO = 3.0
 LEAST_EFFECT = 0.01
 LEAST_ROWS = 2
 _SMOOTH = 2.0  # documents at the common share that every domain is given
@@ -82,10 +83,14 @@ def classifier(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, list[floa
     k = range(len(DOMAINS))
     mean = sum(F.col(f"n{i}") for i in k) / max(total, 1)
     share = [(F.col(f"n{i}") + _SMOOTH * mean) / (size[i] + _SMOOTH) for i in k]
+    others = [
+        (sum(F.col(f"n{j}") for j in k if j != i) + _SMOOTH * mean) / (total - size[i] + _SMOOTH) for i in k
+    ]
+    ratio = F.greatest(*(s / o for s, o in zip(share, others)))
     stray = sum(size[i] * F.pow(share[i] - mean, 2) / (mean * (1 - mean) + 1e-9) for i in k)
     best = holders.withColumn("stray", stray).where(
         (F.col("stray") >= LEAST_EFFECT * total)
-        & (F.greatest(*share) >= LEAST_LIFT * mean)
+        & (ratio >= LEAST_RATIO)
         & (sum(F.col(f"n{i}") for i in k) >= LEAST_ROWS)
     )
     best = best.orderBy(F.desc("stray"), "feature").limit(FEATURES)

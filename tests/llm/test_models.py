@@ -1,6 +1,7 @@
 """Trained operators, chat formatting, mixing, the pipeline and the queries."""
 
 import math
+import random
 import zlib
 from collections import Counter
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from rivulet.llm import chat, common, language, mixing, queries, scoring
-from tests.llm.conftest import rows
+from tests.llm.conftest import prose, rows
 from tests.oracle_check import compare
 
 
@@ -119,6 +120,25 @@ def test_mixing_meets_its_targets(spark, sf_oracle):
     assert ((found.copies - found.rate).abs() < 1).all()
 
 
+def test_mixing_tells_domains_of_any_size_apart(spark):
+    r = random.Random(1)
+    texts, labels = [], []
+    for i in range(300):
+        domain = 2 if i % 20 == 0 else i % 2
+        text = prose(i, r.randint(20, 120)).split()
+        text[r.randrange(len(text))] = ("good", "bad", "foul")[domain]
+        texts.append((i, " ".join(text)))
+        labels.append((i, int(domain == 0), int(domain == 2)))
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    found = mixing.mix(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).toPandas()
+    found = found.sort_values("doc_id").reset_index(drop=True)
+    own = np.array([2 if t else 1 - q for _, q, t in labels])
+    weight = (found.n_tokens * found.rate).groupby(own).sum() / found.n_tokens.sum()
+    assert np.allclose([weight[0], weight[1], weight[2]], [0.9, 0.1, 0.0], atol=0.03)
+    p = found[[f"p_{d}" for d in mixing.DOMAINS]].to_numpy()
+    assert p[np.arange(300), own].min() > 0.8
+
+
 def test_mixing_matches_plain_projected_gradient(spark):
     rng = np.random.default_rng(2)
     p = rng.dirichlet([0.4, 0.3, 0.2], 300)
