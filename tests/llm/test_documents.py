@@ -144,6 +144,15 @@ def test_simhash_keeps_one_of_each_group(clashing):
     assert kept.count() == found.select("component_id").distinct().count()
 
 
+def test_simhash_keeps_unlike_texts_without_an_id_of_their_own(spark):
+    unlike = [(None, prose(k, 60)) for k in range(40, 44)] + [(7, prose(50, 60)), (7, prose(51, 60)), (8, prose(52, 60))]
+    prints = {_print_brute(t) for _, t in unlike}
+    assert len(set(_groups(prints, lambda a, b: (a ^ b).bit_count() <= 3).values())) == len(unlike)
+    copies = [(None, unlike[0][1]), (9, unlike[4][1]), (8, unlike[6][1])]
+    kept = simhash.drop_near_duplicates(spark.createDataFrame(unlike + copies, "doc_id long, text string"))
+    assert counted(kept, "doc_id", "text") == Counter(unlike)
+
+
 def test_links_miss_nothing(spark):
     import random
 
