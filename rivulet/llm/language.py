@@ -15,18 +15,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.llm.common import fresh, hash_share, row_key, table
 
 UNKNOWN = "und"
-# Bounds of the training sample (labelled rows only): languages, documents of
-# each, code points of a document, words in all.
-MAX_LANGUAGES = 64
+# Bounds of the training sample (labelled rows only; every language is kept):
+# documents of a language, code points of a document (a longer one gives PASSAGES
+# from all its length), words shared by the languages, and least words of each.
 DOCS_PER_LANGUAGE = 300
 MAX_TRAIN_CHARS = 20_000
+PASSAGES = 16
 TRAIN_WORDS = 120_000
+LEAST_WORDS = 2_000
 
 # Least share of the words for a language to be that of the document: a text half
 # in one language and half in another has one, a jumble of many has none.
@@ -34,10 +36,12 @@ MIN_SCORE = 0.35
 
 CHAIN = 64  # words; a chain of a longer text starts anew
 MAX_WORD = 256  # code points; a longer word is labelled in pieces
-_TABLE = 1 << 16
+_TABLE = 1 << 16  # rows of a table; with over 64 languages so many fewer that its size stays
+_LEAST_TABLE = 1 << 12
 _ORDERS = (2, 3, 4)
 _STEPS = 60
-_CHUNK_CHARS = 300_000
+_CHUNK_CHARS = 300_000  # scored at once; with over 16 languages so many fewer
+_CELLS = 1 << 22  # marginals held at once in training
 
 _LETTER: np.ndarray | None = None
 
@@ -69,22 +73,30 @@ class Features:
     letters: np.ndarray
 
 
-def features(words: list[str]) -> Features:
+def table_rows(languages: int) -> int:
+    rows = _TABLE
+    while rows > _LEAST_TABLE and rows * languages > _TABLE * 64:
+        rows //= 2
+    return rows
+
+
+def features(words: list[str], rows: int = _TABLE) -> Features:
     joined = " " + " ".join(words) + " "
     cp = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
     size = np.fromiter(map(len, words), np.int64, len(words))
     start = np.cumsum(size + 1) - size
     grams, last, h = [], [], cp * np.uint32(0x01000193)
+    shift = np.uint32(33 - rows.bit_length())
     for n in range(2, max(_ORDERS) + 1):
         h = (h[:-1] ^ cp[n - 1 :]) * np.uint32(0x01000193)
-        grams.append(((h + np.uint32(n)) * np.uint32(0x9E3779B1)) >> np.uint32(16))
+        grams.append(((h + np.uint32(n)) * np.uint32(0x9E3779B1)) >> shift)
         # n-grams from the mark before the word to the mark behind it
         last.append(np.maximum(np.minimum(start + size + 2 - n, len(grams[-1])), start - 1))
     lead = grams[-1][np.minimum(start - 1, len(grams[-1]) - 1)] if len(grams[-1]) else np.zeros(len(words), np.uint32)
     tail = grams[-1][np.maximum(start + size - 3, 0)] if len(grams[-1]) else lead
     mid = grams[0][start + size // 2]
     word = ((lead * np.uint32(31) ^ tail) * np.uint32(0x85EBCA6B) ^ mid * np.uint32(0xC2B2AE35)) + size.astype(np.uint32)
-    lexicon = (word * np.uint32(0x9E3779B1)) >> np.uint32(16)
+    lexicon = (word * np.uint32(0x9E3779B1)) >> shift
     seen = np.concatenate(([0], np.cumsum(_is_letter()[cp])))
     return Features(grams, start - 1, last, lexicon, seen[start + size] - seen[start] > 0)
 
@@ -142,27 +154,34 @@ def train(texts: list[tuple[str, str]], seed: int = 0) -> Model:
     by_text = [(w, y) for w, y in by_text if w]
     words: list[str] = []
     label: list[int] = []
-    goal = min(TRAIN_WORDS, 4 * sum(len(w) for w, _ in by_text))
+    own = [[i for i, (_, y) in enumerate(by_text) if y == c] for c in range(k)]
+    most = max(TRAIN_WORDS // max(k, 1), LEAST_WORDS)
+    left = np.array([min(most, 4 * sum(len(by_text[i][0]) for i in o)) for o in own], np.int64)
     at = [int(rng.integers(len(w))) for w, _ in by_text]
-    while by_text and len(words) < goal:
-        i = int(rng.integers(len(by_text)))
-        w, y = by_text[i]
-        run = w[at[i] : at[i] + int(rng.integers(1, 25))]
+    while left.any():
+        y = int(np.searchsorted(np.cumsum(left), rng.integers(left.sum()), side="right"))
+        i = own[y][int(rng.integers(len(own[y])))]
+        w = by_text[i][0]
+        run = w[at[i] : at[i] + min(int(rng.integers(1, 25)), int(left[y]))]
         at[i] = (at[i] + len(run)) % len(w)
+        left[y] -= len(run)
         words += run
         label += [y] * len(run)
-    model = Model(languages, np.zeros((len(_ORDERS) + 1, _TABLE, max(k, 1)), np.float32), np.zeros((k, k)), np.zeros(k))
+    rows = table_rows(k)
+    model = Model(languages, np.zeros((len(_ORDERS) + 1, rows, max(k, 1)), np.float32), np.zeros((k, k)), np.zeros(k))
     if not words or k < 2:
         return model
-    f = features(words)
+    f = features(words, rows)
     keep = f.letters
+    if not keep.any():
+        return model
     y = np.array(label)[keep]
     chains = len(y) // size or 1
     size = min(size, len(y))
     y = y[: chains * size].reshape(chains, size)
     number = np.where(keep, np.cumsum(keep) - 1, -1)
     number[number >= y.size] = -1
-    # flat (table row, word) pairs of each table
+    # flat (table row, word) pairs of each table, in order of the words
     flat = []
     for g, last in zip(f.grams, f.last):
         count = np.maximum(last - f.first, 0)
@@ -170,29 +189,44 @@ def train(texts: list[tuple[str, str]], seed: int = 0) -> Model:
         pos = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(f.first, count)
         flat.append((g[pos][owner >= 0].astype(np.int64), owner[owner >= 0]))
     flat.append((f.lexicon[number >= 0].astype(np.int64), number[number >= 0]))
-    sizes = np.full(chains, size)
-    truth = np.eye(k)[y]
     seen = np.zeros((k, k))
     np.add.at(seen, (y[:, :-1].ravel(), y[:, 1:].ravel()), 1)
     started = np.bincount(y[:, 0], minlength=k)
-    params = [model.weights.astype(np.float64), model.moves, model.begin]
+    # some chains at a time: (chains, truth, per table the rows and words of its pairs)
+    step_chains = max(1, _CELLS // (size * k))
+    parts = []
+    for c in range(0, chains, step_chains):
+        d = min(c + step_chains, chains)
+        pairs_of = []
+        for at_row, owner in flat:
+            lo, hi = np.searchsorted(owner, (c * size, d * size))
+            pairs_of.append((at_row[lo:hi], owner[lo:hi] - c * size))
+        parts.append((d - c, y[c:d].ravel(), pairs_of))
+    kind = np.float64 if k <= 16 else np.float32  # a table of many languages is large
+    params = [model.weights.astype(kind), model.moves, model.begin]
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
+    grad = np.empty_like(params[0])
     for step in range(1, _STEPS + 1):
-        scores = np.zeros((y.size, k))
-        for (rows, owner), w in zip(flat, params[0]):
-            for c in range(k):
-                scores[:, c] += np.bincount(owner, weights=w[rows, c], minlength=y.size)
-        p, pairs, begun = marginals(model, scores.reshape(chains, size, k), sizes)
-        error = (truth - p).reshape(-1, k)
-        grad = np.empty_like(params[0])
-        for j, (rows, owner) in enumerate(flat):
-            for c in range(k):
-                grad[j, :, c] = np.bincount(rows, weights=error[owner, c], minlength=_TABLE)
-        grads = [grad - 0.1 * params[0], seen - pairs - 0.1 * params[1], started - begun - 0.1 * params[2]]
-        for i, g in enumerate(grads):
-            first[i] = 0.9 * first[i] + 0.1 * g
-            second[i] = 0.99 * second[i] + 0.01 * g * g
-            params[i] += 0.1 * (first[i] / (1 - 0.9**step)) / (np.sqrt(second[i] / (1 - 0.99**step)) + 1e-8)
+        grad[:], pairs, begun = 0, np.zeros((k, k)), np.zeros(k)
+        for n, truth, pairs_of in parts:
+            scores = np.zeros((n * size, k))
+            for (at_row, owner), w in zip(pairs_of, params[0]):
+                for c in range(k):
+                    scores[:, c] += np.bincount(owner, weights=w[at_row, c], minlength=n * size)
+            p, some_pairs, some_begun = marginals(model, scores.reshape(n, size, k), np.full(n, size))
+            pairs += some_pairs
+            begun += some_begun
+            error = -p.reshape(-1, k)
+            error[np.arange(n * size), truth] += 1
+            for j, (at_row, owner) in enumerate(pairs_of):
+                for c in range(k):
+                    grad[j, :, c] += np.bincount(at_row, weights=error[owner, c], minlength=rows)
+        grad -= 0.1 * params[0]
+        for i, g in enumerate([grad, seen - pairs - 0.1 * params[1], started - begun - 0.1 * params[2]]):
+            for j in range(len(g)):  # a table at a time
+                first[i][j] = 0.9 * first[i][j] + 0.1 * g[j]
+                second[i][j] = 0.99 * second[i][j] + 0.01 * g[j] * g[j]
+                params[i][j] += 0.1 * (first[i][j] / (1 - 0.9**step)) / (np.sqrt(second[i][j] / (1 - 0.99**step)) + 1e-8)
         model.moves, model.begin = params[1], params[2]
     model.weights = params[0].astype(np.float32)
     return model
@@ -203,7 +237,7 @@ def label_words(model: Model, texts: list[list[str]]) -> list[tuple[np.ndarray,
     flat = [w for t in texts for w in t]
     if not flat:
         return [(np.zeros(0, np.int64), np.zeros((0, len(model.languages)))) for _ in texts]
-    f = features(flat)
+    f = features(flat, model.weights.shape[1])
     owner = np.repeat(np.arange(len(texts)), [len(t) for t in texts])[f.letters]
     scores = model.emissions(f)[f.letters]
     counts = np.bincount(owner, minlength=len(texts))
@@ -225,17 +259,18 @@ def label_words(model: Model, texts: list[list[str]]) -> list[tuple[np.ndarray,
 def _predict(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(**shared.value)
+        chunk = _CHUNK_CHARS * 16 // max(len(model.languages), 16)
         for b in batches:
             mass = np.zeros((b.num_rows, max(len(model.languages), 1)))
             held: list[tuple[int, list[str]]] = []
             chars = 0
             for i, t in enumerate(b.column(b.num_columns - 1)):
                 words = split_words(t.as_py() or "") if model.languages else []
-                for at in range(0, len(words), _CHUNK_CHARS // 8):  # a very long text in several parts
-                    part = words[at : at + _CHUNK_CHARS // 8]
+                for at in range(0, len(words), chunk // 8):  # a very long text in several parts
+                    part = words[at : at + chunk // 8]
                     held.append((i, part))
                     chars += sum(map(len, part))
-                    if chars >= _CHUNK_CHARS:
+                    if chars >= chunk:
                         _add(model, held, mass)
                         held, chars = [], 0
             _add(model, held, mass)
@@ -256,19 +291,35 @@ def _add(model: Model, held: list[tuple[int, list[str]]], mass: np.ndarray) -> N
         mass[i] += p.sum(axis=0)
 
 
+def _passages(text: Column, seed: Column) -> Column:
+    """A text of over ``MAX_TRAIN_CHARS`` code points cut to as many: ``PASSAGES`` passages
+    of whole words, one from a hashed place in each of as many equal stretches."""
+    flat = F.regexp_replace(text, r"(?U)\s+", " ")
+    stretch, size = F.floor(F.char_length(flat) / PASSAGES).cast("int"), MAX_TRAIN_CHARS // PASSAGES
+
+    def passage(i: Column) -> Column:
+        place = F.pmod(F.xxhash64(seed, i), F.greatest(stretch - size, F.lit(0)) + 1).cast("int")
+        return F.regexp_replace(F.substring(flat, i * stretch + place + 1, F.lit(size)), r"^\S*\s|\s\S*$", "")
+
+    some = F.array_join(F.array(*(passage(F.lit(i)) for i in range(PASSAGES))), " ")
+    return F.when(F.char_length(text) <= MAX_TRAIN_CHARS, text).otherwise(some)
+
+
 def learn(docs: DataFrame) -> Model:
-    """A model from the rows with text and lang: of the ``MAX_LANGUAGES`` most frequent
-    languages about ``DOCS_PER_LANGUAGE`` rows each (all of fewer), those with a small
-    hash of id and text, among texts of at most ``MAX_TRAIN_CHARS`` code points; equal
-    rows count once.  Without such rows the model knows no language."""
-    rows = docs.where("lang is not null and text is not null").select(
+    """A model from the rows with lang and a letter in the text: of every language about
+    ``DOCS_PER_LANGUAGE`` rows (all of fewer, and one at least), those with a small hash
+    of id and text; equal rows count once, and of a text of over ``MAX_TRAIN_CHARS``
+    code points passages from all its length are read.  Without such rows the model
+    knows no language."""
+    rows = docs.where("lang is not null and text is not null").where(F.col("text").rlike(r"\p{L}")).select(
         F.col("lang").cast("string").alias("lang"), "text", row_key()[1].alias("k")
     )
-    rows = rows.where(F.char_length("text") <= MAX_TRAIN_CHARS)
-    top = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)
-    share = hash_share(F.col("k")) < DOCS_PER_LANGUAGE / F.col("count")
-    picked = rows.join(F.broadcast(top), "lang").where(share).groupBy("lang", "k").agg(F.first("text").alias("text"))
-    return train([(r["text"], r["lang"]) for r in picked.collect()])
+    share = hash_share(F.col("k"))
+    each = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("count"), F.min(share).alias("least"))
+    small = (share < DOCS_PER_LANGUAGE / F.col("count")) | (share == F.col("least"))
+    picked = rows.join(F.broadcast(each), "lang").where(small).groupBy("lang", "k").agg(F.first("text").alias("text"))
+    texts = picked.select("lang", _passages(F.col("text"), F.col("k")).alias("text"))
+    return train([(r["text"], r["lang"]) for r in texts.collect()])
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:

@@ -71,6 +71,46 @@ def test_language_edge_rows(docs, clashing, empty):
     assert language.identify(empty, model).count() == 0
 
 
+def _tongue(k: int, seed: int, n: int) -> str:
+    """Words of a language of its own: syllables drawn by the language's number."""
+    own = random.Random(k)
+    lexicon = ["".join(own.choice("bdfgklmnprstvz") + own.choice("aeiou") for _ in range(3)) for _ in range(30)]
+    r = random.Random(seed)
+    return " ".join(r.choice(lexicon) for _ in range(n))
+
+
+def test_language_learns_from_long_texts_only(spark):
+    data = [(10 * k + i, _tongue(k, i, 4000), f"l{k}") for k in range(2) for i in range(3)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    assert min(len(t) for _, t, _ in data) > language.MAX_TRAIN_CHARS
+    found = {r.doc_id: r.lang_pred for r in language.identify(docs, language.learn(docs)).collect()}
+    assert found == {i: lang for i, _, lang in data}
+    assert language.keep_identified(docs).count() == len(data)
+
+
+def test_language_passages_of_long_texts(spark):
+    text = " ".join(f"w{i:05d}" for i in range(20_000))
+    docs = spark.createDataFrame([(1, text), (2, "x" * 50_000), (3, "a b")], "k long, text string")
+    cut = {r.k: r.t for r in docs.select("k", language._passages(F.col("text"), F.col("k")).alias("t")).collect()}
+    said = cut[1].split()
+    assert len(cut[1]) <= language.MAX_TRAIN_CHARS and set(said) <= set(text.split())
+    assert {int(w[1:]) * language.PASSAGES // 20_000 for w in said} == set(range(language.PASSAGES))
+    assert set(cut[2].split()) == {"x" * (language.MAX_TRAIN_CHARS // language.PASSAGES)} and cut[3] == "a b"
+
+
+def test_language_keeps_every_language(spark, monkeypatch):
+    monkeypatch.setattr(language, "_STEPS", 20)
+    monkeypatch.setattr(language, "LEAST_WORDS", 200)
+    monkeypatch.setattr(language, "TRAIN_WORDS", 1000)
+    data = [(100 * k + i, _tongue(k, i, 60), f"l{k:02d}") for k in range(70) for i in range(2 if k == 69 else 3)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    model = language.learn(docs)
+    assert model.languages == sorted({lang for *_, lang in data})
+    found = {r.doc_id: r.lang_pred for r in language.identify(docs, model).collect()}
+    assert sum(found[i] == lang for i, _, lang in data) > 0.9 * len(data)
+    assert found[6900] == "l69"
+
+
 # ------------------------------------------------------------------- LM scoring
 def test_scoring(docs, clashing, empty):
     train = docs.where("source is not null")
