@@ -1,6 +1,6 @@
 """The queries of this subpackage and, where SQL can express them, their SQL."""
 
-from rivulet.llm import chat, contamination, fingerprints, language, lines, mixing, pii, scoring, simhash, substrings
+from rivulet.llm import chat, contamination, fingerprints, language, lines, mixing, pii, runs, scoring, simhash, substrings
 
 QUERIES = {
     "op1_fingerprints": fingerprints.op1_fingerprints,
@@ -13,6 +13,7 @@ QUERIES = {
     "op8_simhash": simhash.op8_simhash,
     "op9_chat_format": chat.op9_chat_format,
     "op10_scoring": scoring.op10_scoring,
+    "op11_runs": runs.op11_runs,
 }
 
 SQL = {
