@@ -1,6 +1,6 @@
 """The queries of this subpackage and, where SQL can express them, their SQL."""
 
-from rivulet.llm import chat, contamination, fingerprints, language, lines, mixing, pii, runs, scoring, simhash, substrings
+from rivulet.llm import chat, contamination, fingerprints, language, lines, mixing, pii, quality, runs, scoring, search, simhash, substrings
 
 QUERIES = {
     "op1_fingerprints": fingerprints.op1_fingerprints,
@@ -14,6 +14,8 @@ QUERIES = {
     "op9_chat_format": chat.op9_chat_format,
     "op10_scoring": scoring.op10_scoring,
     "op11_runs": runs.op11_runs,
+    "op12_ranked_search": search.op12_ranked_search,
+    "op13_quality": quality.op13_quality,
 }
 
 SQL = {
@@ -21,4 +23,5 @@ SQL = {
     "op4_line_dedup": lines.OP4_SQL,
     "op7_decontamination": contamination.OP7_SQL,
     "op9_chat_format": chat.OP9_SQL,
+    "op12_ranked_search": search.OP12_SQL,
 }
