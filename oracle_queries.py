@@ -31,10 +31,14 @@ _CTE = {
     "msgs": """msgs AS (SELECT strftime(ts, '%Y%m%d%H%M%S%g') || lpad(CAST(event_id % 1000000 AS VARCHAR), 6, '0') AS order_id,
   CAST(user_id AS VARCHAR) AS user_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%g') AS order_time, value AS order_money,
   CASE event_type WHEN 'click' THEN 0 WHEN 'error' THEN 1 WHEN 'view' THEN 2 ELSE 3 END AS order_status,
-  event_id, ts, CAST(CASE WHEN event_id % 2 = 0 THEN 607649792 + (event_id * 7919) % 524287
-    ELSE -1950089216 + (event_id * 7919) % 1310719 END AS BIGINT) AS ip_int,
+  event_id, ts, CAST(CASE event_id % 10 WHEN 0 THEN 607649792 + (event_id * 7919) % 524288
+    WHEN 1 THEN 1038614528 + (event_id * 7919) % 393216 WHEN 2 THEN 1783627776 + (event_id * 7919) % 1048576
+    WHEN 3 THEN 2035023872 + (event_id * 7919) % 131072 WHEN 4 THEN 2078801920 + (event_id * 7919) % 262144
+    WHEN 5 THEN -1950089216 + (event_id * 7919) % 1310720 WHEN 6 THEN -1425539072 + (event_id * 7919) % 524288
+    WHEN 7 THEN -1236271104 + (event_id * 7919) % 851968 WHEN 8 THEN -770113536 + (event_id * 7919) % 1507328
+    ELSE -569376768 + (event_id * 7919) % 5242880 END AS BIGINT) AS ip_int,
   ((ip_int >> 24) & 255) || '.' || ((ip_int >> 16) & 255) || '.' || ((ip_int >> 8) & 255) || '.' || (ip_int & 255) AS ip,
-  'order-topic' AS topic, CAST(event_id % 3 AS INTEGER) AS part, CAST(epoch_ms(ts) AS BIGINT) AS timestamp_ms FROM events)""",
+  'order-topic' AS topic, CAST(event_id % 3 AS INTEGER) AS part, epoch_us(ts) // 1000 AS timestamp_ms FROM events)""",
     "stored": """stored AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY partitionpath, order_id
   ORDER BY ts DESC, pre_total_fee DESC, start_dest_distance DESC, product_id DESC, type DESC, traffic_type DESC,
   departure_time DESC) AS r FROM (SELECT *, y || '-' || m || '-' || d AS partitionpath,
@@ -112,6 +116,17 @@ _AFTER_OLDEST = """commit_time > (SELECT min(commit_time) FROM
   (SELECT DISTINCT commit_time FROM snap ORDER BY commit_time DESC LIMIT 50))"""
 
 
+_ANY_RANGES = RANGES.replace(
+    ") g(lo, hi, lo_ip)",
+    """, (-2147483648, 2147483647, ''), (0, 2147483647, ''), (-2147483648, -1, ''), (607649793, 608174078, ''), (-1, 0, ''),
+  (1038614528, 1038614528, ''), (-570000001, 1783700001, '')) g(lo, hi, lo_ip)""",
+)
+
+
+def _dotted(x: str) -> str:
+    return f"(({x}::BIGINT >> 24) & 255) || '.' || (({x}::BIGINT >> 16) & 255) || '.' || (({x}::BIGINT >> 8) & 255) || '.' || ({x}::BIGINT & 255)"
+
+
 def oracle_sql() -> dict[str, str]:
     reports = [
         f"SELECT 'product' AS report, {PRODUCT} AS label, count(*) AS total FROM stored GROUP BY product_id",
@@ -175,9 +190,9 @@ def oracle_sql() -> dict[str, str]:
         "lake_delete_precombine": _with(
             "log",
             """SELECT uuid, event_id, commit_time FROM (SELECT *, row_number() OVER (PARTITION BY partitionpath, uuid
-              ORDER BY ts DESC, commit_time DESC, event_id DESC) AS r FROM log WHERE NOT is_delete
-              AND (CAST(uuid AS BIGINT) % 3 <> 0 OR commit_time > '20240112000000000'))
-              WHERE r = 1 AND (CAST(uuid AS BIGINT) % 3 <> 1 OR ts > TIMESTAMP '2024-01-10 00:00:00')""",
+              ORDER BY ts DESC, commit_time DESC, event_id DESC) AS r FROM log
+              WHERE CAST(uuid AS BIGINT) % 3 <> 0 OR commit_time > '20240112000000000')
+              WHERE r = 1 AND NOT is_delete AND (CAST(uuid AS BIGINT) % 3 <> 1 OR ts > TIMESTAMP '2024-01-10 00:00:00')""",
         ),
         "lake_overwrite": _with(
             "log",
@@ -220,7 +235,7 @@ def oracle_sql() -> dict[str, str]:
         "stream_order_etl": _with(
             "msgs",
             f"""SELECT order_id, user_id, order_time, ip, {_MESSAGE_COLUMNS}, order_money,
-              CAST(order_status AS VARCHAR) AS order_status, CAST(epoch_ms(CAST(order_time AS TIMESTAMP)) AS BIGINT) AS ts_ms,
+              CAST(order_status AS VARCHAR) AS order_status, epoch_us(CAST(order_time AS TIMESTAMP)) // 1000 AS ts_ms,
               substring(order_time, 1, 10) AS day FROM msgs""",
         ),
         "stream_json_tolerant": _with("msgs", _TYPED_ORDERS),
@@ -231,6 +246,64 @@ def oracle_sql() -> dict[str, str]:
               (PARTITION BY substring(order_time, 1, 10), user_id ORDER BY ts DESC, event_id DESC) AS r FROM msgs) WHERE r = 1""",
         ),
         "stream_lake_read": _with("log", _COUNT_BY_COMMIT),
+        "ride_labels_sql": _with(
+            "rides",
+            f"""SELECT 'product' AS report, {PRODUCT} AS label, count(*) AS total FROM rides GROUP BY product_id
+              UNION ALL SELECT 'type', {REALTIME}, count(*) FROM rides GROUP BY type
+              UNION ALL SELECT 'traffic', {TRAFFIC}, count(*) FROM rides r GROUP BY r.traffic_type
+              UNION ALL SELECT 'weekday', {WEEKDAY}, count(*) FROM rides GROUP BY dayofweek(departure_ts)""",
+        ),
+        "scan_delimited_mixed": _with(
+            "rides", "SELECT order_id, product_id, pre_total_fee, departure_time, y AS year, traffic_type FROM rides"
+        ),
+        "scan_rejected": _with(
+            "rides",
+            """SELECT CASE WHEN order_id % 17 > 2 THEN order_id END AS order_id, CASE WHEN order_id % 17 > 2 THEN product_id END AS product_id,
+              CASE WHEN order_id % 17 > 2 THEN pre_total_fee END AS pre_total_fee,
+              CASE WHEN order_id % 17 > 2 THEN departure_time END AS departure_time,
+              CASE order_id % 17 WHEN 0 THEN order_id || chr(9) || product_id || chr(9) || fee
+                WHEN 1 THEN order_id || chr(9) || product_id || chr(9) || fee || chr(9) || departure_time || chr(9) || 'more'
+                WHEN 2 THEN order_id || chr(9) || 'many' || chr(9) || fee || chr(9) || departure_time END AS line
+              FROM (SELECT *, CAST(pre_total_fee AS VARCHAR) AS fee FROM rides)""",
+        ),
+        "scan_json_drifting": _with(
+            "log",
+            """SELECT CASE WHEN broken IS NULL THEN event_id END AS event_id, CASE WHEN broken IS NULL THEN uuid END AS uuid,
+              CASE WHEN broken IS NULL AND event_id % 3 <> 1 THEN fare END AS fare,
+              CASE WHEN broken IS NULL AND event_id % 3 = 2 THEN event_id END AS tip,
+              CASE WHEN broken IS NULL AND event_id % 3 = 2 THEN 'card' END AS paid,
+              CASE WHEN broken IS NULL AND event_id % 3 = 1 THEN '"' || event_id || ' EUR"' END AS unfit_fare, broken
+              FROM (SELECT *, CASE WHEN event_id % 50 = 0 THEN '{"event_id": ' || event_id END AS broken FROM log)""",
+        ),
+        "lake_bucketed_snapshot": _with(_SNAP, "SELECT uuid, partitionpath, fare, event_id, commit_time FROM snap"),
+        "lake_count_footers": _with("rides stored", "SELECT count(*) AS n FROM stored"),
+        "stream_lake_changes": _with("log", _COUNT_BY_COMMIT),
+        "stream_log_orders": _with(
+            "msgs",
+            """SELECT order_id, user_id, order_time, ip, topic, part AS "partition", timestamp_ms,
+              CAST(order_status AS VARCHAR) AS order_status, substring(order_time, 1, 10) AS day FROM msgs""",
+        ),
+        "stream_log_batches": """SELECT batch, least(total - batch * cap, cap) AS n FROM (SELECT count(*) AS total, count(*) // 3 + 1 AS cap FROM events),
+          range(3) t(batch) WHERE batch * cap < total""",
+        "stream_log_offsets": _with(
+            "msgs",
+            """SELECT topic, part AS "partition", count(*) AS n, 0 AS first_offset, count(*) - 1 AS last_offset, count(*) AS different
+              FROM msgs GROUP BY topic, part""",
+        ),
+        "stream_log_latest": _with("msgs", "SELECT order_id, part AS \"partition\" FROM msgs WHERE event_id % 2 = 1"),
+        "stream_log_loss": _with("msgs", "SELECT order_id, part AS \"partition\" FROM msgs WHERE event_id % 3 <> 1"),
+        "sink_log": _with(
+            "msgs",
+            """SELECT order_id AS key, topic, part AS "partition", timestamp_ms, user_id,
+              count(*) OVER (PARTITION BY part) AS next_offset FROM msgs""",
+        ),
+        "stream_progress": """SELECT name, count(*) AS input_rows, 1 AS started, 1 AS ended, 2 AS active, true AS one_ended
+          FROM events, (VALUES ('first'), ('second')) t(name) GROUP BY name""",
+        "ipv4_ranges_any_width": _with(
+            "msgs",
+            f"""SELECT {_dotted('g.lo')} AS range_start, {_dotted('g.hi')} AS range_end, count(*) AS total
+              FROM msgs JOIN {_ANY_RANGES} ON ip_int BETWEEN g.lo AND g.hi GROUP BY g.lo, g.hi""",
+        ),
         "ipv4_decode": _with("msgs", "SELECT event_id, ip FROM msgs"),
         "ipv4_range_tally": _with(
             "msgs", f"SELECT g.lo_ip AS range_start, count(*) AS total FROM msgs JOIN {RANGES} ON ip_int BETWEEN g.lo AND g.hi GROUP BY g.lo_ip"

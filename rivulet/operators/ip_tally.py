@@ -1,10 +1,10 @@
-"""Count addresses per listed address range (a range join, bucketed).
+"""Count addresses per listed address range, whatever the ranges' widths.
 
-Each range is cut into its /16 blocks, which turns ``ip BETWEEN lo AND hi``
-into an equi-join on the block number plus the range test.  The block table
-comes from the fixed range list (a few hundred rows), so Spark sees its size and
-broadcasts it; the address side is never shuffled for the join, and the count
-is a partial aggregate over at most ten groups.
+A range is cut into the aligned blocks it is made of: at most two of each size
+2^level, 62 in all, and one for the whole space.  ``ip BETWEEN lo AND hi`` then is an
+equi-join on (level, prefix).  Addresses are counted by the smallest block in use
+before anything else happens to them (a partial aggregate in every task, so a
+frequent address is one row a task), and only these counts meet the blocks.
 """
 
 from __future__ import annotations
@@ -16,25 +16,53 @@ from pyspark.sql import functions as F
 
 from rivulet.functions.ipv4 import IP_RANGES, int_to_ipv4
 
+# signed addresses moved to 0..2^32-1: keeps their order and the blocks' borders
+_ZERO = 1 << 31
 
-def range_blocks(spark: SparkSession, ranges: Sequence[tuple[int, int]] = IP_RANGES) -> DataFrame:
-    """One row per /16 block per range."""
-    base = spark.createDataFrame([(int(lo), int(hi)) for lo, hi in ranges], "lo int, hi int")
-    return base.select(
-        F.explode(F.sequence(F.shiftright("lo", 16), F.shiftright("hi", 16))).alias("block"),
-        "lo",
-        "hi",
-        int_to_ipv4("lo").alias("range_start"),
+
+def _range_table(spark: SparkSession, ranges: DataFrame | Sequence[tuple[int, int]]) -> DataFrame:
+    if not isinstance(ranges, DataFrame):
+        ranges = spark.createDataFrame([(int(lo), int(hi)) for lo, hi in ranges], "lo int, hi int")
+    return ranges.select(F.col("lo").cast("int").alias("lo"), F.col("hi").cast("int").alias("hi")).distinct()
+
+
+def range_blocks(spark: SparkSession, ranges: DataFrame | Sequence[tuple[int, int]] = IP_RANGES) -> DataFrame:
+    """``(lo, hi, level, prefix)``: the blocks of 2^level addresses that make up each range
+    ``lo..hi`` (signed, both ends included); ranges with ``lo > hi`` have none.  At
+    every level the blocks between the rounded ends are whole; an odd one at either
+    end has no place in a block of the next level."""
+    ends = _range_table(spark, ranges).where("lo <= hi").select(
+        "lo", "hi", (F.col("lo").cast("long") + _ZERO).alias("a"), (F.col("hi").cast("long") + _ZERO + 1).alias("b"),
+        F.explode(F.sequence(F.lit(0), F.lit(32))).alias("level"),
+    )
+    rounded = ends.withColumn("size", F.expr("shiftleft(1L, level)")).select(
+        "lo", "hi", "level", F.expr("shiftright(a + size - 1, level)").alias("first"), F.expr("shiftright(b, level)").alias("end")
+    )
+    odd = F.array(
+        F.when(F.col("first") % 2 == 1, F.col("first")),
+        F.when(F.col("end") % 2 == 1, F.col("end") - 1),
     )
+    blocks = rounded.where("first < end").withColumn("prefix", F.explode(F.array_compact(odd)))
+    return blocks.select("lo", "hi", "level", "prefix")
 
 
-def tally_ranges(df: DataFrame, ip_col: str, ranges: Sequence[tuple[int, int]] = IP_RANGES) -> DataFrame:
-    """``(range_start, total)`` for every range that holds at least one address."""
+def tally(df: DataFrame, ip_col: str, ranges: DataFrame | Sequence[tuple[int, int]] = IP_RANGES) -> DataFrame:
+    """``(lo, hi, total)`` for every range that holds at least one address.  Ranges may
+    overlap; an address counts in each.  NULL addresses count in none."""
     blocks = range_blocks(df.sparkSession, ranges)
-    ips = df.select(F.col(ip_col).cast("int").alias("ip")).withColumn("block", F.shiftright("ip", 16))
-    joined = ips.join(
-        blocks,
-        (ips["block"] == blocks["block"]) & ips["ip"].between(blocks["lo"], blocks["hi"]),
-        "inner",
-    )
-    return joined.groupBy("range_start").agg(F.count(F.lit(1)).alias("total"))
+    # at most 33 numbers
+    levels = sorted(r[0] for r in blocks.select("level").distinct().collect())
+    if not levels:
+        return blocks.select("lo", "hi", F.lit(0).cast("long").alias("total")).limit(0)
+    least = levels[0]
+    place = F.shiftright(F.col(ip_col).cast("int").cast("long") + _ZERO, least)
+    counts = df.where(F.col(ip_col).cast("int").isNotNull()).groupBy(place.alias("place")).agg(F.count(F.lit(1)).alias("n"))
+    at = F.array(*(F.struct(F.lit(k).alias("level"), F.shiftright("place", k - least).alias("prefix")) for k in levels))
+    placed = counts.select("n", F.explode(at).alias("at")).select("n", "at.level", "at.prefix")
+    # the order of the sides leaves it to Spark which one it broadcasts, from their sizes
+    return placed.join(blocks, ["level", "prefix"]).groupBy("lo", "hi").agg(F.sum("n").alias("total"))
+
+
+def tally_ranges(df: DataFrame, ip_col: str, ranges: DataFrame | Sequence[tuple[int, int]] = IP_RANGES) -> DataFrame:
+    """``(range_start, total)``, the range by its dotted first address."""
+    return tally(df, ip_col, ranges).select(int_to_ipv4("lo").alias("range_start"), "total")

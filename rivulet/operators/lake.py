@@ -10,6 +10,7 @@ to a change log under a *commit*, an instant of 17 digits such as
     <path>/log/_gen=<gen>/_commit_time=<c>/_write_id=<w>/part-*.parquet
     <path>/v<gen>/current/_partition_path=<p>/part-*.parquet    (copy-on-write state)
     <path>/v<gen>/pending/<w>                                   (writes under way)
+    <path>/completed/<w>-<n>.json                               (a line for each finished write)
 
 Log rows carry the data columns plus ``_partition_path``, ``_record_key`` and
 ``_op`` (``U`` upsert, ``D`` delete tombstone).  Each write has an id of its own
@@ -28,7 +29,8 @@ Interrupted writes
 The log is the truth.  A write leaves a file in ``pending/`` until it is done.
 While its rows are being appended readers leave its write id out; from then on
 its rows count, and until ``current/`` is refreshed snapshots reduce the log
-instead.  The next write refreshes what an interrupted one touched.
+instead.  The next write refreshes what an interrupted one touched.  A write that
+fails while its process lives takes its rows and its mark away with it.
 ``_table.json`` is replaced last, by a rename: an overwrite that fails leaves
 readers on the old generation with the old schema.
 
@@ -58,7 +60,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rivulet.functions.timefmt import instant_column, normalize_instant
-from rivulet.session import delete_path, list_names, path_exists, read_text, replace_text
+from rivulet.session import delete_path, list_dirs, list_names, path_exists, read_text, replace_text
 
 COMMIT = "_commit_time"
 WRITE = "_write_id"
@@ -170,6 +172,17 @@ class LakeTable:
     def _done(self, write_id: str) -> None:
         delete_path(self.spark, f"{self._root()}/pending/{write_id}")
 
+    def _forget(self, write_id: str) -> None:
+        """Take away the rows of a write that failed before they counted."""
+        for commit in list_dirs(self.spark, self._log_dir()):
+            delete_path(self.spark, f"{self._log_dir()}/{commit}/{WRITE}={write_id}")
+        self._done(write_id)
+
+    def _announce(self, write_id: str) -> None:
+        """Tell the table's tails that a write is complete."""
+        line = {"write_id": write_id, "generation": self._generation(), "completed_at": datetime.now(timezone.utc).isoformat()}
+        replace_text(self.spark, f"{self.path}/completed/{write_id}-{uuid.uuid4().hex[:8]}.json", json.dumps(line))
+
     @property
     def data_schema(self) -> T.StructType | None:
         """Schema of the stored rows (data columns + ``_record_key``, ``_op``)."""
@@ -291,7 +304,24 @@ class LakeTable:
         return self.log().agg(F.max(COMMIT)).first()[0]
 
     def count(self) -> int:
-        return self.snapshot().count()
+        """Rows of the snapshot; of a copy-on-write table that never had a delete from the
+        footers of its files, without reading a row."""
+        counted = self.footer_count()
+        return self.snapshot().count() if counted is None else counted.first()[0]
+
+    def footer_count(self) -> DataFrame | None:
+        """``(n)`` from Parquet footers, or None where these can't tell: merge-on-read,
+        tables that had a delete, an outstanding refresh."""
+        table = self._table() or {}
+        if self.kind != "cow" or table.get("deletes", True) or self._pending():
+            return None
+        folder = self._log_dir() if table.get("sole") else self._current_dir()
+        if not path_exists(self.spark, folder):
+            return None
+        quick = self.spark.newSession()  # the settings are this count's alone
+        quick.conf.set("spark.sql.sources.useV1SourceList", "")
+        quick.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+        return quick.read.schema(self._read_schema()).parquet(folder).agg(F.count(F.lit(1)).alias("n"))
 
     # ------------------------------------------------------------------ writes
     def _stamp(
@@ -411,17 +441,24 @@ class LakeTable:
         first = not table.get("schema")
         # the state of a copy-on-write table whose only write is one commit is its log
         sole = write_id if self.kind == "cow" and instant is not None and (first or table.get("sole") == write_id) else None
-        if first or table.get("sole") != sole:
-            self._publish({**table, "schema": schema, "sole": sole})
+        deletes = table.get("deletes", not first) or op == "D" or delete_col is not None
+        if first or table.get("sole") != sole or table.get("deletes") != deletes:
+            self._publish({**table, "schema": schema, "sole": sole, "deletes": deletes})
         interrupted = [w for w, state in self._pending().items() if state == "refresh" and w != write_id]
         self._mark(write_id, "log")
         combined = latest_per_key(rows, [PART, KEY, COMMIT], [self.precombine, *self._tiebreak()])
-        self._append(combined.select(*rows.columns), write_id, commit_col is None)
+        try:
+            self._append(combined.select(*rows.columns), write_id, commit_col is None)
+        except Exception:
+            self._forget(write_id)
+            raise
         if self.kind == "cow" and not sole:
             self._mark(write_id, "refresh")
             self._refresh_current(write_id, instant, interrupted)
         for w in [*interrupted, write_id]:
             self._done(w)
+            if self._building is None:  # an overwrite is complete once it is published
+                self._announce(w)
         return instant
 
     insert = write
@@ -451,8 +488,10 @@ class LakeTable:
         names = list_names(self.spark, f"{self.path}/log")  # a failed overwrite leaves its generation
         taken = [int(n.split("=")[1]) for n in names if n.startswith(f"{GENERATION}=")]
         building._building = {"generation": max([*taken, before["generation"] if before else -1]) + 1}
-        c = building.write(df, commit=commit, **options)
+        write_id = options.pop("write_id", None) or uuid.uuid4().hex
+        c = building.write(df, commit=commit, write_id=write_id, **options)
         self._publish(building._building)
+        self._announce(write_id)
         return c
 
     # ------------------------------------------------------------ streaming

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivulet.functions.ipv4 import int_to_ipv4
+from rivulet.functions.ipv4 import IP_RANGES, int_to_ipv4
 from rivulet.sources.delimited import RIDE_FILE_SCHEMA
 from rivulet.sources.tables import load
 
@@ -76,11 +76,10 @@ def trip_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_ip(event_id) -> F.Column:
-    """A deterministic address inside one of the first and sixth order ranges."""
+    """A deterministic address inside one of the ten order ranges, each in turn."""
     e = F.col(event_id) if isinstance(event_id, str) else event_id
-    return F.when(e % 2 == 0, F.lit(607649792) + (e * 7919) % 524287).otherwise(
-        F.lit(-1950089216) + (e * 7919) % 1310719
-    )
+    inside = [F.lit(lo) + (e * 7919) % (hi - lo + 1) for lo, hi in IP_RANGES]
+    return F.element_at(F.array(*inside), (e % 10 + 1).cast("int"))
 
 
 def order_msgs(spark: SparkSession, sf_dir: str) -> DataFrame:

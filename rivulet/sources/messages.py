@@ -65,7 +65,7 @@ def encode_orders(
         F.lit(topic).alias("topic"),
         F.pmod(F.col("event_id"), F.lit(partitions)).cast("int").alias("partition"),
         F.col("event_id").alias("offset"),
-        F.col("ts").cast("timestamp").alias("timestamp"),
+        F.date_trunc("millisecond", F.col("ts").cast("timestamp")).alias("timestamp"),  # all that a broker keeps
         F.lit(0).alias("timestampType"),
     )
 

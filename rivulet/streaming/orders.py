@@ -87,6 +87,27 @@ def start_json_print(
     return _trigger(writer, trigger).start()
 
 
+def start_copy(
+    rows: DataFrame, sink: str, checkpoint: str, query_name: str, trigger: str = "0 seconds"
+) -> StreamingQuery:
+    """Every row of a stream to Parquet folders by micro-batch (``batch``); a repeated
+    micro-batch replaces its folder."""
+
+    def put(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+
+    writer = rows.writeStream.outputMode("append").queryName(query_name)
+    return _trigger(writer.option("checkpointLocation", checkpoint).foreachBatch(put), trigger).start()
+
+
+def drain(query: StreamingQuery) -> None:
+    """Let a continuous query work through all that its source has now, then stop it."""
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+
+
 def await_all(spark: SparkSession, queries: list[StreamingQuery], timeout_s: float | None = None) -> None:
     """Block until every query has stopped; re-raise the first failure.
     A query still running after ``timeout_s`` seconds is stopped and a

@@ -8,6 +8,7 @@ import math
 import os
 import sys
 import time
+from decimal import Decimal
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
@@ -18,12 +19,13 @@ def _norm(v):
         return (0, "")
     if isinstance(v, bool):
         return (1, str(int(v)))
-    if isinstance(v, float):
-        if math.isnan(v):
-            return (1, "nan")
-        return (1, f"{v:.9g}")
+    if isinstance(v, Decimal) and v == v.to_integral_value():
+        return (1, str(int(v)))  # sums of integers come as decimals of scale 0
+    if isinstance(v, (float, Decimal)):
+        whole = math.isfinite(v) and abs(v) < 1e9 and v == int(v)
+        return (1, str(int(v)) if whole else f"{v:.9g}")
     if isinstance(v, int):
-        return (1, f"{float(v):.9g}" if abs(v) < 2**53 else str(v))
+        return (1, str(v))  # exact: ids, offsets and epochs have more than nine digits
     if isinstance(v, (bytes, bytearray)):
         return (1, v.decode("utf-8", "replace"))
     return (1, str(v))
