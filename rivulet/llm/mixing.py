@@ -22,7 +22,8 @@ from rivulet.llm.common import fresh, hash_share, row_key, saved, table
 
 DOMAINS = ("high", "low", "toxic")
 TARGET = {"high": 0.9, "low": 0.1, "toxic": 0.0}
-# Bounds of the classifier: labelled rows it is fitted on, and features it keeps.
+# Bounds of the classifier: labelled rows it is fitted on, and features it keeps at
+# most (``max_features`` of ``mix``).
 # A feature must be LEAST_RATIO times as frequent in one domain as in the rows of
 # the others (words that only tell long texts from short ones are not), which any
 # size of the domains allows, with an effect (chi-square over rows) of
@@ -68,8 +69,8 @@ def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return found.distinct()
 
 
-def classifier(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, list[float]]:
-    """Bernoulli naive Bayes on the at most FEATURES features that tell the domains apart
+def classifier(docs: DataFrame, labels: DataFrame, max_features: int = FEATURES) -> tuple[DataFrame, list[float]]:
+    """Bernoulli naive Bayes on the at most ``max_features`` features that tell the domains apart
     best: ``(feature, w0, w1, ...)`` what the presence of each adds to the domains'
     log-odds, and where those start with all absent (-inf: a domain without rows)."""
     rows = saved(_labelled(docs, labels), "mixing-train")
@@ -93,7 +94,7 @@ def classifier(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, list[floa
         & (ratio >= LEAST_RATIO)
         & (sum(F.col(f"n{i}") for i in k) >= LEAST_ROWS)
     )
-    best = best.orderBy(F.desc("stray"), "feature").limit(FEATURES)
+    best = best.orderBy(F.desc("stray"), "feature").limit(max_features)
     held = [F.least(s, F.lit(0.999)) for s in share]
     columns = [F.log(s / (1 - s)).alias(f"w{i}") for i, s in enumerate(held)]
     absent = [F.log(1 - s).alias(f"a{i}") for i, s in enumerate(held)]
@@ -106,32 +107,27 @@ def classifier(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, list[floa
 def posteriors(docs: DataFrame, model: DataFrame, priors: list[float]) -> DataFrame:
     """``(k1, k2, doc_id, n_tokens, p0, p1, ...)`` per document row.  A text without a
     known feature has the priors; with no labelled row at all every domain is
-    equally likely."""
+    equally likely.  The model (a bounded number of short rows) is a literal of the
+    plan, so a row is scored where it is read: one scan, no shuffle."""
     k = range(len(DOMAINS))
     rows = docs.select(
-        *(c.alias(n) for c, n in zip(row_key(), ("k1", "k2"))), F.col("doc_id").cast("long").alias("doc_id"), "text"
-    )
-    sizes = rows.select("k1", "k2", "doc_id", n_tokens(F.col("text")).alias("n_tokens"))
-    each = rows.select("k1", "k2", F.explode(features(F.col("text"))).alias("feature"))
-    # at most FEATURES short rows
-    hits = each.join(F.broadcast(model), "feature")
-    told = hits.groupBy("k1", "k2").agg(*(F.sum(f"w{i}").alias(f"w{i}") for i in k))
-    copies = sizes.groupBy("k1", "k2", "doc_id", "n_tokens").agg(F.count(F.lit(1)).alias("copies"))
-    # equal rows share a key: their sums are divided and the rows dealt out again
-    joined = copies.join(told, ["k1", "k2"], "left").select(
-        "k1", "k2", "doc_id", "n_tokens", "copies",
-        *((F.coalesce(F.col(f"w{i}") / F.col("copies"), F.lit(0.0)) + F.lit(priors[i])).alias(f"w{i}") for i in k),
+        *(c.alias(n) for c, n in zip(row_key(), ("k1", "k2"))), F.col("doc_id").cast("long").alias("doc_id"),
+        n_tokens(F.col("text")).cast("long").alias("n_tokens"), "text",
     )
+    known = sorted(model.collect())
     if all(p == float("-inf") for p in priors):
-        joined = joined.withColumns({f"w{i}": F.lit(0.0) for i in k})
-    top = F.greatest(*(F.col(f"w{i}") for i in k))
-    joined = joined.withColumns({f"e{i}": F.exp(F.col(f"w{i}") - top) for i in k})
-    total = sum(F.col(f"e{i}") for i in k)
-    return joined.select(
-        "k1", "k2", "doc_id", F.col("n_tokens").cast("long").alias("n_tokens"),
-        *((F.col(f"e{i}") / total).alias(f"p{i}") for i in k),
-        F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))).alias("one"),
-    ).drop("one")
+        known, priors = [], [0.0] * len(DOMAINS)
+    start = F.array(*(F.lit(float(p)) for p in priors))
+    if known:
+        names = F.array(*(F.lit(r["feature"]) for r in known))
+        weights = F.map_from_arrays(names, F.array(*(F.array(*(F.lit(float(r[f"w{i}"])) for i in k)) for r in known)))
+        held = F.array_sort(F.array_intersect(features(F.col("text")), names))
+        start = F.aggregate(held, start, lambda s, f: F.zip_with(s, F.element_at(weights, f), lambda a, b: a + b))
+    told = rows.withColumn("w", start)
+    top = F.array_max("w")
+    odds = told.withColumn("e", F.transform("w", lambda x: F.exp(x - top)))
+    total = sum(F.col("e")[i] for i in k)
+    return odds.select("k1", "k2", "doc_id", "n_tokens", *((F.col("e")[i] / total).alias(f"p{i}") for i in k))
 
 
 def _rate(steps: list[list[float]]) -> Column:
@@ -144,8 +140,10 @@ def _rate(steps: list[list[float]]) -> Column:
     return F.aggregate(moves, F.lit(1.0), lambda r, g: F.greatest(F.lit(0.0), r - dot(g)))
 
 
-def fit_rates(members: DataFrame, target: dict[str, float]) -> list[list[float]]:
-    """The gradient steps whose rates bring the expected totals to the targets."""
+def fit_rates(members: DataFrame, target: dict[str, float]) -> tuple[list[list[float]], list[float]]:
+    """The gradient steps whose rates bring the expected totals to the targets, and by how
+    much of all tokens each domain's total still misses its target after them (steps
+    end when all are near, when totals stand still, or after ``_STEPS``)."""
     k = range(len(DOMAINS))
     weight = np.array([target.get(d, 0.0) for d in DOMAINS], float)
     if (weight < 0).any() or weight.sum() <= 0:
@@ -156,36 +154,39 @@ def fit_rates(members: DataFrame, target: dict[str, float]) -> list[list[float]]
         F.sum(n).alias("all"), *(F.sum(n * F.col(f"p{i}") * F.col(f"p{j}")).alias(f"g{i}_{j}") for i in k for j in k)
     ).first()
     if not sums["all"]:
-        return []
+        return [], [0.0] * len(DOMAINS)
     gram = np.array([[sums[f"g{i}_{j}"] for j in k] for i in k]) / sums["all"]
     inverse = np.linalg.inv(gram + 1e-6 * np.eye(len(DOMAINS)))
     steps: list[list[float]] = []
     before = np.full(len(DOMAINS), np.inf)
-    while len(steps) < _STEPS:
+    while True:
         now = members.select(*(F.sum(n * _rate(steps) * F.col(f"p{i}")) for i in k)).first()
         miss = np.array([float(x) for x in now]) / sums["all"] - weight
-        if np.abs(miss).max() < _CLOSE or np.abs(miss - before).max() < _STILL:
-            break
+        if np.abs(miss).max() < _CLOSE or np.abs(miss - before).max() < _STILL or len(steps) == _STEPS:
+            return steps, miss.tolist()
         before = miss
         steps.append((inverse @ miss).tolist())
-    return steps
 
 
-def mix(docs: DataFrame, labels: DataFrame, target: dict[str, float] = TARGET) -> DataFrame:
-    """``(k1, k2, doc_id, n_tokens, p_<domain>..., rate, copies)`` per document row.
+def mix(docs: DataFrame, labels: DataFrame, target: dict[str, float] = TARGET, max_features: int = FEATURES) -> DataFrame:
+    """``(k1, k2, doc_id, n_tokens, p_<domain>..., rate, copies, miss)`` per document row.
     ``copies`` turns the rate into a whole number: its floor, and one more where a
-    hash of the id and text falls below the rest.  Null and empty texts have no
-    tokens and a rate like any other; a domain that no document can fill leaves its
-    target unmet; labels of unknown documents count for nothing."""
-    model, priors = classifier(docs, labels)
+    hash of the id and text falls below the rest.  ``miss``, the same in every row, is
+    the largest share of all tokens by which a domain's expected total misses its
+    target.  Null and empty texts have no tokens and a rate like any other; a domain
+    that no document can fill leaves its target unmet; labels of unknown documents
+    count for nothing; rows equal in id and text are rows of their own with one rate."""
+    model, priors = classifier(docs, labels, max_features)
     members = saved(posteriors(docs, model, priors), "mixing-members")
-    rated = members.withColumn("rate", _rate(fit_rates(members, target)))
+    steps, miss = fit_rates(members, target)
+    rated = members.withColumn("rate", _rate(steps))
     chance = hash_share(F.xxhash64("k1", "k2", F.lit("mix")))
     return rated.select(
         "k1", "k2", "doc_id", "n_tokens",
         *(F.col(f"p{i}").alias(f"p_{d}") for i, d in enumerate(DOMAINS)),
         "rate",
         F.floor(F.col("rate") + chance).cast("long").alias("copies"),
+        F.lit(max(map(abs, miss))).alias("miss"),
     )
 
 

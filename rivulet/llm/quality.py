@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import asdict, dataclass
+from functools import lru_cache
 from zlib import crc32
 
 import numpy as np
@@ -39,16 +40,30 @@ _EPOCHS, _BAGS, _RATE, _DECAY = 6, 32, 0.01, 1e-5
 _GROUP_WORDS = 1 << 18  # words of the texts that are scored at once
 _KNOWN_WORDS = 400_000  # words whose vectors a task remembers
 
-_MARKS = re.compile(r"[\w\s]+")
-_SHAPES = [(re.compile("[0-9]+"), "0"), (re.compile(r"[^\W\d_]+"), lambda m: "A" if m[0].isupper() else "Aa" if m[0][0].isupper() else "a")]
+_END_MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+_RUN = re.compile(r"[0-9]+|[^\W\d_]+")
+
+
+def _letters(run: str) -> str:
+    return "a" if run.islower() else "A" if run.isupper() else "Aa" if run[0].isupper() else "aA"
+
+
+def _hashed(kind: str, text: str) -> int:
+    return crc32((kind + text).encode("utf-8", "surrogatepass")) % _ROWS
+
+
+@lru_cache(1 << 16)
+def _look(shape: str, marks: str) -> tuple[int, int]:
+    return _hashed("s", shape), _hashed("m", marks)
 
 
 def word_rows(word: str) -> tuple[int, int, int]:
-    shape = word
-    for pattern, to in _SHAPES:
-        shape = pattern.sub(to, shape)
-    marks = _MARKS.sub("", word)
-    return tuple(crc32(x.encode("utf-8", "surrogatepass")) % _ROWS for x in ("w" + word.lower(), "s" + shape, "m" + marks))
+    core = word.rstrip(_END_MARKS)
+    if core.isalpha():  # most words: letters and perhaps marks behind them
+        marks = word[len(core) :]
+        return (_hashed("w", word.lower()), *_look(_letters(core) + marks, marks))
+    shape = _RUN.sub(lambda m: "0" if m[0][0].isdigit() else _letters(m[0]), word)
+    return (_hashed("w", word.lower()), *_look(shape, "".join(c for c in word if not (c.isalnum() or c == "_"))))
 
 
 class Words(dict):
@@ -65,7 +80,7 @@ class Words(dict):
     def of(self, text: str | None) -> np.ndarray:
         """Of a text's words; a text without any has one empty word."""
         words = (text or "").split() or [""]
-        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
 
 
 @dataclass
@@ -197,26 +212,29 @@ def train(texts: list[tuple[str | None, int]], seed: int = 0) -> Model:
 def _score(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(**shared.value)
-        words, known = Words(), np.zeros((0, _WIDTH), np.float32)
+        vectors = None if model.vectors is None else model.vectors.astype(np.float32)
+        words, known, filled = Words(), np.zeros((1 << 16, _WIDTH), np.float32), 0
 
         def done(ids: list, codes: list[np.ndarray]) -> pa.RecordBatch:
-            nonlocal words, known
+            nonlocal words, known, filled
             n = len(ids)
             if model.vectors is None:
                 score, top, weight = np.full(n, 0.5), np.zeros(n, np.int64), np.ones(n)
                 count = np.array([-(-len(c) // PASSAGE) for c in codes], np.int64)
             else:
-                if len(words.rows) > len(known):
-                    more = np.array(words.rows[len(known) :], np.int64)
-                    known = np.concatenate([known, model.vectors[more].sum(axis=1).astype(np.float32)])
+                new = np.array(words.rows[filled:], np.int32).reshape(-1, 3)
+                while filled + len(new) > len(known):
+                    known = np.concatenate([known, np.zeros_like(known)])
+                known[filled : filled + len(new)] = vectors[new[:, 0]] + vectors[new[:, 1]] + vectors[new[:, 2]]
+                filled += len(new)
                 bags = Bags.of(np.array([len(c) for c in codes], np.int64))
-                means = np.add.reduceat(known[np.concatenate(codes)], bags.word, dtype=np.float64) / bags.size[:, None]
+                means = np.add.reduceat(known[np.concatenate(codes)], bags.word) / bags.size[:, None]
                 score, a = model.scores(means, bags)
                 count = np.diff(np.append(bags.passage, len(a)))
                 order = np.lexsort((np.arange(len(a)), -a, bags.bag_of()))[bags.passage]
                 top, weight = order - bags.passage, a[order]
-                if len(words.rows) > _KNOWN_WORDS:
-                    words, known = Words(), known[:0]
+                if filled > _KNOWN_WORDS:
+                    words, filled = Words(), 0
             return pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(count), pa.array(top), pa.array(weight), pa.array(score)],
                 ["doc_id", "n_passages", "top_passage", "top_weight", "score"],

@@ -179,12 +179,64 @@ def test_mixing_tells_domains_of_any_size_apart(spark):
     assert p[np.arange(300), own].min() > 0.8
 
 
+def test_mixing_classifier_matches_plain_naive_bayes(spark, sf_small):
+    """Posteriors of every document by counting in Python, with all features that pass."""
+    import re
+
+    docs, labels = common.table(spark, sf_small, "documents"), common.table(spark, sf_small, "labels")
+    domain: dict = {}
+    for r in labels.collect():
+        if r.toxic == 1 or r.quality in (0, 1):
+            domain[r.doc_id] = max(domain.get(r.doc_id, -1), 2 if r.toxic == 1 else 1 if r.quality == 0 else 0)
+    mark = r"\s!-/:-@\[-`{-~"
+
+    def seen(text):
+        text = (text or "").lower()
+        return {x for x in re.split(f"[{mark}]+", text, flags=re.A) + re.split(f"[^{mark.replace(chr(92) + 's', '')}]+", text, flags=re.A) if x}
+
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    training = {(d, frozenset(seen(texts[i]))) for i, d in domain.items() if i in texts}
+    size = [sum(d == k for d, _ in training) for k in range(3)]
+    total = sum(size)
+    held = Counter((f, d) for d, fs in training for f in fs)
+    best = []
+    for f in {f for f, _ in held}:
+        n = [held[f, k] for k in range(3)]
+        mean = sum(n) / total
+        share = [(n[k] + 2 * mean) / (size[k] + 2) for k in range(3)]
+        others = [(sum(n) - n[k] + 2 * mean) / (total - size[k] + 2) for k in range(3)]
+        stray = sum(size[k] * (share[k] - mean) ** 2 / (mean * (1 - mean) + 1e-9) for k in range(3))
+        if stray >= 0.01 * total and max(a / b for a, b in zip(share, others)) >= 3 and sum(n) >= 2:
+            best.append((-stray, f, [min(x, 0.999) for x in share]))
+    best.sort()
+    assert len(best) > 8
+    model, priors = mixing.classifier(docs, labels, max_features=8)
+    assert {r.feature for r in model.collect()} <= {f for s, f, _ in best if s <= best[7][0] + 1e-9}
+    model, priors = mixing.classifier(docs, labels, max_features=100_000)
+    plan = mixing.posteriors(docs, mixing.classifier(docs, labels, 200)[0], priors)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Python" not in plan and "Join" not in plan
+    got = {r.doc_id: (r.p0, r.p1, r.p2) for r in mixing.posteriors(docs, model, priors).collect()}
+    for i, text in texts.items():
+        own = seen(text)
+        w = [math.log(size[k] / total) + sum(math.log(s[k] if f in own else 1 - s[k]) for _, f, s in best) for k in range(3)]
+        e = [math.exp(x - max(w)) for x in w]
+        assert np.allclose(got[i], [x / sum(e) for x in e], atol=1e-6), i
+
+
+def test_mixing_reports_a_missed_target(spark):
+    texts = [(i, f"{prose(i, 40)} {'good' if i % 2 else 'bad'}") for i in range(80)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(80)], "doc_id long, quality int, toxic int")
+    assert mixing.mix(docs, labels).first()["miss"] < 0.01
+    assert mixing.mix(docs, labels, {"high": 0.5, "toxic": 0.5}).first()["miss"] > 0.3  # no document is toxic
+
+
 def test_mixing_matches_plain_projected_gradient(spark):
     rng = np.random.default_rng(2)
     p = rng.dirichlet([0.4, 0.3, 0.2], 300)
     n = rng.integers(1, 400, 300)
     members = spark.createDataFrame([(int(a), *map(float, b)) for a, b in zip(n, p)], "n_tokens long, p0 double, p1 double, p2 double")
-    steps = mixing.fit_rates(members, mixing.TARGET)
+    steps, _ = mixing.fit_rates(members, mixing.TARGET)
     got = np.array([r[0] for r in members.select(mixing._rate(steps)).collect()])
     goal, gram = np.array([0.9, 0.1, 0.0]), (p * n[:, None]).T @ p / n.sum()
     rate, inverse = np.ones(300), np.linalg.inv(gram + 1e-6 * np.eye(3))
