@@ -318,12 +318,176 @@ def test_pii_disguises_map_back(text, kind, part):
     assert [(pii.KINDS[k], text[s:e]) for s, k, e in added] == [(kind, part)]
 
 
+def test_pii_cards_and_phones_match_the_plain_patterns():
+    import re
+
+    r = random.Random(8)
+    card, phone = re.compile(r"[0-9]([\x20-]?[0-9])+"), re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+    def luhn(digits):
+        twice = [int(d) * (1 + i % 2) for i, d in enumerate(reversed(digits))]
+        return sum(x - 9 * (x > 9) for x in twice) % 10 == 0
+
+    seen = [0, 0]
+    for _ in range(4000):
+        text = "".join(r.choice("0123456789012345678901234567890123456789  --+().x") for _ in range(r.randint(10, 60)))
+        base = pii.identifiers(text)
+        for kind, pattern in ((2, card), (3, phone)):
+            want = []
+            for m in pattern.finditer(text):
+                digits = re.sub(r"[^0-9]", "", m[0])
+                if 14 <= len(digits) <= 19 and luhn(digits) if kind == 2 else 10 <= len(digits) <= 15:
+                    want.append(m.span())
+            assert [(s, e) for s, k, e in base if k == kind] == want, text
+            seen[kind - 2] += len(want)
+    assert min(seen) > 50
+
+
+def _swap(r, text, table):
+    at = [i for i, c in enumerate(text) if c in table]
+    for i in r.sample(at, max(1, len(at) // 2)):
+        text = text[:i] + r.choice(table[text[i]]) + text[i + 1 :]
+    return text
+
+
+def _address(r):
+    name = r.choice(("anna", "bob", "carla.stone", "d_miller", "eve99", "frank-x"))
+    return name, [r.choice(("example", "mail", "posta", "firm7", "web-site")), r.choice(("com", "org", "net", "de", "fr", "info"))]
+
+
+def _spoken(r, digits, names):
+    out, i = [], 0
+    while i < len(digits):
+        if names == "en" and digits[i : i + 2] == digits[i] * 2 and r.random() < 0.5:
+            out.append(f"double {_DIGITS[names][int(digits[i])]}")
+            i += 2
+        elif names == "en" and i + 1 < len(digits) and digits[i] in "23456789" and r.random() < 0.3:
+            tens = "twenty thirty forty fifty sixty seventy eighty ninety".split()[int(digits[i]) - 2]
+            out.append(tens if digits[i + 1] == "0" else f"{tens}{r.choice(' -')}{_DIGITS[names][int(digits[i + 1])]}")
+            i += 2
+        elif r.random() < 0.15:
+            out.append(digits[i])
+            i += 1
+        else:
+            out.append(_DIGITS[names][int(digits[i])])
+            i += 1
+    return r.choice((" ", ", ", "-", "  ")).join(out)
+
+
+_DIGITS = {
+    "en": "zero one two three four five six seven eight nine".split(), "de": "null eins zwei drei vier fünf sechs sieben acht neun".split(),
+    "es": "cero uno dos tres cuatro cinco seis siete ocho nueve".split(), "fr": "zéro un deux trois quatre cinq six sept huit neuf".split(),
+}
+
+
+def _card(r):
+    digits = "4" + "".join(r.choice("0123456789") for _ in range(14))
+    twice = [int(d) * (2 - i % 2) for i, d in enumerate(reversed(digits))]
+    return digits + str(-sum(x - 9 * (x > 9) for x in twice) % 10)
+
+
+def _disguise(r, kind):
+    """(kind of identifier, its disguised text)"""
+    name, host = _address(r)
+    plain = f"{name}@{'.'.join(host)}"
+    if kind == "letters of other scripts":
+        return "email", _swap(r, plain, {"a": "аɑá", "e": "еé", "o": "оοօ", "c": "сϲ", "p": "р", "x": "х", "i": "іì", "n": "ոñ", "r": "г"})
+    if kind == "styled and wide letters":
+        wide = {c: chr(0xFF00 + ord(c) - 32) + chr(0x1D41A + ord(c) - 97) + chr(0x24D0 + ord(c) - 97) for c in "abcdefghijklmnopqrstuvwxyz"}
+        return "email", _swap(r, plain, wide | {"@": "＠﹫", ".": "．。"})
+    if kind == "unseen characters":
+        at = sorted(r.sample(range(1, len(plain)), 3), reverse=True)
+        for i in at:
+            plain = plain[:i] + r.choice("\u200b\u200d\u2060\ufeff\u00ad") + plain[i:]
+        return "email", plain
+    if kind == "brackets":
+        sign = lambda w: r.choice((f" [{w}] ", f"({w})", f"{{{w}}}", f" <{w}> ", f" ( {w} ) "))
+        return "email", name + sign(r.choice(("at", "AT", "@"))) + host[0] + sign(r.choice(("dot", "DOT", "."))) + host[1]
+    if kind == "bare words":
+        return "email", f"{name.replace('.', ' dot ')} {r.choice(('at', 'AT'))} {host[0]} {r.choice(('dot', 'Dot'))} {host[1]}"
+    if kind == "mixed forms":
+        return "email", r.choice((f"{name} [at] {host[0]} dot {host[1]}", f"{name}@{host[0]} dot {host[1]}", f"{name} at {host[0]} (dot) {host[1]}", f"{name}(at){'.'.join(host)}", f"{name}-at-{host[0]}-dot-{host[1]}", f"{name} @ {host[0]} dot {r.choice(('it', 'me', 'pl', 'ai', 'zz'))}"))
+    if kind == "signs of other languages":
+        return "email", r.choice((f"{name} arroba {host[0]} punto {host[1]}", f"{name} arobase {host[0]} point {host[1]}", f"{name} at {host[0]} punkt {host[1]}"))
+    if kind == "spelled phones":
+        digits = "".join(r.choice("0123456789") for _ in range(r.randrange(10, 16)))
+        return "phone", f"{r.choice(('plus ', '+'))}{_spoken(r, digits, r.choice(list(_DIGITS)))}".replace("+ ", "+")
+    if kind == "spelled cards":
+        return "card", _spoken(r, _card(r), r.choice(list(_DIGITS)))
+    if kind == "spelled addresses of machines":
+        parts = [str(r.randrange(256)) for _ in range(4)]
+        return "ip", f" {r.choice(('dot', 'point'))} ".join(p if r.random() < 0.3 else " ".join(_DIGITS["en"][int(d)] for d in p) for p in parts)
+    if kind == "letters for digits":
+        card = _card(r)
+        while "0" not in card and "1" not in card:
+            card = _card(r)
+        card = _swap(r, card, {"0": "OoО", "1": "lI|"})
+        return "card", " ".join(card[i : i + 4] for i in range(0, 16, 4))
+    digits = "".join(r.choice("0123456789") for _ in range(12))
+    base = r.choice((0x660, 0x6F0, 0x966, 0xFF10))
+    return "phone", "+" + "".join(chr(base + int(d)) for d in digits[:3]) + " " + "".join(chr(base + int(d)) for d in digits[3:])
+
+
+_CLASSES = (
+    "letters of other scripts", "styled and wide letters", "unseen characters", "brackets", "bare words", "mixed forms",
+    "signs of other languages", "spelled phones", "spelled cards", "spelled addresses of machines", "letters for digits", "digits of other scripts",
+)
+_PLAIN_PROSE = (
+    "We met at noon dot it was late.", "Look at the dot com bubble of those years.", "He has one two or three dogs (at most).",
+    "Reach the shop at example.com or at home.", "Point one: at the dot, turn left. Dos, tres.", "Section 1.2.3 plus 4 more; 10 - 20 [a] and (b).",
+    "Été à la plage, où l'on est né un dimanche.", "A table at a place (dot matrix printer) for four.", "Version 10.4.1 was on sale at 19.99 dot",
+    "Was sieht man an dem Punkt? Null, eins oder zwei.", "Привет, как дела? Сегодня в 10.30 у дома.", "the price is 1000 - 2000, call 555 1234",
+)
+
+
+@pytest.mark.parametrize("kind", _CLASSES)
+def test_pii_recall_and_precision_by_disguise(kind):
+    r = random.Random(kind)
+    hits = found = 0
+    for _ in range(300):
+        what, hidden = _disguise(r, kind)
+        before, after = r.choice(_PLAIN_PROSE), r.choice(_PLAIN_PROSE)
+        text = f"{before} Write to: {hidden}, please. {after}"
+        span = (text.index(hidden), text.index(hidden) + len(hidden))
+        base, added = pii.find(text)
+        mine = [(pii.KINDS[k], s, e) for s, k, e in base + added]
+        hits += (what, *span) in mine
+        found += len(mine)
+    assert hits >= 0.9 * 300, f"recall {hits / 300}"
+    assert hits >= 0.9 * found, f"precision {hits / max(found, 1)}"
+
+
+def test_pii_leaves_prose_alone(spark, sf_oracle):
+    for text in _PLAIN_PROSE:
+        assert pii.find(text) == ([], []), text
+    docs = spark.read.parquet(f"{sf_oracle}/documents.parquet").select("text").collect()
+    assert sum(len(pii.find(r.text or "")[1]) for r in docs) <= 2
+
+
+@pytest.mark.parametrize("piece", [" ", "\n", " dot ", "(", " [ ", "@", "+1", "- ", "\u200b", "one."])
+def test_pii_is_linear_in_long_runs(piece):
+    import time
+
+    text = piece * (1_000_000 // len(piece))
+    pii.find("warm up at")
+    began = time.time()
+    pii.find(text)
+    assert time.time() - began < (1 if piece in (" ", "\n", " dot ") else 8)
+
+
+def test_pii_offsets_through_all_layers():
+    text = "x\u200b\u200by: \uff11\u200b9\u200b2 dot one six \u200beight dot 0 dot 1l, b\u200bоb [at] s\u200bite dot com!"
+    added = [(pii.KINDS[k], text[s:e]) for s, k, e in pii.find(text)[1]]
+    assert added == [("ip", "\uff11\u200b9\u200b2 dot one six \u200beight dot 0 dot 1l"), ("email", "b\u200bоb [at] s\u200bite dot com")]
+
+
 def test_pii_leaves_plain_words_alone():
     for text in ("reach me at example.com", "he looked at the dot on one page", "one two three", "a (at) b", "été привет"):
         assert pii.find(text) == ([], [])
 
 
-def test_pii_table(docs, empty):
+def test_pii_table(docs, clashing, empty):
+    assert pii.personal_data(clashing).count() == len(ROWS)
     found = pii.personal_data(docs)
     assert found.count() == len(ROWS) and found.where("spans <> ''").count() == 0
     assert {r.base_sha256 for r in found.collect()} == {sha("")}
