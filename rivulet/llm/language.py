@@ -4,14 +4,20 @@ Every word with letters gets a label; a word's features are its affixes and
 inner n-grams (2 to 4 characters, the word's edges marked) and the word itself
 (the lexicon), hashed into tables of weights per language.  Transitions between
 neighbouring words are learned from code-switched chains put together from the
-training texts.  Forward-backward gives each word's marginals; a document's
-language is the one with the largest share of them.
+training texts.  Forward-backward over all words of a text gives each word's
+marginals; a document's language is the one with the largest share of them.
+
+What a word's features add up to depends on the word alone, so a task computes it
+once for each different word.  A text's chain is worked on in blocks of ``BLOCK``
+words side by side: a block's transfer matrix brings the forward and backward
+weights from one end of it to the other, so no transition is lost between blocks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -34,14 +40,13 @@ LEAST_WORDS = 2_000
 # in one language and half in another has one, a jumble of many has none.
 MIN_SCORE = 0.35
 
-CHAIN = 64  # words; a chain of a longer text starts anew
+BLOCK = 64  # words of a chain that are worked on side by side with other blocks
 MAX_WORD = 256  # code points; a longer word is labelled in pieces
-_TABLE = 1 << 16  # rows of a table; with over 64 languages so many fewer that its size stays
-_LEAST_TABLE = 1 << 12
+_TABLE = 1 << 16  # rows of a table
 _ORDERS = (2, 3, 4)
 _STEPS = 60
-_CHUNK_CHARS = 300_000  # scored at once; with over 16 languages so many fewer
-_CELLS = 1 << 22  # marginals held at once in training
+_CELLS = 1 << 20  # marginals (words by languages) held at once
+_KNOWN_WORDS = 200_000  # different words whose weights a task remembers
 
 _LETTER: np.ndarray | None = None
 
@@ -73,29 +78,19 @@ class Features:
     letters: np.ndarray
 
 
-def table_rows(languages: int) -> int:
-    rows = _TABLE
-    while rows > _LEAST_TABLE and rows * languages > _TABLE * 64:
-        rows //= 2
-    return rows
-
-
-def features(words: list[str], rows: int = _TABLE) -> Features:
+def features(words: list[str]) -> Features:
     joined = " " + " ".join(words) + " "
     cp = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
     size = np.fromiter(map(len, words), np.int64, len(words))
     start = np.cumsum(size + 1) - size
     grams, last, h = [], [], cp * np.uint32(0x01000193)
-    shift = np.uint32(33 - rows.bit_length())
+    shift = np.uint32(33 - _TABLE.bit_length())
     for n in range(2, max(_ORDERS) + 1):
         h = (h[:-1] ^ cp[n - 1 :]) * np.uint32(0x01000193)
         grams.append(((h + np.uint32(n)) * np.uint32(0x9E3779B1)) >> shift)
         # n-grams from the mark before the word to the mark behind it
         last.append(np.maximum(np.minimum(start + size + 2 - n, len(grams[-1])), start - 1))
-    lead = grams[-1][np.minimum(start - 1, len(grams[-1]) - 1)] if len(grams[-1]) else np.zeros(len(words), np.uint32)
-    tail = grams[-1][np.maximum(start + size - 3, 0)] if len(grams[-1]) else lead
-    mid = grams[0][start + size // 2]
-    word = ((lead * np.uint32(31) ^ tail) * np.uint32(0x85EBCA6B) ^ mid * np.uint32(0xC2B2AE35)) + size.astype(np.uint32)
+    word = np.fromiter((crc32(w.encode("utf-8", "surrogatepass")) for w in words), np.uint32, len(words))
     lexicon = (word * np.uint32(0x9E3779B1)) >> shift
     seen = np.concatenate(([0], np.cumsum(_is_letter()[cp])))
     return Features(grams, start - 1, last, lexicon, seen[start + size] - seen[start] > 0)
@@ -116,23 +111,28 @@ class Model:
         return out
 
 
-def marginals(model: Model, scores: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def marginals(
+    model: Model, scores: np.ndarray, sizes: np.ndarray, first: np.ndarray | None = None, last: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Forward-backward over many chains at once.  scores (chains, steps, labels),
-    sizes (chains).  -> marginals, summed pair expectations, start expectations."""
+    sizes (chains); ``first`` and ``last`` (chains, labels): weights that come in from
+    before and behind (default: the beginning, nothing).  -> marginals, summed pair
+    expectations, start expectations."""
     n, steps, k = scores.shape
     e = np.exp(scores - scores.max(axis=2, keepdims=True))
     move = np.exp(model.moves - model.moves.max())
     inside = np.arange(steps)[None, :] < sizes[:, None]
     ahead, back = np.empty_like(e), np.empty_like(e)
-    a = e[:, 0] * np.exp(model.begin - model.begin.max())
+    a = e[:, 0] * (np.exp(model.begin - model.begin.max()) if first is None else first)
     ahead[:, 0] = a / a.sum(axis=1, keepdims=True)
     for t in range(1, steps):
         a = (ahead[:, t - 1] @ move) * e[:, t]
         ahead[:, t] = np.where(inside[:, t, None], a / a.sum(axis=1, keepdims=True), ahead[:, t - 1])
-    back[:, -1] = 1.0 / k
+    end = np.full((n, k), 1.0 / k) if last is None else last
+    back[:, -1] = end
     for t in range(steps - 2, -1, -1):
         b = (back[:, t + 1] * e[:, t + 1]) @ move.T
-        back[:, t] = np.where(inside[:, t + 1, None], b / b.sum(axis=1, keepdims=True), 1.0 / k)
+        back[:, t] = np.where(inside[:, t + 1, None], b / b.sum(axis=1, keepdims=True), end)
     p = ahead * back
     p /= p.sum(axis=2, keepdims=True)
     p *= inside[:, :, None]
@@ -144,6 +144,44 @@ def marginals(model: Model, scores: np.ndarray, sizes: np.ndarray) -> tuple[np.n
     return p, pairs, p[:, 0].sum(axis=0)
 
 
+def chained(model: Model, scores: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Marginals of the words of whole texts, laid end to end (words, labels); ``sizes``:
+    words of each text, none empty."""
+    k = scores.shape[1]
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    at = np.arange(len(scores)) - (np.cumsum(sizes) - sizes)[owner]
+    blocks = -(-sizes // BLOCK)
+    of_text = np.cumsum(blocks) - blocks  # first block of each text
+    block = of_text[owner] + at // BLOCK
+    n, steps = int(blocks.sum()), min(BLOCK, int(sizes.max()))
+    grid = np.zeros((n, steps, k))
+    grid[block, at % BLOCK] = scores
+    filled = np.bincount(block, minlength=n)
+    first = np.tile(np.exp(model.begin - model.begin.max()), (n, 1))
+    last = np.full((n, k), 1.0 / k)
+    if n > len(sizes):
+        # from the weights of the word before a block to those of its last word
+        move = np.exp(model.moves - model.moves.max())
+        e = np.exp(grid - grid.max(axis=2, keepdims=True))
+        through = move * e[:, 0, None, :]
+        through[of_text] = np.eye(k) * e[of_text, 0, None, :]
+        for t in range(1, steps):
+            m = (through @ move) * e[:, t, None, :]
+            through = np.where((t < filled)[:, None, None], m / m.max(axis=(1, 2), keepdims=True), through)
+        ahead = np.einsum("nk,nkl->nl", first[of_text], through[of_text])
+        for i in range(1, int(blocks.max())):
+            more = blocks > i
+            here = of_text[more] + i
+            before = ahead[more] / ahead[more].sum(axis=1, keepdims=True)
+            first[here] = before @ move
+            ahead[more] = np.einsum("nk,nkl->nl", before, through[here])
+        for i in range(int(blocks.max()) - 1, 0, -1):
+            here = of_text[blocks > i] + i
+            w = np.einsum("nkl,nl->nk", through[here], last[here])
+            last[here - 1] = w / w.sum(axis=1, keepdims=True)
+    return marginals(model, grid, filled, first, last)[0][block, at % BLOCK]
+
+
 def train(texts: list[tuple[str, str]], seed: int = 0) -> Model:
     """From (text, language): chains of 32 words from runs of 1 to 24 words of
     random texts, log-likelihood raised by Adam steps over all of them."""
@@ -167,11 +205,11 @@ def train(texts: list[tuple[str, str]], seed: int = 0) -> Model:
         left[y] -= len(run)
         words += run
         label += [y] * len(run)
-    rows = table_rows(k)
+    rows = _TABLE
     model = Model(languages, np.zeros((len(_ORDERS) + 1, rows, max(k, 1)), np.float32), np.zeros((k, k)), np.zeros(k))
     if not words or k < 2:
         return model
-    f = features(words, rows)
+    f = features(words)
     keep = f.letters
     if not keep.any():
         return model
@@ -202,8 +240,7 @@ def train(texts: list[tuple[str, str]], seed: int = 0) -> Model:
             lo, hi = np.searchsorted(owner, (c * size, d * size))
             pairs_of.append((at_row[lo:hi], owner[lo:hi] - c * size))
         parts.append((d - c, y[c:d].ravel(), pairs_of))
-    kind = np.float64 if k <= 16 else np.float32  # a table of many languages is large
-    params = [model.weights.astype(kind), model.moves, model.begin]
+    params = [model.weights, model.moves, model.begin]
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     grad = np.empty_like(params[0])
     for step in range(1, _STEPS + 1):
@@ -228,30 +265,46 @@ def train(texts: list[tuple[str, str]], seed: int = 0) -> Model:
                 second[i][j] = 0.99 * second[i][j] + 0.01 * g[j] * g[j]
                 params[i][j] += 0.1 * (first[i][j] / (1 - 0.9**step)) / (np.sqrt(second[i][j] / (1 - 0.99**step)) + 1e-8)
         model.moves, model.begin = params[1], params[2]
-    model.weights = params[0].astype(np.float32)
     return model
 
 
-def label_words(model: Model, texts: list[list[str]]) -> list[tuple[np.ndarray, np.ndarray]]:
+class Lexicon(dict):
+    """Numbers of different words, and what their features add up to."""
+
+    def __init__(self, model: Model):
+        self.model, self.new = model, []
+        self.scores = np.zeros((1 << 12, len(model.languages)), np.float32)
+        self.letters = np.zeros(1 << 12, bool)
+        self.known = 0
+
+    def __missing__(self, word: str) -> int:
+        self[word] = len(self)
+        self.new.append(word)
+        return self[word]
+
+    def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Emissions and whether there are letters, word by word."""
+        at = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        if self.new:
+            f = features(self.new)
+            upto = self.known + len(self.new)
+            while upto > len(self.letters):
+                self.scores, self.letters = (np.concatenate([x, np.zeros_like(x)]) for x in (self.scores, self.letters))
+            self.scores[self.known : upto], self.letters[self.known : upto] = self.model.emissions(f), f.letters
+            self.known, self.new = upto, []
+        return self.scores[at], self.letters[at]
+
+
+def label_words(model: Model, texts: list[list[str]], lexicon: Lexicon | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
     """Per text (its words): indices of the words with letters, and their marginals."""
     flat = [w for t in texts for w in t]
-    if not flat:
-        return [(np.zeros(0, np.int64), np.zeros((0, len(model.languages)))) for _ in texts]
-    f = features(flat, model.weights.shape[1])
-    owner = np.repeat(np.arange(len(texts)), [len(t) for t in texts])[f.letters]
-    scores = model.emissions(f)[f.letters]
+    scores, letters = (lexicon if lexicon is not None else Lexicon(model)).of(flat)
+    owner = np.repeat(np.arange(len(texts)), [len(t) for t in texts])[letters]
     counts = np.bincount(owner, minlength=len(texts))
-    begin = np.cumsum(counts) - counts
-    at = np.arange(len(owner)) - begin[owner]
-    chains = -(-counts // CHAIN)
-    chain = (np.cumsum(chains) - chains)[owner] + at // CHAIN
-    steps = min(CHAIN, int(counts.max(initial=0)))
     p = np.zeros((0, len(model.languages)))
     if len(owner):
-        grid = np.zeros((int(chains.sum()), steps, scores.shape[1]))
-        grid[chain, at % CHAIN] = scores
-        p = marginals(model, grid, np.bincount(chain))[0][chain, at % CHAIN]
-    inner = np.nonzero(f.letters)[0] - (np.cumsum([len(t) for t in texts]) - [len(t) for t in texts])[owner]
+        p = chained(model, scores[letters].astype(np.float64), counts[counts > 0])
+    inner = np.nonzero(letters)[0] - (np.cumsum([len(t) for t in texts]) - [len(t) for t in texts])[owner]
     cut = np.cumsum(counts)[:-1]
     return list(zip(np.split(inner, cut), np.split(p, cut)))
 
@@ -259,21 +312,28 @@ def label_words(model: Model, texts: list[list[str]]) -> list[tuple[np.ndarray,
 def _predict(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(**shared.value)
-        chunk = _CHUNK_CHARS * 16 // max(len(model.languages), 16)
+        lexicon = Lexicon(model)
+        most = max(_CELLS // max(len(model.languages), 1), 1)  # words held at once; a longer text is held alone
         for b in batches:
             mass = np.zeros((b.num_rows, max(len(model.languages), 1)))
             held: list[tuple[int, list[str]]] = []
-            chars = 0
+            n = 0
+
+            def settle() -> None:
+                for (i, _), (_, p) in zip(held, label_words(model, [w for _, w in held], lexicon)):
+                    mass[i] = p.sum(axis=0)
+
             for i, t in enumerate(b.column(b.num_columns - 1)):
                 words = split_words(t.as_py() or "") if model.languages else []
-                for at in range(0, len(words), chunk // 8):  # a very long text in several parts
-                    part = words[at : at + chunk // 8]
-                    held.append((i, part))
-                    chars += sum(map(len, part))
-                    if chars >= chunk:
-                        _add(model, held, mass)
-                        held, chars = [], 0
-            _add(model, held, mass)
+                held.append((i, words))
+                n += len(words)
+                if n >= most:
+                    settle()
+                    held, n = [], 0
+                    if lexicon.known > _KNOWN_WORDS:
+                        lexicon = Lexicon(model)
+            if held and model.languages:
+                settle()
             total = mass.sum(axis=1)
             best = mass.argmax(axis=1)
             names = [model.languages[j] if s > 0 else UNKNOWN for j, s in zip(best, total)]
@@ -286,11 +346,6 @@ def _predict(shared):
     return run
 
 
-def _add(model: Model, held: list[tuple[int, list[str]]], mass: np.ndarray) -> None:
-    for (i, _), (_, p) in zip(held, label_words(model, [w for _, w in held])):
-        mass[i] += p.sum(axis=0)
-
-
 def _passages(text: Column, seed: Column) -> Column:
     """A text of over ``MAX_TRAIN_CHARS`` code points cut to as many: ``PASSAGES`` passages
     of whole words, one from a hashed place in each of as many equal stretches."""

@@ -479,3 +479,54 @@ def test_pipeline_on_an_empty_table(spark, empty, sf_small):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, sf_small)
     assert docs.count() == 0
+
+
+def test_language_chains_have_no_cut():
+    """Blocks side by side give what one long chain gives."""
+    rng = np.random.default_rng(7)
+    for k in (2, 4):
+        model = language.Model(list("abcd")[:k], np.zeros((1, 1, k)), rng.normal(size=(k, k)) * 3, rng.normal(size=k))
+        sizes = np.array([1, 200, 64, 65, 3, 128, 511])
+        scores = rng.normal(size=(int(sizes.sum()), k))
+        got = language.chained(model, scores, sizes)
+        for start, n in zip(np.cumsum(sizes) - sizes, sizes):
+            alone = language.marginals(model, scores[None, start : start + n], np.array([n]))[0][0]
+            assert np.allclose(got[start : start + n], alone, atol=1e-9)
+
+
+def test_language_lexicon_is_the_whole_word():
+    pairs = [("abcdpqefxyzrstuv", "abcdmnefxyzrstuv"), ("a" * 30 + "b" + "a" * 30, "a" * 29 + "ba" + "a" * 30)]
+    for x, y in pairs:
+        f = language.features([x, y, x])
+        assert f.lexicon[0] != f.lexicon[1] and f.lexicon[0] == f.lexicon[2]
+
+
+def test_language_features_and_scores_match_plain_sums(spark, sf_small):
+    """Emissions by reading the tables n-gram by n-gram; a text's prediction by plain
+    forward-backward over its words."""
+    docs = common.table(spark, sf_small, "documents").limit(60)
+    model = language.learn(docs)
+    shift = 33 - language._TABLE.bit_length()
+
+    def emission(word):
+        marked = [ord(c) for c in f" {word} "]
+        total = np.zeros(len(model.languages))
+        for order, n in enumerate((2, 3, 4)):
+            for i in range(len(marked) - n + 1):
+                h = 0
+                for j, c in enumerate(marked[i : i + n]):
+                    h = (h ^ c if j else c) * 0x01000193 % 2**32
+                total += model.weights[order][((h + n) * 0x9E3779B1 % 2**32) >> shift]
+        return total + model.weights[3][(zlib.crc32(word.encode()) * 0x9E3779B1 % 2**32) >> shift]
+
+    words = [w for t in ("The cat, sat.", "niño où über 12 !! x") for w in language.split_words(t)]
+    scores, letters = language.Lexicon(model).of(words)
+    assert letters.tolist() == [any(c.isalpha() for c in w) for w in words]
+    assert np.allclose(scores, [emission(w) for w in words], atol=1e-3)
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(docs, model).collect()}
+    for r in docs.collect()[:12]:
+        ws = [w for w in language.split_words(r.text or "") if any(c.isalpha() for c in w)]
+        if ws:
+            p = language.marginals(model, np.array([[emission(w) for w in ws]]), np.array([len(ws)]))[0][0]
+            share = p.sum(axis=0) / len(ws)
+            assert got[r.doc_id][0] == model.languages[int(share.argmax())] and got[r.doc_id][1] == pytest.approx(share.max(), abs=1e-3)
