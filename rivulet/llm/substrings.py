@@ -174,7 +174,7 @@ def _minimizer_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield settled(parts)
 
 
-_EDGE = "h long, salt int, k1 long, k2 long, pos int, source struct<k1: long, pos: int>"
+_EDGE = "h long, salt int, k1 long, k2 long, pos int, source struct<k1: long, k2: long, pos: int>"
 
 
 def _edge_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,7 +190,7 @@ def _edge_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at[order] = np.repeat(order[first], np.diff(np.append(first, len(h))))
         later = k1 > k1[at]
         at = at[later]
-        sources = pa.StructArray.from_arrays([pa.array(k1[at]), pa.array(pos[at])], ["k1", "pos"])
+        sources = pa.StructArray.from_arrays([pa.array(x[at]) for x in (k1, k2, pos)], ["k1", "k2", "pos"])
         place = np.where(later, np.cumsum(later) - 1, 0)
         sources = sources.take(pa.array(place, mask=~later))
         columns = [pa.array(c) for c in (h, np.where(later, _salt(k1), np.int32(0)), k1, k2, pos)]
@@ -213,41 +213,42 @@ def _edge_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield settled(parts)
 
 
-_SPAN = "k1 long, k2 long, start int, n int, s1 long, s_start int"
+_SPAN = "k1 long, k2 long, start int, n int, s1 long, s2 long, s_start int"
 
 
 def _path_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Edges of one document (k1; k2, pos and source in lists) -> spans of words."""
     for b in batches:
-        out = _Out(k1=pa.int64(), k2=pa.int64(), start=pa.int32(), n=pa.int32(), s1=pa.int64(), s_start=pa.int32())
+        out = _Out(k1=pa.int64(), k2=pa.int64(), start=pa.int32(), n=pa.int32(), s1=pa.int64(), s2=pa.int64(), s_start=pa.int32())
         for k1, edges in zip(b.column(0), b.column(1)):
-            k2, pos, s1, at = (c.to_numpy(zero_copy_only=False) for c in edges.values.flatten())
+            k2, pos, s1, s2, at = (c.to_numpy(zero_copy_only=False) for c in edges.values.flatten())
             order = np.lexsort((pos, k2))
-            k2, pos, s1, at = (c[order] for c in (k2, pos, s1, at))
-            new = np.ones(len(pos), bool)
-            new[1:] = (np.diff(pos) != 1) | (np.diff(at) != 1) | (np.diff(s1) != 0) | (np.diff(k2) != 0)
+            k2, pos, s1, s2, at = (c[order] for c in (k2, pos, s1, s2, at))
+            new = np.ones(len(pos), bool)  # a run has one text at either side
+            new[1:] = (np.diff(pos) != 1) | (np.diff(at) != 1) | (s1[1:] != s1[:-1]) | (s2[1:] != s2[:-1]) | (k2[1:] != k2[:-1])
             (first,) = np.nonzero(new)
             n = np.diff(np.append(first, len(pos))) + WINDOW - 1
-            out.add(np.full(len(first), k1.as_py()), k2[first], pos[first], n, s1[first], at[first])
+            out.add(np.full(len(first), k1.as_py()), k2[first], pos[first], n, s1[first], s2[first], at[first])
             if out.n > 100_000:
                 yield out.batch()
         yield out.batch()
 
 
 def _source_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents with spans wanted (start, n) -> the digest of the words at each (of
-    several texts under a doc_id, one for each)."""
+    """Documents with spans wanted (k2, start, n) -> the digest of the words at each in the
+    text of that key."""
     for b in batches:
         rows = []
-        for k1, t, wanted in zip(b.column(1).to_pylist(), b.column(3).cast(pa.binary()), b.column(4)):
+        for k1, k2, t, wanted in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3).cast(pa.binary()), b.column(4)):
             words = t.as_py().split()
             for w in wanted.as_py():
                 at, n = w["start"], w["n"]
-                rows.append((k1, at, n, _digest(words[at : at + n])))
-        columns = list(zip(*rows)) or [()] * 4
-        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary())
+                if w["k2"] == k2:
+                    rows.append((k1, k2, at, n, _digest(words[at : at + n])))
+        columns = list(zip(*rows)) or [()] * 5
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds)], ["s1", "s_start", "n", "d"]
+            [pa.array(c, k) for c, k in zip(columns, kinds)], ["s1", "s2", "s_start", "n", "d"]
         )
 
 
@@ -276,8 +277,7 @@ def drop_repeated(docs: DataFrame) -> DataFrame:
     joined by one space.  A word goes if it lies in a window of 13 words of its
     document that also starts in a document with a smaller doc_id, judged on the
     input.  Null texts and texts without words come back empty; under 13 words
-    nothing goes; rows under one doc_id do not remove each other (a span whose
-    source would jump between different texts of one id stays); a null id
+    nothing goes; rows under one doc_id do not remove each other; a null id
     neither loses words nor takes any.  Other columns are ignored."""
     k1, k2 = row_key()
     rows = docs.select(
@@ -299,17 +299,17 @@ def drop_repeated(docs: DataFrame) -> DataFrame:
     on_shared = under.where("k1 is not null and (salt <> 0 or holders > 1)")
     on_shared = on_shared.groupBy("k1").agg(F.collect_list("m").alias("shared"))  # of one document
     edges = rows.join(on_shared, "k1").select(*rows.columns, "shared").mapInArrow(_edge_rows, _EDGE)
-    first = F.min(F.struct("k1", "pos")).over(Window.partitionBy("h", "salt"))
+    first = F.min(F.struct("k1", "k2", "pos")).over(Window.partitionBy("h", "salt"))
     later = edges.withColumn("s", F.coalesce("source", first)).where("k1 > s.k1")
-    stands = F.struct("k2", "pos", F.col("s.k1").alias("s1"), F.col("s.pos").alias("at"))
+    stands = F.struct("k2", "pos", F.col("s.k1").alias("s1"), F.col("s.k2").alias("s2"), F.col("s.pos").alias("at"))
     # of one document, so no longer than its words
     spans = later.groupBy("k1").agg(F.collect_list(stands).alias("edges")).mapInArrow(_path_rows, _SPAN)
-    at = ["s1", "s_start", "n"]
+    at = ["s1", "s2", "s_start", "n"]
     wanted = spans.select(*at).distinct().groupBy(F.col("s1").alias("k1")).agg(
-        F.collect_list(F.struct(F.col("s_start").alias("start"), "n")).alias("wanted")
+        F.collect_list(F.struct(F.col("s2").alias("k2"), F.col("s_start").alias("start"), "n")).alias("wanted")
     )
     sources = rows.join(wanted, "k1").select(*rows.columns, "wanted").mapInArrow(
-        _source_rows, "s1 long, s_start int, n int, d binary"
+        _source_rows, "s1 long, s2 long, s_start int, n int, d binary"
     )
     checked = spans.join(sources, at).groupBy("k1").agg(F.collect_list(F.struct("k2", "start", "n", "d")).alias("spans"))
     result = rows.join(checked, "k1", "left").join(copies, "k1", "left").select(*rows.columns, "copies", "spans")

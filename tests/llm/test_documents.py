@@ -89,6 +89,28 @@ def test_substrings_within_repeating_text(spark):
     assert got == _substrings_brute(data)
 
 
+def test_substrings_sources_in_several_texts_of_an_id(spark):
+    """A passage that goes from one text of a smaller id into another goes whole."""
+    w = [f"w{i}" for i in range(60)]
+    other = [f"o{i}" for i in range(30)]
+    data = [
+        (1, " ".join(w[:26])), (1, " ".join(other[:14] + w[14:40])), (2, " ".join(w[:40])),
+        (3, " ".join(other[:5] + w[5:35] + other[5:9])), (None, " ".join(w[:40])), (1, " ".join(w[30:60])), (7, " ".join(w)),
+    ]
+    got = counted(substrings.drop_repeated(spark.createDataFrame(data, "doc_id long, text string").repartition(3)), "doc_id", "n_words", "n_removed", "text")
+    assert got == _substrings_brute(data)
+    assert got[(2, 40, 40, "")] == 1
+
+
+def test_substrings_of_one_word(spark):
+    import time
+
+    data = [(1, "a " * 100_000), (2, "a " * 100_001), (3, "b " * 20)]
+    began = time.time()
+    got = {r.doc_id: r.n_removed for r in substrings.drop_repeated(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    assert got == {1: 0, 2: 100_001, 3: 0} and time.time() - began < 60
+
+
 def test_substrings_of_short_texts(spark):
     data = [(1, "a b"), (2, "a b"), (3, ""), (4, None)]
     got = counted(substrings.drop_repeated(spark.createDataFrame(data, "doc_id long, text string")), "doc_id", "n_words", "n_removed", "text")
