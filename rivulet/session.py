@@ -62,6 +62,23 @@ def take_handed_out() -> list[str]:
     return out
 
 
+def handed_out() -> int:
+    """How many folders were handed out so far: a mark for ``remove_since``."""
+    return len(_HANDED_OUT)
+
+
+def last_handed_out() -> str | None:
+    return _HANDED_OUT[-1] if _HANDED_OUT else None
+
+
+def remove_since(spark: SparkSession, mark: int, keep: str | None = None) -> None:
+    """Delete the folders handed out after ``mark``, but not ``keep``.  For a job that has
+    written its result and reads nothing else of its own any more."""
+    for path in [p for p in _HANDED_OUT[mark:] if p != keep]:
+        _HANDED_OUT.remove(path)
+        delete_path(spark, path)
+
+
 def hadoop_fs(spark: SparkSession, path: str):
     """(FileSystem, Path) for ``path`` through the JVM's Hadoop client."""
     jvm = spark.sparkContext._jvm

@@ -110,7 +110,7 @@ def read_delimited(
 
     ``rejects=True`` adds the column ``_rejected``: NULL for a good row, the line itself for
     one that is short, long or has a value that its type can't hold (its fields may be
-    NULL or not; see ``split_rejected``)."""
+    NULL or not; see ``split_rejected``).  Lines of blanks and separators only are no rows."""
     reader = spark.read.option("sep", sep).option("header", header).option("mode", "PERMISSIVE")
     if schema is None or infer:
         return reader.option("inferSchema", True).csv(path)

@@ -38,8 +38,12 @@ def variant_schema(lines: DataFrame, text_col: str = "value") -> T.StructType:
     return T.DataType.fromDDL(ddl)
 
 
-def _field(name: str) -> str:
-    return "$['" + name.replace("\\", "\\\\").replace("'", "\\'") + "']"
+def _field(v: Column, name: str) -> Column:
+    """A field of a VARIANT object, as a VARIANT; a path can't name one with both quotes."""
+    if "'" in name and '"' in name:
+        return F.try_element_at(F.variant_get(v, "$", "map<string, variant>"), F.lit(name))
+    quote = '"' if "'" in name else "'"
+    return F.variant_get(v, f"$[{quote}{name}{quote}]", "variant")
 
 
 def fitted(v: Column, schema: T.StructType) -> tuple[list[Column], Column]:
@@ -48,11 +52,11 @@ def fitted(v: Column, schema: T.StructType) -> tuple[list[Column], Column]:
     missing field is NULL."""
     columns, unfit = [], []
     for f in schema.fields:
-        raw = F.variant_get(v, _field(f.name), "variant")
+        raw = _field(v, f.name)
         if isinstance(f.dataType, T.VariantType):
             columns.append(raw.alias(f.name))
             continue
-        value = F.try_variant_get(v, _field(f.name), f.dataType.simpleString())
+        value = F.try_variant_get(raw, "$", f.dataType.simpleString())
         columns.append(value.alias(f.name))
         lost = raw.isNotNull() & ~F.is_variant_null(raw) & value.isNull()
         unfit.append(F.when(lost, F.struct(F.lit(f.name).alias("k"), F.to_json(raw).alias("v"))))

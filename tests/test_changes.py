@@ -1,0 +1,143 @@
+"""Table changes, bucketed logs, footer counts, failed writes."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from rivulet.operators.bucketed import BucketedTable
+from rivulet.operators.lake import LakeTable
+from rivulet.session import list_names, work_path
+from rivulet.sources import fixtures
+from rivulet.streaming.orders import await_all
+from rivulet.streaming.table_tail import start_changes
+
+SCHEMA = "k string, v int, p string"
+
+
+def _table(spark, kind="mor"):
+    return LakeTable(spark, work_path(spark, "t"), key="k", precombine="v", partition="p", kind=kind)
+
+
+def _rows(spark, *keys):
+    return spark.createDataFrame([(k, 1, "p") for k in keys], SCHEMA)
+
+
+def _follow(t, sink, ckpt, **options):
+    await_all(t.spark, [start_changes(t, sink, ckpt, trigger="availableNow", query_name="t_changes", **options)])
+    return sorted(r.k for r in t.spark.read.parquet(sink).collect())
+
+
+@pytest.mark.parametrize("kind", ["mor", "cow"])
+def test_changes_are_completed_writes_once(spark, monkeypatch, kind):
+    t = _table(spark, kind)
+    sink, ckpt = work_path(spark, "sink"), work_path(spark, "ckpt")
+    t.write(_rows(spark, "a", "b"), commit="20240101000000", write_id="w1")
+    assert _follow(t, sink, ckpt) == ["a", "b"]
+    real = t._append
+
+    def half(rows, write_id, one):  # the process ends amid the append: its mark stays
+        real(rows.where("k = 'c'"), write_id, one)
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(t, "_append", half)
+    with pytest.raises(KeyboardInterrupt):
+        t.write(_rows(spark, "c", "d"), commit="20240102000000", write_id="w2")
+    monkeypatch.undo()
+    t.write(_rows(spark, "a", "b"), commit="20240101000000", write_id="w1")
+    assert _follow(t, sink, ckpt) == ["a", "b"]
+    t.write(_rows(spark, "c", "d"), commit="20240102000000", write_id="w2")  # written again, whole
+    t.write(_rows(spark, "e"))
+    assert _follow(t, sink, ckpt, per_trigger=1) == ["a", "b", "c", "d", "e"]
+    assert _follow(t, sink, ckpt) == ["a", "b", "c", "d", "e"]
+
+
+def test_changes_follow_overwrites_that_succeed(spark, monkeypatch):
+    t = _table(spark)
+    sink, ckpt = work_path(spark, "sink"), work_path(spark, "ckpt")
+    t.write(_rows(spark, "a"))
+    published = t._publish
+    monkeypatch.setattr(t, "_publish", lambda table: (_ for _ in ()).throw(OSError("no")))
+    with pytest.raises(OSError):
+        t.overwrite(_rows(spark, "lost"))
+    monkeypatch.setattr(t, "_publish", published)
+    assert _follow(t, sink, ckpt) == ["a"]
+    t.overwrite(_rows(spark, "b"))
+    t.write(_rows(spark, "c"))
+    assert _follow(t, sink, ckpt) == ["a", "b", "c"]
+    with pytest.raises(FileNotFoundError):
+        start_changes(_table(spark), sink, ckpt)
+
+
+def test_a_failed_write_takes_its_mark_and_rows_away(spark, monkeypatch):
+    t = _table(spark)
+    t.write(_rows(spark, "a"), commit="20240101000000")
+    with pytest.raises(Exception, match="NULL record key"):
+        t.write(_rows(spark, "b", None), commit="20240102000000")
+    real = t._append
+
+    def half(rows, write_id, one):
+        real(rows.where("k = 'c'"), write_id, one)
+        raise OSError("disk")
+
+    monkeypatch.setattr(t, "_append", half)
+    with pytest.raises(OSError):
+        t.write(_rows(spark, "c", "d"), commit="20240103000000")
+    monkeypatch.undo()
+    assert not t._pending()
+    assert [r.k for r in t.log().collect()] == ["a"]
+    assert len(list_names(spark, f"{t.path}/completed")) == 1
+
+
+# -------------------------------------------------------------------- bucketed
+def _bucketed(spark, name):
+    return BucketedTable(spark, name, work_path(spark, name), key="uuid", precombine="ts", partition="partitionpath",
+                         tiebreak=("event_id",), buckets=4)
+
+
+def test_bucketed_reads_need_no_exchange(spark, sf_small):
+    log = fixtures.trip_log(spark, sf_small)
+    t, plain = _bucketed(spark, "b_trips"), LakeTable(spark, work_path(spark, "plain"), key="uuid", precombine="ts",
+                                                      partition="partitionpath", kind="mor", tiebreak=("event_id",))
+    for part in (F.col("event_id") % 2 == 1, F.col("event_id") % 2 == 0):
+        for each in (t, plain):
+            each.write(log.where(part), commit_col="commit_time", delete_col="is_delete")
+    for got, want in (
+        (t.snapshot(), plain.snapshot()), (t.as_of("2024-01-15 00:00:00"), plain.as_of("2024-01-15 00:00:00")),
+        (t.incremental("20240120000000"), plain.incremental("20240120000000")),
+    ):
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Bucketed: true" in plan, plan
+        columns = ["uuid", "partitionpath", "event_id", "_commit_time"]
+        assert sorted(map(tuple, got.select(*columns).collect())) == sorted(map(tuple, want.select(*columns).collect()))
+    t.delete(spark.createDataFrame([("0", "0")], "uuid string, partitionpath string"), commit="20250101000000")
+    assert t.snapshot(keys=["0"]).count() == 0
+    spark.sql("DROP TABLE b_trips")
+
+
+def test_bucketed_refuses_what_it_cannot_do(spark):
+    t = BucketedTable(spark, "b_refuse", work_path(spark, "b"), key="k", precombine="v", partition="p", buckets=2)
+    t.write(_rows(spark, "a"), write_id="w")
+    with pytest.raises(ValueError):
+        t.write(_rows(spark, "b"), write_id="w")
+    with pytest.raises(Exception, match="NULL record key"):
+        t.write(_rows(spark, "c", None))
+    assert [r.k for r in t.snapshot().collect()] == ["a"] and not t._pending()
+    for refused in (lambda: t.overwrite(_rows(spark, "b")), lambda: t.batch_writer("s")):
+        with pytest.raises(NotImplementedError):
+            refused()
+    spark.sql("DROP TABLE b_refuse")
+
+
+# --------------------------------------------------------------------- footers
+def test_counts_from_footers(spark):
+    t = _table(spark, "cow")
+    t.write(_rows(spark, "a", "b", "b"), commit="20240101000000")
+    plan = t.footer_count()._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*)]" in plan
+    assert t.count() == 2
+    t.write(_rows(spark, "b", "c"), commit="20240102000000")  # from here on the refreshed state
+    assert t.footer_count().first()[0] == t.count() == t.snapshot().count() == 3
+    t.delete(spark.createDataFrame([("a", "p")], "k string, p string"), commit="20240103000000")
+    assert t.footer_count() is None and t.count() == 2
+    t.overwrite(_rows(spark, "z"), commit="20240104000000")
+    assert t.footer_count().first()[0] == t.count() == 1
+    assert _table(spark, "mor").footer_count() is None

@@ -1,11 +1,16 @@
 """Column helpers: IPv4, date paths, epoch, JSON tolerance."""
 
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from rivulet.functions import dash_path, epoch_seconds, int_to_ipv4, ipv4_to_int, normalize_instant
 from rivulet.functions.ipv4 import IP_RANGES
+from rivulet.functions.labels import PRODUCT_LABELS, TRAFFIC_LABELS, WEEKDAY_LABELS
+from rivulet.functions.sql_labels import register_label, register_labels
 from rivulet.operators.etl import order_etl, order_json_etl, ride_etl
-from rivulet.operators.ip_tally import range_blocks, tally_ranges
+from rivulet.operators.ip_tally import range_blocks, tally, tally_ranges
 from rivulet.sources.messages import MESSAGE_SCHEMA
 
 
@@ -17,11 +22,61 @@ def test_int_to_ipv4_signed(spark):
     assert back == [-1950089216, -564133889, 607649792, 0, -1]
 
 
-def test_range_table_bounds(spark):
-    blocks = range_blocks(spark)
-    assert blocks.count() == sum((hi >> 16) - (lo >> 16) + 1 for lo, hi in IP_RANGES)
-    starts = {r[0] for r in blocks.select("range_start").distinct().collect()}
-    assert len(starts) == len(IP_RANGES) and "222.16.0.0" in starts
+def _blocks_of(spark, ranges):
+    out = {}
+    for r in range_blocks(spark, ranges).collect():
+        first = (r.prefix << r.level) - 2**31
+        out.setdefault((r.lo, r.hi), []).append((first, first + (1 << r.level) - 1))
+    return {k: sorted(v) for k, v in out.items()}
+
+
+def test_range_blocks_cover_their_range_once(spark):
+    r = random.Random(3)
+    ends = [-(2**31), -1, 0, 1, 2**31 - 1]
+    ranges = {*IP_RANGES, *((a, b) for a in ends for b in ends if a <= b), (-(2**31) + 1, 2**31 - 2)}
+    ranges |= {tuple(sorted((r.randrange(-(2**31), 2**31), r.randrange(-(2**31), 2**31)))) for _ in range(60)}
+    found = _blocks_of(spark, sorted(ranges))
+    assert set(found) == ranges
+    for (lo, hi), blocks in found.items():
+        assert blocks[0][0] == lo and blocks[-1][1] == hi and len(blocks) <= 62
+        assert all(a[1] + 1 == b[0] for a, b in zip(blocks, blocks[1:]))
+    assert len(found[(-(2**31), 2**31 - 1)]) == 1 and len(found[(-(2**31) + 1, 2**31 - 2)]) == 62
+    assert range_blocks(spark, [(5, 4)]).count() == 0
+
+
+def test_tally_counts_every_range(spark):
+    r = random.Random(4)
+    ips = [r.randrange(-(2**31), 2**31) for _ in range(400)] + [7] * 300 + [None]
+    ranges = [(-(2**31), 2**31 - 1), (7, 7), (0, 6), (-5, 8), (100, 50)] + [tuple(sorted(r.sample(range(-(2**31), 2**31), 2))) for _ in range(20)]
+    want = {(lo, hi): n for lo, hi in ranges if (n := sum(ip is not None and lo <= ip <= hi for ip in ips))}
+    rows = spark.createDataFrame([(ip,) for ip in ips], "ip int")
+    assert {(x.lo, x.hi): x.total for x in tally(rows, "ip", ranges).collect()} == want
+    listed = spark.createDataFrame(ranges, "lo int, hi int")
+    assert {(x.lo, x.hi): x.total for x in tally(rows, "ip", listed).collect()} == want
+    assert tally(rows, "ip", [(5, 4)]).count() == 0
+
+
+def test_label_functions_inline_their_case(spark):
+    names = register_labels(spark)
+    assert len(names) == 12
+    got = spark.sql(
+        "SELECT product_label(code) AS a, product_label_or(code, 'other') AS b, weekday_label(code) AS c "
+        "FROM VALUES (1), (9), (CAST(NULL AS INT)) AS t(code)"
+    )
+    assert [tuple(r) for r in got.collect()] == [
+        (PRODUCT_LABELS[1], PRODUCT_LABELS[1], WEEKDAY_LABELS[1]), (None, "other", None), (None, "other", None)
+    ]
+    rows = spark.range(5).selectExpr("CAST(id % 3 AS INT) AS code")
+    rows.createOrReplaceTempView("label_codes")
+    strict = spark.sql("SELECT traffic_label_strict(code) AS label FROM label_codes")
+    assert {r.label for r in strict.collect()} == {TRAFFIC_LABELS[k] for k in range(3)}
+    plan = strict._jdf.queryExecution().optimizedPlan().toString()
+    assert "CASE WHEN" in plan and "traffic_label_strict" not in plan and "Python" not in plan
+    with pytest.raises(Exception, match="unlisted code: 9"):
+        spark.sql("SELECT product_label_strict(9)").collect()
+    assert spark.sql("SELECT product_label_strict(CAST(NULL AS INT))").first()[0] is None
+    register_label(spark, "odd_label", {1: "it's", 2: "a\\b"})
+    assert tuple(spark.sql("SELECT odd_label(1), odd_label(2)").first()) == ("it's", "a\\b")
 
 
 def test_tally_edges(spark):

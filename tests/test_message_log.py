@@ -1,0 +1,139 @@
+"""Message log: offsets, caps, starts, losses, commits; progress of streams."""
+
+import json
+
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from rivulet.session import delete_path, list_names, work_path
+from rivulet.sources.message_log import MessageLogStreamWriter, Written, append_messages, capped, read_message_log
+from rivulet.streaming.orders import drain, start_copy
+from rivulet.streaming.progress import BatchLog
+
+T = "topic"
+
+
+def _messages(spark, first, n, partitions=2):
+    rows = spark.range(first, first + n)
+    return rows.select(
+        F.col("id").cast("string").cast("binary").alias("key"), F.lit(b"v").alias("value"),
+        (F.col("id") % partitions).cast("int").alias("partition"), F.lit("2024-01-01 00:00:00.123").cast("timestamp").alias("timestamp"),
+    )
+
+
+def _copy(spark, path, sink, ckpt, name="t_log", **options):
+    drain(start_copy(read_message_log(spark, path, T, progress=f"{ckpt}/planned", **options), sink, ckpt, name))
+    return spark.read.schema("key binary, value binary, topic string, partition int, offset long, timestamp timestamp, batch int").parquet(sink)
+
+
+def _keys(rows):
+    return sorted(int(r.key) for r in rows.collect())
+
+
+def test_capped_shares_out_what_is_left():
+    assert capped({}, {"t/0": 5, "t/1": 3}, None) == {"t/0": 5, "t/1": 3}
+    assert capped({"t/0": 2}, {"t/0": 2}, 10) == {"t/0": 2}
+    at, latest = {"t/0": 1}, {"t/0": 101, "t/1": 7, "t/2": 0}
+    steps = 0
+    while at != capped(at, latest, 10):
+        now = capped(at, latest, 10)
+        taken = sum(now.values()) - sum(at.values())
+        left = sum(latest.values()) - sum(at.values())
+        assert taken == min(10, left) and all(now[k] >= at.get(k, 0) for k in now)
+        at, steps = now, steps + 1
+    assert at == latest and steps == 11
+
+
+def test_restart_goes_on_from_its_offsets_under_the_cap(spark):
+    path, sink, ckpt = (work_path(spark, x) for x in ("log", "sink", "ckpt"))
+    append_messages(_messages(spark, 0, 50), path, T)
+    rows = _copy(spark, path, sink, ckpt, startingOffsets="earliest", maxOffsetsPerTrigger=20)
+    assert _keys(rows) == list(range(50))
+    assert sorted(r["count"] for r in rows.groupBy("batch").count().collect()) == [10, 20, 20]
+    rows = _copy(spark, path, sink, ckpt, startingOffsets="earliest", maxOffsetsPerTrigger=20)
+    assert _keys(rows) == list(range(50))  # nothing new, nothing again
+    append_messages(_messages(spark, 50, 45), path, T)
+    rows = _copy(spark, path, sink, ckpt, startingOffsets="earliest", maxOffsetsPerTrigger=20)
+    assert _keys(rows) == list(range(95))
+    assert sorted(r["count"] for r in rows.groupBy("batch").count().collect()) == [5, 10, 20, 20, 20, 20]
+    ends = rows.groupBy("partition").agg(F.min("offset"), F.max("offset"), F.count_distinct("offset")).collect()
+    assert sorted(tuple(r) for r in ends) == [(0, 0, 47, 48), (1, 0, 46, 47)]
+    assert rows.select(F.unix_millis("timestamp")).distinct().first()[0] % 1000 == 123
+
+
+def test_starting_offsets(spark):
+    path = work_path(spark, "log")
+    append_messages(_messages(spark, 0, 10), path, T)
+    for start, want in (("earliest", 10), ("latest", 0), (json.dumps({T: {"0": 3, "1": -2}}), 7), (json.dumps({T: {"0": 4}}), 1)):
+        sink, ckpt = work_path(spark, "sink"), work_path(spark, "ckpt")
+        q = start_copy(read_message_log(spark, path, T, startingOffsets=start, progress=f"{ckpt}/planned"), sink, ckpt, "t_start")
+        drain(q)
+        assert sum(p["numInputRows"] for p in q.recentProgress) == want
+    with pytest.raises(Exception, match="progress"):
+        ckpt = work_path(spark, "ckpt")
+        drain(start_copy(read_message_log(spark, path, T, maxOffsetsPerTrigger=5), work_path(spark, "sink"), ckpt, "t_cap"))
+
+
+def test_a_lost_file_fails_or_is_passed_over(spark):
+    path = work_path(spark, "log")
+    append_messages(_messages(spark, 0, 6, 1).coalesce(1), path, T)
+    (lost,) = list_names(spark, f"{path}/{T}/segments")
+    append_messages(_messages(spark, 6, 4, 1).coalesce(1), path, T)
+    delete_path(spark, f"{path}/{T}/segments/{lost}")
+    with pytest.raises(Exception):
+        _copy(spark, path, work_path(spark, "sink"), work_path(spark, "ckpt"), startingOffsets="earliest")
+    rows = _copy(spark, path, work_path(spark, "sink"), work_path(spark, "ckpt"), startingOffsets="earliest", failOnDataLoss="false")
+    assert _keys(rows) == [6, 7, 8, 9] and rows.agg(F.min("offset")).first()[0] == 6
+
+
+def test_a_failed_write_shows_nothing(spark):
+    path = work_path(spark, "log")
+    append_messages(_messages(spark, 0, 8), path, T)
+    bad = _messages(spark, 8, 400).repartition(4).withColumn(
+        "value", F.when(F.col("key") == F.lit(b"300"), F.raise_error(F.lit("bad message"))).otherwise(F.col("value"))
+    )
+    with pytest.raises(Exception, match="bad message"):
+        append_messages(bad, path, T)
+    append_messages(_messages(spark, 8, 8), path, T)
+    rows = _copy(spark, path, work_path(spark, "sink"), work_path(spark, "ckpt"), startingOffsets="earliest")
+    assert _keys(rows) == list(range(16))
+    assert sorted(r.offset for r in rows.where("partition = 0").collect()) == list(range(8))
+
+
+def test_a_repeated_batch_of_the_sink_is_written_once(spark, tmp_path):
+    path = str(tmp_path / "log")
+    append_messages(_messages(spark, 0, 4, 1), path, T)
+    folder = tmp_path / "log" / T / "segments"
+    before = len(list(folder.iterdir()))
+    sink = MessageLogStreamWriter({"path": path, "topic": T, "stream": "s"})
+    time = pa.array([0], pa.timestamp("us", "UTC"))
+    batch = pa.record_batch({"key": [b"1"], "value": [b"b"], "partition": pa.array([0], pa.int32()), "timestamp": time})
+    for batch_id in (0, 0, 1):
+        sink.commit([sink.write(iter([batch])), None, Written()], batch_id)
+    sink.abort([sink.write(iter([batch]))], 2)
+    rows = _copy(spark, path, work_path(spark, "sink"), work_path(spark, "ckpt"), startingOffsets="earliest")
+    assert sorted(r.offset for r in rows.collect()) == list(range(6))
+    assert len(list(folder.iterdir())) == before + 2
+
+
+def test_progress_of_streams(spark):
+    path = work_path(spark, "log")
+    append_messages(_messages(spark, 0, 30), path, T)
+    with BatchLog(spark) as log:
+        ckpt = work_path(spark, "ckpt")
+        rows = read_message_log(spark, path, T, startingOffsets="earliest", maxOffsetsPerTrigger=10, progress=f"{ckpt}/planned")
+        q = start_copy(rows, work_path(spark, "sink"), ckpt, "t_heard")
+        drain(q)
+        bad = rows.select(F.raise_error(F.lit("no")).alias("x"))
+        failed = start_copy(bad, work_path(spark, "sink"), work_path(spark, "ckpt"), "t_failed")
+        with pytest.raises(Exception):
+            failed.processAllAvailable()
+        assert log.wait_ended([q.runId, failed.runId])
+        batches = {r.batch_id: r.input_rows for r in log.batches().where("name = 't_heard'").collect() if r.input_rows}
+        events = [(r.name, r.event, r.error is not None) for r in log.events().collect()]
+    spark.streams.resetTerminated()
+    assert batches == {0: 10, 1: 10, 2: 10}
+    assert sorted(e for e in events if e[0] in ("t_heard", "t_failed")) == [
+        ("t_failed", "ended", True), ("t_failed", "started", False), ("t_heard", "ended", False), ("t_heard", "started", False)
+    ]
