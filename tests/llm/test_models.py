@@ -153,10 +153,10 @@ def test_scoring_contexts():
     target, contexts = ids.contexts([ids.text(t) for t in texts])
     want = []
     for t in texts:
-        full = [ids.end] * scoring.CONTEXT + [ids.of(w) for w in t] + [ids.end]
+        full = [ids.end] * scoring.CONTEXT + [ids[w] for w in t] + [ids.end]
         want += [(full[i], *(full[i - k] for k in range(1, scoring.CONTEXT + 1))) for i in range(scoring.CONTEXT, len(full))]
     assert list(zip(target.tolist(), *contexts.tolist())) == want
-    assert ids.of(b"zz") == ids.n + scoring.bucket(b"zz") and ids.of(b"z") >= ids.n
+    assert ids[b"zz"] == ids.n + scoring.bucket(b"zz") and ids[b"z"] >= ids.n
 
 
 def test_scoring_is_a_distribution():
@@ -212,7 +212,7 @@ def test_scoring_learns_what_follows(spark, monkeypatch):
     counts = scoring.word_counts(docs)
     model = scoring.learn(docs.select("text", common.row_key()[1].alias("k")), counts)
     ids, scorer = scoring.Ids(model.vocabulary), scoring.Scorer(model.neural, model.kind)
-    p = lambda w, *before: math.exp(scorer.of(np.array([ids.of(w)]), np.array([[ids.of(x)] for x in before]))[0])
+    p = lambda w, *before: math.exp(scorer.of(np.array([ids[w]]), np.array([[ids[x]] for x in before]))[0])
     assert p(b"b", b"a", b"c", b"c") > 0.9 and p(b"y", b"q", b"x", b"c") > 0.9 and p(b"b", b"c", b"a", b"b") < 0.1
 
 
@@ -241,7 +241,7 @@ def test_scoring_matches_plain_evaluation(spark, docs, monkeypatch):
     want = []
     for i, t, *_ in rows():
         words = (t or "").encode().lower().split()
-        full = [ids.end] * scoring.CONTEXT + [ids.of(w) for w in words] + [ids.end]
+        full = [ids.end] * scoring.CONTEXT + [ids[w] for w in words] + [ids.end]
         total = 0.0
         for at in range(scoring.CONTEXT, len(full)):
             total += _plain_log_p(model.neural, model.kind, full[at], [full[at - k] for k in range(1, scoring.CONTEXT + 1)])
