@@ -69,8 +69,9 @@ def repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int =
         )
     # written: of a plain scan Spark knows the size, and can split a hot line over tasks
     again = held.join(saved(shared.select("h", "first"), "shared-lines"), "h").where("doc_id > first")
-    # the lists of one document row: at most its own lines.  Equal rows give equal lists.
-    return again.groupBy("k1", "k2").agg(F.array_distinct(F.flatten(F.collect_list("pos"))).alias("drop"))
+    # of one document row: at most its own lines.  Equal rows give equal lists, which meet
+    # in a set, in every task before the shuffle.
+    return again.groupBy("k1", "k2").agg(F.array_distinct(F.flatten(F.collect_set("pos"))).alias("drop"))
 
 
 def dedup_lines(
