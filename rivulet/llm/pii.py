@@ -173,7 +173,8 @@ def _lookalikes(text: str) -> Written:
     w = Written(text)
     unseen = "".join(c for c in odd if not _PLAIN[c])
     change = {ord(c): _PLAIN[c] for c in odd if _PLAIN[c] and _PLAIN[c] != c}
-    if change:  # one for one: every place stays
+    # letters alone matter in addresses only
+    if change and ("@" in text or any(not x.isalpha() for x in change.values()) or unseen or _may_hide(text)):  # one for one: every place stays
         w.text = text.translate(change)
     if unseen:
         w = w.rewrite([(m.start(), m.end(), "") for m in re.finditer(f"[{re.escape(unseen)}]+", w.text)])
@@ -194,15 +195,27 @@ _TENS = "twenty thirty forty fifty sixty seventy eighty ninety"
 _TIMES = {"double": 2, "triple": 3}
 _SIGN_NAMES = {"plus": "+", "dot": ".", "point": ".", "punkt": ".", "punto": ".", "dash": "-", "hyphen": "-"}
 _LETTER_DIGITS = str.maketrans("OoIl|", "00111")
+_DIGITS_ONLY = frozenset("0123456789OoIl|")
 
 _UNIT = {_fold: str(v) for names in _DIGIT_NAMES.values() for v, name in enumerate(names.split()) for _fold in (name, name.translate({0xFC: "u", 0xE9: "e"}))}
 _UNIT |= {"oh": "0", "zwo": "2", "une": "1"}
 _VALUE = _UNIT | {name: str(10 + i) for i, name in enumerate(_TEENS.split())} | {name: str(10 * i) for i, name in enumerate(_TENS.split(), 2)}
-_NAMES = "|".join(sorted([*_VALUE, *_TIMES, *_SIGN_NAMES], key=len, reverse=True))
-_SPELLED = re.compile("\\b(?:" + "|".join(sorted([*_VALUE, *_TIMES], key=len, reverse=True)) + ")\\b", re.I)
-_SIGN_BY_DIGIT = re.compile(rf"[0-9]{{1,3}} (?:{'|'.join(_SIGN_NAMES)}) [0-9]|\bplus [0-9]", re.I)
-_ODD_NUMBER = re.compile(r"(?<![A-Za-z0-9])(?:[0-9]+[OoIl|]|[OoIl|]+[0-9])")
-_TOKEN = re.compile(rf"\b(?P<name>{_NAMES})\b|(?<![A-Za-z0-9])(?P<digits>[0-9OoIl|]*[0-9][0-9OoIl|]*)(?![A-Za-z0-9])", re.I)
+
+
+def _any_of(words) -> str:
+    """A pattern of the words (a letter's words share its branch, longer ones first)."""
+    heads: dict[str, list[str]] = {}
+    for w in sorted(words, key=len, reverse=True):
+        heads.setdefault(w[0], []).append(w[1:])
+    return "(?:" + "|".join(f"{h}(?:{'|'.join(map(re.escape, tails))})" for h, tails in sorted(heads.items())) + ")"
+
+
+# these patterns read the text in small letters
+_NUMBER_WORDS = frozenset(w.encode() for w in (*_VALUE, *_TIMES))
+_APART = bytes(c if c >= 128 or chr(c).isalnum() or c == 95 else 32 for c in range(256))
+_SIGN_BY_DIGIT = re.compile(rf"[0-9]{{1,3}} {_any_of(_SIGN_NAMES)} [0-9]|\bplus [0-9]")
+_ODD_NUMBER = re.compile(r"[0-9](?:[oil|]|(?<=[oil|][0-9]))")
+_TOKEN = re.compile(rf"\b(?P<name>{_any_of([*_VALUE, *_TIMES, *_SIGN_NAMES])})\b|(?<![a-z0-9])(?P<digits>[0-9oil|]*[0-9][0-9oil|]*)(?![a-z0-9])")
 _BETWEEN = re.compile(r"[ \t\-.,()/]{0,3}$")
 _LEAST_DIGITS = 4
 
@@ -219,8 +232,8 @@ def _run_changes(text: str, run: list[re.Match]) -> list[tuple[int, int, str]]:
         m = run[i]
         start, end = m.span()
         if m["digits"]:
-            new = m["digits"].translate(_LETTER_DIGITS)
-            spelled |= new != m["digits"]
+            new = text[start:end].translate(_LETTER_DIGITS)
+            spelled |= new != text[start:end]
         else:
             spelled, name = True, m["name"].lower()
             after = run[i + 1]["name"].lower() if i + 1 < len(run) and run[i + 1]["name"] else ""
@@ -246,18 +259,38 @@ def _run_changes(text: str, run: list[re.Match]) -> list[tuple[int, int, str]]:
     return [c for c in out if text[c[0] : c[1]] != c[2]] if spelled and digits >= _LEAST_DIGITS else []
 
 
+def _small(text: str) -> str:
+    """Small letters, place for place."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(x if len(x := c.lower()) == 1 else c for c in text)
+
+
+def _numbers_meet(low: str) -> bool:
+    """Whether a spelled number stands beside another number; most texts have none."""
+    words = low.encode("utf-8", "surrogatepass").translate(_APART).split()
+    if _NUMBER_WORDS.isdisjoint(words):
+        return False
+    numbers = [w in _NUMBER_WORDS or 48 <= w[0] <= 57 for w in words]
+    return any(a and b for a, b in zip(numbers, numbers[1:]))
+
+
 def _spelled_digits(w: Written) -> Written:
-    text = w.text
-    if not (_SPELLED.search(text) or _ODD_NUMBER.search(text) or _SIGN_BY_DIGIT.search(text)):
-        return w
+    text, low = w.text, _small(w.text)
+    if not _numbers_meet(low):
+        if not _DIGIT.search(low):
+            return w
+        if not _ODD_NUMBER.search(low) and not (any(name in low for name in _SIGN_NAMES) and _SIGN_BY_DIGIT.search(low)):
+            return w
     changes: list[tuple[int, int, str]] = []
     run: list[re.Match] = []
-    for m in _TOKEN.finditer(text):
-        plus = m["name"] and m["name"].lower() == "plus"
-        if run and (plus or m.start() - run[-1].end() > 3 or not _BETWEEN.match(text[run[-1].end() : m.start()])):
+    for m in _TOKEN.finditer(low):
+        plus = m["name"] == "plus"
+        odd = m["digits"] and not _DIGITS_ONLY.issuperset(text[m.start() : m.end()])  # "i" is no 1
+        if run and (plus or odd or m.start() - run[-1].end() > 3 or not _BETWEEN.match(text[run[-1].end() : m.start()])):
             changes += _run_changes(text, run)
             run = []
-        run.append(m)
+        if not odd:
+            run.append(m)
     changes += _run_changes(text, run)
     return w.rewrite(changes)
 
@@ -290,6 +323,7 @@ _DISGUISED = re.compile(
     rf"|{_BLANK}(?:{_DOT_WORDS}|arroba|arobase|@){_BLANK}",
     re.I,
 )
+_OPEN_AT = re.compile(rf"[\[({{<]{_BLANK}{{0,3}}(?:{_AT_WORDS}|a|@){_BLANK}{{0,3}}[\])}}>]")
 _ANY_AT = re.compile(rf"@|(?<![A-Za-z0-9])(?:{_AT_WORDS}|a)(?![A-Za-z0-9])", re.I)
 _LABEL = re.compile(r"[A-Za-z0-9-]{1,63}$")
 _LOCAL_WORD = re.compile(r"[A-Za-z0-9._%+-]{1,64}$")
@@ -351,9 +385,19 @@ def _ending_fits(text: str, ending: re.Match, bare: bool, dots: set[str]) -> boo
     return word in _ENDINGS or (not bare and word not in _NO_NAMES)
 
 
+def _may_hide(text: str) -> bool:
+    """Whether any disguise of a sign can stand in the text; by plain searches."""
+    low = text.lower()
+    if "@" in low or "dot" in low or any(x in low for x in _SURE_AT):
+        return True
+    if any(x in low for x in "[({<") and _OPEN_AT.search(low):
+        return True
+    return "at" in low and any(x in low for x in ("punkt", "punto", "point", "d0t"))
+
+
 def _addresses(w: Written) -> Written:
     text = w.text
-    if not _DISGUISED.search(text) or not _ANY_AT.search(text):
+    if not _may_hide(text) or not _DISGUISED.search(text) or not _ANY_AT.search(text):
         return w
     marks = [_Marker.of(m) for m in _MARKER.finditer(text)]
     changes: list[tuple[int, int, str]] = []
