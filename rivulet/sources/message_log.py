@@ -64,7 +64,9 @@ _ROWS = 10_000  # of a batch given to Spark
 
 
 def _open(path: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (pafs.LocalFileSystem(), path)
+    if path.startswith("file:/"):  # with one slash or three
+        return pafs.LocalFileSystem(), "/" + path[len("file:") :].lstrip("/")
+    return pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
 
 
 def _names(fs: pafs.FileSystem, folder: str) -> list[str]:
