@@ -4,7 +4,9 @@ A range is cut into the aligned blocks it is made of: at most two of each size
 2^level, 62 in all, and one for the whole space.  ``ip BETWEEN lo AND hi`` then is an
 equi-join on (level, prefix).  Addresses are counted by the smallest block in use
 before anything else happens to them (a partial aggregate in every task, so a
-frequent address is one row a task), and only these counts meet the blocks.
+frequent address is one row a task), and only these counts meet the blocks.  The
+blocks go to the counts, by broadcast or, of very many ranges, by a merge join; the
+counts, a row per different address and level, are never broadcast.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from rivulet.functions.ipv4 import IP_RANGES, int_to_ipv4
 
 # signed addresses moved to 0..2^32-1: keeps their order and the blocks' borders
 _ZERO = 1 << 31
+SENT = 100_000  # most blocks that are broadcast
 
 
 def _range_table(spark: SparkSession, ranges: DataFrame | Sequence[tuple[int, int]]) -> DataFrame:
@@ -50,8 +53,9 @@ def tally(df: DataFrame, ip_col: str, ranges: DataFrame | Sequence[tuple[int, in
     """``(lo, hi, total)`` for every range that holds at least one address.  Ranges may
     overlap; an address counts in each.  NULL addresses count in none."""
     blocks = range_blocks(df.sparkSession, ranges)
-    # at most 33 numbers
-    levels = sorted(r[0] for r in blocks.select("level").distinct().collect())
+    # at most 33 rows
+    sizes = {r["level"]: r["count"] for r in blocks.groupBy("level").count().collect()}
+    levels = sorted(sizes)
     if not levels:
         return blocks.select("lo", "hi", F.lit(0).cast("long").alias("total")).limit(0)
     least = levels[0]
@@ -59,7 +63,11 @@ def tally(df: DataFrame, ip_col: str, ranges: DataFrame | Sequence[tuple[int, in
     counts = df.where(F.col(ip_col).cast("int").isNotNull()).groupBy(place.alias("place")).agg(F.count(F.lit(1)).alias("n"))
     at = F.array(*(F.struct(F.lit(k).alias("level"), F.shiftright("place", k - least).alias("prefix")) for k in levels))
     placed = counts.select("n", F.explode(at).alias("at")).select("n", "at.level", "at.prefix")
-    # the order of the sides leaves it to Spark which one it broadcasts, from their sizes
+    # Spark would choose the counts to broadcast: it takes a row for one row after explode
+    if sum(sizes.values()) <= SENT:
+        blocks = F.broadcast(blocks)
+    else:
+        placed = placed.groupBy("level", "prefix").agg(F.sum("n").alias("n")).hint("merge")
     return placed.join(blocks, ["level", "prefix"]).groupBy("lo", "hi").agg(F.sum("n").alias("total"))
 
 

@@ -10,6 +10,7 @@ from rivulet.functions.ipv4 import IP_RANGES
 from rivulet.functions.labels import PRODUCT_LABELS, TRAFFIC_LABELS, WEEKDAY_LABELS
 from rivulet.functions.sql_labels import register_label, register_labels
 from rivulet.operators.etl import order_etl, order_json_etl, ride_etl
+from rivulet.operators import ip_tally
 from rivulet.operators.ip_tally import range_blocks, tally, tally_ranges
 from rivulet.sources.messages import MESSAGE_SCHEMA
 
@@ -56,6 +57,20 @@ def test_tally_counts_every_range(spark):
     assert tally(rows, "ip", [(5, 4)]).count() == 0
 
 
+@pytest.mark.parametrize("sent", [ip_tally.SENT, 3])
+def test_tally_never_broadcasts_the_counts(spark, tmp_path, monkeypatch, sent):
+    monkeypatch.setattr(ip_tally, "SENT", sent)
+    path = str(tmp_path / "ips")
+    spark.range(5000).selectExpr("CAST(id * 858993 - 2147483648 AS INT) AS ip").coalesce(1).write.parquet(path)
+    rows = spark.read.parquet(path)
+    ips = [r.ip for r in rows.collect()]
+    ranges = [(-(2**31), 2**31 - 1), (ips[7], ips[7]), (-5, 10**9), (ips[9] + 1, ips[4000])]
+    found = tally(rows, "ip", ranges)
+    assert {(x.lo, x.hi): x.total for x in found.collect()} == {(lo, hi): sum(lo <= ip <= hi for ip in ips) for lo, hi in ranges}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BuildLeft" not in plan and ("BuildRight" if sent > 3 else "SortMergeJoin") in plan, plan
+
+
 def test_label_functions_inline_their_case(spark):
     names = register_labels(spark)
     assert len(names) == 12
