@@ -14,10 +14,11 @@ matrix products, normalised exactly.
 Training reads every training text, a share of them in each of ``ROUNDS`` rounds.  Each
 task trains a copy of the model on its own texts (a target against noise words drawn
 from the unigram distribution, for tokens and for classes), copies are averaged by
-Spark in proportion to their tokens, and the average starts the next round.  Steps are
-made on one in ``BLOCK_SHARE`` blocks of tokens of every text, on all of them in a corpus
-of fewer than ``LEAST_TRAINED`` tokens, and several times in a smaller one.  Counts cover
-every token.
+Spark in proportion to their tokens, and the average starts the next round.  Every token
+of every text is a target, several times in a corpus of fewer than ``LEAST_TRAINED``
+tokens.  A minibatch is made of short stretches of texts, so that a token's vector is
+read, and its gradients as target and as context are summed, once in a stretch.  Counts
+cover every token, too.
 
 A rarer word's probability within its kind is c / (n + v), for its count c, the kind's n
 tokens and v different words; an unseen word is one event of its kind, with v / (n + v)
@@ -31,6 +32,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -45,16 +47,15 @@ BUCKETS = 64  # kinds of rarer words
 CONTEXT = 4  # tokens before the predicted one
 COMMON = 300_000  # most frequent words, counted on the map side instead of shuffled
 ROUNDS = 3
-BLOCK_SHARE = 16  # of the blocks of _BLOCK tokens one is trained on
 LEAST_TRAINED = 2_000_000  # tokens
 _DIM = 24
 _CLASSES = 64
 _NOISE, _CLASS_NOISE = 256, 32  # noise tokens and classes that a minibatch shares
 _BATCH = 1024
+_STRETCH = 64  # tokens in a row of a minibatch
 _RATE = 0.1
-_BLOCK = 256
 _REMEMBERED = 500_000  # words that a task keeps the id of
-_SHUFFLED = 400_000  # tokens that are mixed before they are cut into minibatches
+_SHUFFLED = 400_000  # tokens whose stretches are mixed before they make minibatches
 _END_TOKEN = b"\n"  # no word holds a newline
 
 
@@ -81,14 +82,19 @@ class Ids(dict):
     def text(self, words: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
 
-    def contexts(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """Targets (every token and the end of each text), and the ``CONTEXT`` ids before
-        each, nearest first; before a text stand ends."""
+    def stream(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """All texts in one row, each with its end and ``CONTEXT`` ends before it, and
+        whether a place is a target (a token or the end of a text)."""
         pad, end = np.full(CONTEXT, self.end, np.int32), np.array([self.end], np.int32)
         full = np.concatenate([x for t in texts for x in (pad, t, end)])
         size = np.fromiter(map(len, texts), np.int64, len(texts)) + CONTEXT + 1
-        inner = np.arange(len(full)) - np.repeat(np.cumsum(size) - size, size)
-        (at,) = np.nonzero(inner >= CONTEXT)
+        return full, np.arange(len(full)) - np.repeat(np.cumsum(size) - size, size) >= CONTEXT
+
+    def contexts(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Targets (every token and the end of each text), and the ``CONTEXT`` ids before
+        each, nearest first; before a text stand ends."""
+        full, is_target = self.stream(texts)
+        (at,) = np.nonzero(is_target)
         return full[at], np.stack([full[at - k] for k in range(1, CONTEXT + 1)])
 
 
@@ -166,100 +172,116 @@ class Neural:
         cut = np.cumsum([x.size for x in self.parts()])[:-1]
         return Neural(*(x.astype(np.float32).reshape(y.shape) for x, y in zip(np.split(flat, cut), self.parts())))
 
-    def predicted(self, contexts: np.ndarray) -> np.ndarray:
-        return sum(self.vectors[c] @ m for c, m in zip(contexts, self.position))
-
 
 def _contrast(q, vectors, bias, target, noise, log_noise):
     """Noise-contrastive step of one layer: gradients of the log-likelihood by the predicted
     vectors, and by the scores of the targets and of the shared noise."""
-    own = np.einsum("nd,nd->n", q, vectors[target]) + bias[target] - log_noise[target]
-    other = q @ vectors[noise].T
-    other += bias[noise] - log_noise[noise]
-    g = 1 / (1 + np.exp(np.clip(own, -30, 30)))
-    np.clip(other, -30, 30, out=other)
-    np.exp(np.negative(other, out=other), out=other)
-    other += 1
-    h = np.divide(-1, other, out=other)
-    return g[:, None] * vectors[target] + h @ vectors[noise], g, h
+    own_vectors, noise_vectors = vectors[target], vectors[noise]
+    own = np.einsum("nd,nd->n", q, own_vectors) + bias[target] - log_noise[target]
+    g = 0.5 - 0.5 * np.tanh(0.5 * own)
+    # less the logistic function is half of (the hyperbolic tangent of less the half) less one
+    h = q @ (-0.5 * noise_vectors).T
+    h += 0.5 * (log_noise[noise] - bias[noise])
+    np.tanh(h, out=h)
+    h -= 1
+    h *= 0.5
+    return g[:, None] * own_vectors + h @ noise_vectors, g, h
 
 
 def _climb(values: np.ndarray, scale: np.ndarray, at: np.ndarray, gradient: np.ndarray) -> None:
-    """Adagrad on the rows that have gradients (by column); several of one row are summed."""
-    rows, place = np.unique(at, return_inverse=True)
-    g = np.stack([np.bincount(place, weights=x) for x in gradient], axis=-1).astype(np.float32).reshape(len(rows), *values.shape[1:])
+    """Adagrad on the rows that have gradients; several of one row are summed."""
+    at = at.astype(np.uint16 if len(values) <= 1 << 16 else np.int64)  # short numbers sort by digits
+    order = np.argsort(at, kind="stable")
+    at = at[order]
+    first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+    rows = at[first]
+    g = np.add.reduceat(gradient[order], first, axis=0)
     s = scale[rows] + g * g
     scale[rows] = s
     s += 1
     values[rows] += _RATE * g / np.sqrt(s, out=s)
 
 
-def step(model: Neural, scale: Neural, target, contexts, kind, noise, log_noise, class_noise, log_class) -> None:
-    """One minibatch: gradients of both layers, steps by Adagrad."""
-    q = model.predicted(contexts)
+def step(model: Neural, scale: Neural, ids, is_target, kind, noise, log_noise, class_noise, log_class) -> None:
+    """One minibatch: gradients of both layers, steps by Adagrad.  A row of ``ids`` is a
+    stretch of text after the ``CONTEXT`` ids before it; ``is_target`` tells its targets."""
+    x, n = model.vectors[ids], ids.shape[1]
+    before = [slice(CONTEXT - k, n - k) for k in range(1, CONTEXT + 1)]
+    q = sum(x[:, at] @ m for at, m in zip(before, model.position))
+    target, q = ids[:, CONTEXT:][is_target], q[is_target]
     by_q, g, h = _contrast(q, model.vectors, model.bias, target, noise, log_noise)
     own = kind[target]
     class_q, class_g, class_h = _contrast(q, model.class_vectors, model.class_bias, own, class_noise, log_class)
     by_q += class_q
-    by_position = np.stack([model.vectors[c].T @ by_q for c in contexts])
-    q, by_q = q.T, by_q.T  # by column from here on
-    by_vectors = [g * q, q @ h, *(m @ by_q for m in model.position)]
-    _climb(model.vectors, scale.vectors, np.concatenate([target, noise, *contexts]), np.concatenate(by_vectors, axis=1))
-    _climb(model.bias, scale.bias, np.concatenate([target, noise]), np.concatenate([g, h.sum(axis=0)])[None])
-    _climb(model.class_vectors, scale.class_vectors, np.concatenate([own, class_noise]), np.concatenate([class_g * q, q @ class_h], axis=1))
-    _climb(model.class_bias, scale.class_bias, np.concatenate([own, class_noise]), np.concatenate([class_g, class_h.sum(axis=0)])[None])
+    back = np.zeros((*is_target.shape, _DIM), np.float32)
+    by_x = np.zeros_like(x)
+    back[is_target] = g[:, None] * q
+    by_x[:, CONTEXT:] = back
+    back[is_target] = by_q
+    flat = back.reshape(-1, _DIM)
+    by_position = np.stack([x[:, at].reshape(-1, _DIM).T @ flat for at in before])
+    for at, m in zip(before, model.position):
+        by_x[:, at] += (flat @ m.T).reshape(back.shape)
+    _climb(model.vectors, scale.vectors, np.concatenate([ids.ravel(), noise]), np.concatenate([by_x.reshape(-1, _DIM), h.T @ q]))
+    _climb(model.bias, scale.bias, np.concatenate([target, noise]), np.concatenate([g, h.sum(axis=0)]))
+    _climb(model.class_vectors, scale.class_vectors, np.concatenate([own, class_noise]), np.concatenate([class_g[:, None] * q, class_h.T @ q]))
+    _climb(model.class_bias, scale.class_bias, np.concatenate([own, class_noise]), np.concatenate([class_g, class_h.sum(axis=0)]))
     scale.position += by_position * by_position
     model.position += _RATE * by_position / np.sqrt(scale.position + 1)
 
 
-def train_part(model: Neural, counts: np.ndarray, kind: np.ndarray, texts: Iterator[tuple[np.ndarray, np.ndarray]], seed: int) -> int:
-    """Train on (targets, contexts) pieces, in place; returns the tokens seen."""
+def _stretches(full: np.ndarray, is_target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A stream cut into rows of ``_STRETCH`` places after the ``CONTEXT`` places before
+    them; the first ``CONTEXT`` places of a stream are no targets."""
+    rows = -(-(len(full) - CONTEXT) // _STRETCH)
+    more = CONTEXT + rows * _STRETCH - len(full)
+    full, is_target = np.append(full, np.repeat(full[-1:], more)), np.append(is_target, np.zeros(more, bool))
+    ids = np.lib.stride_tricks.sliding_window_view(full, CONTEXT + _STRETCH)[::_STRETCH]
+    return ids, is_target[CONTEXT:].reshape(rows, _STRETCH)
+
+
+def train_part(model: Neural, counts: np.ndarray, kind: np.ndarray, streams: Iterator[tuple[np.ndarray, np.ndarray]], seed: int) -> int:
+    """Train on streams of texts, in place; returns the tokens seen."""
     rng = np.random.default_rng(seed)
     p = (counts + 1.0) / (counts + 1.0).sum()
     q = np.bincount(kind, weights=p)
     log_noise, log_class = np.log(_NOISE * p).astype(np.float32), np.log(_CLASS_NOISE * q).astype(np.float32)
     upto, class_upto = np.cumsum(p), np.cumsum(q)
     scale, seen = Neural(*(np.zeros_like(x) for x in model.parts())), 0
-    for target, contexts in texts:
-        order = rng.permutation(len(target))
-        for at in range(0, len(order), _BATCH):
-            own = order[at : at + _BATCH]
+    for full, inner in streams:
+        ids, is_target = _stretches(full, inner)
+        order = rng.permutation(len(ids))
+        for at in range(0, len(order), _BATCH // _STRETCH):
+            own = order[at : at + _BATCH // _STRETCH]
             noise = np.minimum(np.searchsorted(upto, rng.random(_NOISE)), len(p) - 1).astype(np.int32)
             class_noise = np.minimum(np.searchsorted(class_upto, rng.random(_CLASS_NOISE)), len(q) - 1)
-            step(model, scale, target[own], contexts[:, own], kind, noise, log_noise, class_noise, log_class)
-        seen += len(target)
+            step(model, scale, ids[own], is_target[own], kind, noise, log_noise, class_noise, log_class)
+        seen += int(inner.sum())
     return seen
 
 
-def _pieces(batches: Iterator[pa.RecordBatch], ids: Ids, every: int = 1) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Targets and contexts of one in ``every`` blocks of tokens."""
+def _pieces(batches: Iterator[pa.RecordBatch], ids: Ids) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Streams of all texts, whole texts of about ``_SHUFFLED`` tokens each."""
     held, n = [], 0
-
-    def some() -> tuple[np.ndarray, np.ndarray]:
-        target, contexts = ids.contexts(held)
-        (at,) = np.nonzero(np.arange(len(target)) // _BLOCK % every == 0)
-        return target[at], contexts[:, at]
-
     for _, _, words in _words(batches):
-        for at in range(0, max(len(words), 1), _SHUFFLED):  # a very long text in several parts
-            held.append(ids.text(words[at : at + _SHUFFLED]))
-            n += len(held[-1])
-            if n >= _SHUFFLED * every:
-                yield some()
-                held, n = [], 0
+        held.append(ids.text(words))
+        n += len(words)
+        if n >= _SHUFFLED:
+            yield ids.stream(held)
+            held, n = [], 0
     if held:
-        yield some()
+        yield ids.stream(held)
 
 
 _FLAT = 1024  # parameters of a row
 
 
-def _trained(shared, epochs: int, every: int, number: int):
+def _trained(shared, epochs: int, number: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, counts, kind, flat = shared.value
         ids = Ids(vocabulary)
         model = Neural.fresh(counts, kind).like(flat)
-        pieces: Iterator = _pieces(batches, ids, every)
+        pieces: Iterator = _pieces(batches, ids)
         if epochs > 1:  # a small corpus: its tokens are kept
             kept = list(pieces)
             pieces = (x for _ in range(epochs) for x in kept)
@@ -285,12 +307,11 @@ def train(texts: DataFrame, vocabulary: list[bytes], counts: np.ndarray, kind: n
     model = Neural.fresh(counts, kind)
     if not counts.sum():
         return model
-    passes = LEAST_TRAINED / float(counts.sum())
-    every = int(min(BLOCK_SHARE, max(1, 1 / passes)))
+    epochs = max(1, round(LEAST_TRAINED / float(counts.sum())))
     for r in range(ROUNDS):
         some = texts.where(F.pmod("k", F.lit(ROUNDS)) == r)
         shared = texts.sparkSession.sparkContext.broadcast((vocabulary, counts, kind, model.flat()))
-        copies = some.select("text").mapInArrow(_trained(shared, max(1, round(passes)), every, r), "row int, tokens double, sums array<double>")
+        copies = some.select("text").mapInArrow(_trained(shared, epochs, r), "row int, tokens double, sums array<double>")
         each = copies.select("row", "tokens", F.posexplode("sums").alias("place", "sum"))
         means = each.groupBy("row", "place").agg((F.sum("sum") / F.sum("tokens")).alias("mean")).toArrow()
         if means.num_rows:
@@ -318,32 +339,31 @@ class Scorer:
         m = self.model
         own, n = self.kind[target], len(target)
         q, out = np.empty((n, _DIM), np.float32), np.empty(n)
-        by_class = np.ascontiguousarray(m.class_vectors.T)
         for at in range(0, n, _IN_CACHE):
             part = slice(at, at + _IN_CACHE)
             x = self.placed[0][contexts[0, part]]
             for p, c in zip(self.placed[1:], contexts[1:, part]):
                 x += p[c]
             q[part] = x
-            out[part] = _picked(x @ by_class + m.class_bias, own[part])
+            out[part] = _picked(m.class_vectors @ x.T + m.class_bias[:, None], own[part])
         order = np.argsort(own.astype(np.int16), kind="stable")
         cut = np.searchsorted(own[order], np.arange(len(self.members) + 1))
         for c, ids in enumerate(self.members):
             if len(ids) > 1:
-                vectors, bias = np.ascontiguousarray(m.vectors[ids].T), m.bias[ids]
+                vectors, bias = m.vectors[ids], m.bias[ids, None]
                 for at in range(cut[c], cut[c + 1], _IN_CACHE):
                     some = order[at : min(at + _IN_CACHE, cut[c + 1])]
-                    out[some] += _picked(q[some] @ vectors + bias, self.place[target[some]])
+                    out[some] += _picked(vectors @ q[some].T + bias, self.place[target[some]])
         return out
 
 
 def _picked(scores: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Log-softmax of each row at one place."""
-    top = scores.max(axis=1)
-    mine = scores[np.arange(len(at)), at]
-    scores -= top[:, None]
+    """Log-softmax of each column at one place."""
+    top = scores.max(axis=0)
+    mine = scores[at, np.arange(len(at))]
+    scores -= top
     np.exp(scores, out=scores)
-    return mine.astype(np.float64) - top - np.log(scores.sum(axis=1, dtype=np.float64))
+    return mine.astype(np.float64) - top - np.log(scores.sum(axis=0))
 
 
 # ------------------------------------------------------------------- all of it
@@ -420,26 +440,30 @@ class _Words(dict):
     """Numbers of different words with what each adds to a text's sums."""
 
     def __init__(self, m: Model, ids: Ids):
-        self.m, self.ids, self.words, self.rows = m, ids, [], []
+        self.own, self.n, self.common = ids.own, ids.n, m.common
+        self.words, self.new = [], []
         # of each kind: log of an unseen word's share, and log10 of the count it is worth
         v = np.where(m.words > 0, m.words, 1.0)
         self.unseen, self.worth = np.log(v / np.where(m.words > 0, m.tokens + m.words, 1.0)), np.log10(v)
-        self.table = np.zeros((0, 4))
+        self.ids, self.table = np.zeros(0, np.int32), np.zeros((0, 4))
 
     def __missing__(self, word: bytes) -> int:
         self[word] = i = len(self.words)
-        c, kind, extra = self.m.common.get(word), -1, 0.0
-        if word not in self.ids.own:
-            kind = bucket(word)
-            extra = self.unseen[kind] + (0.0 if c is None else math.log(c) - self.worth[kind] * math.log(10))
         self.words.append(word)
-        # log10(c + 1) where the count is known here, whether it is, its kind, its tail's log
-        self.rows.append((0.0 if c is None else math.log10(c + 1), c is not None, kind, extra))
+        own = self.own.get(word)
+        self.new.append((self.n + bucket(word) if own is None else own, self.common.get(word, 0)))
         return i
 
     def sums(self) -> np.ndarray:
-        if self.rows:
-            self.table, self.rows = np.concatenate([self.table, np.array(self.rows, float)]), []
+        """Of every word: log10(c + 1) where the count is known here, whether it is, its
+        kind (none: -1), its tail's log; ``ids`` holds its id."""
+        if self.new:
+            own, c = np.array(self.new, np.int64).T
+            kind = np.where(own < self.n, -1, own - self.n)
+            seen = np.where(c > 0, np.log(np.maximum(c, 1)) - self.worth[kind] * math.log(10), 0.0)
+            extra = np.where(kind < 0, 0.0, self.unseen[kind] + seen)
+            self.table = np.concatenate([self.table, np.stack([np.log10(c + 1.0), c > 0, kind, extra], axis=1)])
+            self.ids, self.new = np.append(self.ids, own.astype(np.int32)), []
         return self.table
 
 
@@ -454,12 +478,12 @@ def _score(shared):
         known = _Words(m, ids)
 
         def done(keys: list[tuple], texts: list[list[bytes]]) -> pa.RecordBatch:
-            target, contexts = ids.contexts([ids.text(w) for w in texts])
             size = np.fromiter(map(len, texts), np.int64, len(texts))
             owner = np.repeat(np.arange(len(texts)), size)
+            codes = np.fromiter(map(known.__getitem__, chain.from_iterable(texts)), np.int64, len(owner))
+            seen, common, kind, extra = known.sums()[codes].T
+            target, contexts = ids.contexts(np.split(known.ids[codes], np.cumsum(size)[:-1]))
             model = np.bincount(np.repeat(np.arange(len(texts)), size + 1), weights=scorer.of(target, contexts), minlength=len(texts))
-            codes = np.fromiter((known[w] for t in texts for w in t), np.int64, len(owner))
-            seen, common, kind, extra = known.sums()[codes].T if len(codes) else np.zeros((4, 0))
             total = lambda x: np.bincount(owner, weights=x, minlength=len(texts))
             rare = common == 0
             pair, tf = np.unique(owner[rare] * np.int64(1 << 32) + codes[rare], return_counts=True)

@@ -7,6 +7,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -216,6 +217,76 @@ def test_scoring_learns_what_follows(spark, monkeypatch):
     assert p(b"b", b"a", b"c", b"c") > 0.9 and p(b"y", b"q", b"x", b"c") > 0.9 and p(b"b", b"c", b"a", b"b") < 0.1
 
 
+def test_scoring_trains_on_every_token(spark, monkeypatch):
+    """What follows "a" and "x" stands only beyond the first 256 tokens of every 4096."""
+    monkeypatch.setattr(scoring, "LEAST_TRAINED", 1)
+    r = random.Random(3)
+    texts = []
+    for i in range(15):
+        words = []
+        while len(words) < 32768:
+            words += ["c"] * 256
+            while len(words) % 4096:
+                words += r.choice((["a", "b"], ["x", "y"], ["c", "c"]))
+        texts.append((i, " ".join(words[:32767])))
+    docs = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+    model = scoring.learn(docs.select("text", common.row_key()[1].alias("k")), scoring.word_counts(docs))
+    ids, scorer = scoring.Ids(model.vocabulary), scoring.Scorer(model.neural, model.kind)
+    p = lambda w, *before: math.exp(scorer.of(np.array([ids[w]]), np.array([[ids[x]] for x in before]))[0])
+    assert p(b"b", b"a", b"c", b"c", b"c") > 0.9 and p(b"y", b"x", b"c", b"c", b"c") > 0.9
+
+
+def test_scoring_cuts_streams_into_stretches():
+    """Every token and end is a target once, after the tokens before it."""
+    ids = scoring.Ids([b"w%d" % i for i in range(50)])
+    r = random.Random(5)
+    texts = [[b"w%d" % r.randrange(70) for _ in range(n)] for n in (0, 1, 200, 0, 63, 64, 65, 1000)]
+    target, contexts = ids.contexts([ids.text(t) for t in texts])
+    found = list(scoring._pieces(iter([pa.RecordBatch.from_arrays([pa.array([b" ".join(t) for t in texts])], ["text"])]), ids))
+    stretches, is_target = scoring._stretches(*found[0])
+    assert len(found) == 1 and stretches.shape[1] == scoring.CONTEXT + scoring._STRETCH and is_target.shape == (len(stretches), scoring._STRETCH)
+    at = np.argwhere(is_target)
+    got = [tuple(stretches[i, j : j + scoring.CONTEXT + 1][::-1].tolist()) for i, j in at]
+    assert got == list(zip(target.tolist(), *contexts.tolist()))
+
+
+def test_scoring_step_is_plain_adagrad():
+    ids = scoring.Ids([b"w%d" % i for i in range(20)])
+    rng = np.random.default_rng(6)
+    kind, model = _random_neural(ids, rng.integers(1, 1000, ids.size).astype(float))
+    want = model.like(model.flat())
+    scale, plain_scale = (scoring.Neural(*(np.zeros_like(x) for x in model.parts())) for _ in range(2))
+    log_noise, log_class = rng.normal(size=ids.size).astype(np.float32), rng.normal(size=kind.max() + 1).astype(np.float32)
+    for _ in range(2):
+        rows, is_target = rng.integers(0, 6, (3, scoring.CONTEXT + 8)).astype(np.int32), rng.random((3, 8)) < 0.8
+        noise, class_noise = rng.integers(0, ids.size, 10).astype(np.int32), rng.integers(0, kind.max() + 1, 5)
+        at = np.argwhere(is_target)
+        target = np.array([rows[i, j + scoring.CONTEXT] for i, j in at])
+        contexts = np.array([[rows[i, j + scoring.CONTEXT - k] for i, j in at] for k in range(1, scoring.CONTEXT + 1)])
+        q = sum(want.vectors[c] @ m for c, m in zip(contexts, want.position))
+        by = scoring.Neural(*(np.zeros(x.shape) for x in model.parts()))
+        by_q = 0
+        for vectors, bias, d_vectors, d_bias, t, n, log_n in (
+            (want.vectors, want.bias, by.vectors, by.bias, target, noise, log_noise),
+            (want.class_vectors, want.class_bias, by.class_vectors, by.class_bias, kind[target], class_noise, log_class),
+        ):
+            more, g, h = scoring._contrast(q, vectors, bias, t, n, log_n)
+            by_q = by_q + more
+            np.add.at(d_vectors, t, g[:, None] * q)
+            np.add.at(d_vectors, n, h.T @ q)
+            np.add.at(d_bias, t, g)
+            np.add.at(d_bias, n, h.sum(axis=0))
+        for k, (c, m) in enumerate(zip(contexts, want.position)):
+            np.add.at(by.vectors, c, by_q @ m.T)
+            by.position[k] = want.vectors[c].T @ by_q
+        scoring.step(model, scale, rows, is_target, kind, noise, log_noise, class_noise, log_class)
+        for value, s, d in zip(want.parts(), plain_scale.parts(), by.parts()):
+            s += d * d
+            value += scoring._RATE * d / np.sqrt(s + 1)
+        for found, value in zip(model.parts(), want.parts()):
+            assert found == pytest.approx(value, rel=1e-3, abs=1e-4)
+
+
 def test_scoring_matches_plain_evaluation(spark, docs, monkeypatch):
     """The score column, text by text, from the trained model and exact counts."""
     monkeypatch.setattr(scoring, "VOCABULARY", 30)
