@@ -29,13 +29,13 @@ one, as in the add-one unigram the known words and one unseen word do.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,10 +52,12 @@ _DIM = 24
 _CLASSES = 64
 _NOISE, _CLASS_NOISE = 256, 32  # noise tokens and classes that a minibatch shares
 _BATCH = 1024
+_SMALL = 1_000_000  # multiplications in one matrix product: larger ones are packed first, at a cost
 _STRETCH = 64  # tokens in a row of a minibatch
 _RATE = 0.1
 _REMEMBERED = 500_000  # words that a task keeps the id of
 _SHUFFLED = 400_000  # tokens whose stretches are mixed before they make minibatches
+_PIECE = 3_000_000  # bytes of texts that are split into words together
 _END_TOKEN = b"\n"  # no word holds a newline
 
 
@@ -82,6 +84,11 @@ class Ids(dict):
     def text(self, words: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
 
+    def of(self, words: pa.Array) -> np.ndarray:
+        """Ids of many words."""
+        own = pc.index_in(words, value_set=pa.array(list(self.own), pa.binary())).fill_null(-1).to_numpy()
+        return np.where(own < 0, self.n + buckets(words), own).astype(np.int32)
+
     def stream(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """All texts in one row, each with its end and ``CONTEXT`` ends before it, and
         whether a place is a target (a token or the end of a text)."""
@@ -103,28 +110,57 @@ def bucket(word: bytes) -> int:
     return (word[0] * 0x9E3 + (word[1] if len(word) > 1 else 0) * 0x6A7 + 0x51) % 8191 % BUCKETS
 
 
-def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list, list[bytes]]]:
-    """(row, other columns of its batch, tokens) of every text (last column)."""
-    for b in batches:
-        for i, t in enumerate(b.column(b.num_columns - 1).cast(pa.binary())):
-            yield i, b, tokens(t.as_py() or b"")
+def buckets(words: pa.Array) -> np.ndarray:
+    """``bucket`` of many words."""
+    if not len(words):
+        return np.zeros(0, np.int64)
+    at = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1]
+    letters = np.append(np.frombuffer(words.buffers()[2], np.uint8), np.uint8(0)).astype(np.int64)
+    first, second = letters[at[:-1]], np.where(np.diff(at) > 1, letters[at[:-1] + 1], 0)
+    return (first * 0x9E3 + second * 0x6A7 + 0x51) % 8191 % BUCKETS
+
+
+def _pieces_of(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows of a batch whose texts (last column) have about ``_PIECE`` bytes."""
+    upto = np.cumsum(pc.binary_length(b.column(b.num_columns - 1)).fill_null(0).to_numpy().astype(np.int64))
+    cut = [0, *(np.flatnonzero(np.diff(upto // _PIECE)) + 1), b.num_rows]
+    for at, end in zip(cut, cut[1:]):
+        yield b.slice(at, end - at)
+
+
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The different words of some texts, the place among them of each word of the texts in
+    turn, and the number of words of each text; as ``tokens``, a null has none."""
+    lowered = pc.ascii_trim_whitespace(pc.ascii_lower(texts.cast(pa.binary()).view(pa.string()).fill_null("")))
+    some = pc.binary_length(lowered).to_numpy() > 0
+    lists = pc.ascii_split_whitespace(lowered.filter(pa.array(some)))
+    size = np.zeros(len(texts), np.int64)
+    size[some] = lists.value_lengths().to_numpy()
+    found = lists.flatten().dictionary_encode()
+    return found.dictionary.view(pa.binary()), found.indices.to_numpy(), size
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: Counter = Counter()
-    for _, _, words in _words(batches):
-        held.update(words)
-        held[_END_TOKEN] += 1
-        if len(held) > 200_000:  # bounded memory; Spark adds up the parts
-            yield _pairs(held)
-            held = Counter()
-    yield _pairs(held)
-
-
-def _pairs(held: Counter) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(held.keys(), pa.binary()), pa.array(held.values(), pa.int64())], ["word", "c"]
-    )
+    held, rows, ends = [], 0, 0
+
+    def added() -> pa.RecordBatch:
+        end = _pairs(pa.array([_END_TOKEN], pa.binary()), np.array([ends], np.int64))
+        parts = pa.Table.from_batches([*held, end])
+        sums = parts.group_by("word", use_threads=False).aggregate([("c", "sum")]).rename_columns(["word", "c"])
+        return sums.combine_chunks().to_batches()[0]
+
+    for b in chain.from_iterable(map(_pieces_of, batches)):
+        words, codes, _ = words_of(b.column(b.num_columns - 1))
+        held.append(_pairs(words, np.bincount(codes, minlength=len(words))))
+        rows, ends = rows + len(words), ends + b.num_rows
+        if rows > 1_000_000:  # bounded memory; Spark adds up the parts
+            yield added()
+            held, rows, ends = [], 0, 0
+    yield added()
+
+
+def _pairs(words: pa.Array, c: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([words, pa.array(c, pa.int64())], ["word", "c"])
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -173,59 +209,105 @@ class Neural:
         return Neural(*(x.astype(np.float32).reshape(y.shape) for x, y in zip(np.split(flat, cut), self.parts())))
 
 
-def _contrast(q, vectors, bias, target, noise, log_noise):
+def _contrast(q, vectors, bias, target, noise, log_noise, times=None):
     """Noise-contrastive step of one layer: gradients of the log-likelihood by the predicted
-    vectors, and by the scores of the targets and of the shared noise."""
-    own_vectors, noise_vectors = vectors[target], vectors[noise]
-    own = np.einsum("nd,nd->n", q, own_vectors) + bias[target] - log_noise[target]
+    vectors, and by the scores of the targets and of the shared noise (one draw of it; the
+    vectors get ``times`` draws of each)."""
+    own_vectors, noise_vectors = vectors.take(target, axis=0), vectors.take(noise, axis=0)
+    own = np.einsum("nd,nd->n", q, own_vectors) + bias.take(target) - log_noise.take(target)
     g = 0.5 - 0.5 * np.tanh(0.5 * own)
+    by_q = g[:, None] * own_vectors
     # less the logistic function is half of (the hyperbolic tangent of less the half) less one
-    h = q @ (-0.5 * noise_vectors).T
-    h += 0.5 * (log_noise[noise] - bias[noise])
-    np.tanh(h, out=h)
-    h -= 1
-    h *= 0.5
-    return g[:, None] * own_vectors + h @ noise_vectors, g, h
+    less = np.empty((q.shape[1] + 1, len(noise)), q.dtype)
+    less[:-1], less[-1] = noise_vectors.T, bias.take(noise) - log_noise.take(noise)
+    less *= -0.5
+    wide = np.ones((len(q), len(less)), q.dtype)
+    wide[:, :-1] = q
+    if times is not None:
+        noise_vectors *= times[:, None]
+    h = np.empty((len(q), len(noise)), q.dtype)
+    rows = _at_once(less)
+    for at in range(0, len(q), rows):
+        part = h[at : at + rows]
+        np.matmul(wide[at : at + rows], less, out=part)
+        np.tanh(part, out=part)
+        part -= 1
+        part *= 0.5
+        by_q[at : at + rows] += part @ noise_vectors
+    return by_q, g, h
+
+
+def _product(q: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """``q.T @ h`` by small products."""
+    rows = max(1, _SMALL // (q.shape[1] * h.shape[1]))
+    return sum(q[at : at + rows].T @ h[at : at + rows] for at in range(0, len(q), rows))
+
+
+def _adagrad(values: np.ndarray, scale: np.ndarray, rows: np.ndarray, gradient: np.ndarray) -> None:
+    s = scale.take(rows, axis=0)
+    s += gradient * gradient
+    scale[rows] = s
+    s += 1
+    np.sqrt(s, out=s)
+    np.divide(gradient, s, out=s)
+    s *= _RATE
+    s += values.take(rows, axis=0)
+    values[rows] = s
 
 
-def _climb(values: np.ndarray, scale: np.ndarray, at: np.ndarray, gradient: np.ndarray) -> None:
-    """Adagrad on the rows that have gradients; several of one row are summed."""
-    at = at.astype(np.uint16 if len(values) <= 1 << 16 else np.int64)  # short numbers sort by digits
+def _by_row(at: np.ndarray, most: int, *gradients: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The different rows of ``at`` (below ``most``), and the sums of their gradients."""
+    at = at.astype(np.uint16 if most <= 1 << 16 else np.int64)  # short numbers sort by digits
     order = np.argsort(at, kind="stable")
-    at = at[order]
+    at = at.take(order)
     first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
-    rows = at[first]
-    g = np.add.reduceat(gradient[order], first, axis=0)
-    s = scale[rows] + g * g
-    scale[rows] = s
-    s += 1
-    values[rows] += _RATE * g / np.sqrt(s, out=s)
+    return at.take(first), [np.add.reduceat(x.take(order, axis=0), first, axis=0) for x in gradients]
+
+
+def _distinct(noise: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The different ids of some noise, and how often each was drawn."""
+    times = np.bincount(noise, minlength=most)
+    (noise,) = np.nonzero(times)
+    return noise, times[noise].astype(np.float32)
 
 
 def step(model: Neural, scale: Neural, ids, is_target, kind, noise, log_noise, class_noise, log_class) -> None:
     """One minibatch: gradients of both layers, steps by Adagrad.  A row of ``ids`` is a
-    stretch of text after the ``CONTEXT`` ids before it; ``is_target`` tells its targets."""
-    x, n = model.vectors[ids], ids.shape[1]
+    stretch of text after the ``CONTEXT`` ids before it; ``is_target`` tells its targets.
+    Other places go along with gradients of zero, and equal noise is scored once."""
+    (some, n), classes = ids.shape, len(model.class_bias)
+    noise, times = _distinct(noise, len(model.bias))
+    class_noise, class_times = _distinct(class_noise, classes)
     before = [slice(CONTEXT - k, n - k) for k in range(1, CONTEXT + 1)]
-    q = sum(x[:, at] @ m for at, m in zip(before, model.position))
-    target, q = ids[:, CONTEXT:][is_target], q[is_target]
-    by_q, g, h = _contrast(q, model.vectors, model.bias, target, noise, log_noise)
-    own = kind[target]
-    class_q, class_g, class_h = _contrast(q, model.class_vectors, model.class_bias, own, class_noise, log_class)
-    by_q += class_q
-    back = np.zeros((*is_target.shape, _DIM), np.float32)
-    by_x = np.zeros_like(x)
-    back[is_target] = g[:, None] * q
-    by_x[:, CONTEXT:] = back
-    back[is_target] = by_q
-    flat = back.reshape(-1, _DIM)
-    by_position = np.stack([x[:, at].reshape(-1, _DIM).T @ flat for at in before])
+    x, target = model.vectors.take(ids, axis=0), ids[:, CONTEXT:].ravel()
+    own = kind.take(target)
+    q = sum(x[:, at] @ m for at, m in zip(before, model.position)).reshape(-1, _DIM)
+    by_q, g, h = _contrast(q, model.vectors, model.bias, target, noise, log_noise, times)
+    more, class_g, class_h = _contrast(q, model.class_vectors, model.class_bias, own, class_noise, log_class, class_times)
+    by_q += more
+    wide = np.ones((len(q), _DIM + 1), np.float32)  # the last column is the biases'
+    wide[:, :-1] = q
+    (none,) = np.nonzero(~is_target.ravel())
+    by_q[none] = wide[none] = g[none] = class_g[none] = 0
+    rows_by_q = by_q.reshape(some, -1, _DIM)
+    by_position = np.stack([(x[:, at].swapaxes(1, 2) @ rows_by_q).sum(axis=0) for at in before])
+    by_noise = _product(wide, h).T * times[:, None]
+    by_vectors, by_bias = np.zeros((some * n + len(noise), _DIM), np.float32), np.zeros(some * n + len(noise), np.float32)
+    by_vectors[some * n :], by_bias[some * n :] = by_noise[:, :-1], by_noise[:, -1]
+    by_x = by_vectors[: some * n].reshape(some, n, _DIM)
+    by_x[:, CONTEXT:] = (g[:, None] * q).reshape(some, -1, _DIM)
+    by_bias[: some * n].reshape(some, n)[:, CONTEXT:] = g.reshape(some, -1)
     for at, m in zip(before, model.position):
-        by_x[:, at] += (flat @ m.T).reshape(back.shape)
-    _climb(model.vectors, scale.vectors, np.concatenate([ids.ravel(), noise]), np.concatenate([by_x.reshape(-1, _DIM), h.T @ q]))
-    _climb(model.bias, scale.bias, np.concatenate([target, noise]), np.concatenate([g, h.sum(axis=0)]))
-    _climb(model.class_vectors, scale.class_vectors, np.concatenate([own, class_noise]), np.concatenate([class_g[:, None] * q, class_h.T @ q]))
-    _climb(model.class_bias, scale.class_bias, np.concatenate([own, class_noise]), np.concatenate([class_g, class_h.sum(axis=0)]))
+        by_x[:, at] += (by_q @ m.T).reshape(some, -1, _DIM)
+    rows, (by_vectors, by_bias) = _by_row(np.concatenate([ids.ravel(), noise]), len(model.vectors), by_vectors, by_bias)
+    _adagrad(model.vectors, scale.vectors, rows, by_vectors)
+    _adagrad(model.bias, scale.bias, rows, by_bias)
+    by_score = np.zeros((len(q), classes), np.float32)
+    by_score[:, class_noise] = class_h * class_times
+    by_score[np.arange(len(q)), own] += class_g
+    by_class, every = _product(wide, by_score).T, np.arange(classes)
+    _adagrad(model.class_vectors, scale.class_vectors, every, by_class[:, :-1])
+    _adagrad(model.class_bias, scale.class_bias, every, by_class[:, -1])
     scale.position += by_position * by_position
     model.position += _RATE * by_position / np.sqrt(scale.position + 1)
 
@@ -263,12 +345,14 @@ def train_part(model: Neural, counts: np.ndarray, kind: np.ndarray, streams: Ite
 def _pieces(batches: Iterator[pa.RecordBatch], ids: Ids) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Streams of all texts, whole texts of about ``_SHUFFLED`` tokens each."""
     held, n = [], 0
-    for _, _, words in _words(batches):
-        held.append(ids.text(words))
-        n += len(words)
-        if n >= _SHUFFLED:
-            yield ids.stream(held)
-            held, n = [], 0
+    for b in chain.from_iterable(map(_pieces_of, batches)):
+        words, codes, size = words_of(b.column(b.num_columns - 1))
+        for text in np.split(ids.of(words)[codes], np.cumsum(size)[:-1]):
+            held.append(text)
+            n += len(text)
+            if n >= _SHUFFLED:
+                yield ids.stream(held)
+                held, n = [], 0
     if held:
         yield ids.stream(held)
 
@@ -300,10 +384,17 @@ def _trained(shared, epochs: int, number: int):
     return run
 
 
+def _mean(copies: pa.Table) -> pa.Table:
+    """A row of parameters, averaged over the copies in proportion to their tokens."""
+    sums = copies.column("sums").combine_chunks().flatten().to_numpy().reshape(-1, _FLAT).sum(axis=0)
+    mean = sums / copies.column("tokens").to_numpy().sum()
+    return pa.table({"row": copies.column("row").slice(0, 1), "means": pa.array([mean], pa.list_(pa.float64()))})
+
+
 def train(texts: DataFrame, vocabulary: list[bytes], counts: np.ndarray, kind: np.ndarray) -> Neural:
     """The model of all of ``texts`` (text, k: a hash of the row): in each round every task
     trains on its texts of the round, and the copies' weighted sums meet in one
-    aggregation by parameter."""
+    aggregation by row of parameters."""
     model = Neural.fresh(counts, kind)
     if not counts.sum():
         return model
@@ -312,12 +403,9 @@ def train(texts: DataFrame, vocabulary: list[bytes], counts: np.ndarray, kind: n
         some = texts.where(F.pmod("k", F.lit(ROUNDS)) == r)
         shared = texts.sparkSession.sparkContext.broadcast((vocabulary, counts, kind, model.flat()))
         copies = some.select("text").mapInArrow(_trained(shared, epochs, r), "row int, tokens double, sums array<double>")
-        each = copies.select("row", "tokens", F.posexplode("sums").alias("place", "sum"))
-        means = each.groupBy("row", "place").agg((F.sum("sum") / F.sum("tokens")).alias("mean")).toArrow()
+        means = copies.groupBy("row").applyInArrow(_mean, "row int, means array<double>").toArrow().sort_by("row")
         if means.num_rows:
-            at = means.column("row").to_numpy().astype(np.int64) * _FLAT + means.column("place").to_numpy()
-            flat = np.zeros(int(at.max()) + 1, np.float32)
-            flat[at] = means.column("mean").to_numpy()
+            flat = means.column("means").combine_chunks().flatten().to_numpy().astype(np.float32)
             model = model.like(flat[: model.flat().size])
         shared.unpersist()
     return model
@@ -327,43 +415,53 @@ class Scorer:
     """Natural-log probabilities of tokens in context."""
 
     def __init__(self, model: Neural, kind: np.ndarray):
-        self.model, self.kind = model, kind
-        self.placed = [model.vectors @ m for m in model.position]  # vectors through the matrices
+        self.kind = kind
+        # vectors through the matrices, and (last column) a one for the biases
+        self.placed = [np.column_stack([model.vectors @ m, np.full(len(kind), k == 0, np.float32)]) for k, m in enumerate(model.position)]
+        self.classes = np.ascontiguousarray(np.column_stack([model.class_vectors, model.class_bias]).T)
         order = np.argsort(kind, kind="stable")
-        self.members = np.split(order, np.cumsum(np.bincount(kind))[:-1])
+        cut = np.cumsum(np.bincount(kind))[:-1]
+        self.members = [np.ascontiguousarray(x.T) for x in np.split(np.column_stack([model.vectors, model.bias])[order], cut)]
         self.place = np.empty(len(kind), np.int64)  # within its class
-        for own in self.members:
+        for own in np.split(order, cut):
             self.place[own] = np.arange(len(own))
 
     def of(self, target: np.ndarray, contexts: np.ndarray) -> np.ndarray:
-        m = self.model
-        own, n = self.kind[target], len(target)
-        q, out = np.empty((n, _DIM), np.float32), np.empty(n)
-        for at in range(0, n, _IN_CACHE):
-            part = slice(at, at + _IN_CACHE)
-            x = self.placed[0][contexts[0, part]]
+        own, n = self.kind.take(target), len(target)
+        q, out = np.empty((n, _DIM + 1), np.float32), np.empty(n)
+        for at in range(0, n, size := _at_once(self.classes)):
+            part = slice(at, at + size)
+            x = self.placed[0].take(contexts[0, part], axis=0)
             for p, c in zip(self.placed[1:], contexts[1:, part]):
-                x += p[c]
+                x += p.take(c, axis=0)
             q[part] = x
-            out[part] = _picked(m.class_vectors @ x.T + m.class_bias[:, None], own[part])
+            out[part] = _picked(x @ self.classes, own[part])
         order = np.argsort(own.astype(np.int16), kind="stable")
         cut = np.searchsorted(own[order], np.arange(len(self.members) + 1))
-        for c, ids in enumerate(self.members):
-            if len(ids) > 1:
-                vectors, bias = m.vectors[ids], m.bias[ids, None]
-                for at in range(cut[c], cut[c + 1], _IN_CACHE):
-                    some = order[at : min(at + _IN_CACHE, cut[c + 1])]
-                    out[some] += _picked(vectors @ q[some].T + bias, self.place[target[some]])
+        place = self.place.take(target)
+        for c, members in enumerate(self.members):
+            if members.shape[1] > 1:
+                for at in range(cut[c], cut[c + 1], size := _at_once(members)):
+                    some = order[at : min(at + size, cut[c + 1])]
+                    out[some] += _picked(q.take(some, axis=0) @ members, place[some])
         return out
 
 
+def _at_once(weights: np.ndarray) -> int:
+    """Rows of a small product with ``weights``."""
+    return max(1, _SMALL // weights.size)
+
+
 def _picked(scores: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Log-softmax of each column at one place."""
-    top = scores.max(axis=0)
-    mine = scores[at, np.arange(len(at))]
-    scores -= top
-    np.exp(scores, out=scores)
-    return mine.astype(np.float64) - top - np.log(scores.sum(axis=0))
+    """Log-softmax of each row at one place."""
+    mine = scores[np.arange(len(at)), at].astype(np.float64)
+    one = np.ones(scores.shape[1], np.float32)
+    with np.errstate(over="ignore"):
+        total = np.exp(scores) @ one
+    if 1e-30 < total.min() and total.max() < 1e30:
+        return mine - np.log(total, dtype=np.float64)
+    top = scores.max(axis=1, keepdims=True)  # scores beyond the exponential's range
+    return mine - top[:, 0] - np.log(np.exp(scores - top) @ one, dtype=np.float64)
 
 
 # ------------------------------------------------------------------- all of it
@@ -417,13 +515,12 @@ def _most_frequent(words: DataFrame) -> DataFrame:
 
 def _kind_totals(vocabulary: list[bytes]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, n, v = frozenset(vocabulary), np.zeros(BUCKETS), np.zeros(BUCKETS)
+        known, n, v = pa.array(vocabulary, pa.binary()), np.zeros(BUCKETS), np.zeros(BUCKETS)
         for b in batches:
-            rare = [(bucket(w), c) for w, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) if w not in known]
-            if rare:
-                at, c = np.array(rare).T
-                n += np.bincount(at, weights=c, minlength=BUCKETS)
-                v += np.bincount(at, minlength=BUCKETS)
+            rare = pc.invert(pc.is_in(b.column(0).cast(pa.binary()), value_set=known))
+            at = buckets(b.column(0).cast(pa.binary()).filter(rare))
+            n += np.bincount(at, weights=b.column(1).filter(rare).to_numpy(), minlength=BUCKETS)
+            v += np.bincount(at, minlength=BUCKETS)
         yield pa.RecordBatch.from_arrays(
             [pa.array(range(BUCKETS), pa.int32()), pa.array(n.astype(np.int64)), pa.array(v.astype(np.int64))], ["kind", "n", "v"]
         )
@@ -432,39 +529,6 @@ def _kind_totals(vocabulary: list[bytes]):
 
 
 _PARTS = "k1 long, k2 long, doc_id long, word binary, tf long, worth double, seen double, model double, n_tokens long, n_known long"
-_AT_ONCE = 200_000  # tokens scored together
-_IN_CACHE = 2048  # of them in one matrix product
-
-
-class _Words(dict):
-    """Numbers of different words with what each adds to a text's sums."""
-
-    def __init__(self, m: Model, ids: Ids):
-        self.own, self.n, self.common = ids.own, ids.n, m.common
-        self.words, self.new = [], []
-        # of each kind: log of an unseen word's share, and log10 of the count it is worth
-        v = np.where(m.words > 0, m.words, 1.0)
-        self.unseen, self.worth = np.log(v / np.where(m.words > 0, m.tokens + m.words, 1.0)), np.log10(v)
-        self.ids, self.table = np.zeros(0, np.int32), np.zeros((0, 4))
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = i = len(self.words)
-        self.words.append(word)
-        own = self.own.get(word)
-        self.new.append((self.n + bucket(word) if own is None else own, self.common.get(word, 0)))
-        return i
-
-    def sums(self) -> np.ndarray:
-        """Of every word: log10(c + 1) where the count is known here, whether it is, its
-        kind (none: -1), its tail's log; ``ids`` holds its id."""
-        if self.new:
-            own, c = np.array(self.new, np.int64).T
-            kind = np.where(own < self.n, -1, own - self.n)
-            seen = np.where(c > 0, np.log(np.maximum(c, 1)) - self.worth[kind] * math.log(10), 0.0)
-            extra = np.where(kind < 0, 0.0, self.unseen[kind] + seen)
-            self.table = np.concatenate([self.table, np.stack([np.log10(c + 1.0), c > 0, kind, extra], axis=1)])
-            self.ids, self.new = np.append(self.ids, own.astype(np.int32)), []
-        return self.table
 
 
 def _score(shared):
@@ -475,52 +539,43 @@ def _score(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = shared.value
         ids, scorer = Ids(m.vocabulary), Scorer(m.neural, m.kind)
-        known = _Words(m, ids)
-
-        def done(keys: list[tuple], texts: list[list[bytes]]) -> pa.RecordBatch:
-            size = np.fromiter(map(len, texts), np.int64, len(texts))
-            owner = np.repeat(np.arange(len(texts)), size)
-            codes = np.fromiter(map(known.__getitem__, chain.from_iterable(texts)), np.int64, len(owner))
-            seen, common, kind, extra = known.sums()[codes].T
-            target, contexts = ids.contexts(np.split(known.ids[codes], np.cumsum(size)[:-1]))
-            model = np.bincount(np.repeat(np.arange(len(texts)), size + 1), weights=scorer.of(target, contexts), minlength=len(texts))
-            total = lambda x: np.bincount(owner, weights=x, minlength=len(texts))
-            rare = common == 0
+        common, count = pa.array(list(m.common), pa.binary()), np.array([*m.common.values(), 0], np.int64)
+        # of each kind: log of an unseen word's share, and log10 of the count it is worth
+        v = np.where(m.words > 0, m.words, 1.0)
+        unseen, worth_of = np.log(v / np.where(m.words > 0, m.tokens + m.words, 1.0)), np.log10(v)
+
+        def done(b: pa.RecordBatch) -> pa.RecordBatch:
+            words, codes, size = words_of(b.column(3))
+            # of every word: its id, count if it is known here, kind (none: -1), its tail's log
+            own, n = ids.of(words), b.num_rows
+            c = count[pc.index_in(words, value_set=common).fill_null(-1).to_numpy()]
+            kind = np.where(own < ids.n, -1, own - ids.n)
+            seen = np.where(c > 0, np.log(np.maximum(c, 1)) - worth_of[kind] * math.log(10), 0.0)
+            extra = np.where(kind < 0, 0.0, unseen[kind] + seen)
+            owner = np.repeat(np.arange(n), size)
+            target, contexts = ids.contexts(np.split(own[codes], np.cumsum(size)[:-1]))
+            model = np.bincount(np.repeat(np.arange(n), size + 1), weights=scorer.of(target, contexts), minlength=n)
+            total = lambda x: np.bincount(owner, weights=x[codes], minlength=n)
+            (rare,) = np.nonzero((c == 0)[codes])
             pair, tf = np.unique(owner[rare] * np.int64(1 << 32) + codes[rare], return_counts=True)
             of, code = pair >> 32, pair & 0xFFFFFFFF
-            k = [np.array(x, np.int64) for x in zip(*((a, b, 0 if c is None else c) for a, b, c in keys))]
-            nameless = np.array([c is None for _, _, c in keys])
-            words = pa.array([known.words[i] for i in code], pa.binary())
-            n, r = len(texts), len(pair)
-            worth = np.append(known.worth, 0.0)[known.sums()[code, 2].astype(int)]
-            column = lambda rows, own: pa.concat_arrays([rows, own])
+            r = len(pair)
+            column = lambda own, more: pa.concat_arrays([own.take(pa.array(of)), more])
+            half = lambda rows, own: pa.concat_arrays([rows, own])
             none = lambda size, kind: pa.nulls(size, kind)
             return pa.RecordBatch.from_arrays(
                 [
-                    column(pa.array(k[0][of]), pa.array(k[0])), column(pa.array(k[1][of]), pa.array(k[1])),
-                    column(pa.array(k[2][of], mask=nameless[of]), pa.array(k[2], mask=nameless)),
-                    column(words, none(n, pa.binary())), column(pa.array(tf.astype(np.int64)), none(n, pa.int64())),
-                    column(pa.array(worth), none(n, pa.float64())), column(none(r, pa.float64()), pa.array(total(seen))),
-                    column(none(r, pa.float64()), pa.array((model + total(extra)) / math.log(10))),
-                    column(none(r, pa.int64()), pa.array(size + 1)),
-                    column(none(r, pa.int64()), pa.array(total(common).astype(np.int64))),
+                    *(column(b.column(i), b.column(i)) for i in range(3)),
+                    half(words.take(pa.array(code)), none(n, pa.binary())), half(pa.array(tf.astype(np.int64)), none(n, pa.int64())),
+                    half(pa.array(worth_of[kind[code]]), none(n, pa.float64())), half(none(r, pa.float64()), pa.array(total(np.log10(c + 1.0)))),
+                    half(none(r, pa.float64()), pa.array((model + total(extra)) / math.log(10))),
+                    half(none(r, pa.int64()), pa.array(size + 1)),
+                    half(none(r, pa.int64()), pa.array(total(c > 0).astype(np.int64))),
                 ],
                 [x.split()[0] for x in _PARTS.split(", ")],
             )
 
-        keys, texts, n = [], [], 0
-        for b in batches:
-            for key, t in zip(zip(*(b.column(i).to_pylist() for i in range(3))), b.column(3).cast(pa.binary())):
-                keys.append(key)
-                texts.append(tokens(t.as_py() or b""))
-                n += len(texts[-1]) + 1
-                if n >= _AT_ONCE:
-                    yield done(keys, texts)
-                    keys, texts, n = [], [], 0
-                    if len(known) > _REMEMBERED:
-                        known = _Words(m, ids)
-        if texts:
-            yield done(keys, texts)
+        yield from map(done, chain.from_iterable(map(_pieces_of, batches)))
 
     return run
 

@@ -287,6 +287,54 @@ def test_scoring_step_is_plain_adagrad():
             assert found == pytest.approx(value, rel=1e-3, abs=1e-4)
 
 
+def test_scoring_scores_equal_noise_once(monkeypatch):
+    """Noise drawn several times costs one column of scores (the step is the same: above)."""
+    ids = scoring.Ids([b"w%d" % i for i in range(20)])
+    kind, model = _random_neural(ids, np.ones(ids.size))
+    scale = scoring.Neural(*(np.zeros_like(x) for x in model.parts()))
+    log_noise, log_class = np.zeros(ids.size, np.float32), np.zeros(kind.max() + 1, np.float32)
+    widths, contrast = [], scoring._contrast
+
+    def seen(*x):
+        widths.append(contrast(*x)[2].shape[1])
+        return contrast(*x)
+
+    monkeypatch.setattr(scoring, "_contrast", seen)
+    rows, noise, class_noise = np.zeros((2, scoring.CONTEXT + 8), np.int32), np.array([7, 3, 7, 7, 3]), np.array([0, 1, 0])
+    scoring.step(model, scale, rows, np.ones((2, 8), bool), kind, noise, log_noise, class_noise, log_class)
+    assert widths == [2, 2]
+
+
+def test_scoring_splits_words_together(monkeypatch):
+    """Words of many texts at once are those of ``tokens``, whatever the pieces; their ids,
+    kinds and counts are those of single words."""
+    monkeypatch.setattr(scoring, "_PIECE", 40)
+    texts = [None, "", " ", "A b\ta", "\x0bx\x0c\r\ny  \x1c\u00a0Z \x00", "\u00c4\u00d6 \u2003 \u00e4", "e" * 90, "b b b", *(prose(i, 30) for i in range(9))]
+    want = [scoring.tokens((t or "").encode()) for t in texts]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    pieces = list(scoring._pieces_of(batch))
+    assert len(pieces) > 5 and pa.Table.from_batches(pieces).to_pydict() == batch.to_pydict()
+    got = []
+    for b in pieces:
+        words, codes, size = scoring.words_of(b.column(1))
+        words = words.to_pylist()
+        assert len(set(words)) == len(words)
+        got += [[words[c] for c in x] for x in np.split(codes, np.cumsum(size)[:-1])]
+    assert got == want
+    words, ids = pa.array(sorted({w for t in want for w in t}), pa.binary()), scoring.Ids([b"a", b"b"])
+    assert ids.of(words).tolist() == [ids[w] for w in words.to_pylist()]
+    assert scoring.buckets(words.slice(2)).tolist() == [scoring.bucket(w) for w in words.to_pylist()[2:]]
+    counts = Counter(w for t in want for w in t) + Counter({b"\n": len(texts)})
+    assert len({len(b.column("word")) for b in scoring._counts(iter([batch.select(["text"])]))}) == 1
+    assert {w: c for b in scoring._counts(iter([batch.select(["text"])])) for w, c in zip(*b.to_pydict().values())} == counts
+
+
+def test_scoring_softmax_beyond_the_exponentials_range():
+    scores = np.array([[300.0, 301.0, 299.0], [-300.0, -301.0, -299.0], [1.0, 2.0, 0.0]], np.float32)
+    want = [1 / (1 + math.e + 1 / math.e), 1 / (1 + 1 / math.e + math.e), 1 / (1 + math.e + 1 / math.e)]
+    assert np.exp(scoring._picked(scores, np.zeros(3, int))) == pytest.approx(want, rel=1e-5)
+
+
 def test_scoring_matches_plain_evaluation(spark, docs, monkeypatch):
     """The score column, text by text, from the trained model and exact counts."""
     monkeypatch.setattr(scoring, "VOCABULARY", 30)
