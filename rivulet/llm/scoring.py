@@ -125,7 +125,8 @@ def _pieces_of(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     upto = np.cumsum(pc.binary_length(b.column(b.num_columns - 1)).fill_null(0).to_numpy().astype(np.int64))
     cut = [0, *(np.flatnonzero(np.diff(upto // _PIECE)) + 1), b.num_rows]
     for at, end in zip(cut, cut[1:]):
-        yield b.slice(at, end - at)
+        if end > at:
+            yield b.slice(at, end - at)
 
 
 def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:

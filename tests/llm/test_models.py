@@ -313,6 +313,7 @@ def test_scoring_splits_words_together(monkeypatch):
     want = [scoring.tokens((t or "").encode()) for t in texts]
     batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
     pieces = list(scoring._pieces_of(batch))
+    assert not list(scoring._pieces_of(batch.slice(0, 0))) and not list(scoring._pieces(iter([batch.slice(0, 0)]), scoring.Ids([b"a"])))
     assert len(pieces) > 5 and pa.Table.from_batches(pieces).to_pydict() == batch.to_pydict()
     got = []
     for b in pieces:
